@@ -66,7 +66,7 @@ EVENT = f"""
     CASE WHEN value < 20 THEN props ELSE '' END AS description,
     CASE WHEN user_id % 7 <> 0 THEN 'us-east1' END AS region,
     CASE WHEN value >= 2 THEN floor(value)::BIGINT ELSE 0 END AS row_count,
-    CASE WHEN value >= 1 THEN event_id * event_id * 1000 END AS total_logical_bytes,
+    CASE WHEN value >= 1 THEN event_id * 1000 END AS total_logical_bytes,
     'schema:' || {NL} || {field("'id'", "'INTEGER'", "'REQUIRED'", "''")} || {NL}
       || {field("event_type", "'STRING'", "'NULLABLE'", "props")} AS schema,
     CASE WHEN value >= 5 THEN 'SELECT ' || value || ' AS v' ELSE '' END AS sql,
@@ -347,9 +347,9 @@ FROM part""",
 WITH c AS (
   SELECT source AS id, sum(strlen(text))::BIGINT AS n FROM documents GROUP BY source
   UNION ALL
-  SELECT o_orderkey::VARCHAR, CASE o_orderpriority WHEN '1-URGENT' THEN o_orderkey * o_orderkey * 256
+  SELECT o_orderkey::VARCHAR, CASE o_orderpriority WHEN '1-URGENT' THEN o_orderkey * 256
     WHEN '2-HIGH' THEN -o_orderkey WHEN '3-MEDIUM' THEN o_orderkey
-    WHEN '4-NOT SPECIFIED' THEN o_orderkey * o_orderkey * o_orderkey * 4096 END
+    WHEN '4-NOT SPECIFIED' THEN (o_orderkey % 4096) * 1099511627776 + o_orderkey END
   FROM orders)
 SELECT id, n, {humanize("n")} AS size FROM c""",
     "json_quote": f"SELECT doc_id, {json_quote('text')} AS quoted FROM documents",
@@ -474,7 +474,7 @@ SELECT '{ROOT}/' || lower(p_type) || '/models/part_' || p_partkey || '.yaml' AS
   || {line("clustering", "CASE WHEN p_size > 40 THEN '[' || p_brand || ', id]' END")}
   || {line("primary_keys", "CASE WHEN p_size < 20 THEN '[id]' END")}
   || {line("total_logical_bytes",
-           f"CASE WHEN p_size % 7 <> 0 THEN {humanize('p_partkey * p_partkey * p_size')} END")}
+           f"CASE WHEN p_size % 7 <> 0 THEN {humanize('p_partkey * p_size * 1000')} END")}
   || 'schema:' || {NL}
   || CASE WHEN p_size <> 9 THEN {field("'id'", "'INTEGER'", "'REQUIRED'", "p_name")} || {NL}
      || {field("'v'", "p_type", "'NULLABLE'", "''")} || {NL} ELSE '' END AS content

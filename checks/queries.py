@@ -33,15 +33,15 @@ def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
 
 
 def iso(name: str) -> Column:
-    return text.iso_utc(F.col(name)).alias(name)
+    return F.expr(text.iso_utc(name)).alias(name)
 
 
 def joined(name: str) -> Column:
     return F.array_join(name, "|").alias(name)
 
 
-def lines(items: Column, name: str) -> Column:
-    return F.array_join(items, "\n").alias(name)
+def lines(items: str, name: str) -> Column:
+    return F.array_join(F.expr(items), "\n").alias(name)
 
 
 # --- listings ------------------------------------------------------------------------
@@ -52,7 +52,7 @@ def list_views(t: Tables) -> DataFrame:
     views = listings.list_views(S.event_listing(t), S.event_details(t))
     return views.select(
         "project", "dataset", "name", "seq", "sql", "description", "region",
-        iso("modified"), iso("created"), lines(text.schema_lines(F.col("schema")), "schema"),
+        iso("modified"), iso("created"), lines(text.schema_lines("schema"), "schema"),
     )
 
 
@@ -62,7 +62,7 @@ def list_tables(t: Tables) -> DataFrame:
     return tables.select(
         "project", "dataset", "name", "seq", "description", "region", "row_count",
         "total_logical_bytes", iso("modified"), iso("created"),
-        lines(text.schema_lines(F.col("schema")), "schema"),
+        lines(text.schema_lines("schema"), "schema"),
     )
 
 
@@ -121,8 +121,7 @@ def table_model_meta(t: Tables) -> DataFrame:
 @query
 def list_scheduled(t: Tables) -> DataFrame:
     configs = S.event_transfer_configs(t)
-    k = listings.param_or_empty(F.col("params"), "k").alias("k")
-    by_seq = configs.select("seq", k)
+    by_seq = configs.selectExpr("seq", f"{listings.param_or_empty('params', 'k')} AS k")
     return listings.list_scheduled_queries(configs).join(by_seq, "seq").select(
         "project", "region", "name", "seq", "sql", "schedule", iso("modified"), "k"
     )
@@ -199,8 +198,8 @@ def schema_lines(t: Tables) -> DataFrame:
              named_struct('name', 'size', 'type', 'RECORD', 'mode', 'REPEATED',
                           'description', CAST(p_size AS STRING))) AS fields""",
     )
-    fields = listings.described_fields(F.col("fields"))
-    return parts.select("p_partkey", lines(text.schema_lines(fields), "lines"))
+    described = parts.selectExpr("p_partkey", f"{listings.described_fields('fields')} AS fields")
+    return described.select("p_partkey", lines(text.schema_lines("fields"), "lines"))
 
 
 @query
@@ -211,25 +210,25 @@ def humanize(t: Tables) -> DataFrame:
     )
     keys = t.orders.selectExpr(
         "CAST(o_orderkey AS STRING) AS id",
-        """CASE o_orderpriority WHEN '1-URGENT' THEN o_orderkey * o_orderkey * 256
+        """CASE o_orderpriority WHEN '1-URGENT' THEN o_orderkey * 256
              WHEN '2-HIGH' THEN -o_orderkey WHEN '3-MEDIUM' THEN o_orderkey
-             WHEN '4-NOT SPECIFIED' THEN o_orderkey * o_orderkey * o_orderkey * 4096 END AS n""",
+             WHEN '4-NOT SPECIFIED' THEN (o_orderkey % 4096) * 1099511627776 + o_orderkey END AS n""",
     )
     rows = by_source.withColumnRenamed("source", "id").unionByName(keys)
-    return rows.select("id", "n", text.humanize_bytes(F.col("n")).alias("size"))
+    return rows.selectExpr("id", "n", f"{text.humanize_bytes('n')} AS size")
 
 
 @query
 def json_quote(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", text.json_quote(F.col("text")).alias("quoted"))
+    return t.documents.selectExpr("doc_id", f"{text.json_quote('text')} AS quoted")
 
 
 @query
 def iso_ts(t: Tables) -> DataFrame:
-    return t.events.select(
+    return t.events.selectExpr(
         "event_id",
-        text.iso_utc(F.col("ts").cast("timestamp")).alias("exact"),
-        text.iso_utc(F.date_trunc("second", F.col("ts").cast("timestamp"))).alias("whole"),
+        f"{text.iso_utc('CAST(ts AS TIMESTAMP)')} AS exact",
+        f"{text.iso_utc("date_trunc('SECOND', CAST(ts AS TIMESTAMP))")} AS whole",
     )
 
 
@@ -246,13 +245,10 @@ def parse_model_path(t: Tables) -> DataFrame:
              WHEN 4 THEN concat('proj//.', p_name)
              ELSE concat('a/b/', p_type, '/', p_name, '/') END AS model""",
     )
-    return paths.withColumn("m", parse_model(F.col("model"))).select(
-        "p_partkey", "model", "m.project", "m.dataset", F.col("m.model").alias("name"), "m.error",
-        F.when(
-            F.col("m.error").isNull(),
-            table_ref(F.col("m.project"), F.col("m.dataset"), F.col("m.model")),
-        ).alias("ref"),
-        stem(F.col("p_partkey").cast("string")).alias("key_stem"),
+    return paths.withColumn("m", F.expr(parse_model("model"))).selectExpr(
+        "p_partkey", "model", "m.project", "m.dataset", "m.model AS name", "m.error",
+        f"CASE WHEN m.error IS NULL THEN {table_ref('m.project', 'm.dataset', 'm.model')} END AS ref",
+        f"{stem('CAST(p_partkey AS STRING)')} AS key_stem",
     )
 
 
@@ -426,7 +422,7 @@ def render_yaml_table(t: Tables) -> DataFrame:
         "CASE WHEN p_size % 5 <> 0 THEN p_type END AS partitioning",
         "CASE WHEN p_size > 40 THEN array(p_brand, 'id') WHEN p_size > 30 THEN array() END AS clustering",
         "CASE WHEN p_size < 20 THEN array('id') END AS primary_keys",
-        "CASE WHEN p_size % 7 <> 0 THEN p_partkey * p_partkey * p_size END AS total_logical_bytes",
+        "CASE WHEN p_size % 7 <> 0 THEN p_partkey * p_size * 1000 END AS total_logical_bytes",
         """CASE WHEN p_size <> 9 THEN array(
              named_struct('name', 'id', 'type', 'INTEGER', 'mode', 'REQUIRED', 'description', p_name),
              named_struct('name', 'v', 'type', p_type, 'mode', 'NULLABLE', 'description', ''))
@@ -511,4 +507,4 @@ def export_csv_text(t: Tables) -> DataFrame:
 @query
 def export_csv_times(t: Tables) -> DataFrame:
     events = round_trip(t, "events", "csv")
-    return events.withColumn("ts", text.iso_utc(F.col("ts").cast("timestamp")))
+    return events.withColumn("ts", F.expr(text.iso_utc("CAST(ts AS TIMESTAMP)")))

@@ -34,7 +34,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 # --- catalog from events -----------------------------------------------------------
@@ -59,7 +61,7 @@ def event_details(t: Tables) -> DataFrame:
         "CASE WHEN value >= 5 THEN concat('SELECT ', value, ' AS v') END AS view_query",
         "CASE WHEN value < 20 THEN props END AS description",
         "CASE WHEN value >= 2 THEN CAST(floor(value) AS BIGINT) END AS num_rows",
-        "CASE WHEN value >= 1 THEN event_id * event_id * 1000 END AS num_bytes",
+        "CASE WHEN value >= 1 THEN event_id * 1000 END AS num_bytes",
         "CASE WHEN user_id % 5 <> 0 THEN CAST(ts AS TIMESTAMP) END AS modified",
         "CASE WHEN user_id % 3 <> 0 THEN CAST(date_trunc('SECOND', ts) AS TIMESTAMP) END AS created",
         "CASE WHEN user_id % 7 <> 0 THEN 'us-east1' END AS location",

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import posixpath
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from tidemark.functions.text import concat, literal
 
 # Kinds in processing order, and where each kind's gated file lives.
 KINDS = ("view", "routine", "table", "external", "scheduled", "saved")
@@ -35,64 +34,62 @@ def output_root(base: str, output_dir: str, project: str) -> str:
     return f"{scheme}://{bucket}{inner}"
 
 
-def definition_path(kind: Column, root: str, dataset: Column, name: Column) -> Column:
+def definition_path(kind: str, root: str, dataset: str, name: str) -> str:
     """Path whose state decides about the object."""
-    result = F.lit(None).cast("string")
-    for k in reversed(KINDS):
-        folder, extension = GATED_FILES[k]
-        home = (dataset,) if k in DATASET_KINDS else ()
-        path = F.concat_ws("/", F.lit(root), *home, F.lit(folder), F.concat(name, F.lit(extension)))
-        result = F.when(kind == k, path).otherwise(result)
-    return result
+    cases = []
+    for k, (folder, extension) in GATED_FILES.items():
+        if k in DATASET_KINDS:
+            path = concat(literal(f"{root}/"), dataset, literal(f"/{folder}/"), name)
+        else:
+            path = concat(literal(f"{root}/{folder}/"), name)
+        cases.append(f"WHEN {literal(k)} THEN {concat(path, literal(extension))}")
+    return f"CASE {kind} {' '.join(cases)} END"
 
 
-def model_path(kind: Column, root: str, dataset: Column, name: Column) -> Column:
+def model_path(kind: str, root: str, dataset: str, name: str) -> str:
     """Path of the model file written along with views and routines, else null."""
     folder, extension = MODEL_FILE
-    path = F.concat_ws("/", F.lit(root), dataset, F.lit(folder), F.concat(name, F.lit(extension)))
-    return F.when(kind.isin(*PAIRED_KINDS), path)
+    path = concat(literal(f"{root}/"), dataset, literal(f"/{folder}/"), name, literal(extension))
+    return f"CASE WHEN {kind} IN {PAIRED_KINDS} THEN {path} END"
 
 
-def basename(path: Column) -> Column:
-    return F.substring_index(path, "/", -1)
+def basename(path: str) -> str:
+    return f"substring_index({path}, '/', -1)"
 
 
-def stem(name: Column) -> Column:
+def stem(name: str) -> str:
     """File name without its last extension; ``.hid`` and ``a.`` have none."""
-    cut = F.regexp_replace(name, "(?<=[^/])\\.[^./]+\\z", "")
-    return F.when(name == ".", F.lit("")).otherwise(cut)
+    cut = f"regexp_replace({name}, r'(?<=[^/])\\.[^./]+\\z', '')"
+    return f"CASE WHEN {name} = '.' THEN '' ELSE {cut} END"
 
 
-def table_ref(project: Column, dataset: Column, name: Column) -> Column:
+def table_ref(project: str, dataset: str, name: str) -> str:
     """``project.dataset.name``."""
-    return F.concat_ws(".", project, dataset, name)
+    return f"concat_ws('.', {project}, {dataset}, {name})"
 
 
-def parse_model(model: Column) -> Column:
+def parse_model(model: str) -> str:
     """Struct ``project, dataset, model, error`` of a slash-separated resource path.
 
     Three segments are project, dataset and name; four have a folder before the
-    name. Anything else gives a row with only ``error`` set.
+    name. Anything else gives a struct with only ``error`` set.
     """
-    parts = F.split(model, "/", -1)
-    n = F.size(parts)
-    valid = n.isin(3, 4)
-    return F.struct(
-        F.when(valid, F.get(parts, F.lit(0))).alias("project"),
-        F.when(valid, F.get(parts, F.lit(1))).alias("dataset"),
-        F.when(valid, stem(F.get(parts, n - 1))).alias("model"),
-        F.when(
-            ~valid,
-            F.concat(
-                F.lit("invalid model path '"),
-                model,
-                F.lit("': 3 or 4 segments needed, found "),
-                n.cast("string"),
-            ),
-        ).alias("error"),
+    parts = f"split({model}, '/', -1)"
+    valid = f"size({parts}) IN (3, 4)"
+    name = stem(f"get({parts}, size({parts}) - 1)")
+    error = concat(
+        literal("invalid model path '"),
+        model,
+        literal("': 3 or 4 segments needed, found "),
+        f"CAST(size({parts}) AS STRING)",
     )
+    return f"""named_struct(
+        'project', CASE WHEN {valid} THEN get({parts}, 0) END,
+        'dataset', CASE WHEN {valid} THEN get({parts}, 1) END,
+        'model', CASE WHEN {valid} THEN {name} END,
+        'error', CASE WHEN NOT {valid} THEN {error} END)"""
 
 
-def export_path(data_dir: str, model: Column, fmt: str) -> Column:
+def export_path(data_dir: str, model: str, fmt: str) -> str:
     """``<data_dir>/<model>.<fmt>``."""
-    return F.concat(F.lit(data_dir + "/"), model, F.lit("." + fmt))
+    return concat(literal(f"{data_dir.rstrip('/')}/"), model, literal(f".{fmt}"))

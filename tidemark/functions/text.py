@@ -1,12 +1,9 @@
-"""Text building expressions. All are native Spark columns, so they stay JVM-side."""
+"""Expressions that build the text of definition files."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Binary unit names in ascending order, one per power of 1024.
 BYTE_UNITS = ("B", "KiB", "MiB", "GiB", "TiB", "PiB")
 
@@ -23,26 +20,37 @@ JSON_SHORT_ESCAPES = (
 )
 
 
-def humanize_bytes(n: Column) -> Column:
+def literal(value: str) -> str:
+    """A string as SQL literal."""
+    plain = value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+    plain = plain.replace("\r", "\\r").replace("\t", "\\t").replace("\b", "\\b")
+    return "'" + plain.replace("\f", "\\u000c") + "'"
+
+
+def concat(*parts: str) -> str:
+    return f"concat({', '.join(parts)})"
+
+
+def humanize_bytes(n: str) -> str:
     """Byte count as text with a binary unit and one decimal.
 
     Null gives ``''``; counts below 1024, negative ones included, stay whole
     bytes. The unit is picked before rounding (1048575 is ``1024.0 KiB``) and
     ties round to even, which is what ``format_number`` with a pattern does.
     """
-    size = n.cast("double")
-    divisor = F.lit(float(1024 ** (len(BYTE_UNITS) - 1)))
-    unit = F.lit(BYTE_UNITS[-1])
-    for power in range(len(BYTE_UNITS) - 2, 0, -1):
-        fits = size < F.lit(float(1024 ** (power + 1)))
-        divisor = F.when(fits, F.lit(float(1024**power))).otherwise(divisor)
-        unit = F.when(fits, F.lit(BYTE_UNITS[power])).otherwise(unit)
-    scaled = F.concat(F.call_function("format_number", size / divisor, F.lit("0.0")), F.lit(" "), unit)
-    whole = F.concat(n.cast("string"), F.lit(" " + BYTE_UNITS[0]))
-    return F.when(n.isNull(), F.lit("")).when(size < 1024.0, whole).otherwise(scaled)
-
-
-def json_quote(s: Column) -> Column:
+    size = f"CAST({n} AS DOUBLE)"
+    powers = range(1, len(BYTE_UNITS) - 1)
+    below = [f"WHEN {size} < {float(1024 ** (p + 1))}D THEN " for p in powers]
+    divisors = "".join(f"{b}{float(1024**p)}D " for b, p in zip(below, powers))
+    units = "".join(f"{b}' {BYTE_UNITS[p]}' " for b, p in zip(below, powers))
+    divisor = f"CASE {divisors}ELSE {float(1024 ** (len(BYTE_UNITS) - 1))}D END"
+    unit = f"CASE {units}ELSE ' {BYTE_UNITS[-1]}' END"
+    return f"""CASE WHEN {n} IS NULL THEN ''
+        WHEN {size} < 1024.0D THEN concat(CAST({n} AS STRING), ' {BYTE_UNITS[0]}')
+        ELSE concat(format_number({size} / {divisor}, '0.0'), {unit}) END"""
+
+
+def json_quote(s: str) -> str:
     """JSON string literal in pure ASCII; everything else becomes ``\\uXXXX``.
 
     Plain printable text is only wrapped in quotes. Otherwise the text is cut
@@ -51,111 +59,96 @@ def json_quote(s: Column) -> Column:
     """
     escaped = s
     for char, replacement in JSON_SHORT_ESCAPES:
-        escaped = F.replace(escaped, F.lit(char), F.lit(replacement))
-    runs = F.regexp_extract_all(escaped, F.lit("[ -~]+|[^ -~]+"), F.lit(0))
-    ascii_only = F.array_join(F.transform(runs, _ascii_run), "")
-    body = F.when(escaped.rlike("^[ -~]*\\z"), escaped).otherwise(ascii_only)
-    return F.concat(F.lit('"'), body, F.lit('"'))
+        escaped = f"replace({escaped}, {literal(char)}, {literal(replacement)})"
+    units = "lower(hex(encode(run, 'UTF-16BE')))"
+    ascii_run = f"""CASE WHEN ascii(run) BETWEEN 32 AND 126 THEN run
+        ELSE regexp_replace({units}, '(.{{4}})', r'\\\\u$1') END"""
+    runs = f"regexp_extract_all({escaped}, '[ -~]+|[^ -~]+', 0)"
+    return f"""concat('"', CASE WHEN {escaped} RLIKE r'^[ -~]*\\z' THEN {escaped}
+        ELSE array_join(transform({runs}, run -> {ascii_run}), '') END, '"')"""
 
 
-def _ascii_run(run: Column) -> Column:
-    units = F.lower(F.hex(F.encode(run, "UTF-16BE")))
-    return F.when(F.ascii(run).between(32, 126), run).otherwise(
-        F.regexp_replace(units, "(.{4})", "\\\\u$1")
-    )
-
-
-def iso_utc(ts: Column) -> Column:
+def iso_utc(ts: str) -> str:
     """ISO-8601 text of an instant in UTC, with six fraction digits only if needed.
 
     Goes through a zone-free timestamp, so the session time zone has no say.
+    The cast to text drops trailing zeros of the fraction: they are filled up.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    text = F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch).cast("string")
-    # The cast drops trailing zeros of the fraction: fill up to 26 characters.
-    full = F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text)
-    return F.concat(F.replace(full, F.lit(" "), F.lit("T")), F.lit("+00:00"))
+    wall = f"timestampadd(MICROSECOND, unix_micros({ts}), TIMESTAMP_NTZ'1970-01-01 00:00:00')"
+    length = f"if(unix_micros({ts}) % 1000000 = 0, 19, 26)"
+    return f"concat(replace(rpad(CAST({wall} AS STRING), {length}, '0'), ' ', 'T'), '+00:00')"
 
 
-def inline_list(items: Column) -> Column:
+def inline_list(items: str) -> str:
     """``[a, b]``."""
-    return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+    return f"concat('[', array_join({items}, ', '), ']')"
 
 
-def or_none(value: Column) -> Column:
+def or_none(value: str) -> str:
     """Text of a value inside a line; an absent one prints as ``None``.
 
     A null would make the whole line null and drop it from the text.
     """
-    return F.coalesce(value.cast("string"), F.lit("None"))
+    return f"coalesce(CAST({value} AS STRING), 'None')"
 
 
-def labelled(label: str, value: Column) -> Column:
+def labelled(label: str, value: str) -> str:
     """``label: value``."""
-    return F.concat(F.lit(f"{label}: "), or_none(value))
+    return concat(literal(f"{label}: "), or_none(value))
 
 
-def schema_lines(schema: Column) -> Column:
+def schema_lines(schema: str) -> str:
     """``schema:`` and one line per top-level column, as an array of lines."""
-    return F.concat(F.array(F.lit("schema:")), F.transform(_or_empty(schema), _field_line))
-
-
-def _field_line(field: Column) -> Column:
-    return F.concat(
-        F.lit("  - name: "),
-        or_none(field["name"]),
-        F.lit("  type: "),
-        or_none(field["type"]),
-        F.lit("  mode: "),
-        or_none(field["mode"]),
-        F.lit("  description: "),
-        json_quote(F.coalesce(field["description"], F.lit(""))),
+    line = concat(
+        "'  - name: '",
+        or_none("field.name"),
+        "'  type: '",
+        or_none("field.type"),
+        "'  mode: '",
+        or_none("field.mode"),
+        "'  description: '",
+        json_quote("coalesce(field.description, '')"),
     )
+    return f"concat(array('schema:'), transform(coalesce({schema}, array()), field -> {line}))"
 
 
-def argument_lines(arguments: Column) -> Column:
+def argument_lines(arguments: str) -> str:
     """One line per routine argument, as an array of lines."""
-    return F.transform(
-        _or_empty(arguments),
-        lambda arg: F.concat(
-            F.lit("  - name: "),
-            or_none(arg["name"]),
-            F.lit("  type: "),
-            or_none(arg["type"]),
-            F.lit("  mode: "),
-            or_none(arg["mode"]),
-        ),
+    line = concat(
+        "'  - name: '",
+        or_none("arg.name"),
+        "'  type: '",
+        or_none("arg.type"),
+        "'  mode: '",
+        or_none("arg.mode"),
     )
+    return f"transform(coalesce({arguments}, array()), arg -> {line})"
 
 
-def uri_lines(uris: Column) -> Column:
+def uri_lines(uris: str) -> str:
     """``source_uris:`` and one indented line per URI, as an array of lines."""
-    return F.concat(
-        F.array(F.lit("source_uris:")),
-        F.transform(_or_empty(uris), lambda uri: F.concat(F.lit("  - "), or_none(uri))),
-    )
+    line = concat("'  - '", or_none("uri"))
+    return f"concat(array('source_uris:'), transform(coalesce({uris}, array()), uri -> {line}))"
 
 
-def optional(line: Column, condition: Column) -> Column:
+def optional(line: str, condition: str) -> str:
     """The line if the condition holds, else null (left out by :func:`lines_of`)."""
-    return F.when(condition, line)
+    return f"CASE WHEN {condition} THEN {line} END"
 
 
-def lines_of(*parts: Column) -> Column:
+def lines_of(*parts: str) -> str:
     """Array of the given lines without the null ones."""
-    return F.array_compact(F.array(*parts))
+    return f"array_compact(array({', '.join(parts)}))"
 
 
-def text_of(*line_arrays: Column) -> Column:
+def text_of(*line_arrays: str) -> str:
     """All lines, joined by newlines, with a newline at the end."""
-    return F.concat(F.array_join(F.concat(*line_arrays), "\n"), F.lit("\n"))
+    return f"concat(array_join({concat(*line_arrays)}, '\\n'), '\\n')"
 
 
-def sql_header(labels: Sequence[tuple[str, Column]]) -> Column:
+def sql_header(labels: Sequence[tuple[str, str]]) -> str:
     """Comment lines ``-- Label: value`` and a blank line."""
-    lines = [F.concat(F.lit(f"-- {label}: "), or_none(v), F.lit("\n")) for label, v in labels]
-    return F.concat(*lines, F.lit("\n"))
-
-
-def _or_empty(items: Column) -> Column:
-    return F.coalesce(items, F.array())
+    parts = []
+    for label, value in labels:
+        parts += [literal(f"-- {label}: "), or_none(value), literal("\n")]
+    return concat(*parts, literal("\n"))

@@ -1,10 +1,10 @@
-"""The fetch / skip / warn decision as column expressions."""
+"""The fetch / skip / warn decision as an expression."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.paths import basename
@@ -23,36 +23,30 @@ ACTIONS = {
 
 
 def reason(
-    source_present: Column,
-    file_present: Column,
-    modified: Column,
-    committed: Column,
-    forced: Column,
-) -> Column:
-    """Why an object is fetched, skipped or warned about.
+    modified: str,
+    committed: str,
+    file_present: str,
+    forced: str = "false",
+    source_present: str = "true",
+) -> str:
+    """Why an object is fetched, skipped or warned about, as SQL text.
 
-    Presence comes as explicit flags, since ``committed`` may be null for a
-    file that exists and set for one that does not.
+    Presence comes as explicit conditions, since ``committed`` may be null for
+    a file that exists and set for one that does not.
     """
-    without_source = F.when(file_present, "deleted_at_source").otherwise("absent")
-    compared = F.when(modified > committed, "source_newer").otherwise("up_to_date")
-    with_file = F.when(committed.isNull(), "uncommitted").otherwise(compared)
-    with_source = F.when(file_present, with_file).otherwise("new")
-    return F.when(forced, "forced").otherwise(
-        F.when(source_present, with_source).otherwise(without_source)
-    )
+    return f"""CASE
+        WHEN {forced} THEN 'forced'
+        WHEN NOT ({source_present}) THEN if({file_present}, 'deleted_at_source', 'absent')
+        WHEN NOT ({file_present}) THEN 'new'
+        WHEN {committed} IS NULL THEN 'uncommitted'
+        WHEN {modified} > {committed} THEN 'source_newer'
+        ELSE 'up_to_date' END"""
 
 
-def action(why: Column) -> Column:
+def action(why: str) -> str:
     """Outcome of a reason."""
-    by_action: dict[str, list[str]] = {}
-    for name, outcome in ACTIONS.items():
-        by_action.setdefault(outcome, []).append(name)
-    return (
-        F.when(why.isin(by_action["fetch"]), "fetch")
-        .when(why.isin(by_action["skip"]), "skip")
-        .otherwise("warn")
-    )
+    cases = " ".join(f"WHEN '{name}' THEN '{outcome}'" for name, outcome in ACTIONS.items())
+    return f"CASE {why} {cases} END"
 
 
 def with_forced(
@@ -68,12 +62,13 @@ def with_forced(
         return records.withColumn("forced", F.lit(force))
     if not isinstance(force_files, DataFrame):
         wanted = list(force_files)
-        listed = F.col("path").isin(wanted) | basename(F.col("path")).isin(wanted)
-        return records.withColumn("forced", listed if wanted else F.lit(False))
+        name = F.expr(basename("path"))
+        return records.withColumn("forced", F.col("path").isin(wanted) | name.isin(wanted))
     names = force_files.select(F.col(force_files.columns[0]).alias("_wanted")).distinct()
     marked = records
-    for flag, value in (("_by_path", F.col("path")), ("_by_name", basename(F.col("path")))):
+    for flag, value in (("_by_path", "path"), ("_by_name", basename("path"))):
         hits = names.withColumn(flag, F.lit(True))
-        marked = lookup(marked.withColumn("_wanted", value), hits, "_wanted").drop("_wanted")
+        marked = lookup(marked.withColumn("_wanted", F.expr(value)), hits, "_wanted")
+        marked = marked.drop("_wanted")
     forced = F.coalesce("_by_path", "_by_name", F.lit(False))
     return marked.withColumn("forced", forced).drop("_by_path", "_by_name")

@@ -24,12 +24,9 @@ def merged_version(local_files: DataFrame, fetched: DataFrame) -> DataFrame:
     Both sides have one row per path, and each is read once.
     """
     old = schemas.conform(local_files, schemas.DEFINITIONS).alias("old")
-    new = schemas.conform(fetched, schemas.DEFINITIONS).withColumn("fetched", F.lit(True))
+    new = schemas.conform(fetched, schemas.DEFINITIONS).selectExpr("*", "true AS fetched")
     joined = old.join(new.alias("new"), "path", "full_outer")
-    return joined.select(
+    return joined.selectExpr(
         "path",
-        *(
-            F.when(F.col("new.fetched"), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
-            for c in ("content", "modified", "kind")
-        ),
+        *(f"if(fetched, new.{c}, old.{c}) AS {c}" for c in ("content", "modified", "kind")),
     )

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.paths import DATASET_KINDS, KINDS, definition_path, model_path
+from tidemark.functions.text import literal
 from tidemark.sources import listings
 from tidemark.sources.snapshot import Snapshot
 
@@ -24,25 +25,23 @@ def in_scope(objects: DataFrame, datasets: Sequence[str] | None) -> DataFrame:
     return objects.filter(F.col("dataset").isin(list(datasets)))
 
 
-def run_order(kind: Column, dataset: Column, seq: Column, datasets: Sequence[str] | None) -> Column:
-    """Position of an object in the run.
+def run_order(kind: str, dataset: str, seq: str, datasets: Sequence[str] | None) -> str:
+    """Position of an object in the run, as SQL text.
 
     Datasets go in the given order, kinds in fixed order within each, the
     project-level kinds last; within a kind the listing order holds.
     """
     scope = list(datasets or [])
-    dataset_pos = F.lit(0)
-    for pos in range(len(scope) - 1, -1, -1):
-        dataset_pos = F.when(dataset == scope[pos], F.lit(pos)).otherwise(dataset_pos)
-    stage = dataset_pos * len(DATASET_KINDS)
-    for pos, k in enumerate(DATASET_KINDS):
-        stage = F.when(kind == k, dataset_pos * len(DATASET_KINDS) + pos).otherwise(stage)
-    last = max(len(scope), 1) * len(DATASET_KINDS)
-    for pos, k in enumerate(KINDS[len(DATASET_KINDS) :]):
-        stage = F.when(kind == k, F.lit(last + pos)).otherwise(stage)
-    span = F.lit(str(STAGE_SPAN)).cast("decimal(20,0)")
-    order = stage.cast("decimal(10,0)") * span + seq.cast("decimal(19,0)")
-    return order.cast("decimal(38,0)")
+    per_dataset = len(DATASET_KINDS)
+    cases = " ".join(f"WHEN {literal(d)} THEN {pos * per_dataset}" for pos, d in enumerate(scope))
+    first_stage = f"CASE {dataset} {cases} ELSE 0 END" if scope else "0"
+    last = max(len(scope), 1) * per_dataset
+    stages = [f"WHEN '{k}' THEN {first_stage} + {pos}" for pos, k in enumerate(DATASET_KINDS)]
+    stages += [f"WHEN '{k}' THEN {last + pos}" for pos, k in enumerate(KINDS[per_dataset:])]
+    stage = f"CASE {kind} {' '.join(stages)} END"
+    span = f"CAST({STAGE_SPAN} AS DECIMAL(20,0))"
+    position = f"CAST({stage} AS DECIMAL(10,0)) * {span} + CAST({seq} AS DECIMAL(19,0))"
+    return f"CAST({position} AS DECIMAL(38,0))"
 
 
 def located(
@@ -51,13 +50,12 @@ def located(
     """Objects with a ``kind`` as inventory rows: paths and run order added."""
     if "dataset" not in objects.columns:
         objects = objects.withColumn("dataset", F.lit(None).cast("string"))
-    kind, dataset, name = F.col("kind"), F.col("dataset"), F.col("name")
     return schemas.conform(
-        objects.select(
+        objects.selectExpr(
             "*",
-            definition_path(kind, root, dataset, name).alias("path"),
-            model_path(kind, root, dataset, name).alias("model_path"),
-            run_order(kind, dataset, F.col("seq"), datasets).alias("run_order"),
+            f"{definition_path('kind', root, 'dataset', 'name')} AS path",
+            f"{model_path('kind', root, 'dataset', 'name')} AS model_path",
+            f"{run_order('kind', 'dataset', 'seq', datasets)} AS run_order",
         ),
         schemas.INVENTORY,
     )

@@ -1,12 +1,12 @@
-"""Text of the definition files, as native expressions over inventory rows."""
+"""Text of the definition files, as expressions over inventory rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.functions.text import (
     argument_lines,
+    concat,
     humanize_bytes,
     inline_list,
     iso_utc,
@@ -20,100 +20,65 @@ from tidemark.functions.text import (
     uri_lines,
 )
 
+ROUTINE_HEADER = sql_header([("Routine", "name"), ("Language", "language")])
+SCHEDULED_HEADER = sql_header([("Scheduled Query", "name"), ("Schedule", "schedule")])
+SAVED_HEADER = sql_header([("Saved Query", "name")])
 
-def sql_text() -> Column:
-    """Content of the ``.sql`` file of a view, routine, scheduled or saved query."""
-    kind, name, sql = F.col("kind"), F.col("name"), F.col("sql")
-    routine = sql_header([("Routine", name), ("Language", F.col("language"))])
-    scheduled = sql_header([("Scheduled Query", name), ("Schedule", F.col("schedule"))])
-    saved = sql_header([("Saved Query", name)])
-    return (
-        F.when(kind == "view", sql)
-        .when(kind == "routine", F.concat(routine, sql))
-        .when(kind == "scheduled", F.concat(scheduled, sql))
-        .when(kind == "saved", F.concat(saved, sql))
-    )
 
+def _if_filled(name: str) -> str:
+    return optional(labelled(name, name), f"{name} <> ''")
 
-def model_text() -> Column:
-    """Content of the ``.yaml`` file of a table, external table, view or routine."""
-    kind = F.col("kind")
-    return (
-        F.when(kind == "table", table_yaml())
-        .when(kind == "external", external_yaml())
-        .when(kind == "view", view_yaml())
-        .when(kind == "routine", routine_yaml())
-    )
 
+def _list_if_filled(name: str) -> str:
+    return optional(labelled(name, inline_list(name)), f"size({name}) > 0")
 
-def table_yaml() -> Column:
-    lines = lines_of(
-        *_title(), _row_count(), _created(), _modified(), _region(), *_storage()
-    )
-    return text_of(lines, schema_lines(F.col("schema")))
 
-
-def view_yaml() -> Column:
-    lines = lines_of(*_title(), F.lit("type: VIEW"), _created(), _modified(), _region())
-    return text_of(lines, schema_lines(F.col("schema")))
-
-
-def routine_yaml() -> Column:
-    arguments = F.col("arguments")
-    lines = lines_of(
-        *_title(),
-        labelled("language", F.col("language")),
-        _created(),
-        _modified(),
+TITLE = (labelled("name", "name"), labelled("description", json_quote("coalesce(description, '')")))
+CREATED = optional(labelled("created", iso_utc("created")), "created IS NOT NULL")
+MODIFIED = labelled("modified", iso_utc("modified"))
+REGION = _if_filled("region")
+ROW_COUNT = labelled("row_count", "row_count")
+STORAGE = (
+    _if_filled("partitioning"),
+    _list_if_filled("clustering"),
+    _list_if_filled("primary_keys"),
+    optional(
+        labelled("total_logical_bytes", humanize_bytes("total_logical_bytes")),
+        "total_logical_bytes IS NOT NULL",
+    ),
+)
+SCHEMA = schema_lines("schema")
+
+TABLE_YAML = text_of(lines_of(*TITLE, ROW_COUNT, CREATED, MODIFIED, REGION, *STORAGE), SCHEMA)
+VIEW_YAML = text_of(lines_of(*TITLE, "'type: VIEW'", CREATED, MODIFIED, REGION), SCHEMA)
+ROUTINE_YAML = text_of(
+    lines_of(
+        *TITLE,
+        labelled("language", "language"),
+        CREATED,
+        MODIFIED,
         _if_filled("return_type"),
-        optional(F.lit("arguments:"), F.size(arguments) > 0),
-    )
-    return text_of(lines, argument_lines(arguments))
-
-
-def external_yaml() -> Column:
-    head = lines_of(*_title(), labelled("source_format", F.col("source_format")))
-    tail = lines_of(_created(), _modified(), _region(), _row_count(), *_storage())
-    return text_of(head, uri_lines(F.col("source_uris")), tail, schema_lines(F.col("schema")))
-
-
-def _title() -> tuple[Column, Column]:
-    description = json_quote(F.coalesce("description", F.lit("")))
-    return labelled("name", F.col("name")), labelled("description", description)
-
-
-def _created() -> Column:
-    return optional(labelled("created", iso_utc(F.col("created"))), F.col("created").isNotNull())
-
-
-def _modified() -> Column:
-    return labelled("modified", iso_utc(F.col("modified")))
-
-
-def _region() -> Column:
-    return _if_filled("region")
-
-
-def _row_count() -> Column:
-    return labelled("row_count", F.col("row_count"))
-
-
-def _storage() -> tuple[Column, ...]:
-    size = F.col("total_logical_bytes")
-    return (
-        _if_filled("partitioning"),
-        _list_if_filled("clustering"),
-        _list_if_filled("primary_keys"),
-        optional(labelled("total_logical_bytes", humanize_bytes(size)), size.isNotNull()),
-    )
-
-
-def _if_filled(name: str) -> Column:
-    return optional(labelled(name, F.col(name)), F.col(name) != "")
-
+        optional("'arguments:'", "size(arguments) > 0"),
+    ),
+    argument_lines("arguments"),
+)
+EXTERNAL_YAML = text_of(
+    lines_of(*TITLE, labelled("source_format", "source_format")),
+    uri_lines("source_uris"),
+    lines_of(CREATED, MODIFIED, REGION, ROW_COUNT, *STORAGE),
+    SCHEMA,
+)
 
-def _list_if_filled(name: str) -> Column:
-    return optional(labelled(name, inline_list(F.col(name))), F.size(name) > 0)
+# Content of the file that decides about an object, and of the model file that
+# goes along with a view or routine.
+GATED_CONTENT = f"""CASE kind
+    WHEN 'view' THEN sql
+    WHEN 'routine' THEN {concat(ROUTINE_HEADER, "sql")}
+    WHEN 'table' THEN {TABLE_YAML}
+    WHEN 'external' THEN {EXTERNAL_YAML}
+    WHEN 'scheduled' THEN {concat(SCHEDULED_HEADER, "sql")}
+    WHEN 'saved' THEN {concat(SAVED_HEADER, "sql")} END"""
+MODEL_CONTENT = f"CASE kind WHEN 'view' THEN {VIEW_YAML} WHEN 'routine' THEN {ROUTINE_YAML} END"
 
 
 def rendered(records: DataFrame) -> DataFrame:
@@ -122,15 +87,6 @@ def rendered(records: DataFrame) -> DataFrame:
     A view or routine gives two files, its ``.sql`` and its model; every other
     object gives one.
     """
-    is_model = F.col("kind").isin("table", "external")
-    gated_text = F.when(is_model, model_text()).otherwise(sql_text())
-    files = F.array(
-        F.struct(F.col("path").alias("path"), gated_text.alias("content")),
-        F.struct(
-            F.col("model_path").alias("path"),
-            F.when(F.col("model_path").isNotNull(), model_text()).alias("content"),
-        ),
-    )
-    return records.select(F.inline(files), "modified", "kind", "run_order").filter(
-        F.col("path").isNotNull()
-    )
+    files = f"""inline(array(named_struct('path', path, 'content', {GATED_CONTENT}),
+        named_struct('path', model_path, 'content', {MODEL_CONTENT})))"""
+    return records.selectExpr(files, "modified", "kind", "run_order").filter("path IS NOT NULL")

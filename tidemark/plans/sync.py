@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -14,6 +14,8 @@ from tidemark.operators.pick import lookup
 # Kinds whose gated file may also be written by a view or routine.
 MODEL_GATED_KINDS = ("table", "external")
 
+FILE_PRESENT = "coalesce(file_present, false)"
+
 
 def sync_plan(
     records: DataFrame,
@@ -35,11 +37,11 @@ def sync_plan(
     """
     marked = with_forced(schemas.conform(records, schemas.INVENTORY), force, force_files)
     if force and force_files is None and not include_deleted:
-        return _decided(marked, F.lit(True), F.lit(None).cast("timestamp"))
+        return _decided(marked, "true", committed="NULL")
 
     state = path_state(marked, local_files, commits)
     if dry_run:
-        plan = _decided(lookup(marked, state, "path"), _present(), F.col("committed"))
+        plan = _decided(lookup(marked, state, "path"), FILE_PRESENT)
     else:
         plan = _plan_real_run(marked, state)
     if not include_deleted:
@@ -53,40 +55,24 @@ def path_state(records: DataFrame, local_files: DataFrame, commits: DataFrame) -
     Files, commits and objects go through one aggregate and so one shuffle;
     each map task combines its rows of a path before that.
     """
-    no_time = F.lit(None).cast("timestamp")
-    no_order = F.lit(None).cast("decimal(38,0)")
-    files = local_files.select(
-        "path",
-        F.lit(True).alias("is_file"),
-        no_time.alias("commit_ts"),
-        F.lit(False).alias("at_source"),
-        no_order.alias("gated_order"),
-    )
-    history = commits.select(
-        "path",
-        F.lit(False).alias("is_file"),
-        "commit_ts",
-        F.lit(False).alias("at_source"),
-        no_order.alias("gated_order"),
-    )
-    targets = F.array(
-        F.struct(F.col("path").alias("path"), F.col("run_order").alias("gated_order")),
-        F.struct(F.col("model_path").alias("path"), no_order.alias("gated_order")),
-    )
-    objects = (
-        records.select(F.inline(targets))
-        .filter(F.col("path").isNotNull())
-        .select(
+    no_time, no_order = "CAST(NULL AS TIMESTAMP)", "CAST(NULL AS DECIMAL(38,0))"
+
+    def facts(rows: DataFrame, is_file: str, commit_ts: str, at_source: str, order: str) -> DataFrame:
+        return rows.selectExpr(
             "path",
-            F.lit(False).alias("is_file"),
-            no_time.alias("commit_ts"),
-            F.lit(True).alias("at_source"),
-            "gated_order",
+            f"{is_file} AS is_file",
+            f"{commit_ts} AS commit_ts",
+            f"{at_source} AS at_source",
+            f"{order} AS gated_order",
         )
-    )
+
+    written = f"""inline(array(named_struct('path', path, 'gated_order', run_order),
+        named_struct('path', model_path, 'gated_order', {no_order})))"""
+    objects = records.selectExpr(written).filter("path IS NOT NULL")
     return (
-        files.unionByName(history)
-        .unionByName(objects)
+        facts(local_files, "true", no_time, "false", no_order)
+        .union(facts(commits, "false", "commit_ts", "false", no_order))
+        .union(facts(objects, "false", no_time, "true", "gated_order"))
         .groupBy("path")
         .agg(
             F.max("is_file").alias("file_present"),
@@ -97,10 +83,6 @@ def path_state(records: DataFrame, local_files: DataFrame, commits: DataFrame) -
     )
 
 
-def _present() -> Column:
-    return F.coalesce("file_present", F.lit(False))
-
-
 def _plan_real_run(marked: DataFrame, state: DataFrame) -> DataFrame:
     """Where the file is missing, the first object on the path is written.
 
@@ -109,34 +91,31 @@ def _plan_real_run(marked: DataFrame, state: DataFrame) -> DataFrame:
     model file can have, so they are settled first.
     """
     here = lookup(marked, state, "path")
-    written = _present() | (F.col("run_order") > F.col("first_gated"))
+    found = f"({FILE_PRESENT} OR run_order > first_gated)"
     model_gated = F.col("kind").isin(*MODEL_GATED_KINDS)
 
-    first_pass = _decided(here.filter(~model_gated), written, F.col("committed"))
+    first_pass = _decided(here.filter(~model_gated), found)
     ungated = (
-        first_pass.filter((F.col("action") == "fetch") & F.col("model_path").isNotNull())
+        first_pass.filter("action = 'fetch' AND model_path IS NOT NULL")
         .groupBy(F.col("model_path").alias("path"))
         .agg(F.min("run_order").alias("first_ungated"))
     )
-    behind = F.coalesce(F.col("run_order") > F.col("first_ungated"), F.lit(False))
-    second_pass = _decided(
-        lookup(here.filter(model_gated), ungated, "path"), written | behind, F.col("committed")
-    )
+    found_later = f"({found} OR coalesce(run_order > first_ungated, false))"
+    second_pass = _decided(lookup(here.filter(model_gated), ungated, "path"), found_later)
     return first_pass.unionByName(second_pass)
 
 
-def _decided(rows: DataFrame, present: Column, committed: Column) -> DataFrame:
-    why = reason(F.lit(True), present, F.col("modified"), committed, F.col("forced"))
-    return rows.withColumn("reason", why).select(
-        *schemas.struct_type(schemas.INVENTORY).names, action(F.col("reason")).alias("action"), "reason"
+def _decided(rows: DataFrame, file_present: str, committed: str = "committed") -> DataFrame:
+    why = reason("modified", committed, file_present, forced="forced")
+    return rows.withColumn("reason", F.expr(why)).selectExpr(
+        *schemas.struct_type(schemas.INVENTORY).names, f"{action('reason')} AS action", "reason"
     )
 
 
 def _deleted(state: DataFrame) -> DataFrame:
-    gone = state.filter(F.col("file_present") & ~F.col("at_source"))
-    why = reason(
-        F.lit(False), F.lit(True), F.lit(None).cast("timestamp"), F.col("committed"), F.lit(False)
-    )
-    return gone.withColumn("reason", why).select(
-        "path", action(F.col("reason")).alias("action"), "reason"
+    why = reason("NULL", "committed", "file_present", source_present="at_source")
+    return (
+        state.filter("file_present AND NOT at_source")
+        .withColumn("reason", F.expr(why))
+        .selectExpr("path", f"{action('reason')} AS action", "reason")
     )

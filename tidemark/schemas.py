@@ -6,8 +6,9 @@ columns: :func:`conform` adds them as typed nulls.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 FIELDS = "ARRAY<STRUCT<name STRING, type STRING, mode STRING, description STRING>>"
@@ -81,16 +82,11 @@ INVENTORY = f"""
 DEFINITIONS = "path STRING, content STRING, modified TIMESTAMP, kind STRING"
 
 
+@cache
 def struct_type(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Project ``df`` to ``ddl``: columns in that order, missing ones as typed nulls."""
-    present = set(df.columns)
-    return df.select(
-        *(
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in struct_type(ddl)
-        )
-    )
+    return df.to(struct_type(ddl))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.paths import export_path, parse_model
+from tidemark.functions.text import literal
 from tidemark.operators.pick import lookup
 from tidemark.sources.tables import scan_table
 
@@ -60,7 +61,7 @@ def read_export(spark: SparkSession, dest: str, schema: str | StructType, fmt: s
 
 def resolve_request(spark: SparkSession, model: str) -> tuple[str, str, str]:
     """Project, dataset and table named by a resource path, or ``ValueError``."""
-    parsed = spark.range(1).select(parse_model(F.lit(model)).alias("m")).select("m.*").first()
+    parsed = spark.range(1).select(F.expr(parse_model(literal(model))).alias("m")).select("m.*").first()
     if parsed["error"]:
         raise ValueError(parsed["error"])
     return parsed["project"], parsed["dataset"], parsed["model"]
@@ -87,8 +88,10 @@ def export_requests(requests: DataFrame, data_dir: str, fmt: str = "csv") -> Dat
     export replaces the earlier one.
     """
     check_format(fmt)
-    parsed = requests.withColumn("m", parse_model(F.col("model"))).select(
-        "*", F.col("m.error"), export_path(data_dir, F.col("m.model"), fmt).alias("dest")
+    parsed = requests.withColumn("m", F.expr(parse_model("model"))).selectExpr(
+        "* EXCEPT (m)", "m.error", f"{export_path(data_dir, 'm.model', fmt)} AS dest"
     )
-    counts = parsed.groupBy("dest").agg(F.count(F.lit(1)).alias("same_dest"))
-    return lookup(parsed.drop("m"), counts.filter(F.col("dest").isNotNull()), "dest")
+    counts = parsed.filter("dest IS NOT NULL").groupBy("dest").agg(
+        F.count(F.lit(1)).alias("same_dest")
+    )
+    return lookup(parsed, counts, "dest")

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.functions.text import literal
+
 # Logical width in bytes of fixed-size types.
 WIDTHS = {
     "boolean": 1,
-    "tinyint": 1,
-    "smallint": 2,
-    "int": 4,
-    "bigint": 8,
+    "byte": 1,
+    "short": 2,
+    "integer": 4,
+    "long": 8,
     "float": 4,
     "double": 8,
     "date": 4,
@@ -39,43 +40,40 @@ def scan_table(
 
 def table_stats(table: DataFrame, name: str) -> DataFrame:
     """One row ``name, row_count, total_logical_bytes`` by a single aggregate."""
-    sizes = [logical_bytes(F.col(f"`{f.name}`"), f.dataType) for f in table.schema]
-    row_bytes = sum(sizes[1:], sizes[0]) if sizes else F.lit(0).cast("bigint")
-    return table.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(row_bytes), F.lit(0)).cast("bigint").alias("total_logical_bytes"),
-    ).select(F.lit(name).alias("name"), "row_count", "total_logical_bytes")
+    sizes = [logical_bytes("`" + f.name.replace("`", "``") + "`", f.dataType) for f in table.schema]
+    return table.selectExpr(f"{' + '.join(sizes) or '0'} AS bytes").selectExpr(
+        f"{literal(name)} AS name",
+        "count(*) AS row_count",
+        "CAST(coalesce(sum(bytes), 0) AS BIGINT) AS total_logical_bytes",
+    )
 
 
-def logical_bytes(value: Column, data_type: T.DataType) -> Column:
-    """Logical size of a value; null is 0, nested values are summed up."""
-    return F.coalesce(_size(value, data_type).cast("bigint"), F.lit(0).cast("bigint"))
+def logical_bytes(value: str, data_type: T.DataType) -> str:
+    """Logical size of a value as SQL text; null is 0, nested values are summed up."""
+    return f"CAST(coalesce({_size(value, data_type)}, 0) AS BIGINT)"
 
 
-def _size(value: Column, data_type: T.DataType) -> Column:
+def _size(value: str, data_type: T.DataType) -> str:
     if isinstance(data_type, (T.StringType, T.BinaryType)):
-        return F.octet_length(value)
-    if isinstance(data_type, T.DecimalType):
-        return F.when(value.isNotNull(), F.lit(DECIMAL_WIDTH))
+        return f"octet_length({value})"
     if isinstance(data_type, T.ArrayType):
         return _array_size(value, data_type.elementType)
     if isinstance(data_type, T.MapType):
-        return _array_size(F.map_keys(value), data_type.keyType) + _array_size(
-            F.map_values(value), data_type.valueType
-        )
+        keys = _array_size(f"map_keys({value})", data_type.keyType)
+        return f"{keys} + {_array_size(f'map_values({value})', data_type.valueType)}"
     if isinstance(data_type, T.StructType):
-        parts = [logical_bytes(value[f.name], f.dataType) for f in data_type]
-        return F.when(value.isNotNull(), sum(parts, F.lit(0).cast("bigint")))
-    return F.when(value.isNotNull(), F.lit(WIDTHS[data_type.simpleString()]))
+        inner = [logical_bytes(f"{value}.`{f.name}`", f.dataType) for f in data_type]
+        return f"CASE WHEN {value} IS NOT NULL THEN {' + '.join(inner) or '0'} END"
+    return f"CASE WHEN {value} IS NOT NULL THEN {_width(data_type)} END"
+
 
+def _width(data_type: T.DataType) -> int:
+    return DECIMAL_WIDTH if isinstance(data_type, T.DecimalType) else WIDTHS[data_type.typeName()]
 
-def _array_size(items: Column, element: T.DataType) -> Column:
-    width = WIDTHS.get(element.simpleString())
-    if width is not None:
+
+def _array_size(items: str, element: T.DataType) -> str:
+    if element.typeName() in WIDTHS or isinstance(element, T.DecimalType):
         # Same width for every element that is not null: count instead of adding up.
-        return F.when(items.isNotNull(), F.size(F.array_compact(items)) * F.lit(width))
-    return F.aggregate(
-        items,
-        F.lit(0).cast("bigint"),
-        lambda total, item: total + logical_bytes(item, element),
-    )
+        return f"CASE WHEN {items} IS NOT NULL THEN size(array_compact({items})) * {_width(element)} END"
+    total = f"total + {logical_bytes('item', element)}"
+    return f"aggregate({items}, 0L, (total, item) -> {total})"
