@@ -68,7 +68,7 @@ EVENT = f"""
     CASE WHEN value >= 2 THEN floor(value)::BIGINT ELSE 0 END AS row_count,
     CASE WHEN value >= 1 THEN event_id * 1000 END AS total_logical_bytes,
     'schema:' || {NL} || {field("'id'", "'INTEGER'", "'REQUIRED'", "''")} || {NL}
-      || {field("event_type", "'STRING'", "'NULLABLE'", "props")} AS schema,
+      || {field("event_type", "'STRING'", "'NULLABLE'", "props")} || {NL} AS schema,
     CASE WHEN value >= 5 THEN 'SELECT ' || value || ' AS v' ELSE '' END AS sql,
     CASE WHEN user_id % 2 = 0 THEN CASE WHEN value >= 10 THEN 'ts' ELSE 'ingestion_time' END
       END AS partitioning,
@@ -146,10 +146,11 @@ ORDER_STATE = """
 """
 
 
-def order_plan(forced: str, where: str, extra: str = "") -> str:
+def order_plan(forced: str, where: str) -> str:
     """Plan rows of the order tables; ``forced`` is a condition on ``both_sides``."""
+    committed = iso("committed")
     return f"""
-WITH {extra} {ORDER_STATE},
+WITH {ORDER_STATE},
 decided AS (SELECT *, {ORDER_PATH % "k"} AS path,
   CASE WHEN has_src AND ({forced}) THEN 'forced'
        WHEN NOT has_src THEN 'deleted_at_source'
@@ -161,7 +162,7 @@ decided AS (SELECT *, {ORDER_PATH % "k"} AS path,
 SELECT path, CASE WHEN has_src THEN 'table' END AS kind,
   CASE WHEN reason IN ('forced', 'new', 'source_newer') THEN 'fetch'
        WHEN reason = 'up_to_date' THEN 'skip' ELSE 'warn' END AS action,
-  reason, {iso("modified")} AS modified
+  reason, {iso("modified")} AS modified, {committed} AS committed
 FROM decided"""
 
 
@@ -341,7 +342,7 @@ SELECT p_partkey, 'schema:' || {NL}
   || {field("'p' || p_partkey", "'INTEGER'", "'REQUIRED'", "('key \"' || p_name || '\"')")} || {NL}
   || {field("p_brand", "p_type", "'NULLABLE'",
             f"(CASE WHEN p_size > 10 THEN p_name || {NL} || 'é' ELSE '' END)")} || {NL}
-  || {field("'size'", "'RECORD'", "'REPEATED'", "p_size::VARCHAR")} AS lines
+  || {field("'size'", "'RECORD'", "'REPEATED'", "p_size::VARCHAR")} || {NL} AS lines
 FROM part""",
     "humanize": f"""
 WITH c AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import standins as S
@@ -32,16 +32,12 @@ def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     return fn
 
 
-def iso(name: str) -> Column:
-    return F.expr(text.iso_utc(name)).alias(name)
+def iso(name: str) -> str:
+    return f"{text.iso_utc(name)} AS {name}"
 
 
-def joined(name: str) -> Column:
-    return F.array_join(name, "|").alias(name)
-
-
-def lines(items: str, name: str) -> Column:
-    return F.array_join(F.expr(items), "\n").alias(name)
+def joined(name: str) -> str:
+    return f"array_join({name}, '|') AS {name}"
 
 
 # --- listings ------------------------------------------------------------------------
@@ -50,26 +46,26 @@ def lines(items: str, name: str) -> Column:
 @query
 def list_views(t: Tables) -> DataFrame:
     views = listings.list_views(S.event_listing(t), S.event_details(t))
-    return views.select(
+    return views.selectExpr(
         "project", "dataset", "name", "seq", "sql", "description", "region",
-        iso("modified"), iso("created"), lines(text.schema_lines("schema"), "schema"),
+        iso("modified"), iso("created"), f"{text.schema_lines('schema')} AS schema",
     )
 
 
 @query
 def list_tables(t: Tables) -> DataFrame:
     tables = listings.list_tables(S.event_listing(t), S.event_details(t))
-    return tables.select(
+    return tables.selectExpr(
         "project", "dataset", "name", "seq", "description", "region", "row_count",
         "total_logical_bytes", iso("modified"), iso("created"),
-        lines(text.schema_lines("schema"), "schema"),
+        f"{text.schema_lines('schema')} AS schema",
     )
 
 
 @query
 def list_externals(t: Tables) -> DataFrame:
     externals = listings.list_external_tables(S.event_listing(t), S.event_details(t))
-    return externals.select(
+    return externals.selectExpr(
         "project", "dataset", "name", "seq", "description", "row_count", "source_format",
         joined("source_uris"), iso("modified"), "partitioning", joined("clustering"),
         joined("primary_keys"),
@@ -80,15 +76,12 @@ def list_externals(t: Tables) -> DataFrame:
 def list_routines(t: Tables) -> DataFrame:
     """One row per argument; a routine without arguments keeps one row."""
     routines = listings.list_routines(S.part_routines(t), S.part_routine_details(t))
-    return routines.select(
+    return routines.selectExpr(
         "dataset", "name", "seq", "sql", "language", "description", "return_type",
-        iso("modified"), iso("created"), F.posexplode_outer("arguments").alias("pos", "arg"),
-    ).select(
-        "*",
-        F.col("arg.name").alias("arg_name"),
-        F.col("arg.type").alias("arg_type"),
-        F.col("arg.mode").alias("arg_mode"),
-    ).drop("arg")
+        iso("modified"), iso("created"), "posexplode_outer(arguments) AS (pos, arg)",
+    ).selectExpr(
+        "* EXCEPT (arg)", "arg.name AS arg_name", "arg.type AS arg_type", "arg.mode AS arg_mode"
+    )
 
 
 @query
@@ -112,7 +105,7 @@ def table_model_meta(t: Tables) -> DataFrame:
            END AS table_constraints""",
         "CASE WHEN p_size > 30 THEN p_partkey END AS num_rows",
     )
-    return listings.list_tables(listing, details).select(
+    return listings.list_tables(listing, details).selectExpr(
         "dataset", "name", "partitioning", joined("clustering"), joined("primary_keys"),
         "row_count", iso("modified"),
     )
@@ -122,7 +115,7 @@ def table_model_meta(t: Tables) -> DataFrame:
 def list_scheduled(t: Tables) -> DataFrame:
     configs = S.event_transfer_configs(t)
     by_seq = configs.selectExpr("seq", f"{listings.param_or_empty('params', 'k')} AS k")
-    return listings.list_scheduled_queries(configs).join(by_seq, "seq").select(
+    return listings.list_scheduled_queries(configs).join(by_seq, "seq").selectExpr(
         "project", "region", "name", "seq", "sql", "schedule", iso("modified"), "k"
     )
 
@@ -132,7 +125,7 @@ def list_saved_first(t: Tables) -> DataFrame:
     saved = listings.list_saved_queries(
         S.conversation_repositories(t), S.conversation_workspaces(t), S.conversation_files(t)
     )
-    return saved.select("project", "region", "name", "seq", "sql", iso("modified"))
+    return saved.selectExpr("project", "region", "name", "seq", "sql", iso("modified"))
 
 
 @query
@@ -168,7 +161,7 @@ def defaults_fill(t: Tables) -> DataFrame:
         "CASE toxic WHEN 0 THEN timestamp_seconds(n_chars) END AS modified",
         "array() AS schema",
     )
-    return listings.list_table_like(listing, details).select(
+    return listings.list_table_like(listing, details).selectExpr(
         "kind", "dataset", "name", "sql", "description", "row_count", iso("modified")
     )
 
@@ -176,9 +169,9 @@ def defaults_fill(t: Tables) -> DataFrame:
 @query
 def inventory_union(t: Tables) -> DataFrame:
     objects = inventory(S.snapshot(t), S.PROJECT, S.REGION, ROOT, S.SCOPE)
-    return objects.select(
+    return objects.selectExpr(
         "kind", "dataset", "name", "seq", iso("modified"), "path", "model_path",
-        F.col("run_order").cast("string").alias("run_order"),
+        "CAST(run_order AS STRING) AS run_order",
     )
 
 
@@ -199,7 +192,7 @@ def schema_lines(t: Tables) -> DataFrame:
                           'description', CAST(p_size AS STRING))) AS fields""",
     )
     described = parts.selectExpr("p_partkey", f"{listings.described_fields('fields')} AS fields")
-    return described.select("p_partkey", lines(text.schema_lines("fields"), "lines"))
+    return described.selectExpr("p_partkey", f"{text.schema_lines('fields')} AS lines")
 
 
 @query
@@ -274,7 +267,7 @@ def table_stats_(t: Tables) -> DataFrame:
 
 @query
 def last_commit_(t: Tables) -> DataFrame:
-    return last_commit(S.order_commits(t)).select("path", iso("committed"))
+    return last_commit(S.order_commits(t)).selectExpr("path", iso("committed"))
 
 
 @query
@@ -294,8 +287,8 @@ def dirty_tree(t: Tables) -> DataFrame:
 
 
 def order_plan(t: Tables, **options: object) -> DataFrame:
-    plan = sync_plan(S.order_records(t), S.order_files(t), S.order_commits(t), **options)
-    return plan.select("path", "kind", "action", "reason", iso("modified"))
+    plan = sync_plan(S.order_records(t), S.order_paths(t), S.order_commits(t), **options)
+    return plan.selectExpr("path", "kind", "action", "reason", iso("modified"), iso("committed"))
 
 
 @query
@@ -356,14 +349,14 @@ def path_collisions(t: Tables) -> DataFrame:
 def collision_winners(t: Tables) -> DataFrame:
     """Of all files written to one path, the last one stays."""
     plan = sync_plan(S.customer_records(t), S.customer_files(t), S.customer_commits(t))
-    return fetched_definitions(plan).select("path", "kind", "content", iso("modified"))
+    return fetched_definitions(plan).selectExpr("path", "kind", "content", iso("modified"))
 
 
 @query
 def apply_plan(t: Tables) -> DataFrame:
-    files = S.order_files(t)
-    plan = sync_plan(S.order_records(t), files, S.order_commits(t))
-    return merged_version(files, fetched_definitions(plan)).select("path", "content", "kind")
+    plan = sync_plan(S.order_records(t), S.order_paths(t), S.order_commits(t))
+    merged = merged_version(S.order_files(t), fetched_definitions(plan))
+    return merged.select("path", "content", "kind")
 
 
 @query

@@ -194,6 +194,11 @@ def order_records(t: Tables) -> DataFrame:
     return located(objects, ROOT)
 
 
+def order_paths(t: Tables) -> DataFrame:
+    """Path of an order's file, once for each of its line items."""
+    return t.lineitem.selectExpr(f"concat('{ROOT}/sales/models/', l_orderkey, '.yaml') AS path")
+
+
 def order_files(t: Tables) -> DataFrame:
     """One local file per order that has line items."""
     return (

@@ -50,22 +50,31 @@ def humanize_bytes(n: str) -> str:
         ELSE concat(format_number({size} / {divisor}, '0.0'), {unit}) END"""
 
 
+# Java character classes: printable ASCII that JSON takes as it is, the
+# characters with a short escape, and the rest.
+PLAIN = r" !#-\[\]-~"
+SHORT = r"\"\\\x08\x09\x0a\x0c\x0d"
+
+
 def json_quote(s: str) -> str:
     """JSON string literal in pure ASCII; everything else becomes ``\\uXXXX``.
 
-    Plain printable text is only wrapped in quotes. Otherwise the text is cut
-    into runs of printable ASCII and runs of the rest, so the work grows with
-    the number of runs and not with the number of characters.
+    Plain text is only wrapped in quotes. Otherwise the text is cut into runs
+    of the three character classes, so the work grows with the number of runs
+    and not with the number of characters.
     """
-    escaped = s
+    short = "run"
     for char, replacement in JSON_SHORT_ESCAPES:
-        escaped = f"replace({escaped}, {literal(char)}, {literal(replacement)})"
+        short = f"replace({short}, {literal(char)}, {literal(replacement)})"
     units = "lower(hex(encode(run, 'UTF-16BE')))"
-    ascii_run = f"""CASE WHEN ascii(run) BETWEEN 32 AND 126 THEN run
+    escaped = f"""CASE
+        WHEN ascii(run) IN ({', '.join(str(ord(char)) for char, _ in JSON_SHORT_ESCAPES)})
+        THEN {short}
+        WHEN ascii(run) BETWEEN 32 AND 126 THEN run
         ELSE regexp_replace({units}, '(.{{4}})', r'\\\\u$1') END"""
-    runs = f"regexp_extract_all({escaped}, '[ -~]+|[^ -~]+', 0)"
-    return f"""concat('"', CASE WHEN {escaped} RLIKE r'^[ -~]*\\z' THEN {escaped}
-        ELSE array_join(transform({runs}, run -> {ascii_run}), '') END, '"')"""
+    runs = f"regexp_extract_all({s}, r'[{PLAIN}]+|[{SHORT}]+|[^ -~{SHORT}]+', 0)"
+    return f"""concat('"', CASE WHEN {s} RLIKE r'^[{PLAIN}]*\\z' THEN {s}
+        ELSE array_join(transform({runs}, run -> {escaped}), '') END, '"')"""
 
 
 def iso_utc(ts: str) -> str:
@@ -84,22 +93,40 @@ def inline_list(items: str) -> str:
     return f"concat('[', array_join({items}, ', '), ']')"
 
 
+# --- lines: every piece below ends its lines with a newline, and a text is the plain
+# --- concatenation of its pieces, which Spark compiles without building arrays
+
+
 def or_none(value: str) -> str:
     """Text of a value inside a line; an absent one prints as ``None``.
 
-    A null would make the whole line null and drop it from the text.
+    A null would make the whole text null.
     """
     return f"coalesce(CAST({value} AS STRING), 'None')"
 
 
+def line(*parts: str) -> str:
+    return concat(*parts, literal("\n"))
+
+
 def labelled(label: str, value: str) -> str:
-    """``label: value``."""
-    return concat(literal(f"{label}: "), or_none(value))
+    """Line ``label: value``."""
+    return line(literal(f"{label}: "), or_none(value))
+
+
+def optional(piece: str, condition: str) -> str:
+    """The piece if the condition holds, else nothing."""
+    return f"CASE WHEN {condition} THEN {piece} ELSE '' END"
+
+
+def each(items: str, item: str, piece: str) -> str:
+    """The piece for every element of an array, ``item`` standing for the element."""
+    return f"coalesce(array_join(transform({items}, {item} -> {piece}), ''), '')"
 
 
 def schema_lines(schema: str) -> str:
-    """``schema:`` and one line per top-level column, as an array of lines."""
-    line = concat(
+    """``schema:`` and one line per top-level column."""
+    field = line(
         "'  - name: '",
         or_none("field.name"),
         "'  type: '",
@@ -109,12 +136,12 @@ def schema_lines(schema: str) -> str:
         "'  description: '",
         json_quote("coalesce(field.description, '')"),
     )
-    return f"concat(array('schema:'), transform(coalesce({schema}, array()), field -> {line}))"
+    return concat(line("'schema:'"), each(schema, "field", field))
 
 
 def argument_lines(arguments: str) -> str:
-    """One line per routine argument, as an array of lines."""
-    line = concat(
+    """``arguments:`` and one line per routine argument; nothing if there are none."""
+    argument = line(
         "'  - name: '",
         or_none("arg.name"),
         "'  type: '",
@@ -122,33 +149,16 @@ def argument_lines(arguments: str) -> str:
         "'  mode: '",
         or_none("arg.mode"),
     )
-    return f"transform(coalesce({arguments}, array()), arg -> {line})"
+    lines = concat(line("'arguments:'"), each(arguments, "arg", argument))
+    return optional(lines, f"size({arguments}) > 0")
 
 
 def uri_lines(uris: str) -> str:
-    """``source_uris:`` and one indented line per URI, as an array of lines."""
-    line = concat("'  - '", or_none("uri"))
-    return f"concat(array('source_uris:'), transform(coalesce({uris}, array()), uri -> {line}))"
-
-
-def optional(line: str, condition: str) -> str:
-    """The line if the condition holds, else null (left out by :func:`lines_of`)."""
-    return f"CASE WHEN {condition} THEN {line} END"
-
-
-def lines_of(*parts: str) -> str:
-    """Array of the given lines without the null ones."""
-    return f"array_compact(array({', '.join(parts)}))"
-
-
-def text_of(*line_arrays: str) -> str:
-    """All lines, joined by newlines, with a newline at the end."""
-    return f"concat(array_join({concat(*line_arrays)}, '\\n'), '\\n')"
+    """``source_uris:`` and one indented line per URI."""
+    return concat(line("'source_uris:'"), each(uris, "uri", line("'  - '", or_none("uri"))))
 
 
 def sql_header(labels: Sequence[tuple[str, str]]) -> str:
     """Comment lines ``-- Label: value`` and a blank line."""
-    parts = []
-    for label, value in labels:
-        parts += [literal(f"-- {label}: "), or_none(value), literal("\n")]
-    return concat(*parts, literal("\n"))
+    lines = [line(literal(f"-- {label}: "), or_none(value)) for label, value in labels]
+    return concat(*lines, literal("\n"))

@@ -12,18 +12,13 @@ from tidemark.functions.text import (
     iso_utc,
     json_quote,
     labelled,
-    lines_of,
+    line,
     optional,
     schema_lines,
     sql_header,
-    text_of,
     uri_lines,
 )
 
-ROUTINE_HEADER = sql_header([("Routine", "name"), ("Language", "language")])
-SCHEDULED_HEADER = sql_header([("Scheduled Query", "name"), ("Schedule", "schedule")])
-SAVED_HEADER = sql_header([("Saved Query", "name")])
-
 
 def _if_filled(name: str) -> str:
     return optional(labelled(name, name), f"{name} <> ''")
@@ -33,12 +28,14 @@ def _list_if_filled(name: str) -> str:
     return optional(labelled(name, inline_list(name)), f"size({name}) > 0")
 
 
-TITLE = (labelled("name", "name"), labelled("description", json_quote("coalesce(description, '')")))
+TITLE = concat(
+    labelled("name", "name"), labelled("description", json_quote("coalesce(description, '')"))
+)
 CREATED = optional(labelled("created", iso_utc("created")), "created IS NOT NULL")
 MODIFIED = labelled("modified", iso_utc("modified"))
 REGION = _if_filled("region")
 ROW_COUNT = labelled("row_count", "row_count")
-STORAGE = (
+STORAGE = concat(
     _if_filled("partitioning"),
     _list_if_filled("clustering"),
     _list_if_filled("primary_keys"),
@@ -49,37 +46,46 @@ STORAGE = (
 )
 SCHEMA = schema_lines("schema")
 
-TABLE_YAML = text_of(lines_of(*TITLE, ROW_COUNT, CREATED, MODIFIED, REGION, *STORAGE), SCHEMA)
-VIEW_YAML = text_of(lines_of(*TITLE, "'type: VIEW'", CREATED, MODIFIED, REGION), SCHEMA)
-ROUTINE_YAML = text_of(
-    lines_of(
-        *TITLE,
-        labelled("language", "language"),
-        CREATED,
-        MODIFIED,
-        _if_filled("return_type"),
-        optional("'arguments:'", "size(arguments) > 0"),
-    ),
+TABLE_YAML = concat(TITLE, ROW_COUNT, CREATED, MODIFIED, REGION, STORAGE, SCHEMA)
+VIEW_YAML = concat(TITLE, line("'type: VIEW'"), CREATED, MODIFIED, REGION, SCHEMA)
+ROUTINE_YAML = concat(
+    TITLE,
+    labelled("language", "language"),
+    CREATED,
+    MODIFIED,
+    _if_filled("return_type"),
     argument_lines("arguments"),
 )
-EXTERNAL_YAML = text_of(
-    lines_of(*TITLE, labelled("source_format", "source_format")),
+EXTERNAL_YAML = concat(
+    TITLE,
+    labelled("source_format", "source_format"),
     uri_lines("source_uris"),
-    lines_of(CREATED, MODIFIED, REGION, ROW_COUNT, *STORAGE),
+    CREATED,
+    MODIFIED,
+    REGION,
+    ROW_COUNT,
+    STORAGE,
     SCHEMA,
 )
 
+ROUTINE_SQL = concat(sql_header([("Routine", "name"), ("Language", "language")]), "sql")
+SCHEDULED_SQL = concat(sql_header([("Scheduled Query", "name"), ("Schedule", "schedule")]), "sql")
+SAVED_SQL = concat(sql_header([("Saved Query", "name")]), "sql")
+
 # Content of the file that decides about an object, and of the model file that
 # goes along with a view or routine.
 GATED_CONTENT = f"""CASE kind
     WHEN 'view' THEN sql
-    WHEN 'routine' THEN {concat(ROUTINE_HEADER, "sql")}
+    WHEN 'routine' THEN {ROUTINE_SQL}
     WHEN 'table' THEN {TABLE_YAML}
     WHEN 'external' THEN {EXTERNAL_YAML}
-    WHEN 'scheduled' THEN {concat(SCHEDULED_HEADER, "sql")}
-    WHEN 'saved' THEN {concat(SAVED_HEADER, "sql")} END"""
+    WHEN 'scheduled' THEN {SCHEDULED_SQL}
+    WHEN 'saved' THEN {SAVED_SQL} END"""
 MODEL_CONTENT = f"CASE kind WHEN 'view' THEN {VIEW_YAML} WHEN 'routine' THEN {ROUTINE_YAML} END"
 
+FILES = """inline(array(named_struct('path', path, 'content', gated_content),
+    named_struct('path', model_path, 'content', model_content)))"""
+
 
 def rendered(records: DataFrame) -> DataFrame:
     """One row per file to write: ``path, content, modified, kind, run_order``.
@@ -87,6 +93,13 @@ def rendered(records: DataFrame) -> DataFrame:
     A view or routine gives two files, its ``.sql`` and its model; every other
     object gives one.
     """
-    files = f"""inline(array(named_struct('path', path, 'content', {GATED_CONTENT}),
-        named_struct('path', model_path, 'content', {MODEL_CONTENT})))"""
-    return records.selectExpr(files, "modified", "kind", "run_order").filter("path IS NOT NULL")
+    texts = records.selectExpr(
+        "path",
+        "model_path",
+        f"{GATED_CONTENT} AS gated_content",
+        f"{MODEL_CONTENT} AS model_content",
+        "modified",
+        "kind",
+        "run_order",
+    )
+    return texts.selectExpr(FILES, "modified", "kind", "run_order").filter("path IS NOT NULL")

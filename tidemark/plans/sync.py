@@ -14,6 +14,9 @@ from tidemark.operators.pick import lookup
 # Kinds whose gated file may also be written by a view or routine.
 MODEL_GATED_KINDS = ("table", "external")
 
+# Fixed value: a run order no object reaches.
+BEHIND_ALL = "9" * 38
+
 FILE_PRESENT = "coalesce(file_present, false)"
 
 
@@ -27,7 +30,7 @@ def sync_plan(
     dry_run: bool = False,
     include_deleted: bool = False,
 ) -> DataFrame:
-    """Inventory rows with ``action`` and ``reason``.
+    """Inventory rows with ``action``, ``reason`` and the ``committed`` time compared with.
 
     Several objects may share a path (two queries of one name, a table and a
     routine of one name). In a real run the first of them to be written makes
@@ -39,7 +42,11 @@ def sync_plan(
     if force and force_files is None and not include_deleted:
         return _decided(marked, "true", committed="NULL")
 
-    state = path_state(marked, local_files, commits)
+    if include_deleted:
+        touched = _gated_paths(marked).union(_model_paths(marked))
+    else:
+        touched = None if dry_run else _gated_paths(marked)
+    state = path_state(local_files, commits, touched)
     if dry_run:
         plan = _decided(lookup(marked, state, "path"), FILE_PRESENT)
     else:
@@ -49,37 +56,39 @@ def sync_plan(
     return plan.unionByName(_deleted(state), allowMissingColumns=True)
 
 
-def path_state(records: DataFrame, local_files: DataFrame, commits: DataFrame) -> DataFrame:
-    """One row per path: file present, last commit, known at source, first gated object.
+def _gated_paths(records: DataFrame) -> DataFrame:
+    return records.select("path", "run_order")
+
+
+def _model_paths(records: DataFrame) -> DataFrame:
+    """Model files known at the source, ordered behind every object that gates on one."""
+    return records.filter("model_path IS NOT NULL").selectExpr(
+        "model_path AS path", f"CAST({BEHIND_ALL} AS DECIMAL(38,0)) AS run_order"
+    )
+
+
+def path_state(
+    local_files: DataFrame, commits: DataFrame, touched: DataFrame | None = None
+) -> DataFrame:
+    """One row per path: file present, last commit, first object of the source on it.
 
-    Files, commits and objects go through one aggregate and so one shuffle;
-    each map task combines its rows of a path before that.
+    Files, commits and objects (``path, run_order``) go through one aggregate
+    and so one shuffle; each map task combines its rows of a path before that.
     """
-    no_time, no_order = "CAST(NULL AS TIMESTAMP)", "CAST(NULL AS DECIMAL(38,0))"
-
-    def facts(rows: DataFrame, is_file: str, commit_ts: str, at_source: str, order: str) -> DataFrame:
-        return rows.selectExpr(
-            "path",
-            f"{is_file} AS is_file",
-            f"{commit_ts} AS commit_ts",
-            f"{at_source} AS at_source",
-            f"{order} AS gated_order",
-        )
-
-    written = f"""inline(array(named_struct('path', path, 'gated_order', run_order),
-        named_struct('path', model_path, 'gated_order', {no_order})))"""
-    objects = records.selectExpr(written).filter("path IS NOT NULL")
-    return (
-        facts(local_files, "true", no_time, "false", no_order)
-        .union(facts(commits, "false", "commit_ts", "false", no_order))
-        .union(facts(objects, "false", no_time, "true", "gated_order"))
-        .groupBy("path")
-        .agg(
-            F.max("is_file").alias("file_present"),
-            F.max("commit_ts").alias("committed"),
-            F.max("at_source").alias("at_source"),
-            F.min("gated_order").alias("first_gated"),
-        )
+    files = local_files.selectExpr(
+        "path",
+        "true AS is_file",
+        "CAST(NULL AS TIMESTAMP) AS commit_ts",
+        "CAST(NULL AS DECIMAL(38,0)) AS run_order",
+    )
+    history = commits.selectExpr("path", "false", "commit_ts", "NULL")
+    facts = files.union(history)
+    if touched is not None:
+        facts = facts.union(touched.selectExpr("path", "false", "NULL", "run_order"))
+    return facts.groupBy("path").agg(
+        F.max("is_file").alias("file_present"),
+        F.max("commit_ts").alias("committed"),
+        F.min("run_order").alias("first_object"),
     )
 
 
@@ -90,32 +99,36 @@ def _plan_real_run(marked: DataFrame, state: DataFrame) -> DataFrame:
     with fetched views and routines; these gate on ``.sql`` paths, which no
     model file can have, so they are settled first.
     """
-    here = lookup(marked, state, "path")
-    found = f"({FILE_PRESENT} OR run_order > first_gated)"
+    found = f"({FILE_PRESENT} OR run_order > first_object)"
     model_gated = F.col("kind").isin(*MODEL_GATED_KINDS)
 
-    first_pass = _decided(here.filter(~model_gated), found)
+    first_pass = _decided(lookup(marked.filter(~model_gated), state, "path"), found)
     ungated = (
         first_pass.filter("action = 'fetch' AND model_path IS NOT NULL")
         .groupBy(F.col("model_path").alias("path"))
         .agg(F.min("run_order").alias("first_ungated"))
     )
     found_later = f"({found} OR coalesce(run_order > first_ungated, false))"
-    second_pass = _decided(lookup(here.filter(model_gated), ungated, "path"), found_later)
+    # Both have one row per path and are partitioned by it: no further shuffle.
+    later_state = state.join(ungated, "path", "left")
+    second_pass = _decided(lookup(marked.filter(model_gated), later_state, "path"), found_later)
     return first_pass.unionByName(second_pass)
 
 
 def _decided(rows: DataFrame, file_present: str, committed: str = "committed") -> DataFrame:
     why = reason("modified", committed, file_present, forced="forced")
     return rows.withColumn("reason", F.expr(why)).selectExpr(
-        *schemas.struct_type(schemas.INVENTORY).names, f"{action('reason')} AS action", "reason"
+        *schemas.struct_type(schemas.INVENTORY).names,
+        f"{action('reason')} AS action",
+        "reason",
+        f"CAST({committed} AS TIMESTAMP) AS committed",
     )
 
 
 def _deleted(state: DataFrame) -> DataFrame:
-    why = reason("NULL", "committed", "file_present", source_present="at_source")
+    why = reason("NULL", "committed", "true", source_present="false")
     return (
-        state.filter("file_present AND NOT at_source")
+        state.filter("file_present AND first_object IS NULL")
         .withColumn("reason", F.expr(why))
-        .selectExpr("path", f"{action('reason')} AS action", "reason")
+        .selectExpr("path", f"{action('reason')} AS action", "reason", "committed")
     )
