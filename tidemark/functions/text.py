@@ -21,10 +21,10 @@ JSON_SHORT_ESCAPES = (
 
 
 def literal(value: str) -> str:
-    """A string as SQL literal."""
+    """A string as SQL literal; ``$`` is escaped, as Spark substitutes ``${name}``."""
     plain = value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
     plain = plain.replace("\r", "\\r").replace("\t", "\\t").replace("\b", "\\b")
-    return "'" + plain.replace("\f", "\\u000c") + "'"
+    return "'" + plain.replace("\f", "\\u000c").replace("$", "\\u0024") + "'"
 
 
 def concat(*parts: str) -> str:

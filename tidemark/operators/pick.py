@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARDS = 1 << 20
-
 
 def first_per(rows: DataFrame, key: str, order: Column) -> DataFrame:
     """The first row of each key.
@@ -24,11 +22,10 @@ def lookup(rows: DataFrame, facts: DataFrame, key: str, how: str = "left") -> Da
     ``facts`` mostly comes out of an aggregate on the key. Joined on the key
     alone, the aggregate would feed the join without a shuffle in between, and
     adaptive execution splits a hot key only where both inputs are shuffles.
-    A hash of the key as second join column makes Spark shuffle both sides, so
-    a key holding a third of all rows is spread over many tasks. Facts small
+    A hash of the key as another join column makes Spark shuffle both sides, so
+    a key holding a third of all rows is spread over many tasks. As first sort
+    column it also spares comparing paths that all start alike. Facts small
     enough by Spark's own statistics are broadcast, and nothing is shuffled.
     """
-    shard = F.pmod(F.xxhash64(F.col(key)), F.lit(SHARDS))
-    return rows.withColumn("_shard", shard).join(
-        facts.withColumn("_shard", shard), [key, "_shard"], how
-    ).drop("_shard")
+    keyed = facts.withColumn("_hash", F.xxhash64(key))
+    return rows.withColumn("_hash", F.xxhash64(key)).join(keyed, ["_hash", key], how).drop("_hash")

@@ -85,7 +85,7 @@ def path_state(
     facts = files.union(history)
     if touched is not None:
         facts = facts.union(touched.selectExpr("path", "false", "NULL", "run_order"))
-    return facts.groupBy("path").agg(
+    return facts.filter("path IS NOT NULL").groupBy("path").agg(
         F.max("is_file").alias("file_present"),
         F.max("commit_ts").alias("committed"),
         F.min("run_order").alias("first_object"),
