@@ -27,7 +27,9 @@ CSV_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxx",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-CSV_READ_OPTIONS = {**CSV_OPTIONS, "emptyValue": "", "multiLine": "true"}
+# The reader turns an empty field into the null mark; the mark differs from ''
+# so that a quoted empty text stays one.
+CSV_READ_OPTIONS = {**CSV_OPTIONS, "emptyValue": "", "nullValue": "\0", "multiLine": "true"}
 
 
 def check_format(fmt: str) -> None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark import schemas
 
@@ -65,22 +64,3 @@ def _load(
     spark: SparkSession, base: str, ddl: dict[str, str], names: list[str]
 ) -> dict[str, DataFrame]:
     return {n: spark.read.schema(ddl[n]).parquet(f"{base.rstrip('/')}/{n}") for n in names}
-
-
-def read_local_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files below a shared folder as ``path, content``; paths start with ``root``.
-
-    The content is only read where a later step uses it.
-    """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "content")
-    )
-    base = root.rstrip("/")
-    inner = F.substring_index("path", base + "/", -1)
-    return files.select(
-        F.concat(F.lit(base + "/"), inner).alias("path"),
-        F.decode("content", "UTF-8").alias("content"),
-    )
