@@ -109,8 +109,7 @@ SCHEDULED = f"""
   SELECT 'proj' AS project, 'us-east1' AS region, 'job ' || user_id AS name, event_id AS seq,
     CASE WHEN value >= 4 THEN 'SELECT ' || value ELSE '' END AS sql,
     CASE WHEN value >= 10 THEN 'every ' || user_id || ' hours' ELSE '' END AS schedule,
-    {iso(f"CASE WHEN user_id % 6 <> 0 THEN ts ELSE {EPOCH} END")} AS modified,
-    json_extract_string(props, '$.k') AS k
+    {iso(f"CASE WHEN user_id % 6 <> 0 THEN ts ELSE {EPOCH} END")} AS modified
   FROM events WHERE event_type = 'error'
 """
 
@@ -447,6 +446,31 @@ fetched AS (
 SELECT '{ROOT}/' || dataset || '/' || folder || '/' || name || '.sql' AS path, kind FROM fetched
 UNION ALL
 SELECT '{ROOT}/' || dataset || '/models/' || name || '.yaml', kind FROM fetched""",
+    "pull_version": f"""
+WITH e AS (SELECT *, CASE WHEN user_id % 5 <> 0 THEN ts ELSE {EPOCH} END AS changed,
+    'ds' || (user_id % 4) AS dataset, 'res_' || event_id AS name FROM events),
+synced AS (
+  SELECT CASE event_type
+      WHEN 'view' THEN '{ROOT}/' || dataset || '/views/' || name || '.sql'
+      ELSE '{ROOT}/' || dataset || '/models/' || name || '.yaml' END AS path,
+    '{ROOT}/' || dataset || '/models/' || name || '.yaml' AS model_path,
+    CASE event_type WHEN 'view' THEN 'view' WHEN 'click' THEN 'table' ELSE 'external' END AS kind,
+    event_type IN ('view', 'click') AND value < 20 AS on_disk,
+    {IN_SCOPE} AND (event_type = 'purchase' OR value >= 20
+      OR (value < 10 AND changed > date_trunc('hour', ts))) AS fetched
+  FROM e WHERE event_type IN ('view', 'click', 'purchase')),
+r AS ({ROUTINE})
+SELECT path, kind, fetched FROM synced WHERE on_disk OR fetched
+UNION ALL
+SELECT model_path, kind, TRUE FROM synced WHERE kind = 'view' AND fetched
+UNION ALL
+SELECT '{ROOT}/' || dataset || '/routines/' || name || '.sql', 'routine', TRUE FROM r WHERE {IN_SCOPE}
+UNION ALL
+SELECT '{ROOT}/' || dataset || '/models/' || name || '.yaml', 'routine', TRUE FROM r WHERE {IN_SCOPE}
+UNION ALL
+SELECT DISTINCT '{ROOT}/scheduled_queries/' || name || '.sql', 'scheduled', TRUE FROM ({SCHEDULED})
+UNION ALL
+SELECT '{ROOT}/saved_queries/query ' || conv_id || '.sql', 'saved', TRUE FROM ({SAVED})""",
     "render_sql": f"""
 SELECT CASE doc_id % 4
     WHEN 0 THEN '{ROOT}/' || source || '/views/doc_' || doc_id || '.sql'

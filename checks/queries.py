@@ -15,6 +15,7 @@ from tidemark.functions.paths import parse_model, stem, table_ref
 from tidemark.operators.history import last_commit, uncommitted_changes
 from tidemark.plans.apply import fetched_definitions, merged_version
 from tidemark.plans.inventory import inventory, located
+from tidemark.plans.pull import pull
 from tidemark.plans.render import rendered
 from tidemark.plans.sync import sync_plan
 from tidemark.session import work_folder
@@ -113,10 +114,9 @@ def table_model_meta(t: Tables) -> DataFrame:
 
 @query
 def list_scheduled(t: Tables) -> DataFrame:
-    configs = S.event_transfer_configs(t)
-    by_seq = configs.selectExpr("seq", f"{listings.param_or_empty('params', 'k')} AS k")
-    return listings.list_scheduled_queries(configs).join(by_seq, "seq").selectExpr(
-        "project", "region", "name", "seq", "sql", "schedule", iso("modified"), "k"
+    scheduled = listings.list_scheduled_queries(S.event_transfer_configs(t))
+    return scheduled.selectExpr(
+        "project", "region", "name", "seq", "sql", "schedule", iso("modified")
     )
 
 
@@ -367,12 +367,24 @@ def view_pair_paths(t: Tables) -> DataFrame:
     records = located(views.withColumn("kind", F.lit("view")), ROOT).unionByName(
         located(routines.withColumn("kind", F.lit("routine")), ROOT)
     )
-    view_path = f"concat('{ROOT}/ds', user_id % 4, '/views/res_', event_id, '.sql') AS path"
-    files = t.events.filter("value < 20").selectExpr(view_path)
-    commits = t.events.filter("value < 10").selectExpr(
-        view_path, "CAST(date_trunc('HOUR', ts) AS TIMESTAMP) AS commit_ts"
+    tree = S.event_worktree(t)
+    plan = sync_plan(records, tree.local_files, tree.commits)
+    return fetched_definitions(plan).select("path", "kind")
+
+
+@query
+def pull_version(t: Tables) -> DataFrame:
+    """A whole run over the catalog: which files the next version holds, and which are new."""
+    version = pull(
+        S.snapshot(t),
+        S.event_worktree(t),
+        f"{work_folder(t.spark)}/version",
+        project=S.PROJECT,
+        region=S.REGION,
+        root=ROOT,
+        datasets=S.SCOPE,
     )
-    return fetched_definitions(sync_plan(records, files, commits)).select("path", "kind")
+    return version.selectExpr("path", "kind", "content <> 'old' AS fetched")
 
 
 # --- rendering ----------------------------------------------------------------------------

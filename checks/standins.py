@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.inventory import located
-from tidemark.sources.snapshot import Snapshot
+from tidemark.sources.snapshot import Snapshot, Worktree
 
 PROJECT = "proj"
 REGION = "us-east1"
@@ -164,6 +164,7 @@ def conversation_files(t: Tables) -> DataFrame:
 
 
 def snapshot(t: Tables) -> Snapshot:
+    """The whole catalog; it is the source of :func:`event_worktree`."""
     return Snapshot(
         listing=event_listing(t),
         table_details=event_details(t),
@@ -176,6 +177,32 @@ def snapshot(t: Tables) -> Snapshot:
     )
 
 
+# --- synced copy of the events catalog ---------------------------------------------------
+
+EVENT_PATH = f"""concat('{ROOT}/ds', user_id % 4,
+    CASE event_type WHEN 'view' THEN '/views/res_' ELSE '/models/res_' END, event_id,
+    CASE event_type WHEN 'view' THEN '.sql' ELSE '.yaml' END) AS path"""
+
+
+def event_worktree(t: Tables) -> Worktree:
+    """Views and tables below a value are on disk, those far below are committed as well."""
+    synced = t.events.filter("event_type IN ('view', 'click')")
+    return Worktree(
+        local_files=synced.filter("value < 20").selectExpr(
+            EVENT_PATH,
+            "'old' AS content",
+            "CAST(ts AS TIMESTAMP) AS modified",
+            "CASE event_type WHEN 'view' THEN 'view' ELSE 'table' END AS kind",
+        ),
+        commits=synced.filter("value < 10").selectExpr(
+            EVENT_PATH, "CAST(date_trunc('HOUR', ts) AS TIMESTAMP) AS commit_ts"
+        ),
+        worktree_status=t.lineitem.selectExpr(
+            "concat('/elsewhere/', l_orderkey) AS path", "' M' AS status"
+        ),
+    )
+
+
 # --- sync state from orders and lineitem ---------------------------------------------
 
 

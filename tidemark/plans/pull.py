@@ -6,10 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from tidemark import schemas
 from tidemark.operators.history import require_clean
 from tidemark.plans.apply import fetched_definitions
 from tidemark.plans.inventory import inventory
 from tidemark.plans.sync import sync_plan
+from tidemark.session import staged, work_folder
 from tidemark.sinks.definitions import write_version
 from tidemark.sources.snapshot import Snapshot, Worktree
 
@@ -30,11 +32,16 @@ def pull(
     """Write the next version of the synced set to ``dest`` and return it.
 
     A dry run returns the plan and writes nothing. Either kind refuses to run
-    on a copy with uncommitted changes, forced or not.
+    on a copy with uncommitted changes, forced or not. A real run reads the
+    inventory several times, so that is written to the session's work folder.
     """
     require_clean(worktree.worktree_status, worktree.local_files, root)
+    records = inventory(snapshot, project, region, root, datasets)
+    if not dry_run:
+        spark = records.sparkSession
+        records = staged(records, schemas.INVENTORY, f"{work_folder(spark)}/inventory")
     plan = sync_plan(
-        inventory(snapshot, project, region, root, datasets),
+        records,
         worktree.local_files,
         worktree.commits,
         force=force,

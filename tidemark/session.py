@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark import schemas
 
 # Rows of one shuffle partition should fit in an executor's share of memory
 # even after decompression; adaptive execution merges what turns out smaller.
@@ -22,6 +24,8 @@ def session_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
+        # Lets a task write all kinds side by side instead of sorting by kind first.
+        "spark.sql.maxConcurrentOutputFileWriters": "16",
     }
 
 
@@ -34,3 +38,14 @@ def work_folder(spark: SparkSession) -> str:
     if shared:
         return f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
     return tempfile.mkdtemp(prefix="tidemark-")
+
+
+def staged(rows: DataFrame, ddl: str, folder: str) -> DataFrame:
+    """Rows written once to ``folder``, a directory per kind, and read from there.
+
+    For rows that a plan reads several times: what computes them runs once,
+    each reader gets only its columns and kinds, and a lost executor costs no
+    recomputation.
+    """
+    schemas.conform(rows, ddl).write.partitionBy("kind").parquet(folder)
+    return schemas.conform(rows.sparkSession.read.schema(ddl).parquet(folder), ddl)
