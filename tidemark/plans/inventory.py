@@ -33,8 +33,8 @@ def run_order(kind: str, dataset: str, seq: str, datasets: Sequence[str] | None)
     """
     scope = list(datasets or [])
     per_dataset = len(DATASET_KINDS)
-    cases = " ".join(f"WHEN {literal(d)} THEN {pos * per_dataset}" for pos, d in enumerate(scope))
-    first_stage = f"CASE {dataset} {cases} ELSE 0 END" if scope else "0"
+    positions = f"array_position(array({', '.join(map(literal, scope))}), {dataset})"
+    first_stage = f"(coalesce({positions}, 1) - 1) * {per_dataset}" if scope else "0"
     last = max(len(scope), 1) * per_dataset
     stages = [f"WHEN '{k}' THEN {first_stage} + {pos}" for pos, k in enumerate(DATASET_KINDS)]
     stages += [f"WHEN '{k}' THEN {last + pos}" for pos, k in enumerate(KINDS[per_dataset:])]
