@@ -24,6 +24,13 @@ def test_query_equals_oracle(spark, duck, name):
     assert difference(spark, duck, name, SF_DIR) == ""
 
 
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_plan_stays_in_spark_without_pairing_all_rows(spark, name):
+    plan = contract.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "SinglePartition, REPARTITION"):
+        assert unwanted not in plan
+
+
 def test_entry_has_all_branches(spark):
     df = contract.entry(spark)
     reasons = {r["reason"] for r in df.select("reason").distinct().collect()}

@@ -178,4 +178,5 @@ def test_refs_and_export_paths(spark):
     assert evaluate(spark, ["t"], "STRING", paths.export_path("/o/data/", "x", "csv")) == [
         "/o/data/t.csv"
     ]
+    assert paths.data_dir("/o/proj/") == paths.data_dir("/o/proj") == "/o/proj/data"
     assert evaluate(spark, ["/a/b.c", "b"], "STRING", paths.basename("x")) == ["b.c", "b"]

@@ -90,6 +90,11 @@ def parse_model(model: str) -> str:
         'error', CASE WHEN NOT {valid} THEN {error} END)"""
 
 
+def data_dir(folder: str) -> str:
+    """Where exports go below an output folder or root."""
+    return f"{folder.rstrip('/')}/data"
+
+
 def export_path(data_dir: str, model: str, fmt: str) -> str:
     """``<data_dir>/<model>.<fmt>``."""
     return concat(literal(f"{data_dir.rstrip('/')}/"), model, literal(f".{fmt}"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Row
@@ -41,7 +42,7 @@ def write_files(definitions: DataFrame, root: str) -> None:
             if not target.startswith(base + os.sep):
                 raise ValueError(f"{row['path']} is not below {base}")
             os.makedirs(os.path.dirname(target), exist_ok=True)
-            partial = f"{target}.{os.getpid()}.part"
+            partial = f"{target}.{uuid.uuid4().hex}.part"
             with open(partial, "w", encoding="utf-8", newline="") as out:
                 out.write(row["content"])
             os.replace(partial, target)
