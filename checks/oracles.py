@@ -536,3 +536,4 @@ FROM pages LEFT JOIN supplier ON page_id = s_suppkey""",
     "export_csv_text": "SELECT * FROM documents",
     "export_csv_times": f"SELECT * REPLACE ({iso('ts')} AS ts) FROM events",
 }
+ORACLES["pull_runs"] = ORACLES["pull_version"]

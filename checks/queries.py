@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,10 @@ from tidemark.plans.pull import pull
 from tidemark.plans.render import rendered
 from tidemark.plans.sync import sync_plan
 from tidemark.session import work_folder
+from tidemark.sinks.definitions import append_run, read_runs
 from tidemark.sinks.export import export_requests, export_table, read_export
 from tidemark.sources import listings
+from tidemark.sources.snapshot import Worktree
 from tidemark.sources.tables import table_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -372,21 +375,36 @@ def view_pair_paths(t: Tables) -> DataFrame:
     return fetched_definitions(plan).select("path", "kind")
 
 
-@query
-def pull_version(t: Tables) -> DataFrame:
-    """A whole run over the catalog: which files the next version holds, and which are new."""
+def whole_run(t: Tables, tree: Worktree, dest: str, run: int | None = None) -> DataFrame:
     version = pull(
         S.snapshot(t),
-        S.event_worktree(t),
-        f"{work_folder(t.spark)}/version",
+        tree,
+        dest,
         project=S.PROJECT,
         region=S.REGION,
         root=ROOT,
         datasets=S.SCOPE,
+        run=run,
     )
     return version.selectExpr("path", "kind", "content <> 'old' AS fetched")
 
 
+@query
+def pull_version(t: Tables) -> DataFrame:
+    """A whole run over the catalog: which files the next version holds, and which are new."""
+    return whole_run(t, S.event_worktree(t), f"{work_folder(t.spark)}/version")
+
+
+@query
+def pull_runs(t: Tables) -> DataFrame:
+    """The same run, added to a table of runs."""
+    table = f"{work_folder(t.spark)}/runs"
+    tree = S.event_worktree(t)
+    append_run(tree.local_files, table, 1)
+    earlier = read_runs(t.spark, table, before=2)
+    return whole_run(t, replace(tree, local_files=earlier), table, run=2)
+
+
 # --- rendering ----------------------------------------------------------------------------
 
 

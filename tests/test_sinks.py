@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from dataclasses import replace
 from datetime import date, datetime, timezone
 from decimal import Decimal
 from pathlib import Path
@@ -15,7 +16,13 @@ from tidemark.operators.history import UncommittedChangesError
 from tidemark.plans.apply import merged_version
 from tidemark.plans.pull import pull
 from tidemark.session import session_conf, work_folder
-from tidemark.sinks.definitions import write_files, write_version
+from tidemark.sinks.definitions import (
+    append_run,
+    latest_definitions,
+    read_runs,
+    write_files,
+    write_version,
+)
 from tidemark.sinks.export import export_requests, export_table, fetch_model, read_export
 from tidemark.sources.snapshot import (
     SNAPSHOT_SCHEMAS,
@@ -111,11 +118,19 @@ def test_fetch_model(spark, tmp_path):
         fetch_model(spark, "d/my_table", str(tmp_path / "data"))
 
 
-def test_scan_from_the_session_catalog(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS sales")
-    spark.range(3).createOrReplaceTempView("unrelated")
-    with pytest.raises(AnalysisException):
-        scan_table(spark, "spark_catalog", "sales", "no`such")
+def test_tables_and_views_of_the_session_catalog(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE sales LOCATION '{tmp_path}/sales'")
+    try:
+        spark.sql("CREATE TABLE sales.`a-b` USING parquet AS SELECT 1 AS y, 'q' AS x")
+        spark.sql("CREATE VIEW sales.v AS SELECT x, y + 1 AS z FROM sales.`a-b`")
+        table = scan_table(spark, "spark_catalog", "sales", "a-b")
+        assert table.columns == ["y", "x"] and tuple(table.first()) == (1, "q")
+        dest = fetch_model(spark, "spark_catalog/sales/views/v.sql", str(tmp_path / "data"))
+        assert read_csv(dest) == (["x", "z"], [["q", "2"]])
+        with pytest.raises(AnalysisException):
+            scan_table(spark, "spark_catalog", "sales", "no`such")
+    finally:
+        spark.sql("DROP DATABASE sales CASCADE")
 
 
 def test_export_requests_flag_shared_destinations(spark):
@@ -159,6 +174,21 @@ def test_versions(spark, tmp_path):
         write_version(first, new, str(tmp_path / "v2"))
 
 
+def test_runs(spark, tmp_path):
+    table = str(tmp_path / "runs")
+    append_run(definitions(spark, [("/r/a", "a1", TS, "view"), ("/r/b", "b1", TS, "table")]), table, 1)
+    append_run(definitions(spark, [("/r/b", "b2", TS, "external"), ("/r/c", "c2", TS, "view")]), table, 2)
+    append_run(definitions(spark, [("/r/b", "wrong", TS, "view")]), table, 10)
+    append_run(definitions(spark, [("/r/c", "c10", TS, "view")]), table, 10)  # repeated
+
+    def content(before=None):
+        rows = latest_definitions(read_runs(spark, table, before)).collect()
+        return sorted((r["path"], r["content"], r["kind"]) for r in rows)
+
+    assert content(before=2) == [("/r/a", "a1", "view"), ("/r/b", "b1", "table")]
+    assert content() == [("/r/a", "a1", "view"), ("/r/b", "b2", "external"), ("/r/c", "c10", "view")]
+
+
 def test_files_in_a_shared_folder(spark, tmp_path):
     root = tmp_path / "out/proj"
     rows = [(f"{root}/ds/views/é v.sql", "SELECT 'é'\r\n", TS, "view"), (f"{root}/ds/models/t.yaml", "", TS, "table")]
@@ -236,12 +266,19 @@ def test_whole_run(spark, tmp_path):
     ]
     assert got["/o/p/d1/models/t.yaml"] == "kept" and got["/o/p/d1/views/v.sql"] == "SELECT 1"
     assert got["/o/p/scheduled_queries/s.sql"] == "-- Scheduled Query: s\n-- Schedule: \n\nq"
+    runs = str(tmp_path / "runs")
+    append_run(tree.local_files, runs, 1)
+    for _ in range(2):  # a run may be repeated
+        earlier = replace(tree, local_files=read_runs(spark, runs, before=2))
+        latest = pull(snapshot, earlier, runs, run=2, **options)
+        assert {r["path"]: r["content"] for r in latest.collect()} == got
+    assert read_runs(spark, runs).count() == 2 + 5
     version = pull(snapshot, tree, str(tmp_path / "v2"), force=True, **options)
     got = {r["path"]: r["content"] for r in version.collect()}
     assert got["/o/p/d1/models/t.yaml"].startswith("name: t\n")
 
     dirty = spark.createDataFrame([("/o/p/notes.txt", " M")], schemas.WORKTREE_STATUS)
-    tree = type(tree)(tree.local_files, tree.commits, dirty)
+    tree = replace(tree, worktree_status=dirty)
     for flags in ({"dry_run": True}, {"force": True}):
         with pytest.raises(UncommittedChangesError):
             pull(snapshot, tree, str(tmp_path / "v3"), **options, **flags)

@@ -12,7 +12,12 @@ from tidemark.plans.apply import fetched_definitions
 from tidemark.plans.inventory import inventory
 from tidemark.plans.sync import sync_plan
 from tidemark.session import staged, work_folder
-from tidemark.sinks.definitions import write_version
+from tidemark.sinks.definitions import (
+    append_run,
+    latest_definitions,
+    read_runs,
+    write_version,
+)
 from tidemark.sources.snapshot import Snapshot, Worktree
 
 
@@ -28,9 +33,14 @@ def pull(
     dry_run: bool = False,
     force: bool = False,
     force_files: Sequence[str] | DataFrame | None = None,
+    run: int | None = None,
 ) -> DataFrame:
     """Write the next version of the synced set to ``dest`` and return it.
 
+    Without ``run`` that is a new folder with all files. With it, ``dest`` is
+    a table of runs that only gains the fetched files; ``worktree`` then has
+    the rows of earlier runs (:func:`read_runs`).
+
     A dry run returns the plan and writes nothing. Either kind refuses to run
     on a copy with uncommitted changes, forced or not. A real run reads the
     inventory several times, so that is written to the session's work folder.
@@ -50,4 +60,8 @@ def pull(
     )
     if dry_run:
         return plan
-    return write_version(worktree.local_files, fetched_definitions(plan), dest)
+    fetched = fetched_definitions(plan)
+    if run is None:
+        return write_version(worktree.local_files, fetched, dest)
+    append_run(fetched, dest, run)
+    return latest_definitions(read_runs(fetched.sparkSession, dest))

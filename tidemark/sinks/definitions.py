@@ -1,4 +1,4 @@
-"""Writers of the synced set: versioned table, and files in a shared folder."""
+"""Writers of the synced set: whole versions, a table of runs, files in a shared folder."""
 
 from __future__ import annotations
 
@@ -6,9 +6,13 @@ import os
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.operators.pick import first_per
+
+RUNS = f"{schemas.DEFINITIONS}, run BIGINT"
 
 
 def write_version(local_files: DataFrame, fetched: DataFrame, dest: str) -> DataFrame:
@@ -29,6 +33,31 @@ def write_version(local_files: DataFrame, fetched: DataFrame, dest: str) -> Data
     return spark.read.schema(schemas.DEFINITIONS).parquet(dest)
 
 
+def append_run(fetched: DataFrame, location: str, run: int) -> None:
+    """Add the fetched files to a table of runs as partition ``run``.
+
+    The cost is that of the change and not of the whole set. A run that failed
+    is repeated under its number and replaces its own folder only.
+    """
+    changed = schemas.conform(fetched, schemas.DEFINITIONS)
+    changed.write.mode("overwrite").parquet(f"{location.rstrip('/')}/run={run}")
+
+
+def read_runs(spark: SparkSession, location: str, before: int | None = None) -> DataFrame:
+    """All rows of a table of runs, or of those before a run.
+
+    Several rows may have one path. As ``local_files`` of a plan they will do
+    as they are, since a plan only asks which paths exist.
+    """
+    runs = spark.read.schema(RUNS).parquet(location)
+    return runs if before is None else runs.filter(F.col("run") < before)
+
+
+def latest_definitions(runs: DataFrame) -> DataFrame:
+    """The synced set after the given runs: the last row of each path."""
+    return schemas.conform(first_per(runs, "path", F.col("run").desc()), schemas.DEFINITIONS)
+
+
 def write_files(definitions: DataFrame, root: str) -> None:
     """Write each definition as a text file below ``root``, a folder all executors share.
 
