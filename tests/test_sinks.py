@@ -121,9 +121,9 @@ def test_fetch_model(spark, tmp_path):
 def test_tables_and_views_of_the_session_catalog(spark, tmp_path):
     spark.sql(f"CREATE DATABASE sales LOCATION '{tmp_path}/sales'")
     try:
-        spark.sql("CREATE TABLE sales.`a-b` USING parquet AS SELECT 1 AS y, 'q' AS x")
-        spark.sql("CREATE VIEW sales.v AS SELECT x, y + 1 AS z FROM sales.`a-b`")
-        table = scan_table(spark, "spark_catalog", "sales", "a-b")
+        spark.sql("CREATE TABLE sales.a_b USING parquet AS SELECT 1 AS y, 'q' AS x")
+        spark.sql("CREATE VIEW sales.v AS SELECT x, y + 1 AS z FROM sales.a_b")
+        table = scan_table(spark, "spark_catalog", "sales", "a_b")
         assert table.columns == ["y", "x"] and tuple(table.first()) == (1, "q")
         dest = fetch_model(spark, "spark_catalog/sales/views/v.sql", str(tmp_path / "data"))
         assert read_csv(dest) == (["x", "z"], [["q", "2"]])
