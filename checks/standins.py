@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.plans.inventory import located
 from tidemark.sources.snapshot import Snapshot, Worktree
@@ -23,6 +24,10 @@ TABLES = (
 ).split()
 
 
+# Schemas read from the files so far: looking into a file takes a Spark job of its own.
+KNOWN_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """The Parquet tables of one scale folder; their zone-free times are UTC."""
 
@@ -34,7 +39,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in KNOWN_SCHEMAS:
+            KNOWN_SCHEMAS[path] = self.spark.read.parquet(path).schema
+        table = self.spark.read.schema(KNOWN_SCHEMAS[path]).parquet(path)
         setattr(self, name, table)
         return table
 

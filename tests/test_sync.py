@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.paths import KINDS
+from tidemark.operators.decision import with_forced
 from tidemark.plans.apply import fetched_definitions, merged_version
 from tidemark.plans.inventory import located
 from tidemark.plans.sync import sync_plan
+from tidemark.sinks.export import export_requests
 
 UTC = timezone.utc
 START = datetime(2025, 1, 1, tzinfo=UTC)
@@ -213,6 +215,27 @@ def test_hot_path_is_cut_down_before_the_shuffle(spark, small_partitions):
     assert "WindowGroupLimit [path" in fetched._jdf.queryExecution().toString()
 
 
+def test_hot_destination_is_split(spark, small_partitions):
+    n = 60_000
+    requests = spark.range(0, n, 1, 8).selectExpr(
+        "concat('p/d', id, '/', if(id % 3 = 0, 'hot', concat('t', id))) AS model"
+    )
+    got = export_requests(requests, "/o/data")
+    assert got.filter(f"same_dest = {n // 3} AND dest = '/o/data/hot.csv'").count() == n // 3
+    got.collect()
+    assert "skew=true" in final_plan(got)
+
+
+def test_hot_file_name_is_split_when_forced(spark, small_partitions):
+    """A table of forced names, one of which a third of all objects have."""
+    n = 60_000
+    names = spark.createDataFrame([("untitled.sql",), ("q1.sql",)], "name STRING")
+    marked = with_forced(hot_records(spark, n).select("path", "sql"), True, names)
+    assert marked.filter("forced").count() == n // 3 + 1
+    marked.collect()
+    assert "skew=true" in final_plan(marked)
+
+
 def test_state_is_shuffled_once(spark, small_partitions):
     records = hot_records(spark, 1000)
     files = spark.range(500).selectExpr("concat('/r/scheduled_queries/q', id, '.sql') AS path", "'' AS content")
