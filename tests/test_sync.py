@@ -152,6 +152,17 @@ def test_later_object_sees_the_history_of_a_missing_file(spark):
     assert {r["seq"]: r["reason"] for r in plan.collect()} == {0: "new", 1: "up_to_date", 2: "source_newer"}
 
 
+def test_listing_order_may_be_missing(spark):
+    records = located(
+        spark.createDataFrame([("saved", "a", START), ("saved", "b", START)], "kind STRING, name STRING, modified TIMESTAMP")
+        .selectExpr("*", "CAST(NULL AS BIGINT) AS seq"),
+        ROOT,
+    )
+    files = spark.createDataFrame([(f"{ROOT}/saved_queries/b.sql", "x")], "path STRING, content STRING")
+    plan = sync_plan(records, files, spark.createDataFrame([], schemas.COMMITS))
+    assert {r["name"]: r["reason"] for r in plan.collect()} == {"a": "new", "b": "uncommitted"}
+
+
 def hot_records(spark, n):
     """A third of all objects have one name."""
     name = F.when(F.col("id") % 3 == 0, F.lit("untitled")).otherwise(F.concat(F.lit("q"), F.col("id")))

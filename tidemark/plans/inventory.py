@@ -40,7 +40,7 @@ def run_order(kind: str, dataset: str, seq: str, datasets: Sequence[str] | None)
     stages += [f"WHEN '{k}' THEN {last + pos}" for pos, k in enumerate(KINDS[per_dataset:])]
     stage = f"CASE {kind} {' '.join(stages)} END"
     span = f"CAST({STAGE_SPAN} AS DECIMAL(20,0))"
-    position = f"CAST({stage} AS DECIMAL(10,0)) * {span} + CAST({seq} AS DECIMAL(19,0))"
+    position = f"CAST({stage} AS DECIMAL(10,0)) * {span} + CAST(coalesce({seq}, 0) AS DECIMAL(19,0))"
     return f"CAST({position} AS DECIMAL(38,0))"
 
 

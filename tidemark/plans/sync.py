@@ -36,7 +36,8 @@ def sync_plan(
     routine of one name). In a real run the first of them to be written makes
     the file exist for those behind it; ``dry_run=True`` writes nothing, so
     each is judged by the state at the start. ``include_deleted=True`` adds a
-    row for each local file that no object of the source accounts for.
+    row for each local file that no record accounts for, so ``records`` should
+    then be an inventory of all datasets.
     """
     marked = with_forced(schemas.conform(records, schemas.INVENTORY), force, force_files)
     if force and force_files is None and not include_deleted:
@@ -99,7 +100,7 @@ def _plan_real_run(marked: DataFrame, state: DataFrame) -> DataFrame:
     with fetched views and routines; these gate on ``.sql`` paths, which no
     model file can have, so they are settled first.
     """
-    found = f"({FILE_PRESENT} OR run_order > first_object)"
+    found = f"({FILE_PRESENT} OR coalesce(run_order > first_object, false))"
     model_gated = F.col("kind").isin(*MODEL_GATED_KINDS)
 
     first_pass = _decided(lookup(marked.filter(~model_gated), state, "path"), found)
