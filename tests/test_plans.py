@@ -55,7 +55,7 @@ def test_filters_and_columns_reach_the_scans(spark, stored):
 
 
 def test_staged_rows_are_pruned_by_kind(spark, stored, tmp_path):
-    rows = staged(inventory(stored[0], "p", "r", "/o"), schemas.INVENTORY, str(tmp_path / "staged"))
+    rows = staged(inventory(stored[0], "p", "r", "/o"), schemas.INVENTORY, str(tmp_path / "staged"), "kind")
     plan = rows.filter("kind IN ('table', 'external')").select("path")._jdf.queryExecution().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*kind", plan)
     assert rows.columns == schemas.struct_type(schemas.INVENTORY).names

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.paths import KINDS
 from tidemark.operators.decision import with_forced
-from tidemark.plans.apply import fetched_definitions, merged_version
+from tidemark.plans.apply import (
+    fetched_definitions,
+    merged_version,
+    object_writes,
+    written_definitions,
+)
 from tidemark.plans.inventory import located
 from tidemark.plans.sync import sync_plan
 from tidemark.sinks.export import export_requests
@@ -124,7 +129,10 @@ def test_plan_equals_one_by_one(spark, seed, force, listed):
         assert {(r["action"], r["reason"]) for r in gone} == {("warn", "deleted_at_source")}
         if dry_run:
             continue
-        merged = merged_version(local, fetched_definitions(plan)).collect()
+        fetched = fetched_definitions(plan)
+        again = written_definitions(records, object_writes(plan))
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, fetched.collect()))
+        merged = merged_version(local, fetched).collect()
         assert len(merged) == len({r["path"] for r in merged}) == len(set(files) | set(owner))
         modified = {o["seq"]: o["modified"] for o in objects}
         for row in merged:
@@ -172,7 +180,7 @@ def hot_records(spark, n):
             name.alias("name"),
             F.col("id").alias("seq"),
             F.timestamp_seconds(F.col("id")).alias("modified"),
-            F.repeat(F.lit("x"), 20).alias("sql"),
+            F.repeat(F.col("id").cast("string"), 5).alias("sql"),
         ),
         ROOT,
     )
@@ -247,6 +255,17 @@ def test_hot_file_name_is_split_when_forced(spark, small_partitions):
     assert "skew=true" in final_plan(marked)
 
 
+def test_decision_moves_no_texts(spark, small_partitions):
+    records = hot_records(spark, 1000)
+    none = spark.createDataFrame([], "path STRING, content STRING")
+    plan = sync_plan(records, none, spark.createDataFrame([], schemas.COMMITS))
+    writes = object_writes(plan)
+    assert writes.count() == 667
+    # repeat() makes up the texts
+    assert "repeat(" in final_plan(written_definitions(records, writes))
+    assert "repeat(" not in final_plan(writes)
+
+
 def test_state_is_shuffled_once(spark, small_partitions):
     records = hot_records(spark, 1000)
     files = spark.range(500).selectExpr("concat('/r/scheduled_queries/q', id, '.sql') AS path", "'' AS content")

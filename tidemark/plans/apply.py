@@ -18,6 +18,31 @@ def fetched_definitions(plan: DataFrame) -> DataFrame:
     )
 
 
+def object_writes(plan: DataFrame) -> DataFrame:
+    """Objects to write and the paths that stay theirs: ``run_order, paths``.
+
+    Needs no texts: the last write of a path is the largest run order, and an
+    object writes two files at most.
+    """
+    paths = "inline(array(named_struct('path', path), named_struct('path', model_path)))"
+    writes = plan.filter("action = 'fetch'").selectExpr(paths, "run_order")
+    last = (
+        writes.filter("path IS NOT NULL").groupBy("path").agg(F.max("run_order").alias("run_order"))
+    )
+    return last.groupBy("run_order").agg(F.collect_set("path").alias("paths"))
+
+
+def written_definitions(records: DataFrame, writes: DataFrame) -> DataFrame:
+    """The same files as :func:`fetched_definitions`, from stored records and writes.
+
+    Only objects that are written are rendered. If ``writes`` is a stored
+    table, Spark knows its size and broadcasts it while small, so texts are
+    then not shuffled at all, else once.
+    """
+    files = rendered(records.join(writes, "run_order"), "paths")
+    return schemas.conform(files.filter("array_contains(paths, path)"), schemas.DEFINITIONS)
+
+
 def merged_version(local_files: DataFrame, fetched: DataFrame) -> DataFrame:
     """The next version: fetched files replace or join the local ones, none is deleted.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tidemark import schemas
 from tidemark.operators.history import require_clean
-from tidemark.plans.apply import fetched_definitions
+from tidemark.plans.apply import object_writes, written_definitions
 from tidemark.plans.inventory import inventory
 from tidemark.plans.sync import sync_plan
 from tidemark.session import staged, work_folder
@@ -42,14 +42,15 @@ def pull(
     the rows of earlier runs (:func:`read_runs`).
 
     A dry run returns the plan and writes nothing. Either kind refuses to run
-    on a copy with uncommitted changes, forced or not. A real run reads the
-    inventory several times, so that is written to the session's work folder.
+    on a copy with uncommitted changes, forced or not. A real run stores the
+    inventory, which it reads several times, and then what to write in the
+    session's work folder. The decision moves no texts.
     """
     require_clean(worktree.worktree_status, worktree.local_files, root)
     records = inventory(snapshot, project, region, root, datasets)
     if not dry_run:
-        spark = records.sparkSession
-        records = staged(records, schemas.INVENTORY, f"{work_folder(spark)}/inventory")
+        work = work_folder(records.sparkSession)
+        records = staged(records, schemas.INVENTORY, f"{work}/inventory", "kind")
     plan = sync_plan(
         records,
         worktree.local_files,
@@ -60,7 +61,8 @@ def pull(
     )
     if dry_run:
         return plan
-    fetched = fetched_definitions(plan)
+    writes = staged(object_writes(plan), schemas.WRITES, f"{work}/writes")
+    fetched = written_definitions(records, writes)
     if run is None:
         return write_version(worktree.local_files, fetched, dest)
     append_run(fetched, dest, run)

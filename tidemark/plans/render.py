@@ -87,11 +87,11 @@ FILES = """inline(array(named_struct('path', path, 'content', gated_content),
     named_struct('path', model_path, 'content', model_content)))"""
 
 
-def rendered(records: DataFrame) -> DataFrame:
+def rendered(records: DataFrame, *keep: str) -> DataFrame:
     """One row per file to write: ``path, content, modified, kind, run_order``.
 
     A view or routine gives two files, its ``.sql`` and its model; every other
-    object gives one.
+    object gives one. Columns to ``keep`` are added at the end.
     """
     texts = records.selectExpr(
         "path",
@@ -101,5 +101,7 @@ def rendered(records: DataFrame) -> DataFrame:
         "modified",
         "kind",
         "run_order",
+        *keep,
     )
-    return texts.selectExpr(FILES, "modified", "kind", "run_order").filter("path IS NOT NULL")
+    files = texts.selectExpr(FILES, "modified", "kind", "run_order", *keep)
+    return files.filter("path IS NOT NULL")

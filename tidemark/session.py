@@ -40,12 +40,12 @@ def work_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tidemark-")
 
 
-def staged(rows: DataFrame, ddl: str, folder: str) -> DataFrame:
-    """Rows written once to ``folder``, a directory per kind, and read from there.
+def staged(rows: DataFrame, ddl: str, folder: str, *partition_by: str) -> DataFrame:
+    """Rows written once to ``folder`` and read from there.
 
-    For rows that a plan reads several times: what computes them runs once,
-    each reader gets only its columns and kinds, and a lost executor costs no
-    recomputation.
+    For rows that are needed several times or whose size Spark should know:
+    what computes them runs once, each reader gets only its columns and
+    partitions, and a lost executor costs no recomputation.
     """
-    schemas.conform(rows, ddl).write.partitionBy("kind").parquet(folder)
+    schemas.conform(rows, ddl).write.partitionBy(*partition_by).parquet(folder)
     return schemas.conform(rows.sparkSession.read.schema(ddl).parquet(folder), ddl)
