@@ -99,3 +99,73 @@ parts AS (
   FROM placed GROUP BY ALL)
 SELECT k.conv_id, row_number() OVER (PARTITION BY k.conv_id ORDER BY p.part) - 1 AS part, n_turns, n_equal, p.text
 FROM kept k JOIN parts p ON k.conv_id IS NOT DISTINCT FROM p.conv_id"""
+
+ORACLES["op1_quality"] = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM rows),
+windows AS (
+  SELECT r, i, words[i:i + 2] AS three
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM words)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, three) AS n FROM windows) WHERE n > 1),
+repeated AS (
+  SELECT r, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY r),
+lines AS (
+  SELECT r, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS words
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM rows)),
+judged AS (
+  SELECT r, line, list_sum(list_transform(words, lambda w: length(w))) AS chars,
+         NOT regexp_matches(line, '[.!?…:;。！？]["'')\]»”’]*[\x20\x09-\x0D]*$')
+         OR 5 * ((length(line) - length(replace(line, '!!', ''))) + (length(line) - length(replace(line, '??', '')))) // 2 >= len(words)
+         OR 5 * len(list_filter(words, lambda w: regexp_full_match(w, '[|»>•·/→<–—-]+'))) >= len(words)
+         OR (length(text_symbols) > 0 AND 10 * length(text_symbols) >= length(line))
+         OR (len(words) <= 30 AND list_bool_or(list_transform(
+               ['all rights reserved', 'terms of service', 'terms of use', 'privacy policy', 'cookie policy', 'accept cookies',
+                'enable javascript', 'released under the', 'licensed under the', 'lorem ipsum', 'subscribe to our newsletter',
+                'click here', 'copyright (c)'],
+               lambda p: contains(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), p)))) AS bad
+  FROM (SELECT *, regexp_replace(line, '[^#*$%&|<>]', '', 'g') AS text_symbols FROM lines) WHERE len(words) > 0),
+by_line AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (bad) AS n_bad_lines,
+         coalesce(sum(chars) FILTER (bad), 0) AS lost_chars
+  FROM judged GROUP BY r),
+facts AS (
+  SELECT w.doc_id, len(words)::BIGINT AS n_words,
+         coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         coalesce(n_bad_lines, 0)::BIGINT AS n_bad_lines, coalesce(lost_chars, 0)::BIGINT AS lost_chars
+  FROM words w LEFT JOIN by_line USING (r) LEFT JOIN repeated USING (r))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost_chars <= 50 * word_chars AS kept
+FROM facts"""
+
+ORACLES["op5_decontam"] = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+  FROM documents),
+items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, size, words[i:i + size - 1] AS run
+  FROM (SELECT item, words, least(10, len(words)) AS size, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i
+        FROM items WHERE len(words) > 0)),
+runs AS (
+  SELECT r, i, size, words[i:i + size - 1] AS run
+  FROM (SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM rows, (SELECT DISTINCT size FROM windows))),
+found AS (SELECT r, i, runs.size AS size, item FROM runs JOIN windows ON runs.size = windows.size AND runs.run = windows.run),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS p FROM found) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY encode(item)) AS names
+  FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM rows LEFT JOIN hit USING (r) LEFT JOIN named USING (r)"""

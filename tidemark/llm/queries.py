@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, url_filter, warc
+from tidemark.llm import chat, decontam, mixing, quality, url_filter, warc
 from tidemark.llm.common import fresh_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,11 +31,21 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MAX_EPOCHS)
 
 
+@query
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.write_archive(table(spark, sf_dir, "pages"), f"{fresh_folder(spark)}/archive")
