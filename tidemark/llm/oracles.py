@@ -169,3 +169,23 @@ named AS (
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM rows LEFT JOIN hit USING (r) LEFT JOIN named USING (r)"""
+
+ORACLES["op8_ngram_join"] = r"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x20\x09-\x0D]+'), []) AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, doc_id, words[i:i + least(5, len(words)) - 1] AS shingle
+  FROM (SELECT r, doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM rows WHERE len(words) > 0)),
+sizes AS (SELECT r, doc_id, count(*) AS n FROM shingles GROUP BY r, doc_id),
+links AS (
+  SELECT a.r AS a, b.r AS b
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.r <> b.r
+  GROUP BY a.r, b.r
+  HAVING 175 * count(*) >= 75 * ((SELECT n FROM sizes WHERE sizes.r = a.r) + (SELECT n FROM sizes WHERE sizes.r = b.r))),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, coalesce((SELECT n FROM sizes WHERE sizes.r = rows.r), 0) AS n_shingles,
+       least(doc_id, (SELECT min(o.doc_id) FROM reach JOIN rows o ON reach.b = o.r WHERE reach.a = rows.r)) AS component_id
+FROM rows"""
