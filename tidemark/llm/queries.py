@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, mixing, ngram_join, quality, url_filter, warc
+from tidemark.llm import chat, decontam, line_dedup, mixing, ngram_join, quality, url_filter, warc
 from tidemark.llm.common import fresh_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
+
+
 @query
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MAX_EPOCHS)
