@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ RUN_LEAST = 3
 # Any order is exact: a table that is too short only makes some buckets larger.
 FREQUENT = 1 << 20
 OUT_ROWS = 512
+# So many sides of pairs (at most 40 MB) are sent to all executors, more are shuffled.
+BROADCAST_ROWS = 1 << 19
 
 _CACHE: dict[bytes, int] = {}
 _CACHE_WORDS = 1 << 18
@@ -163,15 +166,21 @@ def prefix_rows(docs: DataFrame, orders, size: int, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token BIGINT, node BIGINT, n BIGINT, rank BIGINT")
 
 
-def whole_sets(docs: DataFrame, orders, size: int, percent: int) -> DataFrame:
-    """``node, n, second, third, tokens``: prefixes under the other orders, as 32 bits, and the whole set."""
+def whole_sets(texts: DataFrame, orders, size: int, percent: int) -> DataFrame:
+    """``a, b, side, n, second, third, tokens``: prefixes under the other orders, as 32 bits, and the whole set."""
+    names = ["a", "b", "side", "n", "second", "third", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = orders.value
-        for batch in batches:
-            for start in range(0, batch.num_rows, OUT_ROWS):
-                own = [shingles(text.as_py(), size) for text in batch.column(0)[start : start + OUT_ROWS]]
-                node = np.array([xxhash.xxh64_intdigest(o.tobytes()) for o in own], np.uint64)
+        for whole in batches:
+            for start in range(0, whole.num_rows, OUT_ROWS):
+                batch = whole.slice(start, OUT_ROWS)
+                own = [shingles(text.as_py(), size) for text in batch.column(3)]
+                # Rows that share an id may hold other texts.
+                node = np.array([xxhash.xxh64_intdigest(o.tobytes()) for o in own], np.uint64).view(np.int64)
+                wanted = pc.if_else(pc.equal(batch.column(2), "a"), batch.column(0), batch.column(1)).to_numpy()
+                batch = batch.filter(pa.array(node == wanted))
+                own = [o for o, right in zip(own, node == wanted, strict=True) if right]
                 firsts = [
                     pa.array(
                         [order.first(o, prefix_size(len(o), percent), seed).astype(np.uint32).view(np.int32) for o in own],
@@ -179,14 +188,12 @@ def whole_sets(docs: DataFrame, orders, size: int, percent: int) -> DataFrame:
                     )
                     for seed in (2, 3)
                 ]
-                yield pa.RecordBatch.from_arrays(
-                    [signed(node), pa.array([len(o) for o in own], pa.int64()), *firsts, pa.array([o.view(np.int64) for o in own], pa.list_(pa.int64()))],
-                    ["node", "n", "second", "third", "tokens"],
-                )
+                tokens = pa.array([o.view(np.int64) for o in own], pa.list_(pa.int64()))
+                counts = pa.array([len(o) for o in own], pa.int64())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], counts, *firsts, tokens], names)
 
-    return docs.select("text").mapInArrow(
-        run, "node BIGINT, n BIGINT, second ARRAY<INT>, third ARRAY<INT>, tokens ARRAY<BIGINT>"
-    )
+    schema = "a BIGINT, b BIGINT, side STRING, n BIGINT, second ARRAY<INT>, third ARRAY<INT>, tokens ARRAY<BIGINT>"
+    return texts.select("a", "b", "side", "text").mapInArrow(run, schema)
 
 
 class Join:
@@ -223,20 +230,25 @@ class Join:
     def linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of the pairs ``a``, ``b`` that pass all orders and reach the threshold."""
         pairs = stored(pairs, self.folder, f"{name}-pairs")
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         first = self.facts.where("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-        ids = lookup(nodes, first, "node", "inner").select("doc_id").distinct()
-        texts = self.docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-        sets = whole_sets(texts, self.orders, self.size, self.percent).dropDuplicates(["node"])
-        sets = stored(sets, self.folder, f"{name}-sets")
-
-        def side(s: str) -> DataFrame:
-            return sets.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in sets.columns[1:]])
-
-        both = lookup(lookup(pairs, side("a"), "a", "inner"), side("b"), "b", "inner")
-        both = both.where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
-        common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-        good = (100 + self.percent) * common >= self.percent * (F.col("n_a") + F.col("n_b"))
+        sides = pairs.select(
+            "a", "b", F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("node")) for s in "ab"])).alias("s")
+        )
+        sides = stored(lookup(sides.select("a", "b", "s.*"), first, "node", "inner").drop("node"), self.folder, f"{name}-sides")
+        # Each side of a pair takes its text along, so a leader of many pairs is spread like its pairs.
+        texts = self.docs.select("doc_id", "text")
+        if sides.count() <= BROADCAST_ROWS:
+            texts = texts.join(F.broadcast(sides), "doc_id")
+        else:
+            texts = texts.withColumn("_hash", F.xxhash64("doc_id")).join(
+                sides.withColumn("_hash", F.xxhash64("doc_id")), ["_hash", "doc_id"]
+            )
+        sets = whole_sets(texts, self.orders, self.size, self.percent)
+        one = F.struct("n", "second", "third", "tokens")
+        both = sets.groupBy("a", "b").agg(*[F.first(F.when(F.col("side") == s, one), True).alias(s * 2) for s in "ab"])
+        both = both.where(F.arrays_overlap("aa.second", "bb.second") & F.arrays_overlap("aa.third", "bb.third"))
+        common = F.size(F.array_intersect("aa.tokens", "bb.tokens"))
+        good = (100 + self.percent) * common >= self.percent * (F.col("aa.n") + F.col("bb.n"))
         return stored(both.where(good).select("a", "b"), self.folder, f"{name}-links")
 
     def classes(self) -> DataFrame:
