@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, line_dedup, mixing, ngram_join, quality, url_filter, warc
+from tidemark.llm import chat, decontam, line_dedup, lm_score, mixing, ngram_join, quality, url_filter, warc
 from tidemark.llm.common import fresh_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,11 @@ def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.write_archive(table(spark, sf_dir, "pages"), f"{fresh_folder(spark)}/archive")
