@@ -263,3 +263,11 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
         F.coalesce(n_lines, F.lit(0)).cast("long").alias("_n_lines"),
         F.coalesce(F.size("_places"), F.lit(0)).cast("long").alias("_n_removed"),
     )
+
+
+def recounted(rows: DataFrame, changed: Column) -> DataFrame:
+    """``n_chars``, if it is there, counted anew where the text has changed."""
+    if "n_chars" not in rows.columns:
+        return rows
+    kind = rows.schema["n_chars"].dataType
+    return rows.withColumn("n_chars", F.when(changed, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))

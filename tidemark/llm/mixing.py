@@ -16,18 +16,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, fresh_folder, stored
+from tidemark.llm.common import fresh_folder, stored, word_count
 
 BUCKET_BITS = 12
 
 
-def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-
-
 def source_targets(sizes: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFrame:
     """``source_size`` and ``target`` for each ``source`` of ``sizes`` (source, source_size).
 
@@ -93,3 +89,23 @@ def mix(
     missing = words - whole * F.col("source_size") - F.col("ahead") - F.col("within")
     extra = F.least(F.col("size"), F.greatest(missing, F.lit(0)))
     return rows.select("doc_id", "source", "size", "source_size", "target", (whole * F.col("size") + extra).alias("taken"))
+
+
+def mixed(
+    docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3, seed: str = "mix", folder: str | None = None
+) -> DataFrame:
+    """``docs`` with their columns and ``size, source_size, target, taken`` of ``mix``.
+
+    Documents are matched by id, source and size, in which rows may only repeat
+    if they are the same; an input column with one of the new names gives way.
+    """
+    taken = mix(docs, weights, max_epochs, seed, folder).select(
+        F.struct(F.col("doc_id"), F.col("source"), F.col("size")).alias("_key"), "size", "source_size", "target", "taken"
+    )
+    turn = Window.partitionBy("_key").orderBy("taken")
+    taken = taken.withColumn("_turn", F.row_number().over(turn))
+    new = ("size", "source_size", "target", "taken")
+    rows = docs.select([F.col(f"`{c}`") for c in docs.columns if c not in new])
+    rows = rows.withColumn("_key", F.struct(F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")))
+    rows = rows.withColumn("_turn", F.row_number().over(Window.partitionBy("_key").orderBy("text")))
+    return rows.join(taken, (rows["_key"].eqNullSafe(taken["_key"])) & (rows["_turn"] == taken["_turn"])).drop("_key", "_turn")

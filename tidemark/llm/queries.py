@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, line_dedup, lm_score, mixing, ngram_join, quality, url_filter, warc
+from tidemark.llm import (
+    chat,
+    decontam,
+    html_extract,
+    line_dedup,
+    lm_score,
+    mixing,
+    ngram_join,
+    quality,
+    url_filter,
+    warc,
+)
 from tidemark.llm.common import fresh_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +47,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
