@@ -1,0 +1,251 @@
+"""Quality rules, extraction, decontamination and scoring on small inputs."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import math
+import random
+import zlib
+from collections import Counter
+
+import pytest
+
+from tidemark.llm import context_mix, decontam, html_extract, lm_score, quality
+
+DOCS = "doc_id BIGINT, text STRING, source STRING, n_words STRING, kept STRING, node INT"
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, "s", "x", "y", 7) for i, t in rows], DOCS).repartition(3)
+
+
+WORDS = "some plain words that say nothing at all today".split()
+PROSE = "\n".join(" ".join(f"{w}{i}" for w in WORDS) + "." for i in range(8))
+
+
+# --- quality ------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    ("text", "n", "kept"),
+    [
+        (None, 0, False),
+        ("", 0, False),
+        (" \n\t ", 0, False),
+        (PROSE, 72, True),
+        ("home | about | shop | contact\n" * 5 + PROSE, 107, True),
+        ("home | about | shop | contact\n" * 90, 630, False),
+        ("\n".join(f"w{i} no end of line here at all today" for i in range(20)), 180, False),
+        ("SO!! MUCH!! NOISE!! HERE!! " * 20, 80, False),
+        ("the cat sat " * 40, 120, False),
+        (PROSE.replace(".", "。"), 72, True),
+    ],
+)
+def test_quality(spark, text, n, kept):
+    row = quality.quality(docs_of(spark, [(1, text), (1, text)])).collect()
+    assert len(row) == 2 and row[0] == row[1]
+    assert (row[0]["n_words"], row[0]["kept"]) == (n, kept)
+
+
+def test_quality_facts():
+    text = "a b c a b c d\nxé #$|\n\n  \nxé #$|"
+    facts, _ = quality.judge(text)
+    assert facts["n_words"] == 11 and facts["word_chars"] == 17 and facts["n_symbols"] == 6
+    assert facts["n_dup_lines"] == 1 and facts["n_repeat_words"] == 6
+
+
+def test_repeated_words_by_hand():
+    rnd = random.Random(3)
+    for _ in range(200):
+        words = [rnd.choice(b"a b c d".split()) for _ in range(rnd.randrange(30))]
+        windows = list(zip(words, words[1:], words[2:], strict=False))
+        counts = Counter(windows)
+        inside = {i + k for i, w in enumerate(windows) if counts[w] > 1 for k in range(3)}
+        assert quality.repeated_words(words) == len(inside)
+
+
+def test_cleaned_keeps_columns_and_good_lines(spark):
+    docs = docs_of(spark, [(1, "menu | home | shop | all\n" + PROSE), (2, "short."), (None, PROSE), (3, None)])
+    rows = quality.cleaned(docs).collect()
+    assert quality.cleaned(docs).columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter([(1, PROSE), (None, PROSE)])
+    assert quality.cleaned(docs.limit(0)).count() == quality.quality(docs.limit(0)).count() == 0
+
+
+# --- extraction ---------------------------------------------------------------------------
+
+NOTICE = "We value your privacy and use small files to remember you on every visit"
+
+
+def page(body: str) -> str:
+    return f"<html><head><title>T</title><script>var a='</p>';</script></head><body>{body}</body></html>"
+
+
+def extracted(spark, rows):
+    pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id BIGINT, url STRING, html STRING, text STRING")
+    return {r["page_id"]: r for r in html_extract.extract(pages.repartition(2)).collect()}
+
+
+def test_marked_article(spark):
+    html = page(
+        '<header>Top</header><nav><a>x</a></nav><div class="cookie-notice">Eat</div>'
+        "<article><h1>A &amp; B</h1><p>One\n  <b>two</b>&nbsp;three<br>four<p>Five <script>no</script>six"
+        '<ul><li>a<li>b</ul><div id="comments"><p>me too</p></div><form>q</form></article><aside>s</aside><footer>f'
+    )
+    row = extracted(spark, [(1, "http://h/a", html)])[1]
+    assert row["text"] == "A & B\n\nOne two three four\n\nFive six\n\na\n\nb"
+    assert row["n_chars"] == len(row["text"]) and not row["by_host"]
+
+
+def test_host_decides_unmarked_pages(spark):
+    def body(i):
+        return page(f"<div>{NOTICE}</div><div>Page {' '.join(f'{w}{i}' for w in WORDS)}</div>")
+
+    rows = [(i, f"http://h/{i}", body(i)) for i in range(3)] + [(9, "http://other/1", body(9)), (10, None, body(10))]
+    got = extracted(spark, rows)
+    for i in range(3):
+        assert got[i]["by_host"] and NOTICE not in got[i]["text"] and got[i]["text"].startswith(f"Page some{i}")
+    for i in (9, 10):  # alone on their hosts: nothing repeats
+        assert got[i]["text"].startswith(NOTICE)
+
+
+def test_repeated_rows_repeat_nothing_and_empty_pages(spark):
+    html = page(f"<div>{NOTICE}</div>")
+    got = extracted(spark, [(1, "http://h/1", html), (1, "http://h/1", html), (2, "http://h/2", None), (3, "u", ""), (4, "http://h/4", page("<nav>m</nav>"))])
+    assert got[1]["text"] == NOTICE and [got[i]["text"] for i in (2, 3, 4)] == ["", "", ""]
+    empty = spark.createDataFrame([], "page_id BIGINT, url STRING, html STRING")
+    assert html_extract.extract(empty).count() == 0
+
+
+def test_long_page():
+    blocks = html_extract.read_blocks(page("<article>" + "<p>word word</p>" * 50_000 + "</article>"))
+    assert sum(b.state == "main" for b in blocks) == 50_000
+
+
+def test_other_article_is_a_comment():
+    blocks = html_extract.read_blocks("<main><article>Text<article>me too</article></article></main>")
+    assert [(b.state, b.text) for b in blocks] == [("main", "Text"), ("hidden", "me too")]
+
+
+# --- decontamination ----------------------------------------------------------------------
+
+
+def plain_hits(words, items, window=10):
+    hit, names = set(), set()
+    for name, item in items:
+        size = min(window, len(item))
+        runs = {tuple(item[i : i + size]) for i in range(len(item) - size + 1)} if item else set()
+        for i in range(len(words) - size + 1):
+            if size and tuple(words[i : i + size]) in runs:
+                hit |= set(range(i, i + size))
+                names.add(name)
+    return hit, names
+
+
+def test_automaton_matches_plain_search():
+    rnd = random.Random(5)
+    for _ in range(150):
+        letters = [b"a", b"b", b"c"][: rnd.choice([2, 3])]
+        items = [(str(n), [rnd.choice(letters) for _ in range(rnd.choice([0, 1, 3, 4, 6, 12]))]) for n in range(4)]
+        words = [rnd.choice([*letters, b"z"]) for _ in range(60)]
+        automaton = decontam.Automaton.of([(n, b" ".join(w).decode()) for n, w in items], window=4)
+        hits, names = automaton.scan(words)
+        assert ({p for b, e in hits for p in range(b, e)}, names) == plain_hits(words, items, 4)
+
+
+@pytest.mark.parametrize("block_words", [150_000, 12])
+def test_contamination(spark, block_words):
+    item = "Alpha beta, gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    bench = spark.createDataFrame(
+        [(1, item, "k"), (2, "one TWO three", "k"), (2, "one TWO three", "k"), (3, None, "k"), (4, " .", "k"), (None, "qq rr", "k")],
+        "item_id BIGINT, text STRING, kind STRING",
+    )
+    texts = [f"so {item.upper()} so", "One-two? Three!", "alpha beta gamma", None, "", "one two", "qq RR", "one two three " + item]
+    got = decontam.contamination(docs_of(spark, list(enumerate(texts))), bench, block_words=block_words)
+    rows = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["contaminated"], r["items_sha256"]) for r in got.collect()}
+    ids = ["1", "2", "", "", "", "", "null", "1,2"]
+    wanted = [(14, 12, 1), (3, 3, 1), (3, 0, 0), (0, 0, 0), (0, 0, 0), (2, 0, 0), (2, 2, 1), (15, 15, 2)]
+    for i, (n, hit, items) in enumerate(wanted):
+        assert rows[i] == (n, hit, items, hit > 0, hashlib.sha256(ids[i].encode()).hexdigest())
+
+
+def test_decontaminated_cuts_spans_and_keeps_the_rest(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    bench = spark.createDataFrame([(1, item)], "item_id BIGINT, text STRING")
+    docs = docs_of(spark, [(1, f"{PROSE}\n{item.title()}! Then more."), (2, item), (3, PROSE), (4, None), (5, "")])
+    rows = {r["doc_id"]: r["text"] for r in decontam.decontaminated(docs, bench).collect()}
+    assert rows == {1: f"{PROSE}\n! Then more.", 3: PROSE, 4: None, 5: ""}
+    # Cutting one hit must not leave another one behind.
+    first, last = item.split()[:5], item.split()[5:]
+    nested = " ".join([*PROSE.split(), *first, *item.split(), *last])
+    cut = decontam.cut(nested, [decontam.Automaton.of([("1", item)])])
+    assert cut.split() == PROSE.split()
+
+
+def test_no_items(spark):
+    bench = spark.createDataFrame([], "item_id BIGINT, text STRING")
+    row = decontam.contamination(docs_of(spark, [(1, PROSE)]), bench).collect()[0]
+    assert row["n_hit"] == 0 and not row["contaminated"]
+
+
+# --- scoring ------------------------------------------------------------------------------
+
+
+def test_scores(spark):
+    texts = [PROSE, PROSE.upper(), None, "", "unseen wordsmithery " * 3, "the " * 50, *[f"text {i} of many" for i in range(30)]]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "no id"), (3, "")]
+    got = lm_score.score(docs_of(spark, rows), block_tokens=100).collect()
+    tokens = [(i, (t or "").encode().lower().split() + [b"\n"]) for i, t in rows]
+    held = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1 for i, _ in rows}
+    counts = Counter(w for i, ws in tokens for w in ws if not held[i])
+    total, distinct = sum(counts.values()), len(counts)
+    want = Counter()
+    for i, ws in tokens:
+        base = sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in ws)
+        want[i, held[i], len(ws), sum(counts[w] > 0 for w in ws), total, round(base, 6)] += 1
+    have = Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got)
+    assert have == want
+    assert all(r["score"] < 0 and math.isfinite(r["score"]) and r["bits_per_byte"] > 0 for r in got)
+    empty = spark.createDataFrame([], DOCS)
+    assert lm_score.score(empty).count() == 0
+
+
+def test_held_out_only(spark):
+    held = next(i for i in itertools.count() if lm_score.is_held_out(i))
+    row = lm_score.score(docs_of(spark, [(held, "a b")])).collect()[0]
+    assert (row["n_known"], row["train_tokens"], round(row["base_score"], 9)) == (0, 0, 0.0) and row["score"] < 0
+
+
+def test_model_learns_and_is_a_probability():
+    counts = context_mix.Counts()
+    words = [b"banana", b"bandana", b"canal", context_mix.END_OF_TEXT]
+    import numpy as np
+
+    often = np.array([50.0, 20.0, 30.0, 10.0])
+    counts.add(words, often)
+    mixer = context_mix.Mixer()
+    for _ in range(30):
+        mixer.train(counts.tables, words, often)
+    score = mixer.log10(counts.tables, [*words, b"zebra", b"x" * 5000])
+    assert score[0] > -2 and score[4] < -6 and score[:4].min() > score[4]
+    # All strings of one byte and an end mark, the end of text, and everything longer share a mass of 1.
+    single = [bytes([b]) for b in range(256) if b not in (0x20, 0x0A)]
+    assert sum(10 ** mixer.log10(counts.tables, [*single, context_mix.END_OF_TEXT])) < 1
+
+
+def test_model_on_held_out_words():
+    """Bits per byte of words that training lacks are far below the 8 of a uniform model."""
+    import numpy as np
+
+    syllables = ["ba", "ko", "lim", "ter", "no", "sa"]
+    words = ["".join(p).encode() for p in itertools.product(syllables, repeat=3)]
+    random.Random(1).shuffle(words)
+    train, test = words[:150], words[150:]
+    counts = context_mix.Counts()
+    counts.add(train, np.ones(len(train)))
+    mixer = context_mix.Mixer()
+    for _ in range(10):
+        mixer.train(counts.tables, train, np.ones(len(train)))
+    bits = -mixer.log10(counts.tables, test).sum() * math.log2(10) / sum(len(w) + 1 for w in test)
+    assert bits < 2.5
