@@ -28,9 +28,12 @@ from tidemark.operators.pick import lookup
 
 SHINGLE = 5
 PERCENT = 75
-# Shingles are counted in runs of so many, and those seen this often in a run are summed up.
-RUN_SHINGLES = 1 << 22
-RUN_LEAST = 3
+# Of the 64-bit hashes the lower third is counted, over all documents. Prefixes begin there, and a
+# pair's first common token lies in the first seventh of the smaller set.
+COUNTED_BELOW = (1 << 64) // 3
+# A task sums up so many shingles before it passes them on.
+RUN_SHINGLES = 1 << 21
+FREQUENT_LEAST = 4
 # So many of the most frequent shingles come last in the orders; the table takes 9 bytes each.
 # Any order is exact: a table that is too short only makes some buckets larger.
 FREQUENT = 1 << 20
@@ -76,44 +79,44 @@ def signed(values: np.ndarray) -> pa.Array:
 
 
 def set_rows(docs: DataFrame, size: int) -> DataFrame:
-    """Two kinds of rows: ``doc_id, node, n`` per document, and ``token, seen`` for shingles often seen.
-
-    ``node`` is a hash of the set. Every shingle of every document is counted.
-    """
+    """``doc_id, node, n`` per document; ``node`` is a hash of the set."""
     rows = docs.select("doc_id", "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [shingles(text.as_py(), size) for text in batch.column(1)]
+            nodes = np.array([xxhash.xxh64_intdigest(o.tobytes()) for o in own], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), signed(nodes), pa.array([len(o) for o in own], pa.int64())], ["doc_id", "node", "n"]
+            )
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node BIGINT, n BIGINT")
+
+
+def shingle_counts(docs: DataFrame, size: int) -> DataFrame:
+    """``token, seen``: in how many documents each shingle of the counted third is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        names = ["doc_id", "node", "n", "token", "seen"]
 
-        def often(id_type: pa.DataType) -> pa.RecordBatch:
+        def summed() -> pa.RecordBatch:
             token, seen = np.unique(np.concatenate(held), return_counts=True)
-            token, seen = token[seen >= RUN_LEAST], seen[seen >= RUN_LEAST]
-            none = [pa.nulls(len(token), t) for t in (id_type, pa.int64(), pa.int64())]
-            return pa.RecordBatch.from_arrays([*none, signed(token), pa.array(seen.astype(np.int64))], names)
+            held.clear()
+            return pa.RecordBatch.from_arrays([signed(token), pa.array(seen.astype(np.int64))], ["token", "seen"])
 
-        count, id_type = 0, pa.int64()
+        count = 0
         for batch in batches:
-            id_type = batch.schema.field(0).type
-            nodes, sizes = [], []
-            for text in batch.column(1):
+            for text in batch.column(0):
                 own = shingles(text.as_py(), size)
-                nodes.append(xxhash.xxh64_intdigest(own.tobytes()))
-                sizes.append(len(own))
-                held.append(own)
-                count += len(own)
+                held.append(own[: np.searchsorted(own, np.uint64(COUNTED_BELOW))])
+                count += len(held[-1])
                 if count >= RUN_SHINGLES:
-                    yield often(id_type)
-                    held, count = [], 0
-            blank = [pa.nulls(batch.num_rows, pa.int64())] * 2
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), signed(np.array(nodes, np.uint64)), pa.array(sizes, pa.int64()), *blank], names
-            )
+                    count = 0
+                    yield summed()
         if held:
-            yield often(id_type)
+            yield summed()
 
-    return rows.mapInArrow(run, f"doc_id {kind}, node BIGINT, n BIGINT, token BIGINT, seen BIGINT")
+    return docs.select("text").mapInArrow(run, "token BIGINT, seen BIGINT").groupBy("token").agg(F.sum("seen").alias("seen"))
 
 
 class Orders:
@@ -202,9 +205,8 @@ class Join:
     def __init__(self, docs: DataFrame, size: int, percent: int, folder: str) -> None:
         self.docs, self.size, self.percent, self.folder = docs, size, percent, folder
         spark = docs.sparkSession
-        rows = stored(set_rows(docs, size), folder, "sets")
-        self.facts = rows.where("n IS NOT NULL").select("doc_id", "node", "n")
-        often = rows.where("n IS NULL").groupBy("token").agg(F.sum("seen").alias("seen"))
+        self.facts = stored(set_rows(docs, size), folder, "sets")
+        often = shingle_counts(docs, size).where(F.col("seen") >= FREQUENT_LEAST)
         often = often.orderBy(F.desc("seen"), "token").limit(FREQUENT).toPandas()
         self.orders = spark.sparkContext.broadcast(
             Orders(often["token"].to_numpy(np.int64).view(np.uint64), often["seen"].to_numpy(np.int64))
@@ -255,8 +257,9 @@ class Join:
         """``node``, ``root`` for all linked nodes."""
         rows = self.buckets()
         a = rows.selectExpr("node AS b", "lead.node AS a", "named_struct('n', n, 'rank', rank) AS x", "lead AS y").where("a <> b")
-        led = a.where(self.alike("x", "y")).groupBy("a", "b").agg(F.count("*").alias("shared"))
-        best = led.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
+        led = a.where(self.alike("x", "y")).groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("x.n").alias("n"))
+        # Of copies most of the prefix is shared; other pairs can wait for the second step.
+        best = led.where("16 * shared >= n").groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
         links = self.linked(best.select("a", "b"), "led")
         known = components(links, f"{self.folder}/led")
         label = lookup(rows.drop("lead"), known, "node").withColumn("label", F.coalesce("root", "node")).drop("root")
