@@ -135,7 +135,7 @@ def order_text(stage: str) -> str:
 ORDER_PATH = f"'{ROOT}/sales/models/' || %s || '.yaml'"
 ORDER_STATE = """
   src AS (SELECT o_orderkey AS k, o_orderdate AS modified, o_orderpriority, o_custkey
-          FROM orders WHERE o_orderstatus <> 'P'),
+          FROM orders),
   loc AS (SELECT l_orderkey AS k, count(*) AS lines,
             max(l_shipdate) FILTER (WHERE l_linestatus = 'F') AS committed
           FROM lineitem GROUP BY l_orderkey),
@@ -145,11 +145,12 @@ ORDER_STATE = """
 """
 
 
-def order_plan(forced: str, where: str) -> str:
+def order_plan(forced: str, where: str, pending: bool = True) -> str:
     """Plan rows of the order tables; ``forced`` is a condition on ``both_sides``."""
     committed = iso("committed")
+    state = ORDER_STATE if pending else ORDER_STATE.replace("FROM orders)", "FROM orders WHERE o_orderstatus <> 'P')")
     return f"""
-WITH {ORDER_STATE},
+WITH {state},
 decided AS (SELECT *, {ORDER_PATH % "k"} AS path,
   CASE WHEN has_src AND ({forced}) THEN 'forced'
        WHEN NOT has_src THEN 'deleted_at_source'
@@ -390,13 +391,15 @@ r AS (SELECT unnest(['{ROOT}', '{ROOT}/sales', '{ROOT}/sale', '/out/pro']) AS ro
 SELECT root, (SELECT count(*) FROM s
   WHERE s.path = r.root OR starts_with(s.path, r.root || '/')) > 0 AS dirty
 FROM r""",
-    "sync_plan": order_plan("FALSE", "TRUE"),
+    "sync_plan": order_plan("FALSE", "TRUE", pending=False),
     "sync_plan_pull": order_plan("FALSE", "has_src"),
-    "sync_plan_dry_run": order_plan("FALSE", "has_src"),
-    "sync_plan_force": order_plan("TRUE", "TRUE"),
+    "sync_plan_dry_run": f"""
+WITH {COLLIDING}
+SELECT kind, path, seq, {OUTCOME} AS action, reason FROM dry_plan""",
+    "sync_plan_force": order_plan("TRUE", "TRUE", pending=False),
     "sync_plan_force_files": order_plan(LISTED, "has_src"),
     "sync_plan_force_table": order_plan(
-        "k IN (SELECT c_custkey FROM customer) OR k IN (SELECT p_partkey * 3 FROM part)", "TRUE"
+        "k IN (SELECT c_custkey FROM customer) OR k IN (SELECT p_partkey * 3 FROM part)", "TRUE", pending=False
     ),
     "sync_plan_files_without_force": order_plan("FALSE", "has_src"),
     "path_collisions": f"""
@@ -536,4 +539,22 @@ FROM pages LEFT JOIN supplier ON page_id = s_suppkey""",
     "export_csv_text": "SELECT * FROM documents",
     "export_csv_times": f"SELECT * REPLACE ({iso('ts')} AS ts) FROM events",
 }
-ORACLES["pull_runs"] = ORACLES["pull_version"]
+ORACLES["pull_runs"] = ORACLES["pull_compact"] = ORACLES["pull_version"]
+ORACLES["pull_repeat"] = f"SELECT *, TRUE AS same FROM ({ORACLES['pull_version']})"
+ORACLES["accepted_run"] = f"""
+WITH {ORDER_STATE},
+decided AS (SELECT {ORDER_PATH % "k"} AS path, CASE WHEN NOT has_file THEN 'new'
+  WHEN modified > DATE '1996-01-01' THEN 'source_newer' ELSE 'up_to_date' END AS reason
+  FROM both_sides WHERE has_src)
+SELECT path, CASE reason WHEN 'up_to_date' THEN 'skip' ELSE 'fetch' END AS action, reason FROM decided"""
+ORACLES["untied_run_order"] = f"""
+SELECT '{ROOT}/scheduled_queries/c' || o_custkey || '.sql' AS path, 1 AS n_new, count(*) AS objects, 1 AS files
+FROM orders GROUP BY o_custkey"""
+ORACLES["definition_paths"] = rf"""
+SELECT page_id, '{ROOT}/' || regexp_replace('scheduled_queries/' || url || '.sql', '/(\.?/)+', '/', 'g') AS path
+FROM pages"""
+ORACLES["definition_files"] = """
+SELECT source || '/views/doc_' || doc_id || '.sql' AS path, text || chr(13) || chr(10) AS content FROM documents"""
+ORACLES["fetch_model"] = "SELECT *, 'out/proj/data/customer.csv' AS dest FROM customer"
+ORACLES["list_saved_damaged"] = f"""
+SELECT 'query ' || conv_id AS name, text AS sql FROM ({SAVED}) WHERE conv_id % 3 <> 0"""

@@ -11,17 +11,18 @@ from pyspark.sql import functions as F
 
 from checks import standins as S
 from checks.standins import ROOT, Tables
+from checks.workspace import shared_folder
 from tidemark.functions import text
-from tidemark.functions.paths import parse_model, stem, table_ref
-from tidemark.operators.history import last_commit, uncommitted_changes
-from tidemark.plans.apply import fetched_definitions, merged_version
-from tidemark.plans.inventory import inventory, located
+from tidemark.functions.paths import data_dir, definition_path, output_root, parse_model, stem, table_ref
+from tidemark.operators.history import last_commit, uncommitted_by_root
+from tidemark.plans.apply import applied, staged_records
+from tidemark.plans.inventory import TIE_SPAN, inventory, located
 from tidemark.plans.pull import pull
 from tidemark.plans.render import rendered
 from tidemark.plans.sync import sync_plan
 from tidemark.session import work_folder
-from tidemark.sinks.definitions import append_run, read_runs
-from tidemark.sinks.export import export_requests, export_table, read_export
+from tidemark.sinks.definitions import accepted, append_run, read_runs, write_files, write_version
+from tidemark.sinks.export import export_requests, export_table, fetch_model, read_export
 from tidemark.sources import listings
 from tidemark.sources.snapshot import Worktree
 from tidemark.sources.tables import table_stats
@@ -174,7 +175,7 @@ def inventory_union(t: Tables) -> DataFrame:
     objects = inventory(S.snapshot(t), S.PROJECT, S.REGION, ROOT, S.SCOPE)
     return objects.selectExpr(
         "kind", "dataset", "name", "seq", iso("modified"), "path", "model_path",
-        "CAST(run_order AS STRING) AS run_order",
+        f"CAST(floor(run_order / {TIE_SPAN}) AS STRING) AS run_order",
     )
 
 
@@ -280,24 +281,21 @@ def dirty_tree(t: Tables) -> DataFrame:
         f"concat('{ROOT}/sales/models/', l_orderkey, '.yaml') AS path", "' M' AS status"
     )
     roots = [ROOT, f"{ROOT}/sales", f"{ROOT}/sale", "/out/pro"]
-    return reduce(
-        DataFrame.unionByName,
-        (uncommitted_changes(status, r).select(F.lit(r).alias("root"), "dirty") for r in roots),
-    )
+    return uncommitted_by_root(status, roots)
 
 
 # --- sync plans ----------------------------------------------------------------------------
 
 
-def order_plan(t: Tables, **options: object) -> DataFrame:
-    plan = sync_plan(S.order_records(t), S.order_paths(t), S.order_commits(t), **options)
+def order_plan(t: Tables, pending: bool = True, **options: object) -> DataFrame:
+    plan = sync_plan(S.order_records(t, pending), S.order_paths(t), S.order_commits(t), **options)
     return plan.selectExpr("path", "kind", "action", "reason", iso("modified"), iso("committed"))
 
 
 @query
 def sync_plan_(t: Tables) -> DataFrame:
     """The whole decision matrix, rows for files deleted at the source included."""
-    return order_plan(t, include_deleted=True)
+    return order_plan(t, pending=False, include_deleted=True, root=ROOT)
 
 
 @query
@@ -307,12 +305,14 @@ def sync_plan_pull(t: Tables) -> DataFrame:
 
 @query
 def sync_plan_dry_run(t: Tables) -> DataFrame:
-    return order_plan(t, dry_run=True)
+    """Objects that share paths, each judged by the state at the start."""
+    plan = sync_plan(S.customer_records(t), S.customer_files(t), S.customer_commits(t), dry_run=True)
+    return plan.select("kind", "path", "seq", "action", "reason")
 
 
 @query
 def sync_plan_force(t: Tables) -> DataFrame:
-    return order_plan(t, force=True, include_deleted=True)
+    return order_plan(t, pending=False, force=True, include_deleted=True)
 
 
 FORCED = [f"{ROOT}/sales/models/{k}.yaml" for k in (1, 2, 5, 7)] + ["10.yaml", "11.yaml", "x.sql"]
@@ -328,7 +328,7 @@ def sync_plan_force_table(t: Tables) -> DataFrame:
     """Forced paths and names from a table: customers by name, parts by whole path."""
     names = t.customer.selectExpr("concat(c_custkey, '.yaml') AS name")
     paths = t.part.selectExpr(f"concat('{ROOT}/sales/models/', p_partkey * 3, '.yaml') AS name")
-    return order_plan(t, force=True, force_files=names.union(paths), include_deleted=True)
+    return order_plan(t, force=True, force_files=names.union(paths), pending=False, include_deleted=True)
 
 
 @query
@@ -351,15 +351,19 @@ def path_collisions(t: Tables) -> DataFrame:
 @query
 def collision_winners(t: Tables) -> DataFrame:
     """Of all files written to one path, the last one stays."""
-    plan = sync_plan(S.customer_records(t), S.customer_files(t), S.customer_commits(t))
-    return fetched_definitions(plan).selectExpr("path", "kind", "content", iso("modified"))
+    folder = work_folder(t.spark, shared_folder(t.spark))
+    records = staged_records(S.customer_records(t), f"{folder}/inventory")
+    plan = sync_plan(records, S.customer_files(t), S.customer_commits(t))
+    return applied(plan, records, folder)[1].selectExpr("path", "kind", "content", iso("modified"))
 
 
 @query
 def apply_plan(t: Tables) -> DataFrame:
-    plan = sync_plan(S.order_records(t), S.order_paths(t), S.order_commits(t))
-    merged = merged_version(S.order_files(t), fetched_definitions(plan))
-    return merged.select("path", "content", "kind")
+    folder = work_folder(t.spark, shared_folder(t.spark))
+    records = staged_records(S.order_records(t), f"{folder}/inventory")
+    plan = sync_plan(records, S.order_paths(t), S.order_commits(t))
+    writes, fetched = applied(plan, records, folder)
+    return write_version(S.order_files(t), writes, fetched, f"{folder}/version").select("path", "content", "kind")
 
 
 @query
@@ -371,8 +375,10 @@ def view_pair_paths(t: Tables) -> DataFrame:
         located(routines.withColumn("kind", F.lit("routine")), ROOT)
     )
     tree = S.event_worktree(t)
+    folder = work_folder(t.spark, shared_folder(t.spark))
+    records = staged_records(records, f"{folder}/inventory")
     plan = sync_plan(records, tree.local_files, tree.commits)
-    return fetched_definitions(plan).select("path", "kind")
+    return applied(plan, records, folder)[1].select("path", "kind")
 
 
 def whole_run(t: Tables, tree: Worktree, dest: str, run: int | None = None) -> DataFrame:
@@ -385,24 +391,119 @@ def whole_run(t: Tables, tree: Worktree, dest: str, run: int | None = None) -> D
         root=ROOT,
         datasets=S.SCOPE,
         run=run,
+        work=shared_folder(t.spark),
     )
-    return version.selectExpr("path", "kind", "content <> 'old' AS fetched")
+    return version.selectExpr("path", "kind", "content <> 'old' AS fetched", "content")
+
+
+def flags(version: DataFrame) -> DataFrame:
+    return version.select("path", "kind", "fetched")
 
 
 @query
 def pull_version(t: Tables) -> DataFrame:
     """A whole run over the catalog: which files the next version holds, and which are new."""
-    return whole_run(t, S.event_worktree(t), f"{work_folder(t.spark)}/version")
+    return flags(whole_run(t, S.event_worktree(t), f"{work_folder(t.spark, shared_folder(t.spark))}/version"))
 
 
 @query
 def pull_runs(t: Tables) -> DataFrame:
     """The same run, added to a table of runs."""
-    table = f"{work_folder(t.spark)}/runs"
+    table = f"{work_folder(t.spark, shared_folder(t.spark))}/runs"
     tree = S.event_worktree(t)
     append_run(tree.local_files, table, 1)
-    earlier = read_runs(t.spark, table, before=2)
-    return whole_run(t, replace(tree, local_files=earlier), table, run=2)
+    return flags(whole_run(t, tree, table, run=2))
+
+
+@query
+def pull_repeat(t: Tables) -> DataFrame:
+    """A run under the number of an earlier one gives the same files with the same texts."""
+    folder = work_folder(t.spark, shared_folder(t.spark))
+    tree = S.event_worktree(t)
+    append_run(tree.local_files, f"{folder}/runs", 1)
+    whole_run(t, tree, f"{folder}/runs", run=2).write.parquet(f"{folder}/first")
+    first = t.spark.read.parquet(f"{folder}/first").selectExpr("path", "content AS before")
+    again = whole_run(t, tree, f"{folder}/runs", run=2).join(first, "path", "full_outer")
+    return again.selectExpr("path", "kind", "fetched", "content <=> before AS same")
+
+
+@query
+def pull_compact(t: Tables) -> DataFrame:
+    """Two runs, then a whole version of what they hold: one row per path."""
+    folder = work_folder(t.spark, shared_folder(t.spark))
+    tree = S.event_worktree(t)
+    append_run(tree.local_files, f"{folder}/runs", 1)
+    whole_run(t, tree, f"{folder}/runs", run=2)
+    tree = replace(tree, local_files=read_runs(t.spark, f"{folder}/runs"))
+    return flags(whole_run(t, tree, f"{folder}/version"))
+
+
+@query
+def accepted_run(t: Tables) -> DataFrame:
+    """Files of an accepted run are fetched again if their source changed after that."""
+    table = f"{work_folder(t.spark, shared_folder(t.spark))}/runs"
+    append_run(S.order_files(t), table, 1)
+    commits = accepted(t.spark, table, 1, "1996-01-01 00:00:00")
+    plan = sync_plan(S.order_records(t), read_runs(t.spark, table), commits)
+    return plan.select("path", "action", "reason")
+
+
+@query
+def untied_run_order(t: Tables) -> DataFrame:
+    """Objects without a listing order that share paths: one of them is the first, the others find its file."""
+    records = located(
+        t.orders.selectExpr(
+            "'scheduled' AS kind", "'proj' AS project", "concat('c', o_custkey) AS name",
+            "CAST(NULL AS BIGINT) AS seq", "CAST(o_orderdate AS TIMESTAMP) AS modified", "concat('q', o_orderkey) AS sql",
+        ),
+        ROOT,
+    )
+    folder = work_folder(t.spark, shared_folder(t.spark))
+    records = staged_records(records, f"{folder}/inventory")
+    none = t.customer.selectExpr("CAST(c_custkey AS STRING) AS path", "c_name AS content")
+    plan = sync_plan(records, none, none.limit(0).selectExpr("path", "CAST(NULL AS TIMESTAMP) AS commit_ts"))
+    files = applied(plan, records, folder)[1].groupBy("path").agg(F.count("*").alias("files"))
+    judged = plan.groupBy("path").agg(F.count_if(F.col("reason") == "new").alias("n_new"), F.count("*").alias("objects"))
+    return judged.join(files, "path")
+
+
+@query
+def definition_paths(t: Tables) -> DataFrame:
+    """Addresses as names: repeated slashes are one."""
+    path = definition_path("'scheduled'", ROOT, "CAST(NULL AS STRING)", "url")
+    return t.pages.selectExpr("page_id", f"{path} AS path")
+
+
+@query
+def definition_files(t: Tables) -> DataFrame:
+    """Definitions as text files in a folder, read back."""
+    root = f"{work_folder(t.spark, shared_folder(t.spark))}/out".removeprefix("file://")
+    write_files(
+        t.documents.selectExpr(
+            f"concat('{root}/', source, '/views/doc_', doc_id, '.sql') AS path", "concat(text, '\r\n') AS content"
+        ),
+        root,
+    )
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.selectExpr(f"split_part(path, '{root}/', 2) AS path", "CAST(content AS STRING) AS content")
+
+
+@query
+def fetch_model_(t: Tables) -> DataFrame:
+    """A table fetched by its reference, whole, into the data folder of a project."""
+    folder = work_folder(t.spark, shared_folder(t.spark))
+    t.customer.write.parquet(f"{folder}/src/proj/sales/customer")
+    data = data_dir(output_root(folder, "out", "proj"))
+    dest = fetch_model(t.spark, "proj/sales/models/customer.yaml", data, "csv", f"{folder}/src")
+    rows = read_export(t.spark, dest, t.customer.schema, "csv")
+    return rows.withColumn("dest", F.lit(dest.removeprefix(f"{folder}/")))
+
+
+@query
+def list_saved_damaged(t: Tables) -> DataFrame:
+    """Files that aren't UTF-8 are left out, and only they."""
+    saved = listings.list_saved_queries(S.conversation_repositories(t), S.conversation_workspaces(t), S.damaged_files(t))
+    return saved.select("name", "sql")
 
 
 # --- rendering ----------------------------------------------------------------------------
@@ -507,7 +608,7 @@ def render_yaml_external(t: Tables) -> DataFrame:
 def round_trip(t: Tables, name: str, fmt: str) -> DataFrame:
     """Export a whole table and read the export back."""
     table = getattr(t, name)
-    dest = export_table(table, f"{work_folder(t.spark)}/{name}.{fmt}", fmt)
+    dest = export_table(table, f"{work_folder(t.spark, shared_folder(t.spark))}/{name}.{fmt}", fmt)
     return read_export(t.spark, dest, table.schema, fmt)
 
 

@@ -163,6 +163,12 @@ def conversation_workspaces(t: Tables) -> DataFrame:
     )
 
 
+def damaged_files(t: Tables) -> DataFrame:
+    """The same files, those of every third conversation with a byte that no UTF-8 text has."""
+    damage = "if(workspace LIKE 'ws_%' AND CAST(split(workspace, '_')[1] AS BIGINT) % 3 = 0, X'FF', X'')"
+    return conversation_files(t).withColumn("contents", F.expr(f"concat(contents, {damage})"))
+
+
 def conversation_files(t: Tables) -> DataFrame:
     return t.conversations.selectExpr(
         "concat('ws_', conv_id, '_', turn) AS workspace",
@@ -214,9 +220,10 @@ def event_worktree(t: Tables) -> Worktree:
 # --- sync state from orders and lineitem ---------------------------------------------
 
 
-def order_records(t: Tables) -> DataFrame:
-    """Orders are tables; pending ones ('P') no longer exist at the source."""
-    objects = t.orders.filter("o_orderstatus <> 'P'").selectExpr(
+def order_records(t: Tables, pending: bool = True) -> DataFrame:
+    """Orders are tables; without ``pending`` ones ('P') these no longer exist at the source."""
+    orders = t.orders if pending else t.orders.filter("o_orderstatus <> 'P'")
+    objects = orders.selectExpr(
         "'table' AS kind",
         "'proj' AS project",
         "'sales' AS dataset",

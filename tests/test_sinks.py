@@ -13,11 +13,12 @@ from pyspark.errors import AnalysisException
 
 from tidemark import schemas
 from tidemark.operators.history import UncommittedChangesError
-from tidemark.plans.apply import merged_version
 from tidemark.plans.pull import pull
-from tidemark.session import session_conf, work_folder
+from tidemark.session import scratch, session_conf, work_folder
 from tidemark.sinks.definitions import (
+    accepted,
     append_run,
+    current_files,
     latest_definitions,
     read_runs,
     write_files,
@@ -165,13 +166,26 @@ def test_versions(spark, tmp_path):
         assert len(rows) == len(set(rows))
         return set(rows)
 
-    assert content(merged_version(old, new)) == expected
-    first = write_version(old, new, str(tmp_path / "v1"))
+    first = write_version(old, new, new, str(tmp_path / "v1"))
     assert content(first) == expected
-    second = write_version(first, new.limit(0), str(tmp_path / "v2"))
+    second = write_version(first, new.limit(0), new.limit(0), str(tmp_path / "v2"))
     assert content(second) == expected
+    assert (tmp_path / "v2" / "_SUCCESS").exists()
     with pytest.raises(AnalysisException):
-        write_version(first, new, str(tmp_path / "v2"))
+        write_version(first, new, new, str(tmp_path / "v2"))
+    with pytest.raises(ValueError, match="/r/b is there twice"):
+        current_files(old.union(new))
+    runs = old.selectExpr("*", "1L AS run").unionByName(new.selectExpr("*", "2L AS run"))
+    assert content(current_files(runs)) == expected
+
+
+def test_accepted_runs_are_commits(spark, tmp_path):
+    table = str(tmp_path / "runs")
+    append_run(definitions(spark, [("/r/a", "a", TS, "view")]), table, 1)
+    append_run(definitions(spark, [("/r/b", "b", TS, "view")]), table, 2)
+    rows = accepted(spark, table, 1, "2025-02-01 00:00:00").collect()
+    assert [(r["path"], r["commit_ts"].replace(tzinfo=UTC).month) for r in rows] == [("/r/a", 2)]
+    assert read_runs(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_runs(spark, tmp_path):
@@ -197,6 +211,8 @@ def test_files_in_a_shared_folder(spark, tmp_path):
     assert (root / "ds/views/é v.sql").read_bytes() == "SELECT 'é'\r\n".encode()
     assert len([p for p in root.rglob("*") if p.is_file()]) == 2
     assert (root / "ds/models/t.yaml").read_bytes() == b""
+    with pytest.raises(ValueError, match="not a mounted folder"):
+        write_files(definitions(spark, rows), "s3a://lake/out")
     with pytest.raises(Exception, match="is not below"):
         write_files(definitions(spark, [(f"{root}/../evil.sql", "x", TS, "view")]), str(root))
 
@@ -269,14 +285,17 @@ def test_whole_run(spark, tmp_path):
     runs = str(tmp_path / "runs")
     append_run(tree.local_files, runs, 1)
     for _ in range(2):  # a run may be repeated
-        earlier = replace(tree, local_files=read_runs(spark, runs, before=2))
-        latest = pull(snapshot, earlier, runs, run=2, **options)
+        latest = pull(snapshot, tree, runs, run=2, **options)
         assert {r["path"]: r["content"] for r in latest.collect()} == got
     assert read_runs(spark, runs).count() == 2 + 5
     version = pull(snapshot, tree, str(tmp_path / "v2"), force=True, **options)
     got = {r["path"]: r["content"] for r in version.collect()}
     assert got["/o/p/d1/models/t.yaml"].startswith("name: t\n")
 
+    compact = pull(snapshot, replace(tree, local_files=read_runs(spark, runs)), str(tmp_path / "v4"), **options)
+    assert compact.count() == compact.select("path").distinct().count() == 2 + 5
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("tidemark-*"))  # no staging is left
+
     dirty = spark.createDataFrame([("/o/p/notes.txt", " M")], schemas.WORKTREE_STATUS)
     tree = replace(tree, worktree_status=dirty)
     for flags in ({"dry_run": True}, {"force": True}):
@@ -291,8 +310,62 @@ def test_work_folder_is_the_shared_one(spark, tmp_path):
 
     first, second = work_folder(Clustered), work_folder(Clustered)
     assert first != second and first.startswith("hdfs:///shared/tidemark-")
+    assert work_folder(Clustered, "s3a://own").startswith("s3a://own/tidemark-")
     Clustered.conf = {}
-    assert Path(work_folder(Clustered)).is_dir()
+    with pytest.raises(ValueError, match="shared work folder"):
+        work_folder(Clustered)
+
+
+def test_scratch_is_removed_after_a_failure(spark):
+    with pytest.raises(RuntimeError), scratch(spark) as folder:
+        spark.range(3).write.parquet(f"{folder}/x")
+        raise RuntimeError
+    assert not Path(folder).exists()
+
+
+@pytest.mark.parametrize("datasets", [None, ["b", "a"]])
+def test_tied_run_orders_write_each_path_once(spark, tmp_path, datasets):
+    """Two scheduled queries of one name without an order; listings of datasets that each start anew."""
+    config = {"project": "p", "region": "r", "display_name": "a", "data_source_id": "scheduled_query", "update_time": TS}
+    keys = [{"project": "p", "dataset": d, "name": "t"} for d in "ab"]
+    store(
+        spark,
+        tmp_path / "snap",
+        SNAPSHOT_SCHEMAS,
+        {
+            "listing": [{**k, "table_type": "VIEW", "seq": 0} for k in keys],
+            "table_details": [{**k, "view_query": k["dataset"], "schema": [], "modified": TS} for k in keys],
+            "transfer_configs": [{**config, "params": {"query": q}} for q in ("one", "two", "two")],
+        },
+    )
+    store(spark, tmp_path / "tree", WORKTREE_SCHEMAS, {})
+    snapshot, tree = load_snapshot(spark, str(tmp_path / "snap")), load_worktree(spark, str(tmp_path / "tree"))
+    version = pull(snapshot, tree, str(tmp_path / "v"), project="p", region="r", root="/o", datasets=datasets)
+    rows = {r["path"]: r["content"] for r in version.collect()}
+    assert version.count() == len(rows) == 5 and rows["/o/a/views/t.sql"] == "a"
+    assert rows["/o/scheduled_queries/a.sql"].split("\n")[-1] in ("one", "two")
+
+
+def test_unreadable_saved_queries_are_left_out(spark, tmp_path):
+    repos = [{"project": p, "region": "r", "repo": p, "display_name": f"q{p}", "seq": 0} for p in ("p", "other")]
+    repos.append({"project": "p", "region": "r", "repo": "good", "display_name": "good", "seq": 1})
+    store(
+        spark,
+        tmp_path / "snap",
+        SNAPSHOT_SCHEMAS,
+        {
+            "repositories": repos,
+            "workspaces": [{"repo": r["repo"], "workspace": r["repo"], "seq": 0} for r in repos],
+            "workspace_files": [
+                {"workspace": w, "path": "content.sql", "contents": c}
+                for w, c in (("p", b"a\xff"), ("other", b"\xc3"), ("nowhere", b"\xfe"), ("good", "é".encode()))
+            ],
+        },
+    )
+    store(spark, tmp_path / "tree", WORKTREE_SCHEMAS, {})
+    snapshot, tree = load_snapshot(spark, str(tmp_path / "snap")), load_worktree(spark, str(tmp_path / "tree"))
+    version = pull(snapshot, tree, str(tmp_path / "v"), project="p", region="r", root="/o", files=False)
+    assert [(r["path"], r["content"].split("\n")[-1]) for r in version.collect()] == [("/o/saved_queries/good.sql", "é")]
 
 
 def test_session_conf():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -11,14 +12,11 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.paths import KINDS
 from tidemark.operators.decision import with_forced
-from tidemark.plans.apply import (
-    fetched_definitions,
-    merged_version,
-    object_writes,
-    written_definitions,
-)
+from tidemark.plans.apply import applied, object_writes, staged_records
 from tidemark.plans.inventory import located
 from tidemark.plans.sync import sync_plan
+from tidemark.session import scratch
+from tidemark.sinks.definitions import write_version
 from tidemark.sinks.export import export_requests
 
 UTC = timezone.utc
@@ -95,11 +93,11 @@ def one_by_one(objects, files, commits, force, force_files, dry_run):
     ("seed", "force", "listed"),
     [(0, False, False), (1, False, False), (2, True, True), (3, True, False), (4, False, True)],
 )
-def test_plan_equals_one_by_one(spark, seed, force, listed):
+def test_plan_equals_one_by_one(spark, tmp_path, seed, force, listed):
     rnd = random.Random(seed)
     objects = make_objects(rnd, 60)
     possible = sorted({p for o in objects for p in paths_of(o) if p})
-    files = rnd.sample(possible, len(possible) // 2) + [f"{ROOT}/gone.sql", f"{ROOT}/a/models/old.yaml"]
+    files = rnd.sample(possible, len(possible) // 2) + [f"{ROOT}/a/views/gone.sql", f"{ROOT}/notes.txt", "/else/views/x.sql", f"{ROOT}/a/models/old.yaml"]
     commits = [
         (p, START + timedelta(hours=rnd.randrange(40)))
         for p in possible + files[-1:]
@@ -113,6 +111,7 @@ def test_plan_equals_one_by_one(spark, seed, force, listed):
         ROOT,
         SCOPE,
     )
+    records = staged_records(records, str(tmp_path / "inventory"))
     local = spark.createDataFrame([(p, f"old {p}") for p in files], "path STRING, content STRING")
     history = spark.createDataFrame(commits, schemas.COMMITS)
     force_files = None
@@ -123,16 +122,14 @@ def test_plan_equals_one_by_one(spark, seed, force, listed):
         options = {"force": force, "force_files": force_files, "dry_run": dry_run}
         plan = sync_plan(records, local, history, **options)
         assert {r["seq"]: r["action"] for r in plan.select("seq", "action").collect()} == expected
-        whole = sync_plan(records, local, history, include_deleted=True, **options)
+        whole = sync_plan(records, local, history, include_deleted=True, root=ROOT, **options)
         gone = whole.filter("kind IS NULL").select("path", "action", "reason").collect()
-        assert sorted(r["path"] for r in gone) == sorted(set(files) - set(possible))
+        assert sorted(r["path"] for r in gone) == [f"{ROOT}/a/models/old.yaml", f"{ROOT}/a/views/gone.sql"]
         assert {(r["action"], r["reason"]) for r in gone} == {("warn", "deleted_at_source")}
         if dry_run:
             continue
-        fetched = fetched_definitions(plan)
-        again = written_definitions(records, object_writes(plan))
-        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, fetched.collect()))
-        merged = merged_version(local, fetched).collect()
+        writes, fetched = applied(plan, records, str(tmp_path / "work"))
+        merged = write_version(local, writes, fetched, str(tmp_path / "version")).collect()
         assert len(merged) == len({r["path"] for r in merged}) == len(set(files) | set(owner))
         modified = {o["seq"]: o["modified"] for o in objects}
         for row in merged:
@@ -227,11 +224,15 @@ def test_hot_path_is_cut_down_before_the_shuffle(spark, small_partitions):
     records = hot_records(spark, n)
     none = spark.createDataFrame([], "path STRING, content STRING")
     plan = sync_plan(records, none, spark.createDataFrame([], schemas.COMMITS), force=True)
-    fetched = fetched_definitions(plan)
-    assert fetched.count() == n - n // 3 + 1
-    hot = fetched.filter("path LIKE '%/untitled.sql'").collect()
-    assert len(hot) == 1 and hot[0]["modified"].timestamp() == n - 3
-    assert "WindowGroupLimit [path" in fetched._jdf.queryExecution().toString()
+    with scratch(spark) as folder:
+        staged = staged_records(records, f"{folder}/inventory")
+        writes = object_writes(plan.drop("id"), staged)
+        fetched = applied(plan, staged, folder)[1]
+        assert fetched.count() == n - n // 3 + 1
+        hot = fetched.filter("path LIKE '%/untitled.sql'").collect()
+        assert len(hot) == 1 and hot[0]["modified"].timestamp() == n - 3
+        text = writes._jdf.queryExecution().toString()
+        assert "partial_max(run_order" in text and "collect_set" not in text and "Window" not in text
 
 
 def test_hot_destination_is_split(spark, small_partitions):
@@ -258,12 +259,13 @@ def test_hot_file_name_is_split_when_forced(spark, small_partitions):
 def test_decision_moves_no_texts(spark, small_partitions):
     records = hot_records(spark, 1000)
     none = spark.createDataFrame([], "path STRING, content STRING")
-    plan = sync_plan(records, none, spark.createDataFrame([], schemas.COMMITS))
-    writes = object_writes(plan)
-    assert writes.count() == 667
-    # repeat() makes up the texts
-    assert "repeat(" in final_plan(written_definitions(records, writes))
-    assert "repeat(" not in final_plan(writes)
+    with scratch(spark) as folder:
+        records = staged_records(records, f"{folder}/inventory")
+        plan = sync_plan(records, none, spark.createDataFrame([], schemas.COMMITS))
+        writes = object_writes(plan, records)
+        assert writes.count() == 667
+        read = re.findall(r"ReadSchema: struct<(.*?)>", writes._jdf.queryExecution().toString())
+        assert read and not any("sql:" in columns or "schema:" in columns for columns in read)
 
 
 def test_state_is_shuffled_once(spark, small_partitions):

@@ -39,18 +39,29 @@ def definition_path(kind: str, root: str, dataset: str, name: str) -> str:
     cases = []
     for k, (folder, extension) in GATED_FILES.items():
         if k in DATASET_KINDS:
-            path = concat(literal(f"{root}/"), dataset, literal(f"/{folder}/"), name)
+            path = concat(dataset, literal(f"/{folder}/"), name)
         else:
-            path = concat(literal(f"{root}/{folder}/"), name)
-        cases.append(f"WHEN {literal(k)} THEN {concat(path, literal(extension))}")
+            path = concat(literal(f"{folder}/"), name)
+        cases.append(f"WHEN {literal(k)} THEN {below(root, concat(path, literal(extension)))}")
     return f"CASE {kind} {' '.join(cases)} END"
 
 
+def below(root: str, path: str) -> str:
+    """``<root>/<path>``; names are free text, and ``a//b`` or ``a/./b`` is the same file as ``a/b``."""
+    return concat(literal(f"{root}/"), f"regexp_replace({path}, r'(?:(?<=/)|^)(?:\\.?/)+', '')")
+
+
+def is_definition(path: str, root: str | None = None) -> str:
+    """Whether a path can be that of a definition file, below ``root`` if given."""
+    shape = "rlike(%s, r'/(?:(?:views|routines|scheduled_queries|saved_queries)/.+\\.sql|models/.+\\.yaml)$')" % path
+    return shape if root is None else f"(startswith({path}, {literal(root.rstrip('/') + '/')}) AND {shape})"
+
+
 def model_path(kind: str, root: str, dataset: str, name: str) -> str:
     """Path of the model file written along with views and routines, else null."""
     folder, extension = MODEL_FILE
-    path = concat(literal(f"{root}/"), dataset, literal(f"/{folder}/"), name, literal(extension))
-    return f"CASE WHEN {kind} IN {PAIRED_KINDS} THEN {path} END"
+    path = concat(dataset, literal(f"/{folder}/"), name, literal(extension))
+    return f"CASE WHEN {kind} IN {PAIRED_KINDS} THEN {below(root, path)} END"
 
 
 def basename(path: str) -> str:

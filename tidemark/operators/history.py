@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,11 +31,18 @@ def uncommitted_changes(worktree_status: DataFrame, root: str) -> DataFrame:
     )
 
 
+def uncommitted_by_root(worktree_status: DataFrame, roots: Sequence[str]) -> DataFrame:
+    """``root, dirty`` for several roots, from one pass over the status."""
+    flags = [F.coalesce(F.bool_or(under_root(F.col("path"), r)), F.lit(False)) for r in roots]
+    rows = F.array(*[F.struct(F.lit(r).alias("root"), flag.alias("dirty")) for r, flag in zip(roots, flags, strict=True)])
+    return worktree_status.agg(rows.alias("rows")).select(F.inline("rows"))
+
+
 def require_clean(worktree_status: DataFrame, local_files: DataFrame, root: str) -> None:
     """Raise if the copy below ``root`` exists and has uncommitted changes."""
     below = under_root(F.col("path"), root)
     changed = worktree_status.filter(below).select("path")
     if not local_files.filter(below).select("path").isEmpty() and not changed.isEmpty():
         raise UncommittedChangesError(
-            f"uncommitted changes below {root}: commit or stash them before syncing"
+            f"{root} is not clean; a sync would mix its files with changes that no commit has"
         )

@@ -1,4 +1,8 @@
-"""Fetched objects merged into a new version of the synced set."""
+"""Fetched objects merged into a new version of the synced set.
+
+One route: the inventory is stored with an id per object, the decision names the
+one object that owns each written path, and only those objects are rendered.
+"""
 
 from __future__ import annotations
 
@@ -6,52 +10,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators.pick import first_per
-from tidemark.plans.render import rendered
+from tidemark.plans.render import GATED_CONTENT, MODEL_CONTENT
+from tidemark.session import staged
 
 
-def fetched_definitions(plan: DataFrame) -> DataFrame:
-    """Files written by the plan's fetches; of several on one path the last one stays."""
-    writes = rendered(plan.filter(F.col("action") == "fetch"))
-    return schemas.conform(
-        first_per(writes, "path", F.col("run_order").desc()), schemas.DEFINITIONS
-    )
+def staged_records(records: DataFrame, folder: str) -> DataFrame:
+    """Inventory rows stored once, a directory per kind, each with an ``id`` of its own."""
+    numbered = records.withColumn("id", F.monotonically_increasing_id())
+    return staged(numbered, schemas.STAGED, folder, "kind")
 
 
-def object_writes(plan: DataFrame) -> DataFrame:
-    """Objects to write and the paths that stay theirs: ``run_order, paths``.
+def object_writes(plan: DataFrame, records: DataFrame) -> DataFrame:
+    """``path, id``: the object whose text each written path ends up with.
 
-    Needs no texts: the last write of a path is the largest run order, and an
-    object writes two files at most.
+    Needs no texts. The last write of a path is the one with the largest run
+    order; of objects that agree in everything, any will do.
     """
-    paths = "inline(array(named_struct('path', path), named_struct('path', model_path)))"
-    writes = plan.filter("action = 'fetch'").selectExpr(paths, "run_order")
-    last = (
-        writes.filter("path IS NOT NULL").groupBy("path").agg(F.max("run_order").alias("run_order"))
-    )
-    return last.groupBy("run_order").agg(F.collect_set("path").alias("paths"))
+    files = "inline(array(named_struct('path', path), named_struct('path', model_path)))"
+    orders = plan.filter("action = 'fetch'").select("path", "model_path", "run_order")
+    last = orders.selectExpr(files, "run_order").filter("path IS NOT NULL")
+    last = last.groupBy("path").agg(F.max("run_order").alias("run_order"))
+    owned = records.select("path", "model_path", "run_order", "id").selectExpr(files, "run_order", "id")
+    return owned.join(last, ["path", "run_order"]).groupBy("path").agg(F.min("id").alias("id"))
 
 
 def written_definitions(records: DataFrame, writes: DataFrame) -> DataFrame:
-    """The same files as :func:`fetched_definitions`, from stored records and writes.
+    """Rendered files of the stored writes, one row per path.
 
-    Only objects that are written are rendered. If ``writes`` is a stored
-    table, Spark knows its size and broadcasts it while small, so texts are
-    then not shuffled at all, else once.
+    If ``writes`` is a stored table, Spark knows its size and broadcasts it
+    while small, so texts are then not shuffled at all, else once.
     """
-    files = rendered(records.join(writes, "run_order"), "paths")
-    return schemas.conform(files.filter("array_contains(paths, path)"), schemas.DEFINITIONS)
-
+    wanted = writes.withColumnRenamed("path", "wanted")
+    content = f"CASE WHEN wanted = path THEN {GATED_CONTENT} ELSE {MODEL_CONTENT} END"
+    files = records.join(wanted, "id").selectExpr("wanted AS path", f"{content} AS content", "modified", "kind")
+    return schemas.conform(files, schemas.DEFINITIONS)
 
-def merged_version(local_files: DataFrame, fetched: DataFrame) -> DataFrame:
-    """The next version: fetched files replace or join the local ones, none is deleted.
 
-    Both sides have one row per path, and each is read once.
-    """
-    old = schemas.conform(local_files, schemas.DEFINITIONS).alias("old")
-    new = schemas.conform(fetched, schemas.DEFINITIONS).selectExpr("*", "true AS fetched")
-    joined = old.join(new.alias("new"), "path", "full_outer")
-    return joined.selectExpr(
-        "path",
-        *(f"if(fetched, new.{c}, old.{c}) AS {c}" for c in ("content", "modified", "kind")),
-    )
+def applied(plan: DataFrame, records: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The writes of a plan over staged ``records``, stored below ``folder``, and their files."""
+    writes = staged(object_writes(plan, records), schemas.WRITES, f"{folder}/writes")
+    return writes, written_definitions(records, writes)

@@ -17,6 +17,12 @@ from tidemark.sources.snapshot import Snapshot
 # Above any BIGINT, so that a stage's objects all sort before the next stage's.
 STAGE_SPAN = 10**19
 
+# Room behind each listing position to tell objects apart that share one.
+TIE_SPAN = 10**13
+
+# Longer dataset lists are joined instead of being searched for every object.
+LITERAL_SCOPE = 64
+
 
 def in_scope(objects: DataFrame, datasets: Sequence[str] | None) -> DataFrame:
     """Keep the objects of the given datasets; ``None`` keeps all."""
@@ -25,7 +31,15 @@ def in_scope(objects: DataFrame, datasets: Sequence[str] | None) -> DataFrame:
     return objects.filter(F.col("dataset").isin(list(datasets)))
 
 
-def run_order(kind: str, dataset: str, seq: str, datasets: Sequence[str] | None) -> str:
+def scope_position(dataset: str, datasets: Sequence[str] | None) -> str:
+    """Place of a dataset in the scope, from 1, as SQL text."""
+    scope = ", ".join(map(literal, datasets or []))
+    return f"coalesce(array_position(array({scope}), {dataset}), 1)" if scope else "1"
+
+
+def run_order(
+    kind: str, dataset: str, seq: str, datasets: Sequence[str] | None, position: str | None = None
+) -> str:
     """Position of an object in the run, as SQL text.
 
     Datasets go in the given order, kinds in fixed order within each, the
@@ -33,32 +47,53 @@ def run_order(kind: str, dataset: str, seq: str, datasets: Sequence[str] | None)
     """
     scope = list(datasets or [])
     per_dataset = len(DATASET_KINDS)
-    positions = f"array_position(array({', '.join(map(literal, scope))}), {dataset})"
-    first_stage = f"(coalesce({positions}, 1) - 1) * {per_dataset}" if scope else "0"
+    first_stage = f"({position or scope_position(dataset, datasets)} - 1) * {per_dataset}"
     last = max(len(scope), 1) * per_dataset
     stages = [f"WHEN '{k}' THEN {first_stage} + {pos}" for pos, k in enumerate(DATASET_KINDS)]
     stages += [f"WHEN '{k}' THEN {last + pos}" for pos, k in enumerate(KINDS[per_dataset:])]
     stage = f"CASE {kind} {' '.join(stages)} END"
     span = f"CAST({STAGE_SPAN} AS DECIMAL(20,0))"
-    position = f"CAST({stage} AS DECIMAL(10,0)) * {span} + CAST(coalesce({seq}, 0) AS DECIMAL(19,0))"
-    return f"CAST({position} AS DECIMAL(38,0))"
+    order = f"CAST({stage} AS DECIMAL(10,0)) * {span} + CAST(coalesce({seq}, 0) AS DECIMAL(19,0))"
+    return f"CAST({order} AS DECIMAL(38,0))"
 
 
 def located(
     objects: DataFrame, root: str, datasets: Sequence[str] | None = None
 ) -> DataFrame:
-    """Objects with a ``kind`` as inventory rows: paths and run order added."""
+    """Objects with a ``kind`` as inventory rows: paths and run order added.
+
+    Listings of several datasets may each start anew, and a listing position may
+    be missing. Objects that share one are told apart by a hash of all they have,
+    so that one of two on a path is always the first. A name or dataset that
+    begins with ``/`` has no place below the root; such objects are left out.
+    """
     if "dataset" not in objects.columns:
         objects = objects.withColumn("dataset", F.lit(None).cast("string"))
-    return schemas.conform(
+    objects = objects.filter("NOT (startswith(name, '/') OR coalesce(startswith(dataset, '/'), false))")
+    objects = _positioned(objects, datasets)
+    placed = schemas.conform(
         objects.selectExpr(
             "*",
             f"{definition_path('kind', root, 'dataset', 'name')} AS path",
             f"{model_path('kind', root, 'dataset', 'name')} AS model_path",
-            f"{run_order('kind', 'dataset', 'seq', datasets)} AS run_order",
+            f"{run_order('kind', 'dataset', 'seq', datasets, '_position')} AS run_order",
         ),
         schemas.INVENTORY,
     )
+    span = f"CAST({TIE_SPAN} AS DECIMAL(14,0))"
+    tie = f"CAST(pmod(xxhash64({', '.join(placed.columns)}), {TIE_SPAN}) AS DECIMAL(13,0))"
+    order = f"CAST(CAST(run_order AS DECIMAL(24,0)) * {span} + {tie} AS DECIMAL(38,0))"
+    return placed.withColumn("run_order", F.expr(order))
+
+
+def _positioned(objects: DataFrame, datasets: Sequence[str] | None) -> DataFrame:
+    """Adds ``_position``, the place of an object's dataset in the scope."""
+    if datasets is None or len(datasets) <= LITERAL_SCOPE:
+        return objects.withColumn("_position", F.expr(scope_position("dataset", datasets)))
+    first = {name: place for place, name in reversed(list(enumerate(datasets, 1)))}
+    places = objects.sparkSession.createDataFrame(list(first.items()), "dataset STRING, _position BIGINT")
+    found = objects.join(F.broadcast(places), "dataset", "left")  # as long as the caller's list
+    return found.withColumn("_position", F.coalesce("_position", F.lit(1)))
 
 
 def inventory(

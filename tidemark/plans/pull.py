@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame
 
 from tidemark import schemas
 from tidemark.operators.history import require_clean
-from tidemark.plans.apply import object_writes, written_definitions
+from tidemark.plans.apply import applied, staged_records
 from tidemark.plans.inventory import inventory
 from tidemark.plans.sync import sync_plan
-from tidemark.session import staged, work_folder
+from tidemark.session import scratch
 from tidemark.sinks.definitions import (
     append_run,
+    current_files,
     latest_definitions,
     read_runs,
+    write_files,
     write_version,
 )
 from tidemark.sources.snapshot import Snapshot, Worktree
@@ -34,36 +36,38 @@ def pull(
     force: bool = False,
     force_files: Sequence[str] | DataFrame | None = None,
     run: int | None = None,
+    work: str | None = None,
+    files: bool = False,
 ) -> DataFrame:
     """Write the next version of the synced set to ``dest`` and return it.
 
-    Without ``run`` that is a new folder with all files. With it, ``dest`` is
-    a table of runs that only gains the fetched files; ``worktree`` then has
-    the rows of earlier runs (:func:`read_runs`).
+    Without ``run`` that is a new folder with all files; if the worktree's files
+    are a table of runs, the last one of each path counts. With ``run``, ``dest``
+    is a table of runs that only gains the fetched files. Its runs before
+    ``run`` then are the synced copy, whatever files ``worktree`` has, so a run
+    that is repeated gives the same again.
 
     A dry run returns the plan and writes nothing. Either kind refuses to run
     on a copy with uncommitted changes, forced or not. A real run stores the
-    inventory, which it reads several times, and then what to write in the
-    session's work folder. The decision moves no texts.
+    inventory, which it reads several times, and then what to write, below
+    ``work`` or ``spark.checkpoint.dir``, and removes both at the end. The
+    decision moves no texts. ``files=True`` also writes the fetched files as
+    text files below ``root``.
     """
-    require_clean(worktree.worktree_status, worktree.local_files, root)
+    spark = worktree.local_files.sparkSession
+    local = worktree.local_files if run is None else read_runs(spark, dest, before=run)
+    require_clean(worktree.worktree_status, local, root)
     records = inventory(snapshot, project, region, root, datasets)
-    if not dry_run:
-        work = work_folder(records.sparkSession)
-        records = staged(records, schemas.INVENTORY, f"{work}/inventory", "kind")
-    plan = sync_plan(
-        records,
-        worktree.local_files,
-        worktree.commits,
-        force=force,
-        force_files=force_files,
-        dry_run=dry_run,
-    )
+    options = {"force": force, "force_files": force_files, "dry_run": dry_run}
     if dry_run:
-        return plan
-    writes = staged(object_writes(plan), schemas.WRITES, f"{work}/writes")
-    fetched = written_definitions(records, writes)
-    if run is None:
-        return write_version(worktree.local_files, fetched, dest)
-    append_run(fetched, dest, run)
-    return latest_definitions(read_runs(fetched.sparkSession, dest))
+        return sync_plan(records, local, worktree.commits, **options)
+    with scratch(spark, work) as folder:
+        records = staged_records(records, f"{folder}/inventory")
+        plan = sync_plan(records, local, worktree.commits, **options)
+        writes, fetched = applied(plan, records, folder)
+        if files:
+            write_files(fetched, root)
+        if run is None:
+            return write_version(current_files(local), writes, fetched, dest)
+        append_run(fetched, dest, run)
+    return latest_definitions(read_runs(spark, dest))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions.paths import is_definition
 from tidemark.operators.decision import action, reason, with_forced
 from tidemark.operators.pick import lookup
 
@@ -29,6 +30,7 @@ def sync_plan(
     force_files: Sequence[str] | DataFrame | None = None,
     dry_run: bool = False,
     include_deleted: bool = False,
+    root: str | None = None,
 ) -> DataFrame:
     """Inventory rows with ``action``, ``reason`` and the ``committed`` time compared with.
 
@@ -36,8 +38,8 @@ def sync_plan(
     routine of one name). In a real run the first of them to be written makes
     the file exist for those behind it; ``dry_run=True`` writes nothing, so
     each is judged by the state at the start. ``include_deleted=True`` adds a
-    row for each local file that no record accounts for, so ``records`` should
-    then be an inventory of all datasets.
+    row for each local definition file, below ``root`` if given, that no record
+    accounts for, so ``records`` should then be an inventory of all datasets.
     """
     marked = with_forced(schemas.conform(records, schemas.INVENTORY), force, force_files)
     if force and force_files is None and not include_deleted:
@@ -54,7 +56,7 @@ def sync_plan(
         plan = _plan_real_run(marked, state)
     if not include_deleted:
         return plan
-    return plan.unionByName(_deleted(state), allowMissingColumns=True)
+    return plan.unionByName(_deleted(state, root), allowMissingColumns=True)
 
 
 def _gated_paths(records: DataFrame) -> DataFrame:
@@ -126,10 +128,12 @@ def _decided(rows: DataFrame, file_present: str, committed: str = "committed") -
     )
 
 
-def _deleted(state: DataFrame) -> DataFrame:
+def _deleted(state: DataFrame, root: str | None) -> DataFrame:
     why = reason("NULL", "committed", "true", source_present="false")
+    # A condition on the path alone would go below the aggregate, and its shuffle be done twice.
     return (
         state.filter("file_present AND first_object IS NULL")
+        .filter(f"if(file_present, {is_definition('path', root)}, false)")
         .withColumn("reason", F.expr(why))
         .selectExpr("path", f"{action('reason')} AS action", "reason", "committed")
     )

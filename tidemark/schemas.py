@@ -79,7 +79,8 @@ INVENTORY = f"""
     total_logical_bytes BIGINT, source_uris ARRAY<STRING>, source_format STRING,
     schedule STRING, path STRING, model_path STRING, run_order DECIMAL(38,0)
 """
-WRITES = "run_order DECIMAL(38,0), paths ARRAY<STRING>"
+STAGED = f"{INVENTORY}, id BIGINT"
+WRITES = "path STRING, id BIGINT"
 DEFINITIONS = "path STRING, content STRING, modified TIMESTAMP, kind STRING"
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,15 +30,32 @@ def session_conf(shuffle_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared one (``spark.checkpoint.dir``).
+def work_folder(spark: SparkSession, shared: str | None = None) -> str:
+    """Name of a fresh folder below ``shared`` or else the session's ``spark.checkpoint.dir``.
 
-    Only a session without that setting, as in tests, gets a local folder.
+    Driver and executors must both see it. A folder of one machine would lose
+    rows without an error, so there is no default.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="tidemark-")
+    shared = shared or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        raise ValueError("a shared work folder is needed: pass one or set spark.checkpoint.dir")
+    return f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on any file system that Spark can write to."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, shared: str | None = None) -> Iterator[str]:
+    """A work folder that is gone afterwards, also after a failure."""
+    folder = work_folder(spark, shared)
+    try:
+        yield folder
+    finally:
+        remove_folder(spark, folder)
 
 
 def staged(rows: DataFrame, ddl: str, folder: str, *partition_by: str) -> DataFrame:

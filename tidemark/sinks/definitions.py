@@ -10,26 +10,33 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators.pick import first_per
 
 RUNS = f"{schemas.DEFINITIONS}, run BIGINT"
 
 
-def write_version(local_files: DataFrame, fetched: DataFrame, dest: str) -> DataFrame:
+def current_files(local_files: DataFrame) -> DataFrame:
+    """One row per path: the last run's where there are runs; else a repeated path is an error."""
+    if "run" in local_files.columns:
+        return latest_definitions(local_files)
+    twice = local_files.groupBy("path").count().filter("count > 1").select("path").head()
+    if twice is not None:
+        raise ValueError(f"{twice['path']} is there twice: the synced set has one row per path")
+    return schemas.conform(local_files, schemas.DEFINITIONS)
+
+
+def write_version(local_files: DataFrame, writes: DataFrame, fetched: DataFrame, dest: str) -> DataFrame:
     """Write the next version of the definitions to a new folder and read it back.
 
-    The fetched files go first, so the plan behind them runs once. Their paths
-    are then read back to pick the local files to carry over: that side is a
-    plain table whose size Spark knows, so it is broadcast while small, and the
-    unchanged files need no shuffle. ``dest`` must not be the folder that
-    ``local_files`` is read from.
+    ``writes`` are the paths of ``fetched``, stored before, so the plan behind
+    them has run. All files are written in one job, which either completes or
+    leaves no version. Unchanged files are picked by an anti-join with the
+    stored paths; while these are few, Spark sends them around and shuffles no
+    text. ``dest`` must not be the folder that ``local_files`` is read from.
     """
     spark = fetched.sparkSession
-    changed = schemas.conform(fetched, schemas.DEFINITIONS)
-    changed.write.mode("errorifexists").partitionBy("kind").parquet(dest)
-    written = spark.read.schema(schemas.DEFINITIONS).parquet(dest).select("path")
-    kept = schemas.conform(local_files, schemas.DEFINITIONS).join(written, "path", "left_anti")
-    kept.write.mode("append").partitionBy("kind").parquet(dest)
+    kept = schemas.conform(local_files, schemas.DEFINITIONS).join(writes.select("path"), "path", "left_anti")
+    files = schemas.conform(fetched, schemas.DEFINITIONS).unionByName(schemas.conform(kept, schemas.DEFINITIONS))
+    files.write.mode("errorifexists").partitionBy("kind").parquet(dest)
     return spark.read.schema(schemas.DEFINITIONS).parquet(dest)
 
 
@@ -44,25 +51,46 @@ def append_run(fetched: DataFrame, location: str, run: int) -> None:
 
 
 def read_runs(spark: SparkSession, location: str, before: int | None = None) -> DataFrame:
-    """All rows of a table of runs, or of those before a run.
+    """All rows of a table of runs, or of those before a run; none if there is no table yet.
 
     Several rows may have one path. As ``local_files`` of a plan they will do
     as they are, since a plan only asks which paths exist.
     """
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], RUNS)
     runs = spark.read.schema(RUNS).parquet(location)
     return runs if before is None else runs.filter(F.col("run") < before)
 
 
+def accepted(spark: SparkSession, location: str, run: int, at: str) -> DataFrame:
+    """Commits of the paths that a run wrote, as of the time ``at`` at which it was accepted.
+
+    With these among the ``commits``, a later run fetches a file again once its
+    source has changed after that time, instead of warning about it.
+    """
+    written = read_runs(spark, location).filter(F.col("run") == run)
+    return written.select("path", F.lit(at).cast("timestamp").alias("commit_ts"))
+
+
 def latest_definitions(runs: DataFrame) -> DataFrame:
-    """The synced set after the given runs: the last row of each path."""
-    return schemas.conform(first_per(runs, "path", F.col("run").desc()), schemas.DEFINITIONS)
+    """The synced set after the given runs: the last row of each path.
+
+    The last run of a path is found on narrow rows; texts are only joined.
+    """
+    last = runs.groupBy("path").agg(F.max("run").alias("run"))
+    return schemas.conform(runs.join(last, ["path", "run"]), schemas.DEFINITIONS)
 
 
 def write_files(definitions: DataFrame, root: str) -> None:
     """Write each definition as a text file below ``root``, a folder all executors share.
 
     A file appears whole under its name, so a task that runs twice does no harm.
+    Object stores have no such folder: there the versions are the files' home,
+    and a root with a scheme is refused.
     """
+    if "://" in root:
+        raise ValueError(f"{root} is not a mounted folder; text files can only be written to one")
     base = os.path.abspath(root)
 
     def write(rows: Iterable[Row]) -> None:
