@@ -39,37 +39,48 @@ def line_key(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and size of a segment of a line; the last segments take the remainder."""
-    base = F.floor(length / (edits + 1)).cast("int")
-    short = edits + 1 - F.pmod(length, F.lit(edits + 1))
-    start = 1 + (number - 1) * base + F.greatest(F.lit(0), F.lit(number - 1) - short)
-    return start.cast("int"), (base + F.when(F.lit(number) > short, 1).otherwise(0)).cast("int")
+def probes(edits: int) -> list[tuple[int, int, int]]:
+    """``shorter, number, shift``: where a line has to look for segments of lines that much shorter.
+
+    Of segments that match, one has at most as many edits before it as segments,
+    and the same from the right; that bounds its shift from both sides.
+    """
+    return [
+        (shorter, number, shift)
+        for shorter in range(edits + 1)
+        for number in range(1, edits + 2)
+        for shift in range(
+            max(1 - number, shorter - (edits + 1 - number)), min(number - 1, shorter + (edits + 1 - number)) + 1
+        )
+    ]
 
 
 def segment_rows(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """``key, id, indexed``: the keys under which a line is indexed and probes."""
+    """``key, id, indexed``: the keys under which a line is indexed and probes.
+
+    A key is the hash of a substring, of the length of the line it could be a
+    segment of, and of the segment's number. The last segments of a line take
+    the remainder of its length.
+    """
     lines = lines.select(F.xxhash64("line").alias("id"), "line", F.char_length("line").alias("size")).where(
         F.col("size") >= min_chars
     )
-    keys = []
-    for shorter in range(edits + 1):
-        other = F.col("size") - shorter
-        for number in range(1, edits + 2):
-            start, size = segment(other, number, edits)
-            low = max(1 - number, shorter - (edits + 1 - number))
-            high = min(number - 1, shorter + (edits + 1 - number))
-            for shift in range(low, high + 1):
-                own = F.substring("line", start + shift, size)
-                key = F.xxhash64(own, other, F.lit(number))
-                fits = (start + shift >= 1) & (other >= min_chars)
-                keys.append(F.when(fits, F.struct(key.alias("key"), F.lit(shorter == 0 and shift == 0).alias("indexed"))))
-    rows = lines.select("id", F.explode(F.array_compact(F.array(*keys))).alias("s"))
-    return rows.select("s.key", "id", "s.indexed")
+    places = ", ".join(f"named_struct('shorter', {x}, 'number', {n}, 'shift', {y})" for x, n, y in probes(edits))
+    rows = lines.selectExpr("id", "line", "size", f"inline(array({places}))").where(f"size - shorter >= {min_chars}")
+    rows = rows.selectExpr(
+        "*", f"CAST((size - shorter) div {edits + 1} AS INT) AS base", f"{edits + 1} - (size - shorter) % {edits + 1} AS short"
+    )
+    start = "1 + (number - 1) * base + greatest(0, number - 1 - short) + shift"
+    key = f"xxhash64(substring(line, {start}, base + if(number > short, 1, 0)), size - shorter, number)"
+    return rows.selectExpr(f"{key} AS key", "id", "shorter = 0 AND shift = 0 AS indexed")
+
+
+# Texts up to this length are trimmed to the end.
+TRIMMED = (1 << 18) - 1
 
 
 def common_prefix(a: Column, b: Column, length: Column) -> Column:
-    """How many first characters agree, found by halving; for longer texts a lower bound."""
+    """How many first characters agree, found by halving; beyond ``TRIMMED`` a lower bound."""
     steps = F.array(*[F.lit(1 << n) for n in range(17, -1, -1)])
 
     def longer(at: Column, step: Column) -> Column:
@@ -79,6 +90,22 @@ def common_prefix(a: Column, b: Column, length: Column) -> Column:
     return F.aggregate(steps, F.lit(0), longer)
 
 
+def two_edits_possible(a: Column, b: Column, front: Column, m_a: Column, m_b: Column) -> Column:
+    """Whether what is left of two texts between ``front`` and their common end can be two edits apart.
+
+    Both parts begin and end with other characters, so an edit stands at either
+    end, each taking a character of one or both, and nothing lies in between.
+    """
+    takes = ((1, 1), (1, 0), (0, 1))
+    found = F.greatest(m_a, m_b) <= 2
+    for x, y in takes:
+        for v, w in takes:
+            size = m_a - (x + v)
+            inner = F.substring(a, front + 1 + x, size) == F.substring(b, front + 1 + y, size)
+            found = found | ((size >= 0) & (size == m_b - (y + w)) & inner)
+    return found
+
+
 def with_value(value: Column, use) -> Column:
     """``use(value)``, with the value computed once."""
     return F.transform(F.array(value), use)[0]
@@ -143,18 +170,27 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
 
 
 def within(a: Column, b: Column, edits: int) -> Column:
-    """Whether two texts are at most ``edits`` edits apart; what they begin and end with alike is skipped."""
+    """Whether two texts are at most ``edits`` edits apart; what they begin and end with alike is skipped.
+
+    For up to two edits, parts that no two edits can explain are told apart by
+    a few comparisons of strings before the distance is computed.
+    """
     n_a, n_b = F.char_length(a), F.char_length(b)
 
     def middle(cut: Column) -> Column:
+        front, m_a, m_b = cut["front"], n_a - cut["front"] - cut["back"], n_b - cut["front"] - cut["back"]
+
         def letters(text: Column, length: Column) -> Column:
-            part = F.substring(text, cut["front"] + 1, length - cut["front"] - cut["back"])
+            part = F.substring(text, front + 1, length)
             return F.when(part == "", F.array().cast("array<string>")).otherwise(F.split(part, ""))
 
-        return with_value(
-            F.struct(letters(a, n_a).alias("a"), letters(b, n_b).alias("b")),
+        whole = with_value(
+            F.struct(letters(a, m_a).alias("a"), letters(b, m_b).alias("b")),
             lambda m: banded_distance(m["a"], m["b"], edits) <= edits,
         )
+        if edits > 2:
+            return whole
+        return F.when((F.greatest(n_a, n_b) > TRIMMED) | two_edits_possible(a, b, front, m_a, m_b), whole).otherwise(False)
 
     def back(front: Column) -> Column:
         ends = common_prefix(F.reverse(a), F.reverse(b), F.least(n_a, n_b) - front)
