@@ -222,39 +222,46 @@ class Join:
         rows = among(rows, shared.select("key"), "key").groupBy("key", "id").agg(F.max("indexed").alias("indexed"))
         return stored(lookup(rows, shared, "key", "inner"), self.folder, "buckets")
 
-    def linked(self, pairs: DataFrame, name: str) -> DataFrame:
-        """``a``, ``b`` as keys of lines, for those of the pairs of ids that are similar."""
-        pairs = stored(pairs, self.folder, f"{name}-pairs")
-        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), self.folder, f"{name}-ids")
-        texts = among(self.lines.select(F.xxhash64("line").alias("id"), "line"), ids, "id").dropDuplicates(["id", "line"])
-        texts = stored(texts, self.folder, f"{name}-lines")
+    def texts(self, ids: DataFrame, name: str) -> DataFrame:
+        """``id``, ``line`` of the given ids; two lines that share an id both come."""
+        ids = stored(ids.select("id").distinct(), self.folder, f"{name}-ids")
+        lines = among(self.lines.select(F.xxhash64("line").alias("id"), "line"), ids, "id")
+        return stored(lines.dropDuplicates(["id", "line"]), self.folder, f"{name}-lines")
 
-        def side(s: str) -> DataFrame:
-            return texts.select(F.col("id").alias(s), F.col("line").alias(f"line_{s}"))
-
-        both = lookup(lookup(pairs, side("a"), "a", "inner"), side("b"), "b", "inner")
-        both = both.where(within(F.col("line_a"), F.col("line_b"), self.edits))
-        both = both.select("a", "b", line_key(F.col("line_a")).alias("key_a"), line_key(F.col("line_b")).alias("key_b"))
-        return stored(both, self.folder, f"{name}-links")
+    def links(self, pairs: DataFrame, name: str) -> DataFrame:
+        """``a``, ``b`` and the lines' keys, for rows of ``id_a, line_a, id_b, line_b``."""
+        keys = [line_key(F.col(f"line_{s}")).alias(f"key_{s}") for s in "ab"]
+        return stored(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), *keys).distinct(), self.folder, f"{name}-links")
 
     def classes(self) -> DataFrame:
-        """``node``, ``root``: keys of similar lines and the smallest key of their class."""
+        """``node``, ``root``: keys of similar lines and the smallest key of their class.
+
+        First each line is verified against the leader it shares most keys
+        with. Then lines of different classes that share a key are joined; the
+        distance is a condition of that join, so pairs that are not similar are
+        never rows.
+        """
         rows = self.buckets()
         led = rows.where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("shared"))
         best = led.groupBy("id").agg(F.max_by("lead", F.struct("shared", -F.col("lead"))).alias("lead"))
-        links = self.linked(best.select(F.col("lead").alias("a"), F.col("id").alias("b")), "led")
+        lines = self.texts(rows, "shared")
+        mine, leads = lines.withColumnsRenamed({"line": "line_b"}), lines.withColumnsRenamed({"id": "lead", "line": "line_a"})
+        first = lookup(lookup(best, mine, "id", "inner"), leads, "lead", "inner")
+        first = first.where(within(F.col("line_a"), F.col("line_b"), self.edits))
+        links = self.links(first.withColumnsRenamed({"id": "id_b", "lead": "id_a"}), "led")
         known = components(links.select("a", "b"), f"{self.folder}/led")
         label = lookup(rows, known.withColumnRenamed("node", "id"), "id").withColumn("label", F.coalesce("root", "id"))
         spread = label.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).where("_l <> _m").select("key")
-        mixed = stored(lookup(label, spread, "key", "inner").select("key", "id", "indexed", "label"), self.folder, "mixed")
-        mixed = mixed.withColumn("_t", F.xxhash64("key"))
-        x, y = mixed.where("indexed").alias("x"), mixed.alias("y")
-        pairs = x.join(y, ["_t", "key"]).where("x.label <> y.label AND (x.id < y.id OR NOT y.indexed)")
-        pairs = pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-        tried = best.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
-        more = self.linked(pairs.join(tried, ["a", "b"], "left_anti"), "rest")
-        edges = links.unionByName(more).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-        return components(edges, f"{self.folder}/all")
+        mixed = lookup(label, spread, "key", "inner").select("key", "id", "indexed", "label")
+        mixed = stored(lookup(mixed, lines, "id", "inner"), self.folder, "mixed").withColumn("_t", F.xxhash64("key"))
+
+        def side(s: str) -> DataFrame:
+            return mixed.select("_t", "key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "indexed", "label", "line")])
+
+        apart = "indexed_a AND label_a <> label_b AND (id_a < id_b OR NOT indexed_b)"
+        near = F.expr(apart) & within(F.col("line_a"), F.col("line_b"), self.edits)
+        edges = links.unionByName(self.links(side("a").join(side("b"), ["_t", "key"]).where(near), "rest"))
+        return components(edges.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")), f"{self.folder}/all")
 
 
 def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, folder: str | None = None) -> DataFrame:
