@@ -558,3 +558,41 @@ SELECT source || '/views/doc_' || doc_id || '.sql' AS path, text || chr(13) || c
 ORACLES["fetch_model"] = "SELECT *, 'out/proj/data/customer.csv' AS dest FROM customer"
 ORACLES["list_saved_damaged"] = f"""
 SELECT 'query ' || conv_id AS name, text AS sql FROM ({SAVED}) WHERE conv_id % 3 <> 0"""
+
+# Whole texts of the files that a run over the catalog writes.
+EVENT_TITLE = f"'name: ' || name || {NL} || 'description: ' || {json_quote('description')} || {NL}"
+EVENT_TIMES = f"{line('created', 'created')} || 'modified: ' || modified || {NL} || {line('region', 'region')}"
+EVENT_ROWS = f"'row_count: ' || row_count || {NL}"
+EVENT_STORAGE = f"""{line("partitioning", "partitioning")}
+  || {line("clustering", "'[' || replace(clustering, '|', ', ') || ']'")} || {line("primary_keys", "'[' || primary_keys || ']'")}
+  || {line("total_logical_bytes", f"CASE WHEN total_logical_bytes IS NOT NULL THEN {humanize('total_logical_bytes')} END")}"""
+EVENT_URIS = f"""'source_uris:' || {NL} || CASE WHEN source_uris = '' THEN ''
+  ELSE '  - ' || replace(source_uris, '|', {NL} || '  - ') || {NL} END"""
+ORACLES["pull_contents"] = f"""
+WITH e AS (SELECT *, event_type IN ('view', 'click') AND value < 20 AS on_disk,
+    {IN_SCOPE} AND (event_type = 'purchase' OR value >= 20 OR (value < 10
+      AND CASE WHEN user_id % 5 <> 0 THEN ts ELSE {EPOCH} END > date_trunc('hour', ts))) AS fetched
+  FROM ({EVENT}) WHERE event_type IN ('view', 'click', 'purchase')),
+r AS (SELECT * FROM ({ROUTINE}) WHERE {IN_SCOPE})
+SELECT '{ROOT}/' || dataset || CASE event_type WHEN 'view' THEN '/views/' || name || '.sql'
+    ELSE '/models/' || name || '.yaml' END AS path,
+  CASE WHEN NOT fetched THEN 'old' WHEN event_type = 'view' THEN sql
+    WHEN event_type = 'click' THEN {EVENT_TITLE} || {EVENT_ROWS} || {EVENT_TIMES} || {EVENT_STORAGE} || schema
+    ELSE {EVENT_TITLE} || 'source_format: ' || source_format || {NL} || {EVENT_URIS} || {EVENT_TIMES}
+      || {EVENT_ROWS} || {EVENT_STORAGE} || schema END AS content
+FROM e WHERE on_disk OR fetched
+UNION ALL
+SELECT '{ROOT}/' || dataset || '/models/' || name || '.yaml',
+  {EVENT_TITLE} || 'type: VIEW' || {NL} || {EVENT_TIMES} || schema
+FROM e WHERE event_type = 'view' AND fetched
+UNION ALL
+SELECT '{ROOT}/' || dataset || '/routines/' || name || '.sql',
+  '-- Routine: ' || name || {NL} || '-- Language: ' || language || {NL} || {NL} || sql FROM r
+UNION ALL
+SELECT '{ROOT}/' || dataset || '/models/' || name || '.yaml', {ROUTINE_YAML} FROM r
+UNION ALL
+SELECT '{ROOT}/scheduled_queries/' || name || '.sql', '-- Scheduled Query: ' || name || {NL} || '-- Schedule: '
+  || arg_min(schedule, seq) || {NL} || {NL} || arg_min(sql, seq) FROM ({SCHEDULED}) GROUP BY name
+UNION ALL
+SELECT '{ROOT}/saved_queries/query ' || conv_id || '.sql',
+  '-- Saved Query: query ' || conv_id || {NL} || {NL} || text FROM ({SAVED})"""

@@ -406,6 +406,13 @@ def pull_version(t: Tables) -> DataFrame:
     return flags(whole_run(t, S.event_worktree(t), f"{work_folder(t.spark, shared_folder(t.spark))}/version"))
 
 
+@query
+def pull_contents(t: Tables) -> DataFrame:
+    """The whole texts of that version."""
+    folder = work_folder(t.spark, shared_folder(t.spark))
+    return whole_run(t, S.event_worktree(t), f"{folder}/version").select("path", "content")
+
+
 @query
 def pull_runs(t: Tables) -> DataFrame:
     """The same run, added to a table of runs."""
