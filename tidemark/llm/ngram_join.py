@@ -3,8 +3,9 @@
 Sets that are at least 75 % alike share a token among their first ones in *any*
 order of all tokens: of n tokens the first n - ceil(0.75 n) + 1 will do. The
 first order puts frequent tokens last and hashes the rest; its prefixes are the
-rows that are shuffled by token. Pairs that meet there must meet under two more
-orders as well, and only then are whole sets compared.
+rows that are shuffled by token. Pairs that meet there must leave room for enough
+common tokens by the parities of their sets, must meet under two more orders as
+well, and only then are whole sets compared.
 
 Groups of copies stay linear. Equal sets are one node. Each node is first
 compared with one leader, the smallest node of the buckets it shares most often;
@@ -70,6 +71,17 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(scrambled(rolled))
 
 
+def parities(own: np.ndarray) -> np.ndarray:
+    """A bit string of four to eight bits per token: which places an odd number of tokens falls on.
+
+    It differs between two sets in no more bits than there are tokens in only
+    one of them, which bounds what they share from above.
+    """
+    size = max(64, 4 << int(max(len(own) - 1, 1)).bit_length())
+    odd = np.bincount((scrambled(own, 9) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -79,7 +91,7 @@ def signed(values: np.ndarray) -> pa.Array:
 
 
 def set_rows(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, node, n`` per document; ``node`` is a hash of the set."""
+    """``doc_id, node, n, bits`` per document; ``node`` is a hash of the set, ``bits`` its parities."""
     rows = docs.select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,10 +99,17 @@ def set_rows(docs: DataFrame, size: int) -> DataFrame:
             own = [shingles(text.as_py(), size) for text in batch.column(1)]
             nodes = np.array([xxhash.xxh64_intdigest(o.tobytes()) for o in own], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), signed(nodes), pa.array([len(o) for o in own], pa.int64())], ["doc_id", "node", "n"]
+                [
+                    batch.column(0),
+                    signed(nodes),
+                    pa.array([len(o) for o in own], pa.int64()),
+                    pa.array([parities(o) for o in own], pa.list_(pa.int64())),
+                ],
+                ["doc_id", "node", "n", "bits"],
             )
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node BIGINT, n BIGINT")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, node BIGINT, n BIGINT, bits ARRAY<BIGINT>")
 
 
 def shingle_counts(docs: DataFrame, size: int) -> DataFrame:
@@ -229,9 +248,23 @@ class Join:
         rows = rows.withColumn("lead", lead).withColumn("_n", F.count("*").over(own)).where("_n > 1").drop("_n")
         return stored(rows, self.folder, "buckets")
 
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``a``, ``b`` whose parities leave room for enough common tokens."""
+        sets = self.facts.dropDuplicates(["node"])
+        for s in "ab":
+            side = sets.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}"))
+            pairs = lookup(pairs, side, s, "inner")
+        # Sizes are powers of two; a longer one is folded to the shorter one.
+        folded = """transform(sequence(1, least(size(bits_a), size(bits_b))), i -> bit_count(
+            aggregate(sequence(i, size(bits_a), least(size(bits_a), size(bits_b))), 0L, (x, k) -> x ^ bits_a[k - 1])
+            ^ aggregate(sequence(i, size(bits_b), least(size(bits_a), size(bits_b))), 0L, (x, k) -> x ^ bits_b[k - 1])))"""
+        apart = f"aggregate({folded}, 0L, (x, n) -> x + n)"
+        room = f"{100 + self.percent} * (n_a + n_b - {apart}) >= {2 * self.percent} * (n_a + n_b)"
+        return pairs.where(room).select("a", "b")
+
     def linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of the pairs ``a``, ``b`` that pass all orders and reach the threshold."""
-        pairs = stored(pairs, self.folder, f"{name}-pairs")
+        pairs = stored(self.possible(pairs), self.folder, f"{name}-pairs")
         first = self.facts.where("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
         sides = pairs.select(
             "a", "b", F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("node")) for s in "ab"])).alias("s")
