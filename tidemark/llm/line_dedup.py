@@ -31,7 +31,9 @@ def line_rows(docs: DataFrame) -> DataFrame:
 
     ``version`` is a hash of the text: rows with one id and text are one document.
     """
-    lines = docs.select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("version"), F.split("text", "\n").alias("lines"))
+    # The outer form spares a filter that would split the text once more; null texts go with empty lines.
+    lines = texts.select("doc_id", "version", F.posexplode_outer("lines").alias("place", "line"))
     return lines.withColumn("line", F.btrim("line", F.lit(SPACE))).where("line <> ''")
 
 
@@ -274,10 +276,10 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     folder = folder or fresh_folder(docs.sparkSession)
     lines = line_rows(docs)
     classes = Join(lines, edits, min_chars, folder).classes()
-    seen = lines.select("doc_id", "version", "place", line_key(F.col("line")).alias("node"))
+    seen = stored(lines.select("doc_id", "version", "place", line_key(F.col("line")).alias("node")), folder, "seen")
     at = F.struct("doc_id", "version", "place")
     firsts = seen.groupBy("node").agg(F.min(at).alias("first"))
-    firsts = lookup(firsts, classes, "node")
+    firsts = stored(lookup(firsts, classes, "node"), folder, "firsts")
     shared = firsts.where("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("least"))
     firsts = firsts.where("root IS NULL").select("node", "first").unionByName(
         lookup(firsts.where("root IS NOT NULL"), shared, "root").select("node", F.col("least").alias("first"))
