@@ -64,16 +64,18 @@ def segment_rows(lines: DataFrame, edits: int, min_chars: int) -> DataFrame:
     segment of, and of the segment's number. The last segments of a line take
     the remainder of its length.
     """
-    lines = lines.select(F.xxhash64("line").alias("id"), "line", F.char_length("line").alias("size")).where(
-        F.col("size") >= min_chars
-    )
+    lines = lines.selectExpr("xxhash64(line) AS id", "line", "char_length(line) AS size").where(f"size >= {min_chars}")
+    # Characters of one byte each are found without walking through the line; the bytes hash alike.
+    lines = lines.selectExpr("id", "line", "size", "if(octet_length(line) = size, CAST(line AS BINARY), NULL) AS ascii")
     places = ", ".join(f"named_struct('shorter', {x}, 'number', {n}, 'shift', {y})" for x, n, y in probes(edits))
-    rows = lines.selectExpr("id", "line", "size", f"inline(array({places}))").where(f"size - shorter >= {min_chars}")
+    rows = lines.selectExpr("id", "line", "ascii", "size", f"inline(array({places}))").where(f"size - shorter >= {min_chars}")
     rows = rows.selectExpr(
         "*", f"CAST((size - shorter) div {edits + 1} AS INT) AS base", f"{edits + 1} - (size - shorter) % {edits + 1} AS short"
     )
     start = "1 + (number - 1) * base + greatest(0, number - 1 - short) + shift"
-    key = f"xxhash64(substring(line, {start}, base + if(number > short, 1, 0)), size - shorter, number)"
+    cut = f"{start}, base + if(number > short, 1, 0)"
+    own = f"if(ascii IS NULL, CAST(substring(line, {cut}) AS BINARY), substring(ascii, {cut}))"
+    key = f"xxhash64({own}, size - shorter, number)"
     return rows.selectExpr(f"{key} AS key", "id", "shorter = 0 AND shift = 0 AS indexed")
 
 
@@ -171,10 +173,23 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return F.when(n_b == 0, n_a).when(n_a == 0, n_b).otherwise(whole)
 
 
+def pieces_recur(a: Column, b: Column, edits: int) -> Column:
+    """Whether all but ``edits`` of some equal pieces of a text stand in the other one, near their place."""
+    pieces = 4 * edits
+    size = F.call_function("div", F.char_length(a), F.lit(pieces)).cast("int")
+    found = F.lit(0)
+    for number in range(pieces):
+        start = size * number + 1
+        low = F.greatest(start - edits, F.lit(1))
+        there = F.contains(F.substring(b, low, start + size + edits - low), F.substring(a, start, size))
+        found = found + F.when(there, 1).otherwise(0)
+    return found >= pieces - edits
+
+
 def within(a: Column, b: Column, edits: int) -> Column:
     """Whether two texts are at most ``edits`` edits apart; what they begin and end with alike is skipped.
 
-    For up to two edits, parts that no two edits can explain are told apart by
+    Texts of which too many pieces are missing are left out first. For up to two edits, parts that no two edits can explain are told apart by
     a few comparisons of strings before the distance is computed.
     """
     n_a, n_b = F.char_length(a), F.char_length(b)
@@ -198,7 +213,8 @@ def within(a: Column, b: Column, edits: int) -> Column:
         ends = common_prefix(F.reverse(a), F.reverse(b), F.least(n_a, n_b) - front)
         return with_value(F.struct(front.alias("front"), ends.alias("back")), middle)
 
-    return F.when(F.abs(n_a - n_b) <= edits, with_value(common_prefix(a, b, F.least(n_a, n_b)), back)).otherwise(False)
+    near = (F.abs(n_a - n_b) <= edits) & pieces_recur(a, b, edits)
+    return F.when(near, with_value(common_prefix(a, b, F.least(n_a, n_b)), back)).otherwise(False)
 
 
 def among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
