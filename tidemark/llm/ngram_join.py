@@ -15,7 +15,8 @@ are looked at. No link between classes is lost, and none within one is needed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, fresh_folder, stored
+from tidemark.llm.common import SPACE, components, fresh_folder, stored
 from tidemark.operators.pick import lookup
 
 SHINGLE = 5
 PERCENT = 75
-# Of the 64-bit hashes the lower third is counted, over all documents. Prefixes begin there, and a
+# Of the 64-bit hashes the lower two thirds are counted, over all documents. Prefixes begin there, and a
 # pair's first common token lies in the first seventh of the smaller set.
-COUNTED_BELOW = (1 << 64) // 3
+COUNTED_BELOW = (1 << 64) // 3 * 2
 # A task sums up so many shingles before it passes them on.
 RUN_SHINGLES = 1 << 21
 FREQUENT_LEAST = 4
@@ -42,9 +43,14 @@ OUT_ROWS = 512
 # So many sides of pairs (at most 40 MB) are sent to all executors, more are shuffled.
 BROADCAST_ROWS = 1 << 19
 
-_CACHE: dict[bytes, int] = {}
-_CACHE_WORDS = 1 << 18
+# Texts are hashed together up to so many bytes.
+CHUNK_BYTES = 1 << 18
+PIECE_BYTES = 1 << 20
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_IS_WORD = np.ones(256, bool)
+_IS_WORD[list(SPACE.encode())] = False
 
 
 def scrambled(values: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -55,20 +61,76 @@ def scrambled(values: np.ndarray, seed: int = 0) -> np.ndarray:
     return out ^ (out >> np.uint64(31))
 
 
-def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's word shingles; of fewer words, one of them all."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(_CACHE) > _CACHE_WORDS:
-        _CACHE.clear()
-    get, put = _CACHE.get, _CACHE.setdefault
-    ids = np.fromiter((get(w) or put(w, xxhash.xxh64_intdigest(w)) for w in words), np.uint64, len(words))
-    width = min(size, len(words))
-    rolled = np.full(len(words) - width + 1, width, np.uint64)
-    for shift in range(width):
-        rolled = rolled * _MULTIPLIER + ids[shift : len(ids) - width + 1 + shift]
-    return np.unique(scrambled(rolled))
+@functools.cache
+def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse."""
+    out = []
+    for base in (_MULTIPLIER, _INVERSE):
+        row = np.full(count, base, np.uint64)
+        row[0] = 1
+        out.append(np.multiply.accumulate(row))
+    return out[0], out[1]
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of each word: a polynomial of its bytes, scrambled with its length.
+
+    Long texts are halved between words.
+    """
+    codes = np.frombuffer(data, np.uint8)
+    if len(data) > PIECE_BYTES:
+        gaps = np.flatnonzero(~_IS_WORD[codes])
+        cut = gaps[min(np.searchsorted(gaps, len(data) // 2), len(gaps) - 1)] if len(gaps) else 0
+        if 0 < cut:
+            front, rest = word_hashes(data[:cut]), word_hashes(data[cut + 1 :])
+            return np.concatenate((front[0], rest[0] + cut + 1)), np.concatenate((front[1], rest[1]))
+    edges = np.flatnonzero(np.diff(_IS_WORD[codes], prepend=False, append=False))
+    start, end = edges[::2], edges[1::2]
+    power, inverse = powers(1 << max(20, len(data).bit_length()))
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power[: len(codes)], out=sums[1:])
+    own = (sums[end] - sums[start]) * inverse[start]
+    return start, scrambled(own + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def shingles_of(texts: Sequence[str | None], size: int = SHINGLE) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its word shingles; of fewer words, one of them all."""
+    held: list[bytes] = []
+    count = 0
+    for at, text in enumerate(texts):
+        held.append((text or "").encode().lower())
+        count += len(held[-1]) + 1
+        if count >= CHUNK_BYTES or at == len(texts) - 1:
+            yield from _chunk_shingles(held, size)
+            held, count = [], 0
+
+
+def _chunk_shingles(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
+    start, words = word_hashes(b" ".join(texts))
+    offsets = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    first = np.searchsorted(start, offsets)
+    rolled = np.full(max(len(words) - size + 1, 0), size, np.uint64)
+    for shift in range(size):
+        rolled = rolled * _MULTIPLIER + words[shift : shift + len(rolled)]
+    rolled = scrambled(rolled)
+    for begin, end in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if end - begin >= size:
+            yield distinct(rolled[begin : end - size + 1])
+        elif end == begin:
+            yield np.empty(0, np.uint64)
+        else:
+            whole = np.full(1, end - begin, np.uint64)
+            for word in words[begin:end]:
+                whole = whole * _MULTIPLIER + word
+            yield scrambled(whole)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    ordered = np.sort(values)
+    fresh = np.empty(len(ordered), bool)
+    fresh[0] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=fresh[1:])
+    return ordered[fresh]
 
 
 def parities(own: np.ndarray) -> np.ndarray:
@@ -96,7 +158,7 @@ def set_rows(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [shingles(text.as_py(), size) for text in batch.column(1)]
+            own = list(shingles_of(batch.column(1).to_pylist(), size))
             nodes = np.array([xxhash.xxh64_intdigest(o.tobytes()) for o in own], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -125,9 +187,8 @@ def shingle_counts(docs: DataFrame, size: int) -> DataFrame:
 
         count = 0
         for batch in batches:
-            for text in batch.column(0):
-                own = shingles(text.as_py(), size)
-                held.append(own[: np.searchsorted(own, np.uint64(COUNTED_BELOW))])
+            for own in shingles_of(batch.column(0).to_pylist(), size):
+                held.append(own[: np.searchsorted(own, np.uint64(COUNTED_BELOW))].copy())
                 count += len(held[-1])
                 if count >= RUN_SHINGLES:
                     count = 0
@@ -165,8 +226,7 @@ def prefix_rows(docs: DataFrame, orders, size: int, percent: int) -> DataFrame:
         order = orders.value
         for batch in batches:
             parts, nodes, sizes, done = [], [], [], set()
-            for text in batch.column(0):
-                own = shingles(text.as_py(), size)
+            for own in shingles_of(batch.column(0).to_pylist(), size):
                 node = xxhash.xxh64_intdigest(own.tobytes())
                 if len(own) and node not in done:
                     done.add(node)
@@ -197,7 +257,7 @@ def whole_sets(texts: DataFrame, orders, size: int, percent: int) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, OUT_ROWS):
                 batch = whole.slice(start, OUT_ROWS)
-                own = [shingles(text.as_py(), size) for text in batch.column(3)]
+                own = list(shingles_of(batch.column(3).to_pylist(), size))
                 # Rows that share an id may hold other texts.
                 node = np.array([xxhash.xxh64_intdigest(o.tobytes()) for o in own], np.uint64).view(np.int64)
                 wanted = pc.if_else(pc.equal(batch.column(2), "a"), batch.column(0), batch.column(1)).to_numpy()
