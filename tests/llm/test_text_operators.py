@@ -249,3 +249,45 @@ def test_model_on_held_out_words():
         mixer.train(counts.tables, train, np.ones(len(train)))
     bits = -mixer.log10(counts.tables, test).sum() * math.log2(10) / sum(len(w) + 1 for w in test)
     assert bits < 2.5
+
+
+def test_contexts_keep_their_own_counts():
+    """Among so many words that a fixed table would share its slots, every context has the counts of a plain dictionary."""
+    import numpy as np
+
+    rnd = random.Random(8)
+    words = list({bytes(rnd.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(60_000)})
+    often = np.array([rnd.randrange(1, 5) for _ in words])
+    plain = Counter()
+    for word, n in zip(words, often.tolist(), strict=True):
+        for at, byte in enumerate(word + b" "):
+            for bits in range(9):
+                plain[word[:at], bits, byte >> (8 - bits)] += n
+    assert len(plain) > 1 << 20
+    counts = context_mix.Counts()
+    counts.add(words[:40_000], often[:40_000])
+    counts.add(words[40_000:], often[40_000:])
+    asked = [*words[:300], *[w[::-1] for w in words[:300]]]
+    data, _, hashes = context_mix.contexts(asked)
+    whole = counts.tables.totals(context_mix.keys_of(data, hashes))[:, -1]
+    spots = [(w[:at], byte) for w in asked for at, byte in enumerate(w + b" ")]
+    for place in range(9):
+        assert whole[place].tolist() == [plain[before, place, byte >> (8 - place)] for before, byte in spots]
+
+
+@pytest.mark.parametrize("shard_words", [7, 100_000])
+def test_shards_find_the_counts_of_all_words(spark, monkeypatch, shard_words):
+    import numpy as np
+
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcé") for _ in range(rnd.randrange(1, 7))) for _ in range(80)]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(6))) for i in range(40)]
+    monkeypatch.setattr(lm_score, "trained_mixer", lambda *_: context_mix.Mixer())
+    got = lm_score.score(docs_of(spark, rows), block_tokens=50, shard_words=shard_words).collect()
+    tokens = {i: [*t.encode().split(), context_mix.END_OF_TEXT] for i, t in rows}
+    seen = Counter(w for i, ws in tokens.items() if not lm_score.is_held_out(i) for w in ws)
+    counts = context_mix.Counts()
+    counts.add(list(seen), np.array(list(seen.values())))
+    for r in got:
+        want = context_mix.Mixer().log10(counts.tables, tokens[r["doc_id"]]).sum()
+        assert r["score"] == pytest.approx(want, abs=1e-6)
