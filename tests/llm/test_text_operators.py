@@ -110,6 +110,17 @@ def test_host_decides_unmarked_pages(spark):
         assert got[i]["text"].startswith(NOTICE)
 
 
+def test_host_decides_what_stands_beside_an_article(spark):
+    def body(i):
+        own = " ".join(f"{w}{i}" for w in WORDS)
+        return page(f"<div>{NOTICE}</div><div>Before {own}</div><article><p>Main {own}</p></article><div>After {own}</div><nav>n</nav>")
+
+    got = extracted(spark, [(i, f"http://h/{i}", body(i)) for i in range(3)])
+    for i in range(3):
+        own = " ".join(f"{w}{i}" for w in WORDS)
+        assert got[i]["text"] == f"Before {own}\n\nMain {own}\n\nAfter {own}" and got[i]["by_host"]
+
+
 def test_repeated_rows_repeat_nothing_and_empty_pages(spark):
     html = page(f"<div>{NOTICE}</div>")
     got = extracted(spark, [(1, "http://h/1", html), (1, "http://h/1", html), (2, "http://h/2", None), (3, "u", ""), (4, "http://h/4", page("<nav>m</nav>"))])
