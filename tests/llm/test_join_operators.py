@@ -230,6 +230,19 @@ def test_archive_small_payloads_and_damage(spark, tmp_path):
     assert warc.read_index(spark, folder).count() == 0
 
 
+def test_index_is_of_rebuilt_records(spark, tmp_path):
+    """A header that states another length of its block than the rebuilt record has is an error in the index too."""
+    pages = spark.createDataFrame([(1, "u", "abc"), (2, "v", "abc")], "page_id BIGINT, url STRING, html STRING")
+    folder = warc.write_archive(pages, str(tmp_path / "l"))
+    assert warc.read_index(spark, folder).count() == 2
+    heads = spark.read.parquet(f"{folder}/headers").where("page_id = 2")
+    bad = heads.withColumn("page_id", F.lit(9).cast("long")).withColumn("header", F.replace("header", F.lit("Length: 3"), F.lit("Length: 4")))
+    bad.write.mode("append").parquet(f"{folder}/headers")
+    for read in (warc.read_index, warc.read_records):
+        with pytest.raises(Exception, match="damaged record of page 9"):
+            read(spark, folder).collect()
+
+
 # --- URLs ---------------------------------------------------------------------------------
 
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/")]

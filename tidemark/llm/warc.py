@@ -90,38 +90,46 @@ def read_headers(spark: SparkSession, folder: str) -> DataFrame:
         "header",
         field("WARC-Type").alias("record_type"),
         field("WARC-Payload-Digest").alias("stated_digest"),
+        field("Content-Length").cast("long").alias("stated_length"),
         F.nullif(number, F.lit("")).cast("long").alias("refers_to"),
     )
 
 
-def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    """``page_id``, ``record_type``, ``payload`` and ``record``: each original record, byte for byte.
+def rebuilt(spark: SparkSession, folder: str) -> DataFrame:
+    """The headers' fields, ``payload``, its size and digest, and ``record``: each original record, byte for byte.
 
-    A revisit record has no block of its own; ``payload`` still is the page's.
+    Each payload is hashed once, however many records share it. A record
+    without its payload, or whose header states another digest or length of
+    its block, is an error.
     """
-    rows = lookup(read_headers(spark, folder), read_payloads(spark, folder), "key")
+    facts = read_payloads(spark, folder).select(
+        "key",
+        "payload",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        base32_sha1(F.col("payload")).alias("payload_digest"),
+    )
+    rows = lookup(read_headers(spark, folder), facts, "key")
     block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.encode(F.lit(""), "UTF-8"))
     end = F.encode(F.lit("\r\n\r\n"), "UTF-8")
     record = F.concat(F.encode("header", "UTF-8"), end, block, end)
-    return rows.select("page_id", "record_type", "refers_to", "payload", record.alias("record"))
+    rows = rows.withColumn("record", record)
+    rest = F.octet_length("record") - F.octet_length(F.encode("header", "UTF-8")) - 8
+    good = F.col("stated_digest").eqNullSafe(F.concat(F.lit("sha1:"), F.col("payload_digest")))
+    good = good & F.col("stated_length").eqNullSafe(rest.cast("long"))
+    wrong = F.raise_error(F.concat(F.lit("damaged record of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("none"))))
+    return rows.withColumn("payload_digest", F.when(good, F.col("payload_digest")).otherwise(wrong.cast("string")))
 
 
-def read_index(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per record: id, payload size and digest of the bytes as read back, type and reference.
+def read_records(spark: SparkSession, folder: str) -> DataFrame:
+    """``page_id``, ``record_type``, ``payload`` and ``record``: each original record, byte for byte.
 
-    Each payload is hashed once, however many records share it, and a header
-    that states another digest is an error.
+    A revisit record has no block of its own; ``payload`` still is the page's.
     """
-    facts = read_payloads(spark, folder).select(
-        "key", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest")
-    )
-    rows = lookup(read_headers(spark, folder), facts, "key")
-    wrong = F.raise_error(F.concat(F.lit("damaged record of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("none"))))
-    good = F.col("stated_digest").eqNullSafe(F.concat(F.lit("sha1:"), F.col("payload_digest")))
-    return rows.select(
-        "page_id",
-        "payload_bytes",
-        F.when(good, F.col("payload_digest")).otherwise(wrong.cast("string")).alias("payload_digest"),
-        "record_type",
-        "refers_to",
-    )
+    # The digest is asked for so that a damaged record is not returned.
+    rows = rebuilt(spark, folder).where("payload_digest IS NOT NULL")
+    return rows.select("page_id", "record_type", "refers_to", "payload", "record")
+
+
+def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per record that was rebuilt: id, payload size and digest of the bytes as read back, type and reference."""
+    return rebuilt(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
