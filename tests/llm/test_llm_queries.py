@@ -13,7 +13,7 @@ from tidemark.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents pages benchmark labels conversations"
-NATIVE = ["op3_line_dedup", "op4_mix", "op9_url_filter"]
+NATIVE = ["op3_line_dedup", "op4_mix", "op9_url_filter", "op13_pii"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -28,7 +28,7 @@ def test_oracle(spark, name):
 
 
 def test_all_numbers_are_there():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", NATIVE)

@@ -189,3 +189,125 @@ reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN l
 SELECT doc_id, coalesce((SELECT n FROM sizes WHERE sizes.r = rows.r), 0) AS n_shingles,
        least(doc_id, (SELECT min(o.doc_id) FROM reach JOIN rows o ON reach.b = o.r WHERE reach.a = rows.r)) AS component_id
 FROM rows"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text, bit by bit."""
+    bit = "lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    byte = f"lambda crc, c: list_reduce(range(8), {bit}, xor(crc, c))"
+    codes = f"list_transform(string_split({text}, ''), lambda c: unicode(c)::BIGINT)"
+    return f"xor(list_reduce({codes}, {byte}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+def _leaf(text: str) -> str:
+    fields = [f"CAST({name} AS VARCHAR)" for name in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in fields) + ")"
+
+
+ORACLES["op11_merkle"] = f"""
+WITH RECURSIVE leaf AS (
+  SELECT doc_id, source, coalesce('s' || source, 'n') AS tree, row_number() OVER () AS r,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS slot, count(*) OVER (PARTITION BY source) AS n,
+         {_leaf("text")} AS digest,
+         CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0
+              THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS forged
+  FROM documents),
+nodes AS (
+  SELECT tree, 0 AS level, slot, digest, n FROM leaf
+  UNION ALL
+  SELECT tree, level + 1, slot // 16, sha256(string_agg(digest, '' ORDER BY slot)), (max(n) + 15) // 16
+  FROM nodes WHERE n > 1 GROUP BY tree, level, slot // 16),
+subroots AS (
+  SELECT tree, level, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS slot, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper AS (
+  SELECT '' AS tree, 0 AS level, slot, digest, n FROM subroots
+  UNION ALL
+  SELECT tree, level + 1, slot // 16, sha256(string_agg(digest, '' ORDER BY slot)), (max(n) + 15) // 16
+  FROM upper WHERE n > 1 GROUP BY tree, level, slot // 16),
+runs AS (
+  SELECT tree, level, slot // 16 AS run, list(digest ORDER BY slot) AS kids
+  FROM (FROM nodes UNION ALL FROM upper) WHERE n > 1 GROUP BY tree, level, slot // 16),
+walk AS (
+  SELECT r, tree, 0 AS level, slot, '' AS proof, coalesce(forged, digest) AS node FROM leaf
+  UNION ALL
+  SELECT r, w.tree, w.level + 1, w.slot // 16,
+         proof || array_to_string(kids[:slot % 16], '') || array_to_string(kids[slot % 16 + 2:], ''),
+         sha256(array_to_string(kids[:slot % 16], '') || node || array_to_string(kids[slot % 16 + 2:], ''))
+  FROM walk w JOIN runs ON w.tree = runs.tree AND w.level = runs.level AND w.slot // 16 = runs.run),
+climb AS (
+  SELECT r, '' AS tree, 0 AS level, s.slot, proof, node, s.digest AS subroot
+  FROM walk JOIN subroots s ON walk.tree = s.tree AND walk.level = s.level
+  UNION ALL
+  SELECT r, c.tree, c.level + 1, c.slot // 16,
+         proof || array_to_string(kids[:slot % 16], '') || array_to_string(kids[slot % 16 + 2:], ''),
+         sha256(array_to_string(kids[:slot % 16], '') || node || array_to_string(kids[slot % 16 + 2:], '')), subroot
+  FROM climb c JOIN runs ON c.tree = runs.tree AND c.level = runs.level AND c.slot // 16 = runs.run)
+SELECT doc_id, leaf.digest AS leaf, subroot, u.digest AS root, sha256(proof) AS proof_sha256, node AS folded_root,
+       node = u.digest AS verified, source, leaf.slot AS slot
+FROM climb JOIN leaf USING (r) JOIN upper u ON u.n = 1 AND climb.level = u.level"""
+
+
+def _edit(state: str, cost: str, letter: str, line: str = "") -> str:
+    text = f"{state}.t || CASE WHEN {state}.t = '' THEN '' ELSE chr(10) END || {line}" if line else f"{state}.t"
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {text}}} END"
+
+
+def _best(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _stay(state: str, initial: str) -> str:
+    keep = _edit(state, "extra", "K", "role || ':' || text")
+    name = {"u": "user", "a": "assistant"}.get(initial)
+    options = [f"CASE WHEN NOT must_go AND role[1] = '{initial}' THEN {keep} END"]
+    if name:
+        turn = _edit(state, "1 + extra", "R", f"'{name}:' || text")
+        options.append(f"CASE WHEN NOT must_go THEN {turn} END")
+    return ", ".join(options)
+
+
+_GONE = {s: _edit(s, "2", "D") for s in ("s0", "s1", "s2", "s3")}
+ORACLES["op12_repair"] = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT *, {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS d FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+         CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+         unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM keyed WHERE d <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), encode(text), copy) AS place FROM damaged),
+judged AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS again,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY place) AS role_before,
+         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut
+  FROM placed),
+rows AS (
+  SELECT conv_id, turn, place, role, text, blank, NOT blank AND again AS duplicate, NOT blank AND NOT again AND cut AS truncated,
+         blank OR again AS must_go, CASE WHEN cut THEN 5 ELSE 0 END AS extra,
+         role_before IS NOT NULL AND role_before[1] || role[1] NOT IN ('su', 'ua', 'au') AS illegal
+  FROM judged),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal,
+         count(*) AS n
+  FROM rows GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS place, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS s1,
+         {{'c': 5::BIGINT, 'a': 'I', 't': 'user:'}} AS s2, {{'c': 10::BIGINT, 'a': 'II', 't': 'user:' || chr(10) || 'assistant:'}} AS s3
+  FROM facts
+  UNION ALL
+  SELECT conv_id, place, s0, s1, s2, {_best("s3", _edit("s2", "5", "I", "'assistant:'"))}
+  FROM (SELECT conv_id, place, s0, s1, s3,
+               {_best("s2", *[_edit(s, "5", "I", "'user:'") for s in ("s0", "s1", "s3")])} AS s2
+        FROM (SELECT walk.conv_id, rows.place, {_GONE["s0"]} AS s0, {_best(_GONE["s1"], _stay("s0", "s"))} AS s1,
+                     {_best(_GONE["s2"], *[_stay(s, "u") for s in ("s0", "s1", "s3")])} AS s2,
+                     {_best(_GONE["s3"], _stay("s2", "a"))} AS s3
+              FROM walk JOIN rows ON walk.conv_id IS NOT DISTINCT FROM rows.conv_id AND rows.place = walk.place + 1))),
+ends AS (
+  SELECT f.conv_id, gaps, blank, duplicate, truncated, illegal, {_best("s0", "s3")} AS best
+  FROM facts f JOIN walk w ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.place)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit,
+       sha256(coalesce(best.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN ends e ON c.conv_id IS NOT DISTINCT FROM e.conv_id"""

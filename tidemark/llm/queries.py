@@ -13,9 +13,12 @@ from tidemark.llm import (
     html_extract,
     line_dedup,
     lm_score,
+    merkle,
     mixing,
     ngram_join,
+    pii,
     quality,
+    repair,
     url_filter,
     warc,
 )
@@ -94,3 +97,18 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audits(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
