@@ -596,3 +596,16 @@ SELECT '{ROOT}/scheduled_queries/' || name || '.sql', '-- Scheduled Query: ' ||
 UNION ALL
 SELECT '{ROOT}/saved_queries/query ' || conv_id || '.sql',
   '-- Saved Query: query ' || conv_id || {NL} || {NL} || text FROM ({SAVED})"""
+
+ORACLES["kept_state"] = ORACLES["sync_plan_pull"]
+ORACLES["kept_state_deleted"] = ORACLES["sync_plan"]
+ORACLES["log_order_commit"] = f"""
+    SELECT {ORDER_PATH % "l_orderkey"} AS path, {iso("arg_max(l_shipdate, l_linenumber::BIGINT * 1000000000000 + l_partkey * 10000 + l_suppkey)")} AS committed
+    FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_orderkey"""
+ORACLES["pull_after_failure"] = ORACLES["run_after_failure"] = ORACLES["pull_version"]
+ORACLES["export_after_failure"] = ORACLES["export_csv"]
+ORACLES["definition_files_uri"] = """
+    SELECT p_brand || '/models/part_' || p_partkey || '.yaml' AS path, p_name || chr(10) AS content FROM part"""
+ORACLES["long_scope"] = f"""
+    SELECT '{ROOT}/d' || o_custkey || '/models/' || o_orderkey || '.yaml' AS path, c_custkey * 4 + 2 AS stage, o_orderkey AS seq
+    FROM orders JOIN customer ON o_custkey = c_custkey"""

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from dataclasses import replace
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,15 +18,16 @@ from tidemark.functions import text
 from tidemark.functions.paths import data_dir, definition_path, output_root, parse_model, stem, table_ref
 from tidemark.operators.history import last_commit, uncommitted_by_root
 from tidemark.plans.apply import applied, staged_records
-from tidemark.plans.inventory import TIE_SPAN, inventory, located
+from tidemark.plans.inventory import in_scope, inventory, located
 from tidemark.plans.pull import pull
 from tidemark.plans.render import rendered
 from tidemark.plans.sync import sync_plan
 from tidemark.session import work_folder
-from tidemark.sinks.definitions import accepted, append_run, read_runs, write_files, write_version
+from tidemark.sinks.definitions import accepted, append_run, latest_definitions, read_runs, write_files, write_version
 from tidemark.sinks.export import export_requests, export_table, fetch_model, read_export
 from tidemark.sources import listings
 from tidemark.sources.snapshot import Worktree
+from tidemark.sources.state import create_state, merge_state
 from tidemark.sources.tables import table_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,7 +178,7 @@ def inventory_union(t: Tables) -> DataFrame:
     objects = inventory(S.snapshot(t), S.PROJECT, S.REGION, ROOT, S.SCOPE)
     return objects.selectExpr(
         "kind", "dataset", "name", "seq", iso("modified"), "path", "model_path",
-        f"CAST(floor(run_order / {TIE_SPAN}) AS STRING) AS run_order",
+        "CAST(CAST(run_order.stage AS DECIMAL(10,0)) * CAST(1e19 AS DECIMAL(20,0)) + run_order.seq AS STRING) AS run_order",
     )
 
 
@@ -455,6 +458,73 @@ def accepted_run(t: Tables) -> DataFrame:
     return plan.select("path", "action", "reason")
 
 
+@query
+def kept_state(t: Tables) -> DataFrame:
+    """A plan from a state that two runs have left: the commits of returned lines came with the second."""
+    dest = f"{work_folder(t.spark, shared_folder(t.spark))}/state"
+    returned = S.order_commits(t, "l_returnflag = 'R'")
+    create_state(S.order_paths(t), S.order_commits(t, "l_returnflag <> 'R'"), dest, buckets=8)
+    kept = merge_state(t.spark, dest, commits=returned)
+    plan = sync_plan(S.order_records(t), None, None, kept=kept)
+    return plan.selectExpr("path", "kind", "action", "reason", iso("modified"), iso("committed"))
+
+
+@query
+def kept_state_deleted(t: Tables) -> DataFrame:
+    """The whole matrix from a kept state."""
+    dest = f"{work_folder(t.spark, shared_folder(t.spark))}/state"
+    kept = create_state(S.order_paths(t), S.order_commits(t), dest, buckets=8)
+    plan = sync_plan(S.order_records(t, pending=False), None, None, include_deleted=True, root=ROOT, kept=kept)
+    return plan.selectExpr("path", "kind", "action", "reason", iso("modified"), iso("committed"))
+
+
+@query
+def log_order_commit(t: Tables) -> DataFrame:
+    """The last commit in log order, here by line number, which is often not the latest."""
+    commits = t.lineitem.filter("l_linestatus = 'F'").selectExpr(
+        f"concat('{ROOT}/sales/models/', l_orderkey, '.yaml') AS path",
+        "CAST(l_shipdate AS TIMESTAMP) AS commit_ts",
+        "l_linenumber * 1000000000000 + l_partkey * 10000 + l_suppkey AS log_order",
+    )
+    return last_commit(commits).selectExpr("path", iso("committed"))
+
+
+@query
+def pull_after_failure(t: Tables) -> DataFrame:
+    """A whole run fails while its version is written; repeated, it is there whole."""
+    dest = f"{work_folder(t.spark, shared_folder(t.spark))}/version"
+    tree = S.event_worktree(t)
+    broken = tree.local_files.withColumn("content", F.expr("if(content = 'old', raise_error('lost'), content)"))
+    with suppress(PySparkException):
+        whole_run(t, replace(tree, local_files=broken), dest)
+    return flags(whole_run(t, tree, dest))
+
+
+@query
+def run_after_failure(t: Tables) -> DataFrame:
+    """A run of a table of runs is repeated and fails: what it wrote before stays."""
+    table = f"{work_folder(t.spark, shared_folder(t.spark))}/runs"
+    tree = S.event_worktree(t)
+    append_run(tree.local_files, table, 1)
+    whole_run(t, tree, table, run=2)
+    broken = tree.local_files.withColumn("content", F.expr("CAST(raise_error('lost') AS STRING)"))
+    with suppress(PySparkException):
+        append_run(broken, table, 2)
+    version = latest_definitions(read_runs(t.spark, table))
+    return version.selectExpr("path", "kind", "content <> 'old' AS fetched")
+
+
+@query
+def export_after_failure(t: Tables) -> DataFrame:
+    """An export that fails halfway leaves the one before it."""
+    dest = f"{work_folder(t.spark, shared_folder(t.spark))}/customer.csv"
+    export_table(t.customer, dest)
+    broken = F.expr("if(c_custkey % 100 = 7, raise_error('lost'), c_name)")
+    with suppress(PySparkException):
+        export_table(t.customer.withColumn("c_name", broken), dest)
+    return read_export(t.spark, dest, t.customer.schema)
+
+
 @query
 def untied_run_order(t: Tables) -> DataFrame:
     """Objects without a listing order that share paths: one of them is the first, the others find its file."""
@@ -495,6 +565,32 @@ def definition_files(t: Tables) -> DataFrame:
     return files.selectExpr(f"split_part(path, '{root}/', 2) AS path", "CAST(content AS STRING) AS content")
 
 
+@query
+def definition_files_uri(t: Tables) -> DataFrame:
+    """The same below an address with a scheme."""
+    folder = f"{work_folder(t.spark, shared_folder(t.spark))}/out"
+    root = folder if folder.startswith("file://") else f"file://{folder}"
+    write_files(
+        t.part.selectExpr(f"concat('{root}/', p_brand, '/models/part_', p_partkey, '.yaml') AS path", "concat(p_name, chr(10)) AS content"),
+        root,
+    )
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    place = root.removeprefix("file://")
+    return files.selectExpr(f"split_part(path, '{place}/', 2) AS path", "CAST(content AS STRING) AS content")
+
+
+@query
+def long_scope(t: Tables) -> DataFrame:
+    """A scope of every customer, in order of the number; each is a dataset, its orders are tables."""
+    objects = t.orders.selectExpr(
+        "'table' AS kind", "concat('d', o_custkey) AS dataset", "CAST(o_orderkey AS STRING) AS name", "o_orderkey AS seq",
+        "CAST(o_orderdate AS TIMESTAMP) AS modified",
+    )
+    scope = t.customer.selectExpr("concat('d', c_custkey) AS dataset", "c_custkey + 1 AS position")
+    rows = located(in_scope(objects, scope), ROOT, scope)
+    return rows.selectExpr("path", "run_order.stage AS stage", "run_order.seq AS seq")
+
+
 @query
 def fetch_model_(t: Tables) -> DataFrame:
     """A table fetched by its reference, whole, into the data folder of a project."""

@@ -254,9 +254,9 @@ def order_files(t: Tables) -> DataFrame:
     )
 
 
-def order_commits(t: Tables) -> DataFrame:
+def order_commits(t: Tables, only: str = "true") -> DataFrame:
     """Each finished line item is a commit of its order's file."""
-    return t.lineitem.filter("l_linestatus = 'F'").selectExpr(
+    return t.lineitem.filter("l_linestatus = 'F'").filter(only).selectExpr(
         f"concat('{ROOT}/sales/models/', l_orderkey, '.yaml') AS path",
         "CAST(l_shipdate AS TIMESTAMP) AS commit_ts",
     )

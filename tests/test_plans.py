@@ -8,7 +8,7 @@ import pytest
 
 from test_sinks import store
 from tidemark import schemas
-from tidemark.plans.inventory import inventory, run_order
+from tidemark.plans.inventory import in_scope, inventory, located, run_order
 from tidemark.plans.sync import sync_plan
 from tidemark.session import staged
 from tidemark.sources.snapshot import (
@@ -74,3 +74,59 @@ def test_run_order(spark, scope):
     order = df.selectExpr("i", f"{run_order('kind', 'dataset', 'seq', scope)} AS o").collect()
     assert [r["i"] for r in sorted(order, key=lambda r: r["o"])] == list(range(len(rows)))
     assert len({r["o"] for r in order}) == len(rows)
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_a_hundred_thousand_datasets(spark, stored, as_table):
+    """No list of names in the plan, and no limit to the order."""
+    snapshot, tree = stored
+    names = [f"x{i}" for i in range(99_999)] + ["d1"]
+    scope = names
+    if as_table:
+        scope = spark.range(100_000).selectExpr("if(id = 99999, 'd1', concat('x', id)) AS dataset", "id + 1 AS position")
+    records = inventory(snapshot, "p", "r", "/o", scope)
+    plan = sync_plan(records, tree.local_files, tree.commits)
+    rows = plan.select("path", "action", "run_order").collect()
+    assert [(r["path"], r["action"], r["run_order"]["stage"]) for r in rows] == [("/o/d1/models/t.yaml", "fetch", 399_998)]
+    text = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "x99" not in re.sub(r"LocalRelation .*", "", text) and "INSET" not in text.upper()
+
+
+def test_repeated_names_in_a_scope_table(spark):
+    scope = spark.createDataFrame([("b", 1), ("a", 2), ("b", 3)], "dataset STRING, position INT")
+    objects = spark.createDataFrame([("table", d, "t") for d in "abc"], "kind STRING, dataset STRING, name STRING")
+    rows = located(in_scope(objects, scope).selectExpr("*", "0L AS seq"), "/o", scope).collect()
+    assert {r["dataset"]: r["run_order"]["stage"] for r in rows} == {"b": 2, "a": 6}
+
+
+def test_a_real_plan_reads_no_texts_to_order_objects(spark, stored):
+    snapshot, tree = stored
+    got = scans(spark, sync_plan(inventory(snapshot, "p", "r", "/o"), tree.local_files, tree.commits).select("path", "action"))
+    for table in ("table_details", "routine_details"):
+        assert got[table][1] <= {"project", "dataset", "name", "modified"}
+
+
+def test_a_plan_from_a_kept_state_leaves_it_where_it_is(spark, stored, tmp_path):
+    from tidemark.sources.state import create_state
+
+    snapshot, _ = stored
+    files = spark.range(5000).selectExpr("concat('/o/d1/models/t', id, '.yaml') AS path")
+    commits = files.selectExpr("path", "timestamp_seconds(1) AS commit_ts")
+    kept = create_state(files, commits, str(tmp_path / "state"), buckets=6)
+    records = inventory(snapshot, "p", "r", "/o")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sync_plan(records, None, None, kept=kept).select("path", "reason")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = text.split("\n")
+    depths = [re.search(r"[+:]- |$", line).start() for line in lines]
+    at = [i for i, line in enumerate(lines) if "tidemark_state_" in line]
+    assert at
+    for i in at:
+        assert "Bucketed: true" in lines[i]
+        while "Join" not in lines[i]:  # from the scan up to the first join
+            i = next(j for j in range(i - 1, -1, -1) if depths[j] < depths[i])
+            assert "Exchange" not in lines[i]

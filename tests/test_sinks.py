@@ -9,7 +9,9 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyarrow import fs
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators.history import UncommittedChangesError
@@ -21,16 +23,19 @@ from tidemark.sinks.definitions import (
     current_files,
     latest_definitions,
     read_runs,
+    read_version,
     write_files,
     write_version,
 )
 from tidemark.sinks.export import export_requests, export_table, fetch_model, read_export
+from tidemark.sinks.publish import POINTERS, current, publish, published
 from tidemark.sources.snapshot import (
     SNAPSHOT_SCHEMAS,
     WORKTREE_SCHEMAS,
     load_snapshot,
     load_worktree,
 )
+from tidemark.sources.state import create_state, merge_state, read_state
 from tidemark.sources.tables import scan_table, table_stats
 
 UTC = timezone.utc
@@ -40,7 +45,7 @@ TS = datetime(2025, 1, 1, tzinfo=UTC)
 def read_csv(folder):
     """All part files of a CSV dataset by an independent reader: header and rows."""
     header, rows = None, []
-    for part in sorted(Path(folder).glob("part-*")):
+    for part in sorted(Path(folder).rglob("part-*")):
         with open(part, newline="", encoding="utf-8") as f:
             lines = list(csv.reader(f))
         header = lines[0]
@@ -60,7 +65,7 @@ def test_csv(spark, tmp_path):
 def test_parquet(spark, tmp_path):
     df = spark.createDataFrame([(10, 20), (30, 40)], "x BIGINT, y BIGINT")
     dest = export_table(df, str(tmp_path / "t.parquet"), "parquet")
-    back = spark.read.parquet(dest)
+    back = spark.read.parquet(current(spark, dest))
     assert back.schema == df.schema and sorted(map(tuple, back.collect())) == [(10, 20), (30, 40)]
 
 
@@ -82,7 +87,7 @@ def test_csv_text_survives(spark, tmp_path):
     assert {int(i): s for i, s in rows} == {i: s or "" for i, s in enumerate(HARD)}
     back = read_export(spark, dest, df.schema).collect()
     assert {r["i"]: r["s"] for r in back} == dict(enumerate(HARD))
-    text = "".join(p.read_text(encoding="utf-8") for p in Path(dest).glob("part-*"))
+    text = "".join(p.read_text(encoding="utf-8") for p in Path(dest).rglob("part-*"))
     assert '0,""\n' in text and "1,\n" in text  # '' is quoted, null is an empty field
 
 
@@ -170,9 +175,10 @@ def test_versions(spark, tmp_path):
     assert content(first) == expected
     second = write_version(first, new.limit(0), new.limit(0), str(tmp_path / "v2"))
     assert content(second) == expected
-    assert (tmp_path / "v2" / "_SUCCESS").exists()
-    with pytest.raises(AnalysisException):
+    assert (Path(current(spark, str(tmp_path / "v2"))) / "_SUCCESS").exists()
+    with pytest.raises(FileExistsError):
         write_version(first, new, new, str(tmp_path / "v2"))
+    assert content(read_version(spark, str(tmp_path / "v2"))) == expected
     with pytest.raises(ValueError, match="/r/b is there twice"):
         current_files(old.union(new))
     runs = old.selectExpr("*", "1L AS run").unionByName(new.selectExpr("*", "2L AS run"))
@@ -211,8 +217,8 @@ def test_files_in_a_shared_folder(spark, tmp_path):
     assert (root / "ds/views/é v.sql").read_bytes() == "SELECT 'é'\r\n".encode()
     assert len([p for p in root.rglob("*") if p.is_file()]) == 2
     assert (root / "ds/models/t.yaml").read_bytes() == b""
-    with pytest.raises(ValueError, match="not a mounted folder"):
-        write_files(definitions(spark, rows), "s3a://lake/out")
+    with pytest.raises(ValueError, match="no file system is known"):
+        write_files(definitions(spark, rows), "ftp://lake/out")
     with pytest.raises(Exception, match="is not below"):
         write_files(definitions(spark, [(f"{root}/../evil.sql", "x", TS, "view")]), str(root))
 
@@ -372,3 +378,153 @@ def test_session_conf():
     conf = session_conf(100 * 2**40, 4000)
     assert conf["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (128 << 20))
     assert session_conf(1, 8)["spark.sql.shuffle.partitions"] == "8"
+
+
+def damaged(rows):
+    """Rows that end the job that writes one of them."""
+    return rows.withColumn("content", F.expr("if(content = 'bad', raise_error('lost'), content)"))
+
+
+def test_a_failed_version_can_be_repeated(spark, tmp_path):
+    dest = str(tmp_path / "v")
+    old = definitions(spark, [(f"/r/{i}", "old" if i else "bad", TS, "view") for i in range(40)]).repartition(8)
+    none = old.limit(0)
+    for _ in range(2):
+        with pytest.raises(PySparkException):
+            write_version(damaged(old), none, none, dest)
+        with pytest.raises(FileNotFoundError):
+            read_version(spark, dest)
+        assert not list(Path(dest).rglob("part-*"))
+    assert write_version(old, none, none, dest).count() == read_version(spark, dest).count() == 40
+
+
+def test_a_failed_export_or_run_leaves_the_last_one(spark, tmp_path):
+    rows = definitions(spark, [(f"/r/{i}", "new" if i else "bad", TS, "view") for i in range(40)]).repartition(8)
+    broken = damaged(rows)
+    dest, table = str(tmp_path / "t.csv"), str(tmp_path / "runs")
+    export_table(rows, dest)
+    append_run(rows, table, 7)
+    for _ in range(2):
+        with pytest.raises(PySparkException):
+            export_table(broken, dest)
+        with pytest.raises(PySparkException):
+            append_run(broken, table, 7)
+        assert read_export(spark, dest, rows.schema).count() == read_runs(spark, table).count() == 40
+    export_table(rows.limit(3), dest)
+    append_run(rows.limit(3), table, 7)
+    assert read_export(spark, dest, rows.schema).count() == read_runs(spark, table).count() == 3
+    for folder in (dest, table):
+        assert len([p for p in Path(folder).iterdir() if p.name != POINTERS]) == 1  # nothing is left behind
+
+
+def test_a_writer_that_was_lost_is_not_seen(spark, tmp_path):
+    """Files of an unfinished write, and a pointer that was opened but never written."""
+    dest = str(tmp_path / "t")
+    first = publish(spark, dest, lambda folder: spark.range(5).write.parquet(folder))
+    spark.range(9).write.parquet(f"{dest}/gen-lost")
+    (tmp_path / "t" / POINTERS / f"{7:020d}.json").write_text("")
+    assert current(spark, dest) == first and spark.read.parquet(first).count() == 5
+    second = publish(spark, dest, lambda folder: spark.range(6).write.parquet(folder), alone=True)
+    assert published(spark, dest) == {"": second} and not Path(first).exists()
+    assert not (tmp_path / "t" / "gen-lost").exists()
+    third = publish(spark, dest, lambda folder: spark.range(7).write.parquet(folder), name="x")
+    assert published(spark, dest) == {"": second, "x": third}
+
+
+def test_a_writer_that_comes_second_keeps_the_first_ones_work(spark, tmp_path):
+    dest = str(tmp_path / "t")
+
+    def slow(folder):
+        publish(spark, dest, lambda inner: spark.range(2).write.parquet(inner), name="quick")
+        spark.range(3).write.parquet(folder)
+
+    publish(spark, dest, slow, name="slow")
+    assert {n: spark.read.parquet(f).count() for n, f in published(spark, dest).items()} == {"quick": 2, "slow": 3}
+
+    def late(folder):
+        publish(spark, dest, lambda inner: spark.range(4).write.parquet(inner), name="v", once=True)
+        spark.range(5).write.parquet(folder)
+
+    with pytest.raises(FileExistsError):
+        publish(spark, dest, late, name="v", once=True)
+    assert spark.read.parquet(published(spark, dest)["v"]).count() == 4
+
+
+def test_text_files_come_last(spark, tmp_path):
+    """A run whose version can't be written leaves the text files alone."""
+    root = tmp_path / "out"
+    config = {"project": "p", "region": "r", "display_name": "a", "data_source_id": "scheduled_query", "update_time": TS}
+    store(spark, tmp_path / "snap", SNAPSHOT_SCHEMAS, {"transfer_configs": [{**config, "params": {"query": "one"}}]})
+    store(spark, tmp_path / "tree", WORKTREE_SCHEMAS, {"local_files": [{"path": f"{root}/x", "content": "bad", "kind": "view"}]})
+    snapshot, tree = load_snapshot(spark, str(tmp_path / "snap")), load_worktree(spark, str(tmp_path / "tree"))
+    broken = replace(tree, local_files=damaged(tree.local_files))
+    options = {"project": "p", "region": "r", "root": str(root), "files": True}
+    with pytest.raises(PySparkException):
+        pull(snapshot, broken, str(tmp_path / "v"), **options)
+    assert not root.exists()
+    assert pull(snapshot, tree, str(tmp_path / "v"), **options).count() == 2
+    assert (root / "scheduled_queries/a.sql").read_text().endswith("one")
+
+
+def test_files_below_an_address(spark, tmp_path):
+    root = f"file://{tmp_path}/out"
+    write_files(definitions(spark, [(f"{root}/ds/views/é v.sql", "é\r\n", TS, "view")]), root)
+    assert (tmp_path / "out/ds/views/é v.sql").read_bytes() == "é\r\n".encode()
+    with pytest.raises(Exception, match="is not below"):
+        write_files(definitions(spark, [(f"{tmp_path}/out/x.sql", "x", TS, "view")]), root)
+    base = str(tmp_path)
+
+    def bucket():  # stands for an object store: no renames, no folders
+        return fs.SubTreeFileSystem(base, fs.LocalFileSystem())
+
+    bucket().create_dir("lake/out/ds")
+    write_files(definitions(spark, [("s3a://lake/out/ds/q.sql", "q", TS, "view")]), "s3a://lake/out", bucket)
+    assert (tmp_path / "lake/out/ds/q.sql").read_text() == "q"
+
+
+def commits_of(spark, rows):
+    return spark.createDataFrame(rows, schemas.COMMITS)
+
+
+def test_kept_state(spark, tmp_path):
+    dest, day = str(tmp_path / "state"), lambda d: datetime(2025, 1, d, tzinfo=UTC)
+    files = spark.createDataFrame([("/a",), ("/b",), ("/a",), (None,)], "path STRING")
+    commits = commits_of(spark, [("/a", day(5), 1), ("/a", day(3), 2), ("/b", day(4), None), ("/c", day(1), None)])
+
+    def content():
+        rows = read_state(spark, dest).collect()
+        return {r["path"]: (r["file_present"], r["committed"] and r["committed"].astimezone(UTC).day) for r in rows}
+
+    create_state(files, commits, dest, buckets=3)
+    assert content() == {"/a": (True, 3), "/b": (True, 4), "/c": (False, 1)}
+    with pytest.raises(FileExistsError):
+        create_state(files, commits, dest, buckets=3)
+    for _ in range(2):  # a merge may be repeated
+        merge_state(
+            spark, dest, files=spark.createDataFrame([("/c",), ("/d",)], "path STRING"),
+            removed=spark.createDataFrame([("/b",), ("/d",)], "path STRING"),
+            commits=commits_of(spark, [("/a", day(9), 1), ("/b", day(2), None), ("/e", day(7), 3)]),
+        )
+        assert content() == {"/a": (True, 3), "/b": (False, 4), "/c": (True, 1), "/d": (True, None), "/e": (False, 7)}
+    lost = spark.createDataFrame([("/z",)], "path STRING").withColumn("path", F.expr("CAST(raise_error('lost') AS STRING)"))
+    with pytest.raises(PySparkException):
+        merge_state(spark, dest, files=lost)
+    assert len(content()) == 5
+    with pytest.raises(FileNotFoundError):
+        read_state(spark, str(tmp_path / "none"))
+
+
+def test_a_run_with_a_kept_state(spark, tmp_path):
+    config = {"project": "p", "region": "r", "data_source_id": "scheduled_query", "update_time": TS}
+    configs = [{**config, "display_name": n, "params": {"query": n}} for n in "ab"]
+    store(spark, tmp_path / "snap", SNAPSHOT_SCHEMAS, {"transfer_configs": configs})
+    store(spark, tmp_path / "tree", WORKTREE_SCHEMAS, {})
+    snapshot, tree = load_snapshot(spark, str(tmp_path / "snap")), load_worktree(spark, str(tmp_path / "tree"))
+    state = str(tmp_path / "state")
+    files = spark.createDataFrame([("/o/scheduled_queries/a.sql",)], "path STRING")
+    create_state(files, commits_of(spark, [("/o/scheduled_queries/a.sql", datetime(2026, 1, 1, tzinfo=UTC), None)]), state, buckets=2)
+    options = {"project": "p", "region": "r", "root": "/o", "state": state}
+    version = pull(snapshot, tree, str(tmp_path / "v1"), **options)
+    assert [r["path"] for r in version.collect()] == ["/o/scheduled_queries/b.sql"]
+    plan = pull(snapshot, tree, str(tmp_path / "v2"), dry_run=True, **options).collect()
+    assert {r["name"]: r["reason"] for r in plan} == {"a": "up_to_date", "b": "uncommitted"}

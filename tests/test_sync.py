@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.paths import KINDS
 from tidemark.operators.decision import with_forced
+from tidemark.operators.history import last_commit
 from tidemark.plans.apply import applied, object_writes, staged_records
 from tidemark.plans.inventory import located
-from tidemark.plans.sync import sync_plan
+from tidemark.plans.sync import path_state, sync_plan
 from tidemark.session import scratch
 from tidemark.sinks.definitions import write_version
 from tidemark.sinks.export import export_requests
@@ -113,7 +114,7 @@ def test_plan_equals_one_by_one(spark, tmp_path, seed, force, listed):
     )
     records = staged_records(records, str(tmp_path / "inventory"))
     local = spark.createDataFrame([(p, f"old {p}") for p in files], "path STRING, content STRING")
-    history = spark.createDataFrame(commits, schemas.COMMITS)
+    history = spark.createDataFrame(commits, "path STRING, commit_ts TIMESTAMP")
     force_files = None
     if listed:
         force_files = rnd.sample(possible, 3) + [rnd.choice(possible).split("/")[-1]]
@@ -152,7 +153,7 @@ def test_later_object_sees_the_history_of_a_missing_file(spark):
         ROOT,
     )
     none = spark.createDataFrame([], "path STRING, content STRING")
-    commits = spark.createDataFrame([(f"{ROOT}/saved_queries/q.sql", START + timedelta(hours=5))], schemas.COMMITS)
+    commits = spark.createDataFrame([(f"{ROOT}/saved_queries/q.sql", START + timedelta(hours=5), None)], schemas.COMMITS)
     plan = sync_plan(records, none, commits)
     assert {r["seq"]: r["reason"] for r in plan.collect()} == {0: "new", 1: "up_to_date", 2: "source_newer"}
 
@@ -283,3 +284,18 @@ def test_forced_run_needs_no_join(spark):
     plan = sync_plan(records, none, spark.createDataFrame([], schemas.COMMITS), force=True)
     assert {r["reason"] for r in plan.collect()} == {"forced"}
     assert "Join" not in final_plan(plan) and "Exchange" not in final_plan(plan)
+
+
+def test_last_commit_is_that_of_the_log(spark):
+    """A commit with an earlier time may be the last one; without a log order the latest time is."""
+    rows = [("a", 9, 1), ("a", 5, 2), ("a", 7, None), ("b", 3, None), ("b", 4, None), ("c", None, 1)]
+    commits = spark.createDataFrame([(p, h and START + timedelta(hours=h), o) for p, h, o in rows], schemas.COMMITS)
+
+    def hours(df):
+        return {r["path"]: r["committed"] and (r["committed"].astimezone(UTC) - START).seconds // 3600 for r in df.collect()}
+
+    assert hours(last_commit(commits)) == {"a": 5, "b": 4, "c": None}
+    assert hours(last_commit(commits.drop("log_order"))) == {"a": 9, "b": 4, "c": None}
+    files = commits.select("path").distinct()
+    assert hours(path_state(files, commits)) == {"a": 5, "b": 4, "c": None}
+    assert hours(path_state(files, commits.drop("log_order"))) == {"a": 9, "b": 4, "c": None}

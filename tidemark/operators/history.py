@@ -13,8 +13,20 @@ class UncommittedChangesError(RuntimeError):
 
 
 def last_commit(commits: DataFrame) -> DataFrame:
-    """Latest commit time of each path: ``path, committed``."""
-    return commits.groupBy("path").agg(F.max("commit_ts").alias("committed"))
+    """Time of each path's last commit: ``path, committed``."""
+    return commits.groupBy("path").agg(committed(commits).alias("committed"))
+
+
+def committed(commits: DataFrame) -> Column:
+    """Aggregate: time of the last commit in log order, which need not be the latest time.
+
+    Merged and rewritten histories put commits behind others with later times. A
+    log that states no order is ordered by time; commits without a place in it
+    come before all others.
+    """
+    if "log_order" not in commits.columns:
+        return F.max("commit_ts")
+    return F.coalesce(F.max_by("commit_ts", "log_order"), F.max("commit_ts"))
 
 
 def under_root(path: Column, root: str) -> Column:

@@ -10,27 +10,29 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.paths import is_definition
 from tidemark.operators.decision import action, reason, with_forced
+from tidemark.operators.history import committed
 from tidemark.operators.pick import lookup
 
 # Kinds whose gated file may also be written by a view or routine.
 MODEL_GATED_KINDS = ("table", "external")
 
 # Fixed value: a run order no object reaches.
-BEHIND_ALL = "9" * 38
+BEHIND_ALL = f"named_struct({', '.join(f"'{name}', {(1 << 63) - 1}L" for name in ('stage', 'seq', 'tie'))})"
 
 FILE_PRESENT = "coalesce(file_present, false)"
 
 
 def sync_plan(
     records: DataFrame,
-    local_files: DataFrame,
-    commits: DataFrame,
+    local_files: DataFrame | None,
+    commits: DataFrame | None,
     *,
     force: bool = False,
     force_files: Sequence[str] | DataFrame | None = None,
     dry_run: bool = False,
     include_deleted: bool = False,
     root: str | None = None,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
     """Inventory rows with ``action``, ``reason`` and the ``committed`` time compared with.
 
@@ -40,6 +42,8 @@ def sync_plan(
     each is judged by the state at the start. ``include_deleted=True`` adds a
     row for each local definition file, below ``root`` if given, that no record
     accounts for, so ``records`` should then be an inventory of all datasets.
+    A ``kept`` state (:mod:`tidemark.sources.state`) takes the place of files and
+    commits; it isn't shuffled.
     """
     marked = with_forced(schemas.conform(records, schemas.INVENTORY), force, force_files)
     if force and force_files is None and not include_deleted:
@@ -48,14 +52,19 @@ def sync_plan(
     if include_deleted:
         touched = _gated_paths(marked).union(_model_paths(marked))
     else:
-        touched = None if dry_run else _gated_paths(marked)
-    state = path_state(local_files, commits, touched)
+        touched = _gated_paths(marked) if kept is not None or not dry_run else None
+    if kept is not None:
+        state = touched_state(kept, touched)
+    else:
+        state = path_state(local_files, commits, touched)
     if dry_run:
         plan = _decided(lookup(marked, state, "path"), FILE_PRESENT)
     else:
         plan = _plan_real_run(marked, state)
     if not include_deleted:
         return plan
+    if kept is not None:
+        state = kept.join(touched.select("path").distinct(), "path", "left_anti").withColumn("first_object", F.lit(None))
     return plan.unionByName(_deleted(state, root), allowMissingColumns=True)
 
 
@@ -66,7 +75,7 @@ def _gated_paths(records: DataFrame) -> DataFrame:
 def _model_paths(records: DataFrame) -> DataFrame:
     """Model files known at the source, ordered behind every object that gates on one."""
     return records.filter("model_path IS NOT NULL").selectExpr(
-        "model_path AS path", f"CAST({BEHIND_ALL} AS DECIMAL(38,0)) AS run_order"
+        "model_path AS path", f"{BEHIND_ALL} AS run_order"
     )
 
 
@@ -78,23 +87,30 @@ def path_state(
     Files, commits and objects (``path, run_order``) go through one aggregate
     and so one shuffle; each map task combines its rows of a path before that.
     """
-    files = local_files.selectExpr(
-        "path",
-        "true AS is_file",
-        "CAST(NULL AS TIMESTAMP) AS commit_ts",
-        "CAST(NULL AS DECIMAL(38,0)) AS run_order",
-    )
-    history = commits.selectExpr("path", "false", "commit_ts", "NULL")
-    facts = files.union(history)
+    ordered = "log_order" in commits.columns
+    none = {"commit_ts": "TIMESTAMP", "log_order": "BIGINT", "run_order": schemas.RUN_ORDER}
+    facts = local_files.selectExpr("path", "true AS is_file", *[f"CAST(NULL AS {kind}) AS {name}" for name, kind in none.items()])
+    history = commits.selectExpr("path", "false", "commit_ts", "log_order" if ordered else "NULL", "NULL")
+    facts = facts.union(history)
     if touched is not None:
-        facts = facts.union(touched.selectExpr("path", "false", "NULL", "run_order"))
+        facts = facts.union(touched.selectExpr("path", "false", "NULL", "NULL", "run_order"))
     return facts.filter("path IS NOT NULL").groupBy("path").agg(
         F.max("is_file").alias("file_present"),
-        F.max("commit_ts").alias("committed"),
+        committed(facts if ordered else facts.drop("log_order")).alias("committed"),
         F.min("run_order").alias("first_object"),
     )
 
 
+def touched_state(kept: DataFrame, touched: DataFrame) -> DataFrame:
+    """The rows of :func:`path_state` for the paths of the source's objects.
+
+    The kept state is read where it lies; only the objects' paths go to it. What
+    comes out is no larger than the inventory, however long the history is.
+    """
+    first = touched.filter("path IS NOT NULL").groupBy("path").agg(F.min("run_order").alias("first_object"))
+    return first.join(kept, "path", "left").select("path", "file_present", "committed", "first_object")
+
+
 def _plan_real_run(marked: DataFrame, state: DataFrame) -> DataFrame:
     """Where the file is missing, the first object on the path is written.
 

@@ -44,9 +44,13 @@ WORKSPACE_FILES = "workspace STRING, path STRING, contents BINARY"
 # --- inputs: state of the synced copy -----------------------------------------
 
 LOCAL_FILES = "path STRING, content STRING, modified TIMESTAMP, kind STRING"
-COMMITS = "path STRING, commit_ts TIMESTAMP"
+# ``log_order`` grows along the log; without it the latest time counts as the last commit.
+COMMITS = "path STRING, commit_ts TIMESTAMP, log_order BIGINT"
 WORKTREE_STATUS = "path STRING, status STRING"
 
+# One row per path that is or was known, kept between runs.
+PATH_STATE = "path STRING, file_present BOOLEAN, committed TIMESTAMP, log_order BIGINT"
+
 # --- outputs: one row per source object ---------------------------------------
 
 VIEW = f"""
@@ -71,13 +75,15 @@ SCHEDULED = """
 """
 SAVED = "project STRING, region STRING, name STRING, seq BIGINT, modified TIMESTAMP, sql STRING"
 
+# Place of an object in a run, compared field by field.
+RUN_ORDER = "STRUCT<stage: BIGINT, seq: BIGINT, tie: BIGINT>"
 INVENTORY = f"""
     kind STRING, project STRING, dataset STRING, name STRING, seq BIGINT, modified TIMESTAMP,
     sql STRING, schema {FIELDS}, description STRING, created TIMESTAMP, region STRING,
     language STRING, arguments {ARGUMENTS}, return_type STRING,
     row_count BIGINT, partitioning STRING, clustering ARRAY<STRING>, primary_keys ARRAY<STRING>,
     total_logical_bytes BIGINT, source_uris ARRAY<STRING>, source_format STRING,
-    schedule STRING, path STRING, model_path STRING, run_order DECIMAL(38,0)
+    schedule STRING, path STRING, model_path STRING, run_order {RUN_ORDER}
 """
 STAGED = f"{INVENTORY}, id BIGINT"
 WRITES = "path STRING, id BIGINT"

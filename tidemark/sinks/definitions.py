@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import os
+import posixpath
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.sinks.publish import current, publish, published
 
 RUNS = f"{schemas.DEFINITIONS}, run BIGINT"
 
@@ -25,29 +27,37 @@ def current_files(local_files: DataFrame) -> DataFrame:
 
 
 def write_version(local_files: DataFrame, writes: DataFrame, fetched: DataFrame, dest: str) -> DataFrame:
-    """Write the next version of the definitions to a new folder and read it back.
+    """Write the next version of the definitions to ``dest`` and read it back.
 
     ``writes`` are the paths of ``fetched``, stored before, so the plan behind
-    them has run. All files are written in one job, which either completes or
-    leaves no version. Unchanged files are picked by an anti-join with the
-    stored paths; while these are few, Spark sends them around and shuffles no
-    text. ``dest`` must not be the folder that ``local_files`` is read from.
+    them has run. All files are written in one job. The version is published
+    when that is complete; after a failure ``dest`` has no version and the run can
+    be repeated. A version that is published is never replaced. Unchanged files
+    are picked by an anti-join with the stored paths; while these are few, Spark
+    sends them around and shuffles no text. ``dest`` must not be the folder that
+    ``local_files`` is read from.
     """
     spark = fetched.sparkSession
     kept = schemas.conform(local_files, schemas.DEFINITIONS).join(writes.select("path"), "path", "left_anti")
     files = schemas.conform(fetched, schemas.DEFINITIONS).unionByName(schemas.conform(kept, schemas.DEFINITIONS))
-    files.write.mode("errorifexists").partitionBy("kind").parquet(dest)
-    return spark.read.schema(schemas.DEFINITIONS).parquet(dest)
+    publish(spark, dest, lambda folder: files.write.partitionBy("kind").parquet(folder), once=True, alone=True)
+    return read_version(spark, dest)
+
+
+def read_version(spark: SparkSession, dest: str) -> DataFrame:
+    """The definitions of a version; an error if none is published in ``dest``."""
+    return spark.read.schema(schemas.DEFINITIONS).parquet(current(spark, dest))
 
 
 def append_run(fetched: DataFrame, location: str, run: int) -> None:
-    """Add the fetched files to a table of runs as partition ``run``.
+    """Add the fetched files to a table of runs under the number ``run``.
 
     The cost is that of the change and not of the whole set. A run that failed
-    is repeated under its number and replaces its own folder only.
+    is repeated under its number. It replaces only its own rows, and those of
+    its last success stay until the new ones are complete.
     """
-    changed = schemas.conform(fetched, schemas.DEFINITIONS)
-    changed.write.mode("overwrite").parquet(f"{location.rstrip('/')}/run={run}")
+    changed = schemas.conform(fetched, schemas.DEFINITIONS).withColumn("run", F.lit(run).cast("bigint"))
+    publish(fetched.sparkSession, location, lambda folder: changed.write.parquet(folder), name=str(run))
 
 
 def read_runs(spark: SparkSession, location: str, before: int | None = None) -> DataFrame:
@@ -56,11 +66,9 @@ def read_runs(spark: SparkSession, location: str, before: int | None = None) ->
     Several rows may have one path. As ``local_files`` of a plan they will do
     as they are, since a plan only asks which paths exist.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], RUNS)
-    runs = spark.read.schema(RUNS).parquet(location)
-    return runs if before is None else runs.filter(F.col("run") < before)
+    folders = {int(run): folder for run, folder in published(spark, location).items()}
+    wanted = [folder for run, folder in sorted(folders.items()) if before is None or run < before]
+    return spark.read.schema(RUNS).parquet(*wanted) if wanted else spark.createDataFrame([], RUNS)
 
 
 def accepted(spark: SparkSession, location: str, run: int, at: str) -> DataFrame:
@@ -82,26 +90,53 @@ def latest_definitions(runs: DataFrame) -> DataFrame:
     return schemas.conform(runs.join(last, ["path", "run"]), schemas.DEFINITIONS)
 
 
-def write_files(definitions: DataFrame, root: str) -> None:
-    """Write each definition as a text file below ``root``, a folder all executors share.
+# File systems by the scheme of a root; each is made inside a task, with the credentials that it finds there.
+FILE_SYSTEMS: dict[str, Callable[[], fs.FileSystem]] = {
+    "": lambda: fs.LocalFileSystem(),
+    "file": lambda: fs.LocalFileSystem(),
+    "s3": lambda: fs.S3FileSystem(),
+    "s3a": lambda: fs.S3FileSystem(),
+    "gs": lambda: fs.GcsFileSystem(),
+    "hdfs": lambda: fs.HadoopFileSystem("default"),
+}
+
 
-    A file appears whole under its name, so a task that runs twice does no harm.
-    Object stores have no such folder: there the versions are the files' home,
-    and a root with a scheme is refused.
+def write_files(definitions: DataFrame, root: str, file_system: Callable[[], fs.FileSystem] | None = None) -> None:
+    """Write each definition as a text file below ``root``, a folder all executors share or a place in an object store.
+
+    Executors write their own rows. ``file_system`` makes the file system where
+    that of the root's scheme won't do. A file appears whole under its name, so a
+    task that runs twice does no harm: an object store shows what is closed, and
+    elsewhere a file gets its name at the end.
     """
-    if "://" in root:
-        raise ValueError(f"{root} is not a mounted folder; text files can only be written to one")
-    base = os.path.abspath(root)
+    scheme, base = _split(root)
+    make = file_system or FILE_SYSTEMS.get(scheme)
+    if make is None:
+        raise ValueError(f"no file system is known for {root}; pass one or use {', '.join(filter(None, FILE_SYSTEMS))}")
 
     def write(rows: Iterable[Row]) -> None:
+        files, known = make(), set()
+        renames = isinstance(files, (fs.LocalFileSystem, fs.HadoopFileSystem))
         for row in rows:
-            target = os.path.abspath(row["path"])
-            if not target.startswith(base + os.sep):
-                raise ValueError(f"{row['path']} is not below {base}")
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            partial = f"{target}.{uuid.uuid4().hex}.part"
-            with open(partial, "w", encoding="utf-8", newline="") as out:
-                out.write(row["content"])
-            os.replace(partial, target)
+            own, target = _split(row["path"])
+            if own != scheme or not target.startswith(base.rstrip("/") + "/"):
+                raise ValueError(f"{row['path']} is not below {root}")
+            partial = f"{target}.{uuid.uuid4().hex}.part" if renames else target
+            folder = posixpath.dirname(target)
+            if renames and folder not in known:
+                files.create_dir(folder, recursive=True)
+                known.add(folder)
+            with files.open_output_stream(partial) as out:
+                out.write(row["content"].encode())
+            if renames:
+                files.move(partial, target)
 
     definitions.select("path", "content").foreachPartition(write)
+
+
+def _split(uri: str) -> tuple[str, str]:
+    """Scheme and normal path; a bucket is the path's first part."""
+    scheme, sep, rest = uri.partition("://")
+    if not sep:
+        return "", posixpath.abspath(uri)
+    return scheme, posixpath.normpath(rest)

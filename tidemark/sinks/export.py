@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions.paths import export_path, parse_model
 from tidemark.functions.text import literal
 from tidemark.operators.pick import lookup
+from tidemark.sinks.publish import current, publish
 from tidemark.sources.tables import scan_table
 
 FORMATS = ("csv", "parquet")
@@ -40,25 +41,30 @@ def check_format(fmt: str) -> None:
 def export_table(table: DataFrame, dest: str, fmt: str = "csv") -> str:
     """Write all rows and columns to a dataset at ``dest``, replacing what is there.
 
-    Executors write their own part files. CSV has no form for arrays, maps and
-    structs, so Spark refuses those; Parquet takes them.
+    Executors write their own part files, to a folder below ``dest`` that
+    :func:`tidemark.sinks.publish.current` names. Until they are complete, an earlier
+    export is what readers get, also after a failure; then it is removed. CSV has
+    no form for arrays, maps and structs, so Spark refuses those; Parquet takes them.
     """
     check_format(fmt)
-    writer = table.write.mode("overwrite")
-    if fmt == "csv":
-        writer.options(**CSV_OPTIONS).csv(dest)
-    else:
-        writer.parquet(dest)
+
+    def write(folder: str) -> None:
+        if fmt == "csv":
+            table.write.options(**CSV_OPTIONS).csv(folder)
+        else:
+            table.write.parquet(folder)
+
+    publish(table.sparkSession, dest, write, alone=True)
     return dest
 
 
 def read_export(spark: SparkSession, dest: str, schema: str | StructType, fmt: str = "csv") -> DataFrame:
     """An export read back as one dataset."""
     check_format(fmt)
-    reader = spark.read.schema(schema)
+    reader, folder = spark.read.schema(schema), current(spark, dest)
     if fmt == "csv":
-        return reader.options(**CSV_READ_OPTIONS).csv(dest)
-    return reader.parquet(dest)
+        return reader.options(**CSV_READ_OPTIONS).csv(folder)
+    return reader.parquet(folder)
 
 
 def resolve_request(spark: SparkSession, model: str) -> tuple[str, str, str]:
