@@ -20,7 +20,7 @@ from tidemark.operators.history import last_commit, uncommitted_by_root
 from tidemark.plans.apply import applied, staged_records
 from tidemark.plans.inventory import in_scope, inventory, located
 from tidemark.plans.pull import pull
-from tidemark.plans.render import rendered
+from tidemark.plans.render import gated_files, model_files
 from tidemark.plans.sync import sync_plan
 from tidemark.session import work_folder
 from tidemark.sinks.definitions import accepted, append_run, latest_definitions, read_runs, write_files, write_version
@@ -612,10 +612,8 @@ def list_saved_damaged(t: Tables) -> DataFrame:
 # --- rendering ----------------------------------------------------------------------------
 
 
-def content_of(records: DataFrame, files: str) -> DataFrame:
-    return rendered(located(records, ROOT)).filter(F.col("path").endswith(files)).select(
-        "path", "kind", "content"
-    )
+def content_of(files: DataFrame) -> DataFrame:
+    return files.select("path", "kind", "content")
 
 
 @query
@@ -631,7 +629,7 @@ def render_sql(t: Tables) -> DataFrame:
         "lang AS language",
         "concat('every ', n_chars, ' hours') AS schedule",
     )
-    return content_of(records, ".sql")
+    return content_of(gated_files(located(records, ROOT)))
 
 
 @query
@@ -655,7 +653,7 @@ def render_yaml_table(t: Tables) -> DataFrame:
              named_struct('name', 'v', 'type', p_type, 'mode', 'NULLABLE', 'description', ''))
            ELSE array() END AS schema""",
     )
-    return content_of(records, ".yaml")
+    return content_of(gated_files(located(records, ROOT)))
 
 
 @query
@@ -674,13 +672,13 @@ def render_yaml_view(t: Tables) -> DataFrame:
         """array(named_struct('name', lang, 'type', 'STRING', 'mode', 'NULLABLE',
                               'description', source)) AS schema""",
     )
-    return content_of(records, ".yaml")
+    return content_of(model_files(located(records, ROOT)))
 
 
 @query
 def render_yaml_routine(t: Tables) -> DataFrame:
     routines = listings.list_routines(S.part_routines(t), S.part_routine_details(t))
-    return content_of(routines.withColumn("kind", F.lit("routine")), ".yaml")
+    return content_of(model_files(located(routines.withColumn("kind", F.lit("routine")), ROOT)))
 
 
 @query
@@ -702,7 +700,7 @@ def render_yaml_external(t: Tables) -> DataFrame:
         """array(named_struct('name', 'html', 'type', 'STRING', 'mode', 'NULLABLE',
                               'description', url)) AS schema""",
     )
-    return content_of(records, ".yaml")
+    return content_of(gated_files(located(records, ROOT)))
 
 
 # --- exports --------------------------------------------------------------------------------

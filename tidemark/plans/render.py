@@ -87,6 +87,17 @@ FILES = """inline(array(named_struct('path', path, 'content', gated_content),
     named_struct('path', model_path, 'content', model_content)))"""
 
 
+def gated_files(records: DataFrame) -> DataFrame:
+    """The file that decides about each object, alone: ``path, content, modified, kind, run_order``."""
+    return records.selectExpr("path", f"{GATED_CONTENT} AS content", "modified", "kind", "run_order")
+
+
+def model_files(records: DataFrame) -> DataFrame:
+    """The model files of views and routines, alone."""
+    paired = records.filter("model_path IS NOT NULL")
+    return paired.selectExpr("model_path AS path", f"{MODEL_CONTENT} AS content", "modified", "kind", "run_order")
+
+
 def rendered(records: DataFrame, *keep: str) -> DataFrame:
     """One row per file to write: ``path, content, modified, kind, run_order``.
 

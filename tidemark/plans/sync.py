@@ -13,9 +13,6 @@ from tidemark.operators.decision import action, reason, with_forced
 from tidemark.operators.history import committed
 from tidemark.operators.pick import lookup
 
-# Kinds whose gated file may also be written by a view or routine.
-MODEL_GATED_KINDS = ("table", "external")
-
 # Fixed value: a run order no object reaches.
 BEHIND_ALL = f"named_struct({', '.join(f"'{name}', {(1 << 63) - 1}L" for name in ('stage', 'seq', 'tie'))})"
 
@@ -116,22 +113,17 @@ def _plan_real_run(marked: DataFrame, state: DataFrame) -> DataFrame:
 
     So a later one finds a file. Model files are also written ungated along
     with fetched views and routines; these gate on ``.sql`` paths, which no
-    model file can have, so they are settled first.
+    model file can have. Which of them are fetched is settled first, on narrow
+    rows that are dealt like the state; what follows for the model files joins
+    the state where it lies. Whole objects then look up their path once.
     """
     found = f"({FILE_PRESENT} OR coalesce(run_order > first_object, false))"
-    model_gated = F.col("kind").isin(*MODEL_GATED_KINDS)
-
-    first_pass = _decided(lookup(marked.filter(~model_gated), state, "path"), found)
-    ungated = (
-        first_pass.filter("action = 'fetch' AND model_path IS NOT NULL")
-        .groupBy(F.col("model_path").alias("path"))
-        .agg(F.min("run_order").alias("first_ungated"))
-    )
+    paired = marked.filter("model_path IS NOT NULL").select("path", "model_path", "run_order", "modified", "forced")
+    fetched = paired.join(state, "path", "left").filter(f"{action(reason('modified', 'committed', found, forced='forced'))} = 'fetch'")
+    ungated = fetched.groupBy(F.col("model_path").alias("path")).agg(F.min("run_order").alias("first_ungated"))
+    facts = state.join(ungated, "path", "left")
     found_later = f"({found} OR coalesce(run_order > first_ungated, false))"
-    # Both have one row per path and are partitioned by it: no further shuffle.
-    later_state = state.join(ungated, "path", "left")
-    second_pass = _decided(lookup(marked.filter(model_gated), later_state, "path"), found_later)
-    return first_pass.unionByName(second_pass)
+    return _decided(lookup(marked, facts, "path"), found_later)
 
 
 def _decided(rows: DataFrame, file_present: str, committed: str = "committed") -> DataFrame:
