@@ -3,9 +3,10 @@
 Sets that are at least 75 % alike share a token among their first ones in *any*
 order of all tokens: of n tokens the first n - ceil(0.75 n) + 1 will do. The
 first order puts frequent tokens last and hashes the rest; its prefixes are the
-rows that are shuffled by token. Pairs that meet there must leave room for enough
-common tokens by the parities of their sets, must meet under two more orders as
-well, and only then are whole sets compared.
+rows that are shuffled by token. Pairs that meet there must meet under two more
+orders as well, and the parities of their sets must leave room for enough common
+tokens. These filters work on rows kept per set; only for pairs that pass all of
+them are whole sets fetched and compared.
 
 Groups of copies stay linear. Equal sets are one node. Each node is first
 compared with one leader, the smallest node of the buckets it shares most often;
@@ -22,24 +23,26 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACE, components, fresh_folder, stored
-from tidemark.operators.pick import lookup
+from tidemark.operators.pick import first_per, lookup
 
 SHINGLE = 5
 PERCENT = 75
 # Of the 64-bit hashes the lower two thirds are counted, over all documents. Prefixes begin there, and a
 # pair's first common token lies in the first seventh of the smaller set.
 COUNTED_BELOW = (1 << 64) // 3 * 2
-# A task sums up so many shingles before it passes them on.
-RUN_SHINGLES = 1 << 21
+# A task sums up so many shingles and passes on those that it met more than once: a frequent-items sketch.
+# The counts only choose an order, and any order is exact.
+RUN_SHINGLES = 1 << 20
 FREQUENT_LEAST = 4
-# So many of the most frequent shingles come last in the orders; the table takes 9 bytes each.
-# Any order is exact: a table that is too short only makes some buckets larger.
+# At most so many of the most frequent shingles come last in the orders: 9 MB for the driver and each worker.
+# A table that is too short only makes some buckets larger.
 FREQUENT = 1 << 20
-OUT_ROWS = 512
+# Texts are taken from a batch in slices of so many rows.
+OUT_ROWS = 256
 # So many sides of pairs (at most 40 MB) are sent to all executors, more are shuffled.
 BROADCAST_ROWS = 1 << 19
 
@@ -152,30 +155,54 @@ def signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def set_rows(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, node, n, bits`` per document; ``node`` is a hash of the set, ``bits`` its parities."""
-    rows = docs.select("doc_id", "text")
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for start in range(0, whole.num_rows, OUT_ROWS):
+            yield whole.slice(start, OUT_ROWS)
+
+
+def node_of(own: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(own.tobytes())
+
+
+def set_rows(docs: DataFrame, orders, size: int, percent: int) -> DataFrame:
+    """``doc_id, key, node, n, bits, second, third`` per document.
+
+    ``key`` is a hash of the text and ``node`` of its set; ``bits`` are the
+    set's parities, ``second`` and ``third`` its prefixes under two more orders, as
+    32 bits of each token.
+    """
+    rows = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = list(shingles_of(batch.column(1).to_pylist(), size))
-            nodes = np.array([xxhash.xxh64_intdigest(o.tobytes()) for o in own], np.uint64)
+        order = orders.value
+        for batch in sliced(batches):
+            nodes, sizes, bits, firsts = [], [], [], ([], [])
+            for own in shingles_of(batch.column(2).to_pylist(), size):
+                nodes.append(node_of(own))
+                sizes.append(len(own))
+                bits.append(parities(own))
+                for prefix, into in zip(order.others(own, prefix_size(len(own), percent)), firsts, strict=True):
+                    into.append(prefix)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    signed(nodes),
-                    pa.array([len(o) for o in own], pa.int64()),
-                    pa.array([parities(o) for o in own], pa.list_(pa.int64())),
+                    *batch.columns[:2],
+                    signed(np.array(nodes, np.uint64)),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(bits, pa.list_(pa.int64())),
+                    *[pa.array(f, pa.list_(pa.int32())) for f in firsts],
                 ],
-                ["doc_id", "node", "n", "bits"],
+                ["doc_id", "key", "node", "n", "bits", "second", "third"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, node BIGINT, n BIGINT, bits ARRAY<BIGINT>")
+    return rows.mapInArrow(
+        run, f"doc_id {kind}, key BIGINT, node BIGINT, n BIGINT, bits ARRAY<BIGINT>, second ARRAY<INT>, third ARRAY<INT>"
+    )
 
 
 def shingle_counts(docs: DataFrame, size: int) -> DataFrame:
-    """``token, seen``: in how many documents each shingle of the counted third is."""
+    """``token, seen``: in about how many documents each shingle of the counted part is that a task met repeatedly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -183,10 +210,11 @@ def shingle_counts(docs: DataFrame, size: int) -> DataFrame:
         def summed() -> pa.RecordBatch:
             token, seen = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            return pa.RecordBatch.from_arrays([signed(token), pa.array(seen.astype(np.int64))], ["token", "seen"])
+            often = seen > 1
+            return pa.RecordBatch.from_arrays([signed(token[often]), pa.array(seen[often].astype(np.int64))], ["token", "seen"])
 
         count = 0
-        for batch in batches:
+        for batch in sliced(batches):
             for own in shingles_of(batch.column(0).to_pylist(), size):
                 held.append(own[: np.searchsorted(own, np.uint64(COUNTED_BELOW))].copy())
                 count += len(held[-1])
@@ -199,35 +227,58 @@ def shingle_counts(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token BIGINT, seen BIGINT").groupBy("token").agg(F.sum("seen").alias("seen"))
 
 
+def frequent(counts: DataFrame, most: int) -> pa.Table:
+    """Shingles with at least the least count that at most ``most`` of them reach; found from counts by powers of two."""
+    step = F.floor(F.log2("seen")).cast("int")
+    steps = counts.where(F.col("seen") >= FREQUENT_LEAST).groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()
+    least, total = 64, 0
+    for row in sorted(steps, reverse=True):
+        total += row["n"]
+        if total > most:
+            break
+        least = row["step"]
+    return counts.where((F.col("seen") >= FREQUENT_LEAST) & (step >= least)).toArrow()
+
+
 class Orders:
     """Global token orders: frequent tokens last, by classes of their counts, then by a seeded hash."""
 
+    SEEDS = (2, 3)
+
     def __init__(self, token: np.ndarray, seen: np.ndarray) -> None:
         by = np.argsort(token)
         self.token = token[by]
         self.place = np.log2(np.maximum(seen[by], 1)).astype(np.uint8) + 1
 
-    def first(self, own: np.ndarray, count: int, seed: int = 0) -> np.ndarray:
-        """The first ``count`` of the sorted tokens ``own``, in order."""
+    def places(self, own: np.ndarray) -> np.ndarray:
         if not len(self.token):
-            places = np.zeros(len(own), np.uint8)
-        else:
-            at = np.minimum(np.searchsorted(self.token, own), len(self.token) - 1)
-            places = np.where(self.token[at] == own, self.place[at], 0)
-        if not seed and not places.any():
-            return own[:count]
-        return own[np.lexsort((scrambled(own, seed) if seed else own, places))[:count]]
+            return np.zeros(len(own), np.uint8)
+        at = np.minimum(np.searchsorted(self.token, own), len(self.token) - 1)
+        return np.where(self.token[at] == own, self.place[at], 0).astype(np.uint8)
+
+    def first(self, own: np.ndarray, count: int, seed: int = 0) -> np.ndarray:
+        """The first ``count`` of the sorted tokens ``own``; in order if there is no seed."""
+        places = self.places(own)
+        if seed:
+            ranks = (scrambled(own, seed) >> np.uint64(8)) | (places.astype(np.uint64) << np.uint64(56))
+            return own[np.argpartition(ranks, count - 1)[:count]] if len(own) else own
+        return own[np.argsort(places, kind="stable")[:count]] if places.any() else own[:count]
+
+    def others(self, own: np.ndarray, count: int) -> list[np.ndarray]:
+        """The prefixes under the other orders, as 32 bits of each token."""
+        return [self.first(own, count, seed).astype(np.uint32).view(np.int32) for seed in self.SEEDS]
 
 
 def prefix_rows(docs: DataFrame, orders, size: int, percent: int) -> DataFrame:
     """``token, node, n, rank``: the prefix of each set under the first order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = orders.value
-        for batch in batches:
-            parts, nodes, sizes, done = [], [], [], set()
+        order, done = orders.value, set()
+        for batch in sliced(batches):
+            done = done if len(done) < RUN_SHINGLES else set()
+            parts, nodes, sizes = [], [], []
             for own in shingles_of(batch.column(0).to_pylist(), size):
-                node = xxhash.xxh64_intdigest(own.tobytes())
+                node = node_of(own)
                 if len(own) and node not in done:
                     done.add(node)
                     parts.append(order.first(own, prefix_size(len(own), percent)))
@@ -248,34 +299,23 @@ def prefix_rows(docs: DataFrame, orders, size: int, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token BIGINT, node BIGINT, n BIGINT, rank BIGINT")
 
 
-def whole_sets(texts: DataFrame, orders, size: int, percent: int) -> DataFrame:
-    """``a, b, side, n, second, third, tokens``: prefixes under the other orders, as 32 bits, and the whole set."""
-    names = ["a", "b", "side", "n", "second", "third", "tokens"]
+def whole_sets(texts: DataFrame, size: int) -> DataFrame:
+    """``a, b, side, n, tokens``: the whole set of each side of a pair."""
+    names = ["a", "b", "side", "n", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = orders.value
-        for whole in batches:
-            for start in range(0, whole.num_rows, OUT_ROWS):
-                batch = whole.slice(start, OUT_ROWS)
-                own = list(shingles_of(batch.column(3).to_pylist(), size))
-                # Rows that share an id may hold other texts.
-                node = np.array([xxhash.xxh64_intdigest(o.tobytes()) for o in own], np.uint64).view(np.int64)
-                wanted = pc.if_else(pc.equal(batch.column(2), "a"), batch.column(0), batch.column(1)).to_numpy()
-                batch = batch.filter(pa.array(node == wanted))
-                own = [o for o, right in zip(own, node == wanted, strict=True) if right]
-                firsts = [
-                    pa.array(
-                        [order.first(o, prefix_size(len(o), percent), seed).astype(np.uint32).view(np.int32) for o in own],
-                        pa.list_(pa.int32()),
-                    )
-                    for seed in (2, 3)
-                ]
-                tokens = pa.array([o.view(np.int64) for o in own], pa.list_(pa.int64()))
-                counts = pa.array([len(o) for o in own], pa.int64())
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], counts, *firsts, tokens], names)
-
-    schema = "a BIGINT, b BIGINT, side STRING, n BIGINT, second ARRAY<INT>, third ARRAY<INT>, tokens ARRAY<BIGINT>"
-    return texts.select("a", "b", "side", "text").mapInArrow(run, schema)
+        for batch in sliced(batches):
+            own = list(shingles_of(batch.column(3).to_pylist(), size))
+            # Rows that share an id may hold other texts.
+            node = np.array([node_of(o) for o in own], np.uint64).view(np.int64)
+            wanted = pc.if_else(pc.equal(batch.column(2), "a"), batch.column(0), batch.column(1)).to_numpy()
+            batch = batch.filter(pa.array(node == wanted))
+            own = [o for o, right in zip(own, node == wanted, strict=True) if right]
+            tokens = pa.array([o.view(np.int64) for o in own], pa.list_(pa.int64()))
+            counts = pa.array([len(o) for o in own], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], counts, tokens], names)
+
+    return texts.select("a", "b", "side", "text").mapInArrow(run, "a BIGINT, b BIGINT, side STRING, n BIGINT, tokens ARRAY<BIGINT>")
 
 
 class Join:
@@ -284,12 +324,12 @@ class Join:
     def __init__(self, docs: DataFrame, size: int, percent: int, folder: str) -> None:
         self.docs, self.size, self.percent, self.folder = docs, size, percent, folder
         spark = docs.sparkSession
-        self.facts = stored(set_rows(docs, size), folder, "sets")
-        often = shingle_counts(docs, size).where(F.col("seen") >= FREQUENT_LEAST)
-        often = often.orderBy(F.desc("seen"), "token").limit(FREQUENT).toPandas()
+        # Bounded by FREQUENT, as packed columns.
+        often = frequent(stored(shingle_counts(docs, size), folder, "counts"), FREQUENT)
         self.orders = spark.sparkContext.broadcast(
-            Orders(often["token"].to_numpy(np.int64).view(np.uint64), often["seen"].to_numpy(np.int64))
+            Orders(often["token"].to_numpy().astype(np.int64).view(np.uint64), often["seen"].to_numpy().astype(np.int64))
         )
+        self.facts = stored(set_rows(docs, self.orders, size, percent), folder, "sets")
 
     def alike(self, a: str, b: str) -> str:
         """SQL: sizes and ranks let the pair reach the threshold with this token as the first common one."""
@@ -309,10 +349,10 @@ class Join:
         return stored(rows, self.folder, "buckets")
 
     def possible(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``a``, ``b`` whose parities leave room for enough common tokens."""
+        """The pairs ``a``, ``b`` that meet under all orders and whose parities leave room for enough common tokens."""
         sets = self.facts.dropDuplicates(["node"])
         for s in "ab":
-            side = sets.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}"))
+            side = sets.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "bits", "second", "third")])
             pairs = lookup(pairs, side, s, "inner")
         # Sizes are powers of two; a longer one is folded to the shorter one.
         folded = """transform(sequence(1, least(size(bits_a), size(bits_b))), i -> bit_count(
@@ -320,32 +360,39 @@ class Join:
             ^ aggregate(sequence(i, size(bits_b), least(size(bits_a), size(bits_b))), 0L, (x, k) -> x ^ bits_b[k - 1])))"""
         apart = f"aggregate({folded}, 0L, (x, n) -> x + n)"
         room = f"{100 + self.percent} * (n_a + n_b - {apart}) >= {2 * self.percent} * (n_a + n_b)"
-        return pairs.where(room).select("a", "b")
+        meet = F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")
+        return pairs.where(meet).where(room).select("a", "b")
 
     def linked(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Those of the pairs ``a``, ``b`` that pass all orders and reach the threshold."""
+        """Those of the pairs ``a``, ``b`` that pass all filters and reach the threshold."""
         pairs = stored(self.possible(pairs), self.folder, f"{name}-pairs")
-        first = self.facts.where("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+        # A document to take the set's text from; where none has an id, one that has the text.
+        first = self.facts.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
         sides = pairs.select(
             "a", "b", F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("node")) for s in "ab"])).alias("s")
         )
         sides = stored(lookup(sides.select("a", "b", "s.*"), first, "node", "inner").drop("node"), self.folder, f"{name}-sides")
         # Each side of a pair takes its text along, so a leader of many pairs is spread like its pairs.
-        texts = self.docs.select("doc_id", "text")
-        if sides.count() <= BROADCAST_ROWS:
-            texts = texts.join(F.broadcast(sides), "doc_id")
-        else:
-            texts = texts.withColumn("_hash", F.xxhash64("doc_id")).join(
-                sides.withColumn("_hash", F.xxhash64("doc_id")), ["_hash", "doc_id"]
-            )
-        sets = whole_sets(texts, self.orders, self.size, self.percent)
-        one = F.struct("n", "second", "third", "tokens")
+        few = sides.count() <= BROADCAST_ROWS
+        texts = beside(self.docs.select("doc_id", "text"), sides.drop("key"), "doc_id", few)
+        if self.nameless:
+            unnamed = sides.where("doc_id IS NULL").drop("doc_id")
+            others = self.docs.where("doc_id IS NULL").select(F.xxhash64("text").alias("key"), "text")
+            wanted = unnamed.select("key").distinct()
+            others = lookup(others, wanted, "key", "left_semi").dropDuplicates(["key"])
+            texts = texts.unionByName(beside(others, unnamed, "key", few))
+        sets = whole_sets(texts, self.size)
+        one = F.struct("n", "tokens")
         both = sets.groupBy("a", "b").agg(*[F.first(F.when(F.col("side") == s, one), True).alias(s * 2) for s in "ab"])
-        both = both.where(F.arrays_overlap("aa.second", "bb.second") & F.arrays_overlap("aa.third", "bb.third"))
         common = F.size(F.array_intersect("aa.tokens", "bb.tokens"))
         good = (100 + self.percent) * common >= self.percent * (F.col("aa.n") + F.col("bb.n"))
         return stored(both.where(good).select("a", "b"), self.folder, f"{name}-links")
 
+    @functools.cached_property
+    def nameless(self) -> bool:
+        """Whether there are documents without an id."""
+        return not self.facts.where("doc_id IS NULL").select("node").isEmpty()
+
     def classes(self) -> DataFrame:
         """``node``, ``root`` for all linked nodes."""
         rows = self.buckets()
@@ -356,8 +403,9 @@ class Join:
         links = self.linked(best.select("a", "b"), "led")
         known = components(links, f"{self.folder}/led")
         label = lookup(rows.drop("lead"), known, "node").withColumn("label", F.coalesce("root", "node")).drop("root")
-        own = Window.partitionBy("token")
-        mixed = label.withColumn("_l", F.min("label").over(own)).withColumn("_m", F.max("label").over(own)).where("_l <> _m")
+        label = stored(label, self.folder, "labels")
+        spread = label.groupBy("token").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).where("_l <> _m").select("token")
+        mixed = lookup(label, spread, "token", "left_semi")
         mixed = stored(mixed.select("token", "node", "n", "rank", "label"), self.folder, "mixed").withColumn("_t", F.xxhash64("token"))
         x, y = mixed.alias("x"), mixed.alias("y")
         pairs = x.join(y, ["_t", "token"]).where("x.label <> y.label AND x.node < y.node AND " + self.alike("x", "y"))
@@ -365,6 +413,20 @@ class Join:
         more = self.linked(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), "rest")
         return components(links.unionByName(more), f"{self.folder}/all")
 
+    def roots(self) -> DataFrame:
+        """The facts of all documents with words, with the ``root`` of their class."""
+        facts = self.facts.where("n > 0").select("doc_id", "key", "node", "n")
+        return lookup(facts, self.classes(), "node").withColumn("root", F.coalesce("root", "node"))
+
+
+def beside(texts: DataFrame, sides: DataFrame, key: str, few: bool) -> DataFrame:
+    """``a, b, side, text``: a few sides are sent to all executors, many are shuffled."""
+    if few:
+        rows = texts.join(F.broadcast(sides), key)
+    else:
+        rows = texts.withColumn("_hash", F.xxhash64(key)).join(sides.withColumn("_hash", F.xxhash64(key)), ["_hash", key])
+    return rows.select("a", "b", "side", "text")
+
 
 def jaccard_classes(
     docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, folder: str | None = None
@@ -376,13 +438,12 @@ def jaccard_classes(
     ``size`` has one shingle, its whole sequence; a null text or one without
     words has none and links with nothing. ``component_id`` is the smallest
     ``doc_id`` reachable by links. Rows that share a ``doc_id`` and a text are
-    copies like others; a document without an id belongs to its class, but
-    gives it no name, and is compared only if a document with an id has the
-    same set. Other columns are ignored. Sets and shingles are known by 64-bit
-    hashes.
+    copies like others; a document without an id links like others, but gives
+    its class no name. Other columns are ignored. Sets and shingles are known by
+    64-bit hashes.
     """
     join = Join(docs, size, percent, folder or fresh_folder(docs.sparkSession))
-    roots = lookup(join.facts.where("n > 0"), join.classes(), "node").withColumn("root", F.coalesce("root", "node"))
+    roots = join.roots()
     names = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     linked = lookup(roots, names, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = join.facts.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
@@ -390,14 +451,32 @@ def jaccard_classes(
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, folder: str | None = None) -> DataFrame:
-    """``docs`` with all its columns, of each class only the rows with its smallest ``doc_id``.
+    """``docs`` with all its columns, of each class only one row.
 
-    Of repeated rows with that id one stays, by text. Rows without an id stay.
+    It is the row with the smallest ``doc_id``, of several with that id the one
+    with the least hash of its text; rows without an id come last. Of rows with
+    the same id and text any one stays. What goes is told by id and text, so a
+    row that shares only its id with one that goes stays. Documents without a
+    word are in no class, and all stay.
     """
-    classes = jaccard_classes(docs, size, percent, folder)
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = kept.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1 AND doc_id IS NOT NULL").select("doc_id")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    twice = kept.join(again, "doc_id", "left_semi").withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
-    return kept.join(again, "doc_id", "left_anti").unionByName(twice)
+    join = Join(docs, size, percent, folder or fresh_folder(docs.sparkSession))
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
+    rows = join.roots().groupBy("root", place.alias("place")).agg(F.count("*").alias("times"))
+    best = rows.groupBy("root").agg(F.min("place").alias("best"))
+    rows = lookup(rows, best, "root").select("place", "times", (F.col("place") == F.col("best")).alias("stays"))
+    rows = stored(rows, join.folder, "verdicts")
+
+    def marked(verdicts: DataFrame) -> DataFrame:
+        return verdicts.select(F.col("place.doc_id").alias("_id"), F.col("place.key").alias("_key"))
+
+    def same(right: DataFrame) -> Column:
+        return (F.xxhash64(docs["text"]) == right["_key"]) & docs["doc_id"].eqNullSafe(right["_id"])
+
+    gone, again = marked(rows.where("NOT stays")), marked(rows.where("stays AND times > 1"))
+    kept = docs.join(gone, same(gone), "left_anti")
+    if again.isEmpty():
+        return kept
+    alone = kept.join(again, same(again), "left_anti")
+    twice = docs.join(again, same(again), "left_semi")
+    key = F.struct(twice["doc_id"].isNull(), twice["doc_id"], F.xxhash64(twice["text"]))
+    return alone.unionByName(first_per(twice.withColumn("_place", key), "_place", F.lit(1)).drop("_place"))
