@@ -10,8 +10,10 @@ them are whole sets fetched and compared.
 
 Groups of copies stay linear. Equal sets are one node. Each node is first
 compared with one leader, the smallest node of the buckets it shares most often;
-what that links is one class, and afterwards only pairs from different classes
-are looked at. No link between classes is lost, and none within one is needed.
+what that links is one class. Where a token still has many classes, each of them
+is compared with a few members of the largest one, other ones in each round, as
+long as that links. Afterwards all pairs from different classes are looked at. No
+link between classes is lost, and none within one is needed.
 """
 
 from __future__ import annotations
@@ -43,6 +45,12 @@ FREQUENT_LEAST = 4
 FREQUENT = 1 << 20
 # Texts are taken from a batch in slices of so many rows.
 OUT_ROWS = 256
+# A token with so many classes gets rounds of leaders, of which each class meets at most so many a round.
+MANY_CLASSES, LEADERS, ROUNDS = 8, 2, 6
+# Prefixes of so many tokens go along with each of their rows, so that a pair is made at its first common one only.
+SHORT_PREFIX = 256
+# A round that links less than this share of its pairs is the last one.
+WORTHWHILE = 0.05
 # So many sides of pairs (at most 40 MB) are sent to all executors, more are shuffled.
 BROADCAST_ROWS = 1 << 19
 
@@ -333,11 +341,8 @@ class Join:
 
     def alike(self, a: str, b: str) -> str:
         """SQL: sizes and ranks let the pair reach the threshold with this token as the first common one."""
-        least = f"ceil({self.percent} * ({a}.n + {b}.n) / {100 + self.percent}.0)"
-        return (
-            f"100 * least({a}.n, {b}.n) >= {self.percent} * greatest({a}.n, {b}.n)"
-            f" AND {a}.n - {a}.rank >= {least} AND {b}.n - {b}.rank >= {least}"
-        )
+        enough = " AND ".join(f"{100 + self.percent} * ({s}.n - {s}.rank) >= {self.percent} * ({a}.n + {b}.n)" for s in (a, b))
+        return f"100 * least({a}.n, {b}.n) >= {self.percent} * greatest({a}.n, {b}.n) AND {enough}"
 
     def buckets(self) -> DataFrame:
         """Prefix rows of tokens that several nodes share, with the smallest node of the token."""
@@ -354,14 +359,8 @@ class Join:
         for s in "ab":
             side = sets.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "bits", "second", "third")])
             pairs = lookup(pairs, side, s, "inner")
-        # Sizes are powers of two; a longer one is folded to the shorter one.
-        folded = """transform(sequence(1, least(size(bits_a), size(bits_b))), i -> bit_count(
-            aggregate(sequence(i, size(bits_a), least(size(bits_a), size(bits_b))), 0L, (x, k) -> x ^ bits_a[k - 1])
-            ^ aggregate(sequence(i, size(bits_b), least(size(bits_a), size(bits_b))), 0L, (x, k) -> x ^ bits_b[k - 1])))"""
-        apart = f"aggregate({folded}, 0L, (x, n) -> x + n)"
-        room = f"{100 + self.percent} * (n_a + n_b - {apart}) >= {2 * self.percent} * (n_a + n_b)"
         meet = F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")
-        return pairs.where(meet).where(room).select("a", "b")
+        return pairs.where(meet).where(self.room("n_a", "n_b", "bits_a", "bits_b")).select("a", "b")
 
     def linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of the pairs ``a``, ``b`` that pass all filters and reach the threshold."""
@@ -402,17 +401,81 @@ class Join:
         best = led.where("16 * shared >= n").groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
         links = self.linked(best.select("a", "b"), "led")
         known = components(links, f"{self.folder}/led")
-        label = lookup(rows.drop("lead"), known, "node").withColumn("label", F.coalesce("root", "node")).drop("root")
-        label = stored(label, self.folder, "labels")
+        rows = rows.drop("lead")
+        label = stored(self.labelled(rows, known), self.folder, "labels")
+        crowd = stored(self.crowded(label), self.folder, "crowd")
+        for turn in range(ROUNDS):
+            pairs = stored(self.led(crowd, turn), self.folder, f"turn-{turn}")
+            tested = pairs.count()
+            if not tested:
+                break
+            found = self.linked(pairs, f"turn-{turn}")
+            links = links.unionByName(found)
+            known = components(links, f"{self.folder}/turn-{turn}")
+            label = stored(self.labelled(rows, known), self.folder, f"labels-{turn}")
+            if found.count() < WORTHWHILE * tested:
+                break
+            crowd = stored(self.crowded(self.labelled(crowd.drop("label", "main"), known)), self.folder, f"crowd-{turn}")
         spread = label.groupBy("token").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).where("_l <> _m").select("token")
-        mixed = lookup(label, spread, "token", "left_semi")
-        mixed = stored(mixed.select("token", "node", "n", "rank", "label"), self.folder, "mixed").withColumn("_t", F.xxhash64("token"))
-        x, y = mixed.alias("x"), mixed.alias("y")
-        pairs = x.join(y, ["_t", "token"]).where("x.label <> y.label AND x.node < y.node AND " + self.alike("x", "y"))
-        pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+        mixed = lookup(label, spread, "token", "left_semi").select("token", "node", "n", "rank", "label")
+        pairs = self.across(stored(mixed, self.folder, "mixed"))
         more = self.linked(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), "rest")
         return components(links.unionByName(more), f"{self.folder}/all")
 
+    def across(self, mixed: DataFrame) -> DataFrame:
+        """``a, b``: pairs of nodes of different classes that have a prefix token in common and may be alike.
+
+        The bound by parities is part of the join, so of a group of many sets that
+        are not quite alike the pairs are compared, but are no rows.
+        """
+        ordered = F.array_sort(F.collect_list(F.struct("rank", "token")))
+        listed = mixed.where(F.expr(f"n - ceil({self.percent} * n / 100) < {SHORT_PREFIX}")).groupBy("node").agg(ordered.alias("all"))
+        extra = self.facts.dropDuplicates(["node"]).select("node", "bits").join(listed, "node", "left")
+        rows = lookup(mixed, extra, "node", "inner").withColumn("_t", F.xxhash64("token"))
+        ahead = "coalesce(transform(filter(all, e -> e.rank < rank), e -> e.token), array())"
+        rows = rows.withColumn("ahead", F.expr(ahead)).drop("all")
+        x, y = rows.alias("x"), rows.alias("y")
+        pairs = x.join(
+            y,
+            F.expr(
+                "x._t = y._t AND x.token = y.token AND x.label <> y.label AND x.node < y.node AND "
+                + self.alike("x", "y")
+                + " AND NOT arrays_overlap(x.ahead, y.ahead) AND "
+                + self.room("x.n", "y.n", "x.bits", "y.bits")
+            ),
+        )
+        return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+    def room(self, n_a: str, n_b: str, bits_a: str, bits_b: str) -> str:
+        """SQL: the parities of two sets leave room for enough common tokens."""
+        # Sizes are powers of two; a longer one is folded to the shorter one.
+        least = f"least(size({bits_a}), size({bits_b}))"
+        part = "aggregate(sequence(i, size({0}), {1}), 0L, (v, k) -> v ^ {0}[k - 1])"
+        folded = f"transform(sequence(1, {least}), i -> bit_count({part.format(bits_a, least)} ^ {part.format(bits_b, least)}))"
+        apart = f"aggregate({folded}, 0L, (v, c) -> v + c)"
+        return f"{100 + self.percent} * ({n_a} + {n_b} - {apart}) >= {2 * self.percent} * ({n_a} + {n_b})"
+
+    def labelled(self, rows: DataFrame, known: DataFrame) -> DataFrame:
+        return lookup(rows, known, "node").withColumn("label", F.coalesce("root", "node")).drop("root")
+
+    def crowded(self, label: DataFrame) -> DataFrame:
+        """Rows of tokens that many classes share, with the class that has most nodes there."""
+        counts = label.groupBy("token", "label").agg(F.count("*").alias("c"))
+        main = counts.groupBy("token").agg(F.count("*").alias("classes"), F.max_by("label", F.struct("c", "label")).alias("main"))
+        return lookup(label, main.where(F.col("classes") >= MANY_CLASSES).select("token", "main"), "token", "inner")
+
+    def led(self, crowd: DataFrame, turn: int) -> DataFrame:
+        """``a, b``: nodes with a few nodes of the main class, chosen by a hash that is another one in each round."""
+        seeds = [F.xxhash64("node", F.lit(turn * LEADERS + k)).alias("h") for k in range(LEADERS)]
+        leaders = [F.min(F.struct(seed, "node", "n", "rank")).alias(f"l{k}") for k, seed in enumerate(seeds)]
+        leaders = crowd.where("label = main").groupBy("token").agg(*leaders)
+        others = lookup(crowd.where("label <> main"), leaders, "token", "inner")
+        lead = F.explode(F.array(*[F.struct(f"l{k}.node", f"l{k}.n", f"l{k}.rank") for k in range(LEADERS)]))
+        met = others.select(F.col("node").alias("b"), F.struct("n", "rank").alias("x"), lead.alias("y"))
+        met = met.where(self.alike("x", "y")).groupBy(F.col("y.node").alias("a"), "b").agg(F.count("*").alias("shared"))
+        rank = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("shared"), "a"))
+        return met.withColumn("_rank", rank).where(F.col("_rank") <= LEADERS).select("a", "b")
+
     def roots(self) -> DataFrame:
         """The facts of all documents with words, with the ``root`` of their class."""
         facts = self.facts.where("n > 0").select("doc_id", "key", "node", "n")
