@@ -353,9 +353,15 @@ class Join:
         rows = rows.withColumn("lead", lead).withColumn("_n", F.count("*").over(own)).where("_n > 1").drop("_n")
         return stored(rows, self.folder, "buckets")
 
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        """One row of ``facts`` for each of the nodes; what is kept of other sets is not shuffled while these are few."""
+        nodes = nodes.distinct()
+        wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
+        return self.facts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+
     def possible(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``a``, ``b`` that meet under all orders and whose parities leave room for enough common tokens."""
-        sets = self.facts.dropDuplicates(["node"])
+        """The stored pairs ``a``, ``b`` that meet under all orders and whose parities leave room for enough common tokens."""
+        sets = self.sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         for s in "ab":
             side = sets.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "bits", "second", "third")])
             pairs = lookup(pairs, side, s, "inner")
@@ -364,7 +370,7 @@ class Join:
 
     def linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of the pairs ``a``, ``b`` that pass all filters and reach the threshold."""
-        pairs = stored(self.possible(pairs), self.folder, f"{name}-pairs")
+        pairs = stored(self.possible(stored(pairs, self.folder, f"{name}-met")), self.folder, f"{name}-pairs")
         # A document to take the set's text from; where none has an id, one that has the text.
         first = self.facts.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
         sides = pairs.select(
@@ -412,10 +418,11 @@ class Join:
             found = self.linked(pairs, f"turn-{turn}")
             links = links.unionByName(found)
             known = components(links, f"{self.folder}/turn-{turn}")
-            label = stored(self.labelled(rows, known), self.folder, f"labels-{turn}")
             if found.count() < WORTHWHILE * tested:
                 break
             crowd = stored(self.crowded(self.labelled(crowd.drop("label", "main"), known)), self.folder, f"crowd-{turn}")
+        if turn or tested:
+            label = stored(self.labelled(rows, known), self.folder, "labels-last")
         spread = label.groupBy("token").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).where("_l <> _m").select("token")
         mixed = lookup(label, spread, "token", "left_semi").select("token", "node", "n", "rank", "label")
         pairs = self.across(stored(mixed, self.folder, "mixed"))
@@ -430,7 +437,7 @@ class Join:
         """
         ordered = F.array_sort(F.collect_list(F.struct("rank", "token")))
         listed = mixed.where(F.expr(f"n - ceil({self.percent} * n / 100) < {SHORT_PREFIX}")).groupBy("node").agg(ordered.alias("all"))
-        extra = self.facts.dropDuplicates(["node"]).select("node", "bits").join(listed, "node", "left")
+        extra = self.sets_of(mixed.select("node")).select("node", "bits").join(listed, "node", "left")
         rows = lookup(mixed, extra, "node", "inner").withColumn("_t", F.xxhash64("token"))
         ahead = "coalesce(transform(filter(all, e -> e.rank < rank), e -> e.token), array())"
         rows = rows.withColumn("ahead", F.expr(ahead)).drop("all")
