@@ -432,26 +432,29 @@ class Join:
     def across(self, mixed: DataFrame) -> DataFrame:
         """``a, b``: pairs of nodes of different classes that have a prefix token in common and may be alike.
 
-        The bound by parities is part of the join, so of a group of many sets that
-        are not quite alike the pairs are compared, but are no rows.
+        For tokens that many classes share the bound by parities is part of the
+        join, so of a group of many sets that are not quite alike the pairs are
+        compared, but are no rows; and each pair is made at its first token only.
         """
+        crowd = stored(self.crowded(mixed).drop("main"), self.folder, "crowd-last")
+        plain = lookup(mixed, crowd.select("token").distinct(), "token", "left_anti")
+        nodes = crowd.select("node").distinct()
         ordered = F.array_sort(F.collect_list(F.struct("rank", "token")))
-        listed = mixed.where(F.expr(f"n - ceil({self.percent} * n / 100) < {SHORT_PREFIX}")).groupBy("node").agg(ordered.alias("all"))
-        extra = self.sets_of(mixed.select("node")).select("node", "bits").join(listed, "node", "left")
-        rows = lookup(mixed, extra, "node", "inner").withColumn("_t", F.xxhash64("token"))
-        ahead = "coalesce(transform(filter(all, e -> e.rank < rank), e -> e.token), array())"
-        rows = rows.withColumn("ahead", F.expr(ahead)).drop("all")
-        x, y = rows.alias("x"), rows.alias("y")
-        pairs = x.join(
-            y,
-            F.expr(
-                "x._t = y._t AND x.token = y.token AND x.label <> y.label AND x.node < y.node AND "
-                + self.alike("x", "y")
-                + " AND NOT arrays_overlap(x.ahead, y.ahead) AND "
-                + self.room("x.n", "y.n", "x.bits", "y.bits")
-            ),
-        )
-        return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+        short = mixed.where(F.expr(f"n - ceil({self.percent} * n / 100) < {SHORT_PREFIX}"))
+        listed = lookup(short, nodes, "node", "left_semi").groupBy("node").agg(ordered.alias("all"))
+        extra = self.sets_of(nodes).select("node", "bits").join(listed, "node", "left")
+        ahead = F.expr("coalesce(transform(filter(all, e -> e.rank < rank), e -> e.token), array())")
+        heavy = lookup(crowd, extra, "node", "inner").withColumn("ahead", ahead).drop("all")
+        bound = self.room("x.n", "y.n", "x.bits", "y.bits")
+        pairs = self.met(plain, "true").union(self.met(heavy, f"NOT arrays_overlap(x.ahead, y.ahead) AND {bound}"))
+        return pairs.distinct()
+
+    def met(self, rows: DataFrame, also: str) -> DataFrame:
+        """``a, b``: nodes of different classes that share a token, may be alike by it, and meet another condition."""
+        rows = rows.withColumn("_t", F.xxhash64("token"))
+        met = "x._t = y._t AND x.token = y.token AND x.label <> y.label AND x.node < y.node"
+        pairs = rows.alias("x").join(rows.alias("y"), F.expr(f"{met} AND {self.alike('x', 'y')} AND {also}"))
+        return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
     def room(self, n_a: str, n_b: str, bits_a: str, bits_b: str) -> str:
         """SQL: the parities of two sets leave room for enough common tokens."""
