@@ -46,7 +46,7 @@ FREQUENT = 1 << 20
 # Texts are taken from a batch in slices of so many rows.
 OUT_ROWS = 256
 # A token with so many classes gets rounds of leaders, of which each class meets at most so many a round.
-MANY_CLASSES, LEADERS, ROUNDS = 8, 2, 6
+MANY_CLASSES, LEADERS, ROUNDS = 8, 2, 1
 # Prefixes of so many tokens go along with each of their rows, so that a pair is made at its first common one only.
 SHORT_PREFIX = 256
 # A round that links less than this share of its pairs is the last one.
