@@ -194,6 +194,37 @@ def test_decontaminated_cuts_spans_and_keeps_the_rest(spark):
     assert cut.split() == PROSE.split()
 
 
+def test_long_items_and_many_blocks(spark):
+    """Items far longer than a block, in more blocks than a task holds, hit like one automaton of all."""
+    rnd = random.Random(8)
+    pool = [f"w{n}" for n in range(60)]
+    items = [" ".join(rnd.choices(pool, k=k)) for k in (400, 250, 90, 11, 10, 9, 3)] + [".", ""]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id BIGINT, text STRING")
+    texts = []
+    for _ in range(60):
+        parts = []
+        for _ in range(rnd.randint(0, 4)):
+            item = rnd.choice(items[:7]).split()
+            start = rnd.randrange(len(item))
+            parts += rnd.choices(["x", "y", *pool], k=rnd.randint(0, 40)) + item[start : start + rnd.randint(1, 30)]
+        texts.append(" ".join(parts))
+    docs = docs_of(spark, [*enumerate(texts), (0, texts[0]), (None, texts[1]), (99, None)])
+    folder = decontam.fresh_folder(spark)
+    assert len(decontam.automata(bench, folder, block_words=40)) > 2 * decontam.HELD_BLOCKS
+    coded = [(str(i), decontam.words_of(t)) for i, t in enumerate(items)]
+    for row in decontam.scanned(docs, bench, block_words=40).collect():
+        words = decontam.words_of(dict(enumerate(texts)).get(row["doc_id"], texts[1] if row["doc_id"] is None else ""))
+        hit, names = plain_hits(words, coded)
+        assert row["n_words"] == len(words) and row["items"] == sorted(names)
+        assert {p for s in row["spans"] for p in range(s["begin"], s["end"])} == hit
+
+    def cut(block_words):
+        rows = docs.selectExpr("doc_id", "text AS _hit", "text", "1 AS n_chars", "true AS _changed")
+        return sorted(decontam.decontaminated(rows, bench, block_words=block_words).collect(), key=repr)
+
+    assert cut(40) == cut(150_000)
+
+
 def test_no_items(spark):
     bench = spark.createDataFrame([], "item_id BIGINT, text STRING")
     row = decontam.contamination(docs_of(spark, [(1, PROSE)]), bench).collect()[0]

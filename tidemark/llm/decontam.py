@@ -3,24 +3,31 @@
 The automaton accepts every run of words of every item. Streaming a document
 through it gives, at each word, the longest run ending there that some item
 has; a run of ``window`` words or a whole shorter item is a hit. Documents stay
-where they are: the automaton goes to them, in blocks of bounded size, and each
-block is one more step of the same map over rows.
+where they are: the automaton goes to them, in blocks of bounded size that are
+built in tasks. A task holds a few blocks, and further ones are one more map over rows.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.llm.common import fresh_folder, stored
 
 WINDOW = 10
 # Words of benchmark text in one automaton; a state takes about 400 bytes, and there are two a word at most.
 BLOCK_WORDS = 150_000
+# Automata that a task holds at once.
+HELD_BLOCKS = 4
 # Of a document of which over half is hit, nothing is kept.
 MAX_HIT_PERCENT = 50
 
@@ -28,8 +35,6 @@ WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
 )
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-# Matches the same words in SQL, for counting.
-SQL_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -158,63 +163,113 @@ def merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return spans
 
 
-def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list:
-    """One broadcast automaton for each block of items; a block is bounded, however large the benchmark.
+def pieces_of(items: DataFrame, window: int, step: int) -> DataFrame:
+    """``name, text, n``: items as runs of words that begin ``step`` words apart and overlap by ``window - 1``.
+
+    Each window of a long item lies in one of its runs; a shorter item is one run.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                words = words_of(text)
+                for start in range(0, max(1, len(words) - window + 1) if words else 0, step):
+                    part = words[start : start + step + window - 1]
+                    yield pa.RecordBatch.from_pydict({"name": [name], "text": [b" ".join(part).decode()], "n": [len(part)]})
+
+    return items.mapInArrow(run, "name STRING, text STRING, n BIGINT")
+
+
+def automata(benchmark: DataFrame, folder: str, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list[Broadcast]:
+    """One automaton, pickled and broadcast, for each block of items; built in tasks and kept below ``folder``.
 
+    A block is bounded, however large the benchmark or an item of it, and the driver passes them on one by one.
     An item without an id is called ``null``; items without words do nothing.
     """
     spark = benchmark.sparkSession
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("name"), F.coalesce("text", F.lit("")).alias("text")
     ).distinct()
-    total = items.agg(F.sum(F.regexp_count("text", F.lit(SQL_WORD)))).first()[0] or 0
-    blocks = max(1, -(-total // block_words))
-    items = items.withColumn("block", F.pmod(F.xxhash64("name", "text"), F.lit(blocks)))
-    made = []
-    for block in range(blocks):
-        rows = items.where(F.col("block") == block).select("name", "text").collect()
-        made.append(spark.sparkContext.broadcast(Automaton.of([tuple(r) for r in rows], window)))
-    return made
+    # Runs of a quarter of a block deal out evenly.
+    runs = stored(pieces_of(items, window, max(1, block_words // 4)), folder, "runs")
+    total = runs.agg(F.sum("n")).first()[0] or 0
+    block = F.pmod(F.xxhash64("name", "text"), F.lit(max(1, -(-total // block_words))))
 
+    def build(rows: pa.Table) -> pa.Table:
+        made = Automaton.of(list(zip(rows["name"].to_pylist(), rows["text"].to_pylist(), strict=True)), window)
+        return pa.table({"block": rows["block"][:1], "automaton": pa.array([pickle.dumps(made)], pa.binary())})
 
-HITS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+    built = runs.withColumn("block", block).groupBy("block").applyInArrow(build, "block BIGINT, automaton BINARY")
+    built = stored(built, folder, "automata")
+    numbers = [row["block"] for row in built.select("block").orderBy("block").collect()]
+    made = (bytes(built.where(F.col("block") == n).first()["automaton"]) for n in numbers)
+    return [spark.sparkContext.broadcast(one) for one in made]
 
 
-def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+def groups_of(blocks: list[Broadcast]) -> list[list[Broadcast]]:
+    """Blocks that a task holds together; one empty group if there are none."""
+    return [blocks[at : at + HELD_BLOCKS] for at in range(0, len(blocks), HELD_BLOCKS)] or [[]]
+
+
+SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+HIT = (
+    T.StructType()
+    .add("n_words", "long")
+    .add("spans", T.ArrayType(T.StructType().add("begin", "long").add("end", "long")))
+    .add("items", T.ArrayType(T.StringType()))
+)
+HIT_ARROW = pa.struct([("n_words", pa.int64()), ("spans", SPANS), ("items", pa.list_(pa.string()))])
+
+
+def unused(columns: list[str], name: str) -> str:
+    """The name, with as many underscores ahead as make it a new one."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_hits(rows: DataFrame, blocks: list[Broadcast], folder: str, name: str) -> DataFrame:
+    """``rows`` with a struct of the words of ``text``, the spans of them that are hit and the items found, sorted.
+
+    A task holds a few blocks at once; between two such groups the rows are written below ``folder``.
+    """
+    at, width = rows.columns.index("text"), len(rows.columns)
+    schema = T.StructType([*rows.schema.fields, T.StructField(name, HIT)])
+    for number, group in enumerate(groups_of(blocks)):
+
+        def run(batches: Iterator[pa.RecordBatch], group=group, first=number == 0) -> Iterator[pa.RecordBatch]:
+            own = [pickle.loads(block.value) for block in group]
+            for batch in batches:
+                rows = []
+                for row in range(batch.num_rows):
+                    words = words_of(batch.column(at)[row].as_py() or "")
+                    before = {"spans": [], "items": []} if first else batch.column(width)[row].as_py()
+                    hits, found = [(h["begin"], h["end"]) for h in before["spans"]], set(before["items"])
+                    for automaton in own:
+                        more, names = automaton.scan(words)
+                        hits += more
+                        found |= names
+                    spans = [{"begin": begin, "end": end} for begin, end in merged(hits)]
+                    rows.append({"n_words": len(words), "spans": spans, "items": sorted(found)})
+                yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(rows, HIT_ARROW)], schema.names)
+
+        rows = (stored(rows, folder, f"pass-{number}") if number else rows).mapInArrow(run, schema)
+    return rows
+
+
+def scanned(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, folder: str | None = None
+) -> DataFrame:
     """``doc_id``, ``n_words``, ``spans`` of hit words and the ``items`` found, for every row of ``docs``.
 
     ``docs`` has ``doc_id`` and ``text``, ``benchmark`` ``item_id`` and ``text``;
     other columns are ignored. A null or empty text has no words and no spans;
     repeated rows get repeated results; without items nothing is hit.
     """
-    rows = docs.select("doc_id", "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    found = "spans ARRAY<STRUCT<begin: BIGINT, end: BIGINT>>, items ARRAY<STRING>"
-    blocks = automata(benchmark, window, block_words)
-    for number, block in enumerate(blocks):
-        first, last = number == 0, number == len(blocks) - 1
-
-        def run(batches: Iterator[pa.RecordBatch], block=block, first=first, last=last) -> Iterator[pa.RecordBatch]:
-            automaton = block.value
-            for batch in batches:
-                sizes, spans, items = [], [], []
-                for row in range(batch.num_rows):
-                    words = words_of(batch.column(1)[row].as_py() or "")
-                    hits, names = automaton.scan(words)
-                    if not first:
-                        hits += [(h["begin"], h["end"]) for h in batch.column(2)[row].as_py()]
-                        names |= set(batch.column(3)[row].as_py())
-                    sizes.append(len(words))
-                    spans.append([{"begin": b, "end": e} for b, e in merged(hits)])
-                    items.append(sorted(names))
-                second = pa.array(sizes, pa.int64()) if last else batch.column(1)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), second, pa.array(spans, HITS), pa.array(items, pa.list_(pa.string()))],
-                    ["doc_id", "n_words" if last else "text", "spans", "items"],
-                )
-
-        rows = rows.mapInArrow(run, f"doc_id {kind}, {'n_words BIGINT' if last else 'text STRING'}, {found}")
-    return rows
+    folder = folder or fresh_folder(docs.sparkSession)
+    blocks = automata(benchmark, folder, window, block_words)
+    return with_hits(docs.select("doc_id", "text"), blocks, folder, "hit").select("doc_id", "hit.*")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -230,47 +285,87 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     )
 
 
+def without(text: str, spans: list[tuple[int, int]], n_words: int) -> str | None:
+    """The text without the spans of its words; None if these are over half of them."""
+    if 100 * sum(end - begin for begin, end in spans) > MAX_HIT_PERCENT * n_words:
+        return None
+    places = [m.span() for m in WORD.finditer(text)]
+    parts, at = [], 0
+    for begin, end in spans:
+        parts.append(text[at : places[begin][0]])
+        at = places[end - 1][1]
+    return "".join([*parts, text[at:]])
+
+
 def cut(text: str, blocks: list[Automaton]) -> str | None:
     """The text without its hit spans; None if over half of its words are hit.
 
     What a cut brings together is looked at again, until nothing is hit.
     """
-    while True:
-        words = words_of(text)
+    now: str | None = text
+    while now:
+        words = words_of(now)
         spans = merged([hit for block in blocks for hit in block.scan(words)[0]])
         if not spans:
-            return text
-        if 100 * sum(end - begin for begin, end in spans) > MAX_HIT_PERCENT * len(words):
-            return None
-        places = [m.span() for m in WORD.finditer(text)]
-        parts, at = [], 0
-        for begin, end in spans:
-            parts.append(text[at : places[begin][0]])
-            at = places[end - 1][1]
-        text = "".join([*parts, text[at:]])
-
-
-def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+            break
+        now = without(now, spans, len(words))
+    return now
+
+
+def edited(batch: pa.RecordBatch, names: list[str], after: list[str | None]) -> pa.RecordBatch:
+    """The batch's columns ``names`` with new texts and their ``n_chars``, and whether a text changed; rows without a new text go."""
+    at, size = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+    columns, texts = batch.columns[: len(names)], batch.column(at).to_pylist()
+    changed = [a != t for a, t in zip(after, texts, strict=True)]
+    columns[at] = pa.array(after, batch.schema.field(at).type)
+    if size is not None:
+        counts = [len(a or "") if c else n for n, a, c in zip(columns[size].to_pylist(), after, changed, strict=True)]
+        columns[size] = pa.array(counts, batch.schema.field(size).type)
+    kept = pa.array([a is not None or not c for a, c in zip(after, changed, strict=True)], pa.bool_())
+    return pa.RecordBatch.from_arrays([*columns, pa.array(changed, pa.bool_())], [*names, "changed"]).filter(kept)
+
+
+def decontaminated(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, folder: str | None = None
+) -> DataFrame:
     """``docs`` with all its columns, hit spans cut out of ``text``; rows that are mostly hit go.
 
     ``n_chars``, if it is there, is counted anew for texts that change. Texts
-    without a hit, null and empty ones stay as they are.
+    without a hit, null and empty ones stay as they are. If a task can hold all
+    blocks it cuts a text until nothing is hit; with more of them each cut is one
+    pass over the texts that the last one changed, with the same result.
     """
-    blocks = automata(benchmark, window, block_words)
-    at, size = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    folder = folder or fresh_folder(docs.sparkSession)
+    blocks = automata(benchmark, folder, window, block_words)
+    names, at = docs.columns, docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = [block.value for block in blocks]
+    def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [pickle.loads(block.value) for block in blocks]
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            after = [text and cut(text, own) for text in texts]
-            kept = pa.array([a is not None or t is None for a, t in zip(after, texts, strict=True)], pa.bool_())
-            columns = batch.columns
-            columns[at] = pa.array(after, batch.schema.field(at).type)
-            if size is not None:
-                counts = columns[size].to_pylist()
-                counts = [n if a == t else len(a or "") for n, a, t in zip(counts, after, texts, strict=True)]
-                columns[size] = pa.array(counts, batch.schema.field(size).type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(kept)
-
-    return docs.mapInArrow(run, docs.schema)
+            after = [text and cut(text, own) for text in batch.column(at).to_pylist()]
+            done = edited(batch, names, after)
+            yield pa.RecordBatch.from_arrays(done.columns[:-1], names)
+
+    if len(blocks) <= HELD_BLOCKS:
+        return docs.mapInArrow(cut_all, docs.schema)
+
+    def cut_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            after = []
+            for text, hit in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
+                spans = [(span["begin"], span["end"]) for span in hit["spans"]]
+                after.append(without(text, spans, hit["n_words"]) if spans else text)
+            yield edited(batch, names, after)
+
+    mark, turn = unused(names, "_changed"), 0
+    schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.BooleanType())])
+    rows, kept = docs, None
+    while True:
+        place = f"{folder}/cut-{turn}"
+        hits = with_hits(rows, blocks, place, unused(names, "_hit"))
+        done = stored(hits.mapInArrow(cut_once, schema), place, "rows")
+        same = done.where(~F.col(mark)).drop(mark)
+        kept = kept.union(same) if kept is not None else same
+        rows, turn = done.where(F.col(mark)).drop(mark), turn + 1
+        if rows.isEmpty():
+            return kept
