@@ -173,6 +173,17 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return F.when(n_b == 0, n_a).when(n_a == 0, n_b).otherwise(whole)
 
 
+def letter_parities(line: Column) -> Column:
+    """64 bits: of which characters (by their codes modulo 64) a text has an odd number. An edit turns at most two of them."""
+    letters = F.split(line, "")
+    one = F.lit(1).cast("long")
+    return F.aggregate(letters, F.lit(0).cast("long"), lambda odd, c: odd.bitwiseXOR(F.call_function("shiftleft", one, F.ascii(c))))
+
+
+def parities_near(a: Column, b: Column, edits: int) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= 2 * edits
+
+
 def pieces_recur(a: Column, b: Column, edits: int) -> Column:
     """Whether all but ``edits`` of some equal pieces of a text stand in the other one, near their place."""
     pieces = 4 * edits
@@ -241,10 +252,15 @@ class Join:
         return stored(lookup(rows, shared, "key", "inner"), self.folder, "buckets")
 
     def texts(self, ids: DataFrame, name: str) -> DataFrame:
-        """``id``, ``line`` of the given ids; two lines that share an id both come."""
+        """``id``, ``line``, ``odd`` (parities of its letters) of the given ids; two lines that share an id both come."""
         ids = stored(ids.select("id").distinct(), self.folder, f"{name}-ids")
         lines = among(self.lines.select(F.xxhash64("line").alias("id"), "line"), ids, "id")
-        return stored(lines.dropDuplicates(["id", "line"]), self.folder, f"{name}-lines")
+        lines = lines.dropDuplicates(["id", "line"]).withColumn("odd", letter_parities(F.col("line")))
+        return stored(lines, self.folder, f"{name}-lines")
+
+    def near(self) -> Column:
+        """Whether lines a and b are similar; the parities of their letters rule out most pairs by one comparison."""
+        return parities_near(F.col("odd_a"), F.col("odd_b"), self.edits) & within(F.col("line_a"), F.col("line_b"), self.edits)
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
         """``a``, ``b`` and the lines' keys, for rows of ``id_a, line_a, id_b, line_b``."""
@@ -263,9 +279,10 @@ class Join:
         led = rows.where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("shared"))
         best = led.groupBy("id").agg(F.max_by("lead", F.struct("shared", -F.col("lead"))).alias("lead"))
         lines = self.texts(rows, "shared")
-        mine, leads = lines.withColumnsRenamed({"line": "line_b"}), lines.withColumnsRenamed({"id": "lead", "line": "line_a"})
+        mine = lines.withColumnsRenamed({"line": "line_b", "odd": "odd_b"})
+        leads = lines.withColumnsRenamed({"id": "lead", "line": "line_a", "odd": "odd_a"})
         first = lookup(lookup(best, mine, "id", "inner"), leads, "lead", "inner")
-        first = first.where(within(F.col("line_a"), F.col("line_b"), self.edits))
+        first = first.where(self.near())
         links = self.links(first.withColumnsRenamed({"id": "id_b", "lead": "id_a"}), "led")
         known = components(links.select("a", "b"), f"{self.folder}/led")
         label = lookup(rows, known.withColumnRenamed("node", "id"), "id").withColumn("label", F.coalesce("root", "id"))
@@ -274,11 +291,11 @@ class Join:
         mixed = stored(lookup(mixed, lines, "id", "inner"), self.folder, "mixed").withColumn("_t", F.xxhash64("key"))
 
         def side(s: str) -> DataFrame:
-            return mixed.select("_t", "key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "indexed", "label", "line")])
+            return mixed.select("_t", "key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "indexed", "label", "line", "odd")])
 
         apart = "indexed_a AND label_a <> label_b AND (id_a < id_b OR NOT indexed_b)"
-        near = F.expr(apart) & within(F.col("line_a"), F.col("line_b"), self.edits)
-        edges = links.unionByName(self.links(side("a").join(side("b"), ["_t", "key"]).where(near), "rest"))
+        rest = side("a").join(side("b"), ["_t", "key"]).where(F.expr(apart) & self.near())
+        edges = links.unionByName(self.links(rest, "rest"))
         return components(edges.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")), f"{self.folder}/all")
 
 
