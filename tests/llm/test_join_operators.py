@@ -330,6 +330,15 @@ def test_odd_turn_numbers(spark):
     assert "".join(r["text"] for r in got) == "<|user|>\nfirst\n<|user|>\nsecond\n<|a|>\ny\n<|b|>\nx\n" and got[0]["n_turns"] == 4
 
 
+def test_conversation_ids_may_be_text(spark):
+    """Hundreds of rows with one turn number or none, and ids that are text, empty or missing."""
+    rows = [("a", n, "user", f"t{i:04}") for n in (None, 3) for i in range(400)] + [(None, 0, "user", "x"), ("", 0, "user", "y")]
+    df = spark.createDataFrame(rows, "conv_id STRING, turn BIGINT, role STRING, text STRING").repartition(5)
+    got = chat.format_chats(df).orderBy("conv_id", "part").collect()
+    assert [(r["conv_id"], r["part"], r["n_turns"]) for r in got] == [(None, 0, 1), ("", 0, 1), ("a", 0, 800), ("a", 1, 800)]
+    assert "".join(r["text"] for r in got[2:]) == "".join(f"<|user|>\n{t}\n" for c, _, _, t in rows if c == "a")
+
+
 # --- n-gram join: documents without an id, ids that are there twice ---------------------------------
 
 

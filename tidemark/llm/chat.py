@@ -74,24 +74,18 @@ def format_chats(turns: DataFrame, folder: str | None = None) -> DataFrame:
     ignored. A turn becomes ``<|role|>``, a line end, its text and a line end;
     ``<|`` within a text is written ``< |``, so no text can open a turn. A null role
     is ``unknown``, a null text empty, though neither equals one that says so. A
-    null conversation id is an id like others. ``part`` counts blocks of 256
-    turn numbers from 0: texts longer than that come in several rows, in order.
+    null conversation id is an id like others, and ids may have any type that can be compared. ``part`` counts
+    blocks of 256 turn numbers from 0: texts longer than that come in several rows, in order.
     """
     placed = stored(placed_turns(turns), folder or fresh_folder(turns.sparkSession), "turns")
-    kept = maximal(placed).withColumn("_none", F.col("conv_id").isNull())
+    kept = maximal(placed).withColumnRenamed("conv_id", "_conv")
     said = F.concat(
         F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"),
         F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")), F.lit("\n"),
     )
-    parts = placed.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("place", said.alias("said")))).alias("said"))
-    parts = parts.withColumn("_none", F.col("conv_id").isNull()).withColumn("conv_id", F.coalesce("conv_id", F.lit(0)))
-    kept = kept.withColumn("conv_id", F.coalesce("conv_id", F.lit(0)))
-    rows = parts.join(kept, ["conv_id", "_none"])
-    order = F.row_number().over(Window.partitionBy("conv_id", "_none").orderBy("part")) - 1
-    return rows.select(
-        F.when(~F.col("_none"), F.col("conv_id")).alias("conv_id"),
-        order.cast("long").alias("part"),
-        "n_turns",
-        "n_equal",
-        F.array_join(F.transform("said", lambda s: s["said"]), "").alias("text"),
-    )
+    turn = F.struct("place", said.alias("said"))
+    parts = placed.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    rows = parts.join(kept, F.col("conv_id").eqNullSafe(F.col("_conv")))
+    order = F.row_number().over(Window.partitionBy("conv_id").orderBy("part")) - 1
+    text = F.array_join(F.transform("turns", lambda t: t["said"]), "")
+    return rows.select("conv_id", order.cast("long").alias("part"), "n_turns", "n_equal", text.alias("text"))
