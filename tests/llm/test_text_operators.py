@@ -139,6 +139,14 @@ def test_other_article_is_a_comment():
     assert [(b.state, b.text) for b in blocks] == [("main", "Text"), ("hidden", "me too")]
 
 
+def test_page_ids_may_be_text_or_missing(spark):
+    menu = "home about contact shop offers news blog imprint terms help"
+    own = {i: " ".join(f"{i}{n}" for n in range(12)) for i in ("a", "b", None)}
+    rows = [(i, f"http://h/{i}", f"<p>{menu}</p><p>{text}</p>") for i, text in own.items()]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id STRING, url STRING, html STRING")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == own
+
+
 # --- decontamination ----------------------------------------------------------------------
 
 
