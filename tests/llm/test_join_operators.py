@@ -61,6 +61,27 @@ def test_distance_against_the_textbook(spark):
             assert r["near"] == brute.close(r["a"], r["b"], edits), (r, edits)
 
 
+def test_parities_never_rule_out_a_similar_pair(spark):
+    rnd, letters = random.Random(12), "ab Zé中😀𝄞\t"
+    rows = []
+    for edits in (1, 2, 3):
+        for _ in range(150):
+            a = b = "".join(rnd.choices(letters, k=rnd.randint(0, 40)))
+            for _ in range(edits):
+                at = rnd.randint(0, len(b))
+                b = b[:at] + rnd.choice(["", *letters]) + b[at + rnd.randint(0, 1) :]
+            rows.append((a, b, edits))
+    df = spark.createDataFrame(rows, "a STRING, b STRING, edits INT").withColumns(
+        {f"odd_{s}": line_dedup.letter_parities(F.col(s)) for s in "ab"}
+    )
+    near = F.bit_count(F.col("odd_a").bitwiseXOR(F.col("odd_b"))) <= 2 * F.col("edits")
+    assert df.where(near).count() == len(rows)
+    by_two = line_dedup.parities_near(F.col("odd_a"), F.col("odd_b"), 2)
+    assert df.where(F.col("edits") <= 2).where(by_two).count() == 300
+    far = spark.createDataFrame([("abcdef", "")], "a STRING, b STRING")
+    assert far.where(line_dedup.parities_near(*[line_dedup.letter_parities(F.col(s)) for s in "ab"], 2)).isEmpty()
+
+
 def test_dedup_lines_against_all_pairs(spark):
     rnd = random.Random(4)
     base = ["".join(rnd.choice("abcdefgh ") for _ in range(rnd.choice([31, 33, 60, 200]))).strip() + "." for _ in range(12)]
