@@ -341,3 +341,16 @@ def test_shards_find_the_counts_of_all_words(spark, monkeypatch, shard_words):
     for r in got:
         want = context_mix.Mixer().log10(counts.tables, tokens[r["doc_id"]]).sum()
         assert r["score"] == pytest.approx(want, abs=1e-6)
+
+
+def test_packed_keys_and_totals_come_back_whole():
+    import numpy as np
+
+    rnd = np.random.default_rng(5)
+    for size in (0, 1, 1000):
+        keys = np.unique(rnd.integers(0, (1 << 64) - 1, size, np.uint64) if size else np.zeros(0, np.uint64))
+        sums = rnd.integers(1, 1 << 40, len(keys))
+        totals = context_mix.path_totals(keys, sums)
+        assert (context_mix.keys_in(context_mix.keys_out(keys)) == keys).all()
+        assert (context_mix.from_planes(context_mix.to_planes(sums)) == sums.astype(np.uint64)).all()
+        assert (context_mix.totals_in(context_mix.totals_out(totals)) == totals).all()
