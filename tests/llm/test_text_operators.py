@@ -343,6 +343,16 @@ def test_shards_find_the_counts_of_all_words(spark, monkeypatch, shard_words):
         assert r["score"] == pytest.approx(want, abs=1e-6)
 
 
+def test_the_mixer_learns_from_every_shard(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 90}" for k in range(6))) for i in range(40)]
+    own, fitted = lm_score.trained_mixer, []
+    monkeypatch.setattr(lm_score, "trained_mixer", lambda *args: fitted.append(own(*args)) or fitted[-1])
+    lm_score.score(docs_of(spark, rows), block_tokens=50, shard_words=2).collect()
+    # Each byte of the training texts, the end marks too, is predicted once.
+    want = sum(len(w) + 1 for i, t in rows if not lm_score.is_held_out(i) for w in t.split()) + sum(not lm_score.is_held_out(i) for i, _ in rows)
+    assert fitted[0].total == want and fitted[0].weights.shape == (context_mix.GATES, context_mix.INPUTS)
+
+
 def test_packed_keys_and_totals_come_back_whole():
     import numpy as np
 
