@@ -121,6 +121,25 @@ def test_host_decides_what_stands_beside_an_article(spark):
         assert got[i]["text"] == f"Before {own}\n\nMain {own}\n\nAfter {own}" and got[i]["by_host"]
 
 
+def test_articles_are_part_of_the_array(spark):
+    """A teaser of another page's article goes; a notice in the article of most pages goes, copies and quotations stay."""
+
+    def own(i):
+        return " ".join(f"{w}{i}" for w in WORDS * 2)
+
+    rows = [(i, f"http://h/{i}", page(f"<article><p>{own(i)}</p><p>{NOTICE}</p><p>{own(-i)}</p></article>")) for i in range(1, 6)]
+    rows.append((6, "http://h/6", page(f"<div>{own(1)}</div><article><p>{own(6)}</p></article>")))
+    rows += [(10 + i, f"http://c/{i}", page(f"<article><p>{own(8)}</p><p>{NOTICE}</p></article>")) for i in range(4)]
+    rows += [(20 + i, f"http://q/{i}", page(f"<article><p>{own(20 + i)}</p>{f'<p>{NOTICE}</p>' if i < 3 else ''}</article>")) for i in range(6)]
+    got = extracted(spark, rows)
+    for i in range(1, 6):
+        assert got[i]["text"] == f"{own(i)}\n\n{own(-i)}" and not got[i]["by_host"]
+    assert got[6]["text"] == own(6) and got[6]["by_host"]
+    for i in range(4):
+        assert got[10 + i]["text"] == f"{own(8)}\n\n{NOTICE}"
+    assert [NOTICE in got[20 + i]["text"] for i in range(6)] == [True] * 3 + [False] * 3
+
+
 def test_repeated_rows_repeat_nothing_and_empty_pages(spark):
     html = page(f"<div>{NOTICE}</div>")
     got = extracted(spark, [(1, "http://h/1", html), (1, "http://h/1", html), (2, "http://h/2", None), (3, "u", ""), (4, "http://h/4", page("<nav>m</nav>"))])
