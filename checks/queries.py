@@ -23,7 +23,7 @@ from tidemark.plans.pull import pull
 from tidemark.plans.render import gated_files, model_files
 from tidemark.plans.sync import sync_plan
 from tidemark.session import work_folder
-from tidemark.sinks.definitions import accepted, append_run, latest_definitions, read_runs, write_files, write_version
+from tidemark.sinks.definitions import accepted, append_run, latest_definitions, read_files, read_runs, write_files, write_version
 from tidemark.sinks.export import export_requests, export_table, fetch_model, read_export
 from tidemark.sources import listings
 from tidemark.sources.snapshot import Worktree
@@ -561,7 +561,7 @@ def definition_files(t: Tables) -> DataFrame:
         ),
         root,
     )
-    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    files = read_files(t.spark, root)
     return files.selectExpr(f"split_part(path, '{root}/', 2) AS path", "CAST(content AS STRING) AS content")
 
 
@@ -574,7 +574,7 @@ def definition_files_uri(t: Tables) -> DataFrame:
         t.part.selectExpr(f"concat('{root}/', p_brand, '/models/part_', p_partkey, '.yaml') AS path", "concat(p_name, chr(10)) AS content"),
         root,
     )
-    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    files = read_files(t.spark, root)
     place = root.removeprefix("file://")
     return files.selectExpr(f"split_part(path, '{place}/', 2) AS path", "CAST(content AS STRING) AS content")
 

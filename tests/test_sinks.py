@@ -528,3 +528,17 @@ def test_a_run_with_a_kept_state(spark, tmp_path):
     assert [r["path"] for r in version.collect()] == ["/o/scheduled_queries/b.sql"]
     plan = pull(snapshot, tree, str(tmp_path / "v2"), dry_run=True, **options).collect()
     assert {r["name"]: r["reason"] for r in plan} == {"a": "up_to_date", "b": "uncommitted"}
+
+
+def test_files_are_listed_and_read_in_tasks(spark, tmp_path):
+    from tidemark.sinks.definitions import read_files, write_files
+
+    for scheme in ("", "file://"):
+        root = f"{scheme}{tmp_path}/{len(scheme)}"
+        names = [f"{root}/d{i % 7}/{'deep/' * (i % 3)}f{i}.sql" for i in range(400)] + [f"{root}/_top", f"{root}/empty"]
+        want = {n: "" if n.endswith("empty") else f"é {n}\r\n" for n in names}
+        write_files(spark.createDataFrame(list(want.items()), "path STRING, content STRING").coalesce(1), root)
+        files = read_files(spark, root)
+        assert {r["path"]: bytes(r["content"]).decode() for r in files.collect()} == want
+        # No source of Spark's that lists files on the driver, and no more tasks for more files.
+        assert not files.inputFiles() and files.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism

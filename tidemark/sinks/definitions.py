@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import posixpath
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -104,15 +106,13 @@ FILE_SYSTEMS: dict[str, Callable[[], fs.FileSystem]] = {
 def write_files(definitions: DataFrame, root: str, file_system: Callable[[], fs.FileSystem] | None = None) -> None:
     """Write each definition as a text file below ``root``, a folder all executors share or a place in an object store.
 
-    Executors write their own rows. ``file_system`` makes the file system where
+    Executors write their own rows, dealt to all cores where few tasks would have them. ``file_system`` makes the file system where
     that of the root's scheme won't do. A file appears whole under its name, so a
     task that runs twice does no harm: an object store shows what is closed, and
     elsewhere a file gets its name at the end.
     """
     scheme, base = _split(root)
-    make = file_system or FILE_SYSTEMS.get(scheme)
-    if make is None:
-        raise ValueError(f"no file system is known for {root}; pass one or use {', '.join(filter(None, FILE_SYSTEMS))}")
+    make = file_system or _file_system(scheme, root)
 
     def write(rows: Iterable[Row]) -> None:
         files, known = make(), set()
@@ -131,7 +131,83 @@ def write_files(definitions: DataFrame, root: str, file_system: Callable[[], fs.
             if renames:
                 files.move(partial, target)
 
-    definitions.select("path", "content").foreachPartition(write)
+    files = definitions.select("path", "content")
+    tasks = _file_tasks(definitions.sparkSession)
+    (files if files.rdd.getNumPartitions() >= tasks else files.repartition(tasks)).foreachPartition(write)
+
+
+# Files that are read at once, and names that are sent at once.
+READ_FILES, LISTED_NAMES = 256, 1 << 14
+
+
+def read_files(spark: SparkSession, root: str, file_system: Callable[[], fs.FileSystem] | None = None) -> DataFrame:
+    """``path`` and ``content`` (binary) of every file below ``root``, empty ones too.
+
+    Folders are listed in tasks, and names dealt to the tasks that read them; the driver
+    sees neither. Folders that lie directly in ``root`` are listed side by side. Spark's own file
+    sources hold all names on the driver and start a task for each few files.
+    """
+    scheme, base = _split(root)
+    make = file_system or _file_system(scheme, root)
+    tasks = _file_tasks(spark)
+
+    def listing(folder: str, deep: bool) -> Iterator[tuple[str, bool]]:
+        files, open_folders = make(), [folder]
+        while open_folders:
+            for info in files.get_file_info(fs.FileSelector(open_folders.pop())):
+                is_folder = info.type == fs.FileType.Directory
+                if is_folder and deep:
+                    open_folders.append(info.path)
+                else:
+                    yield info.path, is_folder
+
+    def named(found: Iterator[tuple[str, bool]]) -> Iterator[pa.RecordBatch]:
+        for names in _chunks(found, LISTED_NAMES):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*names, strict=True)], ["name", "is_folder"])
+
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                yield from named(listing(base, deep=False))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, is_folder in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                yield from named(listing(name, deep=True) if is_folder else iter([(name, False)]))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = make()
+
+        def content(name: str) -> bytes:
+            with files.open_input_stream(name) as data:
+                return data.read()
+
+        prefix = f"{scheme}://" if scheme else ""
+        for batch in batches:
+            for names in _chunks(batch.column(0).to_pylist(), READ_FILES):
+                texts = pa.array(map(content, names), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([prefix + n for n in names]), texts], ["path", "content"])
+
+    listed = "name STRING, is_folder BOOLEAN"
+    names = spark.range(1, numPartitions=1).mapInArrow(top, listed).repartition(tasks, "name").mapInArrow(walk, listed)
+    return names.select("name").repartition(tasks, "name").mapInArrow(read, "path STRING, content BINARY")
+
+
+def _chunks(rows: Iterable, size: int) -> Iterator[list]:
+    rows = iter(rows)
+    while chunk := list(itertools.islice(rows, size)):
+        yield chunk
+
+
+def _file_tasks(spark: SparkSession) -> int:
+    """Tasks for work that is counted in files and not in bytes: a few for each core."""
+    return 4 * spark.sparkContext.defaultParallelism
+
+
+def _file_system(scheme: str, root: str) -> Callable[[], fs.FileSystem]:
+    if scheme not in FILE_SYSTEMS:
+        raise ValueError(f"no file system is known for {root}; pass one or use {', '.join(filter(None, FILE_SYSTEMS))}")
+    return FILE_SYSTEMS[scheme]
 
 
 def _split(uri: str) -> tuple[str, str]:
