@@ -299,3 +299,14 @@ def test_last_commit_is_that_of_the_log(spark):
     files = commits.select("path").distinct()
     assert hours(path_state(files, commits)) == {"a": 5, "b": 4, "c": None}
     assert hours(path_state(files, commits.drop("log_order"))) == {"a": 9, "b": 4, "c": None}
+
+
+def test_files_and_commits_are_not_sorted_by_path(spark):
+    files = spark.createDataFrame([("/a",), ("/b",), (None,)], "path STRING")
+    commits = spark.createDataFrame([("/a", None, 1), ("/c", None, None)], "path STRING, commit_ts TIMESTAMP, log_order BIGINT")
+    touched = spark.createDataFrame([("/a", (1, 2, 3)), ("/d", (1, 2, 2)), ("/d", (1, 1, 9)), (None, (0, 0, 0))], f"path STRING, run_order {schemas.RUN_ORDER}")
+    state = path_state(files, commits, touched)
+    got = {r["path"]: (r["file_present"], r["first_object"] and tuple(r["first_object"])) for r in state.collect()}
+    assert got == {"/a": (True, (1, 2, 3)), "/b": (True, None), "/c": (False, None), "/d": (False, (1, 1, 9))}
+    sorting = [line for line in final_plan(state).splitlines() if "SortAggregate" in line]
+    assert sorting and not any("is_file" in line for line in sorting)

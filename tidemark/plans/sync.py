@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -81,21 +81,31 @@ def path_state(
 ) -> DataFrame:
     """One row per path: file present, last commit, first object of the source on it.
 
-    Files, commits and objects (``path, run_order``) go through one aggregate
-    and so one shuffle; each map task combines its rows of a path before that.
+    Files and commits go through one aggregate of plain numbers, which Spark keeps
+    in a hash table; each map task combines its rows of a path before the shuffle. A run order
+    is a struct, which takes a sort by path, so the fewer objects (``path, run_order``) have
+    an aggregate of their own, dealt in the same way and joined without another shuffle. A hash
+    ahead of the path spares that sort comparing paths that all start alike.
     """
     ordered = "log_order" in commits.columns
-    none = {"commit_ts": "TIMESTAMP", "log_order": "BIGINT", "run_order": schemas.RUN_ORDER}
+    none = {"commit_ts": "TIMESTAMP", "log_order": "BIGINT"}
     facts = local_files.selectExpr("path", "true AS is_file", *[f"CAST(NULL AS {kind}) AS {name}" for name, kind in none.items()])
-    history = commits.selectExpr("path", "false", "commit_ts", "log_order" if ordered else "NULL", "NULL")
+    history = commits.selectExpr("path", "false", "commit_ts", "log_order" if ordered else "NULL")
     facts = facts.union(history)
-    if touched is not None:
-        facts = facts.union(touched.selectExpr("path", "false", "NULL", "NULL", "run_order"))
-    return facts.filter("path IS NOT NULL").groupBy("path").agg(
+    state = facts.filter("path IS NOT NULL").groupBy(F.xxhash64("path").alias("_hash"), "path").agg(
         F.max("is_file").alias("file_present"),
         committed(facts if ordered else facts.drop("log_order")).alias("committed"),
-        F.min("run_order").alias("first_object"),
     )
+    if touched is None:
+        return state.drop("_hash").withColumn("first_object", F.lit(None).cast(schemas.RUN_ORDER))
+    first = _first_objects(touched, F.xxhash64("path").alias("_hash"))
+    return state.join(first, ["_hash", "path"], "full").select(
+        "path", F.expr(FILE_PRESENT).alias("file_present"), "committed", "first_object"
+    )
+
+
+def _first_objects(touched: DataFrame, *ahead: Column) -> DataFrame:
+    return touched.filter("path IS NOT NULL").groupBy(*ahead, "path").agg(F.min("run_order").alias("first_object"))
 
 
 def touched_state(kept: DataFrame, touched: DataFrame) -> DataFrame:
@@ -104,8 +114,7 @@ def touched_state(kept: DataFrame, touched: DataFrame) -> DataFrame:
     The kept state is read where it lies; only the objects' paths go to it. What
     comes out is no larger than the inventory, however long the history is.
     """
-    first = touched.filter("path IS NOT NULL").groupBy("path").agg(F.min("run_order").alias("first_object"))
-    return first.join(kept, "path", "left").select("path", "file_present", "committed", "first_object")
+    return _first_objects(touched).join(kept, "path", "left").select("path", "file_present", "committed", "first_object")
 
 
 def _plan_real_run(marked: DataFrame, state: DataFrame) -> DataFrame:
