@@ -165,6 +165,29 @@ def test_one_of_each_nulls_and_repeats(spark):
     assert ngram_join.jaccard_classes(docs.limit(0)).count() == 0
 
 
+def test_rows_of_crowded_tokens_are_narrow(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ngram_join, "MANY_CLASSES", 2)
+    rnd = random.Random(8)
+    shared = [rnd.choice("abcdefgh") * rnd.randrange(1, 9) for _ in range(60)]
+    texts = [" ".join(shared[:50] + [f"w{k}x{j}" for j in range(25)]) for k in range(6)] + ["a b", None]
+    docs = docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_classes(docs, folder=str(tmp_path / "j")).collect()}
+    assert got == {i: i for i in range(len(texts))}
+    heavy = spark.read.parquet(str(tmp_path / "j" / "heavy")).collect()
+    sets = {r["node"]: len(r["bits"]) for r in spark.read.parquet(str(tmp_path / "j" / "sets")).collect()}
+    crowded = {r["token"] for r in heavy}
+    assert heavy and all(2 * len(r["bits"]) == sets[r["node"]] and set(r["ahead"]) <= crowded for r in heavy)
+
+
+def test_classes_of_a_token(spark, tmp_path):
+    join = object.__new__(ngram_join.Join)
+    rows = [(1, 1, 1), (1, 2, 1), (1, 3, 3), (2, 1, 1), (2, 2, 1), (3, 3, 3), (3, 4, 4), (3, 5, 5), (4, 6, 6)]
+    got = join.spread(spark.createDataFrame(rows, "token BIGINT, node BIGINT, label BIGINT")).collect()
+    assert sorted((r["token"], r["node"], r["classes"], r["main"]) for r in got) == [
+        (1, 1, 2, 1), (1, 2, 2, 1), (1, 3, 2, 1), (3, 3, 3, 5), (3, 4, 3, 5), (3, 5, 3, 5),
+    ]
+
+
 # --- mixing -------------------------------------------------------------------------------
 
 

@@ -353,18 +353,21 @@ class Join:
         rows = rows.withColumn("lead", lead).withColumn("_n", F.count("*").over(own)).where("_n > 1").drop("_n")
         return stored(rows, self.folder, "buckets")
 
-    def sets_of(self, nodes: DataFrame) -> DataFrame:
-        """One row of ``facts`` for each of the nodes; what is kept of other sets is not shuffled while these are few."""
+    def sets_of(self, nodes: DataFrame, *columns: Column) -> DataFrame:
+        """One row of ``facts``, or of the given columns, for each of the nodes; other sets are not shuffled while these are few."""
+        facts = self.facts.select("node", *(columns or ("n", "bits", "second", "third")))
         nodes = nodes.distinct()
         wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
-        return self.facts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+        return facts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
     def possible(self, pairs: DataFrame) -> DataFrame:
         """The stored pairs ``a``, ``b`` that meet under all orders and whose parities leave room for enough common tokens."""
         sets = self.sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        few = pairs.count() <= BROADCAST_ROWS
         for s in "ab":
             side = sets.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "bits", "second", "third")])
-            pairs = lookup(pairs, side, s, "inner")
+            # The sets are wide: while pairs are few, they are sent to the sets of one side instead of both being shuffled.
+            pairs = side.join(F.broadcast(pairs), s) if s == "a" and few else lookup(pairs, side, s, "inner")
         meet = F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")
         return pairs.where(meet).where(self.room("n_a", "n_b", "bits_a", "bits_b")).select("a", "b")
 
@@ -407,10 +410,9 @@ class Join:
         best = led.where("16 * shared >= n").groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
         links = self.linked(best.select("a", "b"), "led")
         known = components(links, f"{self.folder}/led")
-        rows = rows.drop("lead")
-        label = stored(self.labelled(rows, known), self.folder, "labels")
-        crowd = stored(self.crowded(label), self.folder, "crowd")
+        rows = stored(self.spread(self.labelled(rows.drop("lead"), known)), self.folder, "labels")
         for turn in range(ROUNDS):
+            crowd = rows.where(F.col("classes") >= MANY_CLASSES)
             pairs = stored(self.led(crowd, turn), self.folder, f"turn-{turn}")
             tested = pairs.count()
             if not tested:
@@ -418,14 +420,12 @@ class Join:
             found = self.linked(pairs, f"turn-{turn}")
             links = links.unionByName(found)
             known = components(links, f"{self.folder}/turn-{turn}")
+            # Classes only grow, so tokens of one class are done.
+            rows = self.labelled(rows.select("token", "node", "n", "rank"), known)
+            rows = stored(self.spread(rows), self.folder, f"labels-{turn}")
             if found.count() < WORTHWHILE * tested:
                 break
-            crowd = stored(self.crowded(self.labelled(crowd.drop("label", "main"), known)), self.folder, f"crowd-{turn}")
-        if turn or tested:
-            label = stored(self.labelled(rows, known), self.folder, "labels-last")
-        spread = label.groupBy("token").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).where("_l <> _m").select("token")
-        mixed = lookup(label, spread, "token", "left_semi").select("token", "node", "n", "rank", "label")
-        pairs = self.across(stored(mixed, self.folder, "mixed"))
+        pairs = self.across(rows)
         more = self.linked(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), "rest")
         return components(links.unionByName(more), f"{self.folder}/all")
 
@@ -434,17 +434,17 @@ class Join:
 
         For tokens that many classes share the bound by parities is part of the
         join, so of a group of many sets that are not quite alike the pairs are
-        compared, but are no rows; and each pair is made at its first token only.
+        compared, but are no rows; and each pair is made at the first such token only. Here
+        half the parities will do, as these rows go along with each token of a node.
         """
-        crowd = stored(self.crowded(mixed).drop("main"), self.folder, "crowd-last")
-        plain = lookup(mixed, crowd.select("token").distinct(), "token", "left_anti")
-        nodes = crowd.select("node").distinct()
+        crowd, plain = mixed.where(F.col("classes") >= MANY_CLASSES), mixed.where(F.col("classes") < MANY_CLASSES)
         ordered = F.array_sort(F.collect_list(F.struct("rank", "token")))
-        short = mixed.where(F.expr(f"n - ceil({self.percent} * n / 100) < {SHORT_PREFIX}"))
-        listed = lookup(short, nodes, "node", "left_semi").groupBy("node").agg(ordered.alias("all"))
-        extra = self.sets_of(nodes).select("node", "bits").join(listed, "node", "left")
+        short = crowd.where(F.expr(f"n - ceil({self.percent} * n / 100) < {SHORT_PREFIX}"))
+        listed = short.groupBy("node").agg(ordered.alias("all"))
+        sets = self.sets_of(crowd.select("node"), half("bits").alias("bits"))
         ahead = F.expr("coalesce(transform(filter(all, e -> e.rank < rank), e -> e.token), array())")
-        heavy = lookup(crowd, extra, "node", "inner").withColumn("ahead", ahead).drop("all")
+        heavy = lookup(crowd, sets.join(listed, "node", "left"), "node", "inner").withColumn("ahead", ahead)
+        heavy = stored(heavy.select("token", "node", "n", "rank", "label", "bits", "ahead"), self.folder, "heavy")
         bound = self.room("x.n", "y.n", "x.bits", "y.bits")
         pairs = self.met(plain, "true").union(self.met(heavy, f"NOT arrays_overlap(x.ahead, y.ahead) AND {bound}"))
         return pairs.distinct()
@@ -466,13 +466,21 @@ class Join:
         return f"{100 + self.percent} * ({n_a} + {n_b} - {apart}) >= {2 * self.percent} * ({n_a} + {n_b})"
 
     def labelled(self, rows: DataFrame, known: DataFrame) -> DataFrame:
-        return lookup(rows, known, "node").withColumn("label", F.coalesce("root", "node")).drop("root")
+        """Rows with the ``label`` of their node's class; the stored roots are sent around while they are few."""
+        few = known.count() <= BROADCAST_ROWS
+        rows = rows.join(F.broadcast(known), "node", "left") if few else lookup(rows, known, "node")
+        return rows.withColumn("label", F.coalesce("root", "node")).drop("root")
 
-    def crowded(self, label: DataFrame) -> DataFrame:
-        """Rows of tokens that many classes share, with the class that has most nodes there."""
-        counts = label.groupBy("token", "label").agg(F.count("*").alias("c"))
-        main = counts.groupBy("token").agg(F.count("*").alias("classes"), F.max_by("label", F.struct("c", "label")).alias("main"))
-        return lookup(label, main.where(F.col("classes") >= MANY_CLASSES).select("token", "main"), "token", "inner")
+    def spread(self, label: DataFrame) -> DataFrame:
+        """Rows of tokens that several classes share, with ``classes``, their number, and ``main``, the one that has most nodes there.
+
+        The rows are dealt by token once, like the buckets, and everything is a window over that.
+        """
+        own, same = Window.partitionBy("token"), Window.partitionBy("token", "label")
+        rows = label.repartition("token").withColumn("_c", F.count("*").over(same))
+        first = F.row_number().over(same.orderBy("node")) == 1
+        rows = rows.withColumn("_first", first.cast("int")).withColumn("classes", F.sum("_first").over(own)).where("classes > 1")
+        return rows.withColumn("main", F.max(F.struct("_c", "label")).over(own)["label"]).drop("_c", "_first")
 
     def led(self, crowd: DataFrame, turn: int) -> DataFrame:
         """``a, b``: nodes with a few nodes of the main class, chosen by a hash that is another one in each round."""
@@ -492,6 +500,12 @@ class Join:
         return lookup(facts, self.classes(), "node").withColumn("root", F.coalesce("root", "node"))
 
 
+def half(bits: str) -> Column:
+    """Parities folded to half their size; sets still differ in no more bits than in tokens."""
+    folded = f"transform(sequence(1, size({bits}) div 2), i -> {bits}[i - 1] ^ {bits}[i - 1 + size({bits}) div 2])"
+    return F.expr(f"if(size({bits}) > 1, {folded}, {bits})")
+
+
 def beside(texts: DataFrame, sides: DataFrame, key: str, few: bool) -> DataFrame:
     """``a, b, side, text``: a few sides are sent to all executors, many are shuffled."""
     if few:
