@@ -9,6 +9,7 @@ import random
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import context_mix, decontam, html_extract, lm_score, quality
@@ -383,3 +384,23 @@ def test_packed_keys_and_totals_come_back_whole():
         assert (context_mix.keys_in(context_mix.keys_out(keys)) == keys).all()
         assert (context_mix.from_planes(context_mix.to_planes(sums)) == sums.astype(np.uint64)).all()
         assert (context_mix.totals_in(context_mix.totals_out(totals)) == totals).all()
+
+
+def test_words_of_many_documents_are_counted_at_once(monkeypatch):
+    monkeypatch.setattr(lm_score, "DOC_ROWS", 4)
+    rnd, calls = random.Random(6), []
+    texts = [None, b"", b" ", *[" ".join(rnd.choice(["a", "B", "é", "cc"]) for _ in range(n)).encode() for n in range(9)]]
+    block = lm_score.Block(7)
+    count = block.count
+    block.count = lambda: (calls.append(1), count())
+    for i, text in enumerate(texts):
+        block.add(i, text)
+    rows = [r for b in block.rows(pa.int64()) for r in b.to_pylist()]
+    words = {r["place"]: r["word"] for r in rows if r["word"] is not None}
+    own = [Counter((t or b"").lower().split()) + Counter([b"\n"]) for t in texts]
+    docs = [r for r in rows if r["word"] is None]
+    assert [r["doc_id"] for r in docs] == list(range(len(texts))) and len(calls) == 3
+    assert [dict(zip((words[p] for p in r["places"]), r["times"], strict=True)) for r in docs] == own
+    assert [r["n_bytes"] for r in docs] == [sum((len(w) + (w != b"\n")) * n for w, n in c.items()) for c in own]
+    trained = sum((c for i, c in enumerate(own) if not lm_score.is_held_out(i)), Counter())
+    assert {r["word"]: r["seen"] for r in rows if r["word"] is not None} == {w: trained[w] for w in words.values()}
