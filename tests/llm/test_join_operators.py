@@ -179,6 +179,44 @@ def test_rows_of_crowded_tokens_are_narrow(spark, tmp_path, monkeypatch):
     assert heavy and all(2 * len(r["bits"]) == sets[r["node"]] and set(r["ahead"]) <= crowded for r in heavy)
 
 
+@pytest.mark.parametrize("block_rows", [8, 1000])
+def test_a_group_of_near_copies_makes_no_rows_of_pairs(spark, tmp_path, monkeypatch, block_rows):
+    """Copies with one or two other words link or miss the threshold by little: many classes, many possible pairs."""
+    for name, value in (("DENSE", 2), ("BLOCK_ROWS", block_rows)):
+        monkeypatch.setattr(ngram_join, name, value, raising=False)
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        text = list(base)
+        for at in rnd.sample(range(60), rnd.choice([1, 2, 2])):
+            text[at] = f"x{rnd.randrange(3)}"
+        rows.append((i, " ".join(text)))
+    rows += [(200, " ".join(base[:30])), (201, None), (202, " ".join(base[30:]))]
+    docs = docs_of(spark, [(*r, "s") for r in rows] + [(None, rows[0][1], "s")])
+    got = ngram_join.jaccard_classes(docs, folder=str(tmp_path / "j")).where("doc_id IS NOT NULL").collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_classes(rows)
+    assert spark.read.parquet(str(tmp_path / "j" / "rest-met")).count() <= len(rows)
+
+
+def test_ties_of_two_blocks():
+    import pyarrow as pa
+
+    def met(blocks, labels, sets):
+        size = len(sets)
+        table = {"i": [0] * size, "j": [max(blocks)] * size, "block": blocks, "node": list(range(size)), "label": labels, "tokens": sets}
+        kinds = {c: pa.list_(pa.int64()) if c == "tokens" else pa.int64() for c in table}
+        return ngram_join.ties(pa.table({c: pa.array(v, kinds[c]) for c, v in table.items()}), 75).to_pylist()
+
+    same, other = [1, 2, 3, 4], [5, 6]
+    assert met([0, 0, 0], [0, 1, 2], [same, other, same]) == [{"a": 0, "b": 2}]
+    assert met([0, 0, 0], [0, 0, 0], [same, same, same]) == met([0, 0], [0, 1], [same, other]) == []
+    assert len(met([0, 0, 0, 0], [0, 1, 2, 3], [same] * 4)) == 3
+    # Rows of one block meet in their own group.
+    assert met([0, 0, 1], [0, 1, 2], [same, same, other]) == []
+    assert met([1, 0, 0], [0, 1, 2], [same, same, other]) == [{"a": 0, "b": 1}]
+
+
 def test_classes_of_a_token(spark, tmp_path):
     join = object.__new__(ngram_join.Join)
     rows = [(1, 1, 1), (1, 2, 1), (1, 3, 3), (2, 1, 1), (2, 2, 1), (3, 3, 3), (3, 4, 4), (3, 5, 5), (4, 6, 6)]

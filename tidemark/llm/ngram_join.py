@@ -12,7 +12,10 @@ Groups of copies stay linear. Equal sets are one node. Each node is first
 compared with one leader, the smallest node of the buckets it shares most often;
 what that links is one class. Where a token still has many classes, each of them
 is compared with a few members of the largest one, other ones in each round, as
-long as that links. Afterwards all pairs from different classes are looked at. No
+long as that links. Afterwards all pairs from different classes are looked at. Where
+a token would make many pairs for each of its rows, its sets meet in blocks: a task
+counts what they share and returns only links that tie two classes which it had
+not tied before, so such a group makes no more rows than it has. No
 link between classes is lost, and none within one is needed.
 """
 
@@ -51,6 +54,9 @@ MANY_CLASSES, LEADERS, ROUNDS = 8, 2, 1
 SHORT_PREFIX = 256
 # A round that links less than this share of its pairs is the last one.
 WORTHWHILE = 0.05
+# A token with so many pairs of different classes for each of its rows is dense. Sets of dense tokens meet in blocks of so many
+# rows, or of a part of them all, but of no more shingles than that.
+DENSE, BLOCK_ROWS, BLOCKS, BLOCK_SHINGLES = 64, 256, 32, 1 << 22
 # So many sides of pairs (at most 40 MB) are sent to all executors, more are shuffled.
 BROADCAST_ROWS = 1 << 19
 
@@ -326,6 +332,40 @@ def whole_sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("a", "b", "side", "text").mapInArrow(run, "a BIGINT, b BIGINT, side STRING, n BIGINT, tokens ARRAY<BIGINT>")
 
 
+def ties(sets: pa.Table, percent: int) -> pa.Table:
+    """``a, b``: links between sets of two blocks that tie all classes which such links tie.
+
+    ``sets`` has ``i, j, block, node, label, tokens``. In the block ``i`` = ``j`` all
+    rows meet, else those of one block meet those of the other one.
+    """
+    sets = sets.sort_by("block").combine_chunks()
+    i, j, block, node = (sets[c].to_numpy() for c in ("i", "j", "block", "node"))
+    lists = sets["tokens"].combine_chunks()
+    sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    distinct_tokens, numbers = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    row_of = np.repeat(np.arange(len(node)), sizes)
+    kinds, class_of = np.unique(sets["label"].to_numpy(), return_inverse=True)
+    # Of two sets of different classes one at least is not of the largest class.
+    rest = np.flatnonzero(class_of != np.argmax(np.bincount(class_of, minlength=len(kinds))))
+    cut = int(np.searchsorted(block, j[0])) if i[0] < j[0] else 0
+    own, found = np.zeros(len(distinct_tokens), bool), []
+    for at in rest.tolist():
+        low, high = (0, len(node)) if not cut else (cut, len(node)) if at < cut else (0, cut)
+        mine = numbers[ends[at] : ends[at + 1]]
+        own[mine] = True
+        met = own[numbers[ends[low] : ends[high]]]
+        own[mine] = False
+        common = np.bincount(row_of[ends[low] : ends[high]][met] - low, minlength=high - low)
+        alike = (100 + percent) * common >= percent * (sizes[at] + sizes[low:high])
+        for other in (np.flatnonzero(alike) + low).tolist():
+            if class_of[other] != class_of[at]:
+                found.append((at, other))
+                class_of[class_of == class_of[other]] = class_of[at]
+    pairs = np.sort(node[np.array(found, np.int64).reshape(-1, 2)], axis=1)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
 class Join:
     """One run over one table of documents."""
 
@@ -374,12 +414,21 @@ class Join:
     def linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of the pairs ``a``, ``b`` that pass all filters and reach the threshold."""
         pairs = stored(self.possible(stored(pairs, self.folder, f"{name}-met")), self.folder, f"{name}-pairs")
-        # A document to take the set's text from; where none has an id, one that has the text.
-        first = self.facts.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
         sides = pairs.select(
             "a", "b", F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("node")) for s in "ab"])).alias("s")
         )
-        sides = stored(lookup(sides.select("a", "b", "s.*"), first, "node", "inner").drop("node"), self.folder, f"{name}-sides")
+        sets = self.whole(sides.select("a", "b", "s.*"), name)
+        one = F.struct("n", "tokens")
+        both = sets.groupBy("a", "b").agg(*[F.first(F.when(F.col("side") == s, one), True).alias(s * 2) for s in "ab"])
+        common = F.size(F.array_intersect("aa.tokens", "bb.tokens"))
+        good = (100 + self.percent) * common >= self.percent * (F.col("aa.n") + F.col("bb.n"))
+        return stored(both.where(good).select("a", "b"), self.folder, f"{name}-links")
+
+    def whole(self, sides: DataFrame, name: str) -> DataFrame:
+        """``whole_sets`` of the rows ``a, b, side, node``."""
+        # A document to take the set's text from; where none has an id, one that has the text.
+        first = self.facts.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
+        sides = stored(lookup(sides, first, "node", "inner").drop("node"), self.folder, f"{name}-sides")
         # Each side of a pair takes its text along, so a leader of many pairs is spread like its pairs.
         few = sides.count() <= BROADCAST_ROWS
         texts = beside(self.docs.select("doc_id", "text"), sides.drop("key"), "doc_id", few)
@@ -389,12 +438,7 @@ class Join:
             wanted = unnamed.select("key").distinct()
             others = lookup(others, wanted, "key", "left_semi").dropDuplicates(["key"])
             texts = texts.unionByName(beside(others, unnamed, "key", few))
-        sets = whole_sets(texts, self.size)
-        one = F.struct("n", "tokens")
-        both = sets.groupBy("a", "b").agg(*[F.first(F.when(F.col("side") == s, one), True).alias(s * 2) for s in "ab"])
-        common = F.size(F.array_intersect("aa.tokens", "bb.tokens"))
-        good = (100 + self.percent) * common >= self.percent * (F.col("aa.n") + F.col("bb.n"))
-        return stored(both.where(good).select("a", "b"), self.folder, f"{name}-links")
+        return whole_sets(texts, self.size)
 
     @functools.cached_property
     def nameless(self) -> bool:
@@ -425,24 +469,51 @@ class Join:
             rows = stored(self.spread(rows), self.folder, f"labels-{turn}")
             if found.count() < WORTHWHILE * tested:
                 break
+        if not rows.where("dense").isEmpty():
+            links = links.unionByName(self.dense_links(rows.where("dense")))
         pairs = self.across(rows)
         more = self.linked(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), "rest")
         return components(links.unionByName(more), f"{self.folder}/all")
 
+    def dense_links(self, rows: DataFrame) -> DataFrame:
+        """``a, b``: links that tie all classes which links between nodes of one dense token tie.
+
+        Tokens of a group of near copies mostly have the same main class, so a node
+        goes there once, not with each token. In a block pair at most one link is returned
+        for each of its classes.
+        """
+        nodes = stored(rows.select("main", "node", "label", "n").distinct(), self.folder, "dense")
+        sides = nodes.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit("a").alias("side"), "node").distinct()
+        sets = stored(self.whole(sides, "dense").select(F.col("a").alias("node"), "tokens"), self.folder, "dense-sets")
+        blocks = F.greatest(F.least(F.ceil(F.count("*") / BLOCK_ROWS), F.lit(BLOCKS)), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+        dealt = lookup(nodes, nodes.groupBy("main").agg(blocks.alias("blocks")), "main", "inner")
+        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+        dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+        dealt = dealt.select("main", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label")
+        percent = self.percent
+
+        def tied(table: pa.Table) -> pa.Table:
+            return ties(table, percent)
+
+        met = lookup(dealt, sets, "node", "inner").groupBy("main", "i", "j").applyInArrow(tied, "a BIGINT, b BIGINT")
+        return stored(met, self.folder, "dense-links")
+
     def across(self, mixed: DataFrame) -> DataFrame:
         """``a, b``: pairs of nodes of different classes that have a prefix token in common and may be alike.
 
         For tokens that many classes share the bound by parities is part of the
         join, so of a group of many sets that are not quite alike the pairs are
         compared, but are no rows; and each pair is made at the first such token only. Here
-        half the parities will do, as these rows go along with each token of a node.
+        half the parities will do, as these rows go along with each token of a node. Nodes
+        that share a dense token have met there.
         """
-        crowd, plain = mixed.where(F.col("classes") >= MANY_CLASSES), mixed.where(F.col("classes") < MANY_CLASSES)
-        ordered = F.array_sort(F.collect_list(F.struct("rank", "token")))
-        short = crowd.where(F.expr(f"n - ceil({self.percent} * n / 100) < {SHORT_PREFIX}"))
+        met = mixed.where("NOT dense")
+        crowd, plain = met.where(F.col("classes") >= MANY_CLASSES), met.where(F.col("classes") < MANY_CLASSES)
+        ordered = F.array_sort(F.collect_list(F.struct("rank", "token", "dense")))
+        short = mixed.where((F.col("classes") >= MANY_CLASSES) | F.col("dense")).where(F.expr(f"n - ceil({self.percent} * n / 100) < {SHORT_PREFIX}"))
         listed = short.groupBy("node").agg(ordered.alias("all"))
         sets = self.sets_of(crowd.select("node"), half("bits").alias("bits"))
-        ahead = F.expr("coalesce(transform(filter(all, e -> e.rank < rank), e -> e.token), array())")
+        ahead = F.expr("coalesce(transform(filter(all, e -> e.dense OR e.rank < rank), e -> e.token), array())")
         heavy = lookup(crowd, sets.join(listed, "node", "left"), "node", "inner").withColumn("ahead", ahead)
         heavy = stored(heavy.select("token", "node", "n", "rank", "label", "bits", "ahead"), self.folder, "heavy")
         bound = self.room("x.n", "y.n", "x.bits", "y.bits")
@@ -474,12 +545,17 @@ class Join:
     def spread(self, label: DataFrame) -> DataFrame:
         """Rows of tokens that several classes share, with ``classes``, their number, and ``main``, the one that has most nodes there.
 
+        ``dense`` tells that the token has many pairs of different classes for each of its rows.
+
         The rows are dealt by token once, like the buckets, and everything is a window over that.
         """
         own, same = Window.partitionBy("token"), Window.partitionBy("token", "label")
         rows = label.repartition("token").withColumn("_c", F.count("*").over(same))
         first = F.row_number().over(same.orderBy("node")) == 1
         rows = rows.withColumn("_first", first.cast("int")).withColumn("classes", F.sum("_first").over(own)).where("classes > 1")
+        # Each node of a class counts all of them, so the sum is that of the squares.
+        all_rows, within = F.count("*").over(own), F.sum("_c").over(own)
+        rows = rows.withColumn("dense", all_rows * all_rows - within >= 2 * DENSE * all_rows)
         return rows.withColumn("main", F.max(F.struct("_c", "label")).over(own)["label"]).drop("_c", "_first")
 
     def led(self, crowd: DataFrame, turn: int) -> DataFrame:
