@@ -149,6 +149,17 @@ def test_repeated_rows_repeat_nothing_and_empty_pages(spark):
     assert html_extract.extract(empty).count() == 0
 
 
+def test_pages_are_parsed_once(spark, tmp_path, monkeypatch):
+    """Runs come from the blocks that were written, menus too; a second reading would not see the pages."""
+    html = page(f"<nav>{NOTICE}</nav><article><p>{' '.join(WORDS)}</p></article><div>{NOTICE}</div>")
+    pages = spark.createDataFrame([(i, f"http://h/{i}", html) for i in range(3)] + [(9, None, None)], "page_id INT, url STRING, html STRING")
+    marks = html_extract.stored(html_extract.read_marks(pages), str(tmp_path), "marks")
+    runs = html_extract.read_runs(marks).groupBy("host", "key").count().collect()
+    tokens = f"T {NOTICE} {' '.join(WORDS)} {NOTICE}".split()
+    keys = html_extract.suffix_keys(tokens).tolist()
+    assert {(r["host"], r["key"], r["count"]) for r in runs} == {("h", k, 3) for k in keys}
+
+
 def test_long_page():
     blocks = html_extract.read_blocks(page("<article>" + "<p>word word</p>" * 50_000 + "</article>"))
     assert sum(b.state == "main" for b in blocks) == 50_000
