@@ -6,12 +6,14 @@ import random
 from collections import Counter
 
 import brute
+import pyarrow as pa
 import pytest
 from test_join_operators import edited, jaccard_classes, plain_targets
 from test_text_operators import plain_hits
 
 import corpus_pipeline
 from tidemark.llm import decontam, quality
+from tidemark.llm.common import pieces
 
 COLUMNS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
 
@@ -138,3 +140,44 @@ def test_odd_rows(spark, tmp_path, name):
         assert out.columns == docs.columns
     out.collect()
     assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+class Caught:
+    """In place of ``docs``: gives the function that tasks would run."""
+
+    def __init__(self, docs):
+        self.columns, self.schema, self.sparkSession = docs.columns, docs.schema, docs.sparkSession
+
+    def select(self, *names):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+@pytest.mark.parametrize("name", ["quality", "cleaned", "decontaminated"])
+def test_tasks_work_on_slices(spark, tmp_path, name):
+    """Of a large batch a task turns a slice into objects at once, however Spark cuts its batches."""
+    rnd = random.Random(5)
+    texts = ["\n".join(sentence(rnd) for _ in range(40 + i % 7)) for i in range(1500)] + [None, ""]
+    docs = Caught(spark.createDataFrame([], "doc_id BIGINT, text STRING"))
+    bench = spark.createDataFrame([(1, texts[3][:200])], "item_id BIGINT, text STRING")
+    run = {
+        "quality": lambda: quality.quality(docs),
+        "cleaned": lambda: quality.cleaned(docs),
+        "decontaminated": lambda: decontam.decontaminated(docs, bench, folder=str(tmp_path / "blocks")),
+    }[name]()
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    out = list(run(iter([batch])))
+    assert batch.nbytes > 3 << 20 and len(out) >= 4
+    alone = [got for start in range(0, batch.num_rows, 100) for got in run(iter([batch.slice(start, 100)]))]
+    assert pa.Table.from_batches(out).equals(pa.Table.from_batches(alone))
+
+
+def test_pieces():
+    texts = ["a" * n for n in (10, 0, 5000, 10, 20, 30, 40, 3000, 1)]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(9)), "text": texts})
+    got = list(pieces(iter([batch, batch.slice(0, 0), batch.slice(2, 1)]), 200))
+    assert all(p.nbytes <= 200 or p.num_rows == 1 for p in got)
+    assert pa.Table.from_batches(got).to_pylist() == [*batch.to_pylist(), *batch.slice(2, 1).to_pylist()]
+    assert [p.num_rows for p in pieces(iter([batch]))] == [9]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import fresh_folder, stored
+from tidemark.llm.common import fresh_folder, pieces, stored
 
 WINDOW = 10
 # Words of benchmark text in one automaton; a state takes about 400 bytes, and there are two a word at most.
@@ -170,7 +170,7 @@ def pieces_of(items: DataFrame, window: int, step: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             for name, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 words = words_of(text)
                 for start in range(0, max(1, len(words) - window + 1) if words else 0, step):
@@ -240,7 +240,7 @@ def with_hits(rows: DataFrame, blocks: list[Broadcast], folder: str, name: str)
 
         def run(batches: Iterator[pa.RecordBatch], group=group, first=number == 0) -> Iterator[pa.RecordBatch]:
             own = [pickle.loads(block.value) for block in group]
-            for batch in batches:
+            for batch in pieces(batches):
                 rows = []
                 for row in range(batch.num_rows):
                     words = words_of(batch.column(at)[row].as_py() or "")
@@ -341,7 +341,7 @@ def decontaminated(
 
     def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [pickle.loads(block.value) for block in blocks]
-        for batch in batches:
+        for batch in pieces(batches):
             after = [text and cut(text, own) for text in batch.column(at).to_pylist()]
             done = edited(batch, names, after)
             yield pa.RecordBatch.from_arrays(done.columns[:-1], names)
@@ -350,7 +350,7 @@ def decontaminated(
         return docs.mapInArrow(cut_all, docs.schema)
 
     def cut_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             after = []
             for text, hit in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
                 spans = [(span["begin"], span["end"]) for span in hit["spans"]]
